@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.llm.common import stage
 
-HASHES, WIDTH, SEED = 6, 2.0, 5
+HASHES, WIDTH, SEED = 6, 3.0, 5
 #: Sample for fitting the number of probes: rows, queries, and the recall asked of it.
 SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 8_192, 256, 0.97
 #: Rows that a block holds at most.

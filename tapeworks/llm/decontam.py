@@ -96,7 +96,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) ->
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, k: int = K, rate: int = 20) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row of ``docs`` (doc_id, text): doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document word is hit if it lies in a span that equals a window of an item of ``benchmark`` (item_id,
     text). Null and word-free texts have no words and no hits; items without words or id are no windows.
@@ -119,6 +119,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     out = d.select("doc_id", "th", n_words.alias("n_words")).join(by, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        "doc_id", F.col("th").alias("text_hash"), "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"), ((n_hit > 0) & (n_hit * rate >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    judged = decontaminate(docs.select("doc_id", "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"))
+    bad = stage(judged.distinct(), "contaminated")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed_rows = docs.select(row, F.col("doc_id").cast("long").alias("k"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    return keyed_rows.join(bad, F.col("k").eqNullSafe(F.col("d")) & (F.col("h") == F.col("t")), "left_anti").select("row.*")

@@ -15,6 +15,8 @@ from tapeworks.llm.common import stage, unit_hash, word_count
 WEIGHTS, SHARE, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 17
 #: Documents that one range of keys holds on average.
 RANGE_DOCS = 5_000
+#: Sources whose plan (some 100 bytes each) is broadcast at most.
+BROADCAST_SOURCES = 50_000
 
 
 def default_quality(size: Column) -> Column:
@@ -44,54 +46,85 @@ def water_fill(sizes: DataFrame, share: float = SHARE, most: float = MOST, weigh
     return s.select("source", "source_size", F.when(F.col("full") | F.col("level").isNull(), F.col("cap")).otherwise(F.col("w") * F.col("level")).alias("target"))
 
 
-def mix(docs: DataFrame, *, share: float = SHARE, most: float = MOST, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, source): doc_id, source, text_hash, size, source_size, target, epochs, copies, taken.
+def keyed(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """row (all columns of ``docs``), doc_id, source, text_hash, size, key."""
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        F.xxhash64(text).alias("text_hash"), word_count(text).alias("size"),
+    )
+    return rows.withColumn("key", -F.log(unit_hash(F.col("doc_id"), F.col("source"), seed=seed)) / default_quality(F.col("size")))
 
-    ``copies`` says how often the mix holds the document. Sizes are words; a null or empty text has none,
-    takes nothing and has as many copies as its source has whole epochs. A null source is a source of its
-    own, last. Rows that repeat in doc_id, source and text are drawn or left together. Extra columns are
-    ignored. An empty table gives an empty result.
-    """
-    size = word_count(F.col("text").cast("string"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    rows = rows.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), size.alias("size"))
-    key = -F.log(unit_hash(F.col("doc_id"), F.col("source"), seed=seed)) / default_quality(F.col("size"))
-    rows = stage(rows.withColumn("key", key), "mix_sizes")
 
+def plan(rows: DataFrame, share: float = SHARE, most: float = MOST, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """Per source: source_size, target, epochs, budget, ranges, and where in its key order the budget ends.
+
+    ``full_range`` is the last range of keys that lies in the budget as a whole, ``edge_range`` the one that
+    holds its end, ``cut`` the last document inside. A row per source.
+    """
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    plan = water_fill(sources, share, most, weights).alias("p").join(sources.alias("s"), F.expr("p.source <=> s.source"))
+    filled = water_fill(sources, share, most, weights).alias("p").join(sources.alias("s"), F.expr("p.source <=> s.source"))
     epochs = F.when(F.col("p.source_size") > 0, F.floor(F.col("target") / F.col("p.source_size"))).otherwise(0)
-    plan = plan.select(
+    budgets = filled.select(
         F.col("p.source").alias("source"), F.col("p.source_size").alias("source_size"), "target", epochs.cast("long").alias("epochs"),
         F.ceil(F.col("n_docs") / RANGE_DOCS).alias("ranges"),
     ).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    plan = stage(plan.coalesce(1), "mix_plan")
-    hint = F.broadcast(plan) if plan.count() <= 100_000 else plan
+    budgets = stage(budgets.coalesce(1), "mix_budgets")
 
-    # 1 - exp(-1.5 key) rises with the key and spreads the keys evenly enough over the ranges
-    spread = F.floor((1 - F.exp(-1.5 * F.col("key"))) * F.col("ranges"))
-    ranged = rows.alias("r").join(hint.alias("p"), F.expr("r.source <=> p.source")).select("r.*", "source_size", "target", "epochs", "budget", F.least(spread, F.col("ranges") - 1).alias("range"))
+    ranged = rows.alias("r").join(per_source(budgets).alias("p"), F.expr("r.source <=> p.source")).select("r.*", "budget", key_range().alias("range"))
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"), F.first("budget").alias("budget"))
-    w = Window.partitionBy("source").orderBy("range")
-    sums = sums.withColumn("before", F.sum("range_size").over(w) - F.col("range_size"))
-    # only ranges that hold the budget's end are sorted document by document
+    sums = sums.withColumn("before", F.sum("range_size").over(Window.partitionBy("source").orderBy("range")) - F.col("range_size"))
+    sums = stage(sums, "mix_ranges")
+    # only the range that holds the budget's end is sorted document by document: one range a source
     edge = sums.where("before < budget AND before + range_size > budget")
-    inside = ranged.alias("r").join(F.broadcast(edge.select("source", "range", "before")).alias("e"), F.expr("r.source <=> e.source AND r.range = e.range"))
+    inside = ranged.alias("r").join(per_source(edge.select("source", "range", "before")).alias("e"), F.expr("r.source <=> e.source AND r.range = e.range"))
     order = Window.partitionBy("r.source").orderBy("key", "doc_id", "text_hash", "size")
-    inside = inside.select(
-        F.col("r.source").alias("source"), "key", "doc_id", "text_hash", "size", "budget",
-        (F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2 <= F.col("budget")).alias("in"),
-    )
+    reach = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    inside = inside.select(F.col("r.source").alias("source"), "key", "doc_id", "text_hash", "size", (reach - F.col("size") / 2 <= F.col("budget")).alias("in"))
     # keys ascend, so the last document inside says where the cut lies
     cut = inside.groupBy("source").agg(F.max(F.when(F.col("in"), F.struct("key", "doc_id", "text_hash", "size"))).alias("cut"))
     full = sums.where("before + range_size <= budget").groupBy("source").agg(F.max("range").alias("full_range"))
-    marks = stage(plan.select("source").alias("p").join(cut.alias("c"), F.expr("p.source <=> c.source"), "left").join(full.alias("f"), F.expr("p.source <=> f.source"), "left").join(
-        edge.groupBy("source").agg(F.min("range").alias("edge_range")).alias("e"), F.expr("p.source <=> e.source"), "left"
-    ).select(F.col("p.source").alias("source"), "cut", "full_range", "edge_range").coalesce(1), "mix_marks")
-    marks = F.broadcast(marks) if marks.count() <= 100_000 else marks
-    out = ranged.alias("r").join(marks.alias("m"), F.expr("r.source <=> m.source"))
-    below = F.struct(F.col("key"), F.col("r.doc_id"), F.col("text_hash"), F.col("size")) <= F.struct(F.col("cut.key"), F.col("cut.doc_id"), F.col("cut.text_hash"), F.col("cut.size"))
-    whole = (F.col("full_range").isNotNull() & (F.col("range") <= F.col("full_range"))) | (F.col("edge_range").isNotNull() & (F.col("range") < F.col("edge_range")))
-    drawn = F.coalesce((F.col("budget") > 0) & (whole | ((F.col("range") == F.col("edge_range")) & F.col("cut").isNotNull() & below)), F.lit(False))
-    out = out.select("r.doc_id", "r.source", "text_hash", "size", "source_size", "target", "epochs", (F.col("epochs") + drawn.cast("long")).alias("copies"))
-    return out.withColumn("taken", F.col("copies") * F.col("size"))
+    out = budgets.alias("b")
+    for name, part in (("c", cut), ("f", full), ("e", edge.select("source", F.col("range").alias("edge_range")))):
+        out = out.join(part.withColumnRenamed("source", f"{name}_source"), F.col("b.source").eqNullSafe(F.col(f"{name}_source")), "left")
+    return stage(out.select("b.*", "cut", "full_range", "edge_range").coalesce(1), "mix_plan")
+
+
+def per_source(small: DataFrame) -> DataFrame:
+    """Broadcast where there are few sources; beyond that the join decides for itself."""
+    return F.broadcast(small) if small.count() <= BROADCAST_SOURCES else small
+
+
+def key_range() -> Column:
+    """1 - exp(-1.5 key) rises with the key and spreads the keys evenly enough over a source's ranges."""
+    return F.least(F.floor((1 - F.exp(-1.5 * F.col("key"))) * F.col("ranges")), F.col("ranges") - 1)
+
+
+def decide(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Adds source_size, target, epochs and copies to ``keyed`` rows; no row moves where the plan is broadcast."""
+    out = rows.alias("r").join(per_source(marks).alias("m"), F.expr("r.source <=> m.source")).withColumn("range", key_range())
+    below = F.struct(F.col("key"), F.col("r.doc_id"), F.col("text_hash"), F.col("size")) <= F.struct(*[F.col(f"cut.{c}") for c in ("key", "doc_id", "text_hash", "size")])
+    whole = (F.col("range") <= F.col("full_range")) | (F.col("range") < F.col("edge_range"))
+    at_edge = (F.col("range") == F.col("edge_range")) & F.col("cut").isNotNull() & below
+    drawn = (F.col("budget") > 0) & (F.coalesce(whole, F.lit(False)) | F.coalesce(at_edge, F.lit(False)))
+    return out.select("r.*", "source_size", "target", "epochs", (F.col("epochs") + drawn.cast("long")).alias("copies"))
+
+
+def mix(docs: DataFrame, *, share: float = SHARE, most: float = MOST, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, epochs, copies, taken.
+
+    ``copies`` says how often the mix holds the document. Sizes are words; a null or empty text has none,
+    takes nothing and has as many copies as its source has whole epochs. A null source is a source of its
+    own, last. Rows that repeat in doc_id, source and text are drawn or left together. Extra columns are
+    ignored. An empty table gives an empty result.
+    """
+    rows = stage(keyed(docs.select("doc_id", "text", "source"), seed).drop("row"), "mix_sizes")
+    out = decide(rows, plan(rows, share, most, weights))
+    return out.select("doc_id", "source", "size", "source_size", "target", "epochs", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, *, seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns, as often as ``mix`` has copies of it."""
+    rows = keyed(docs, seed)
+    marks = plan(stage(rows.drop("row"), "mix_sizes"))
+    return decide(rows, marks).select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).select("row.*")

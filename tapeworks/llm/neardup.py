@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import discard, stage
@@ -55,7 +55,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = [signed(fingerprint(t.as_py())) for t in b.column("text")]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fps, pa.int64())], names=["doc_id", "text_hash", "fp"])
 
 
 def link_fingerprints(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -106,7 +106,16 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label"))
 
 
-def near_duplicates(docs: DataFrame, *, extra: list[Column] | None = None) -> DataFrame:
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, fp, label of every row; label names the component by its smallest fingerprint."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    fps = stage(rows.mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long"), "fingerprints")
+    labels = components(link_fingerprints(fps.select("fp").distinct()))
+    return fps.join(labels, fps.fp == labels.node, "left").select("doc_id", "text_hash", "fp", F.coalesce("label", "fp").alias("label"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, fp (long), component_id.
 
     A null text has no words, fingerprint zero, and is linked like any other. component_id is the smallest
@@ -114,11 +123,20 @@ def near_duplicates(docs: DataFrame, *, extra: list[Column] | None = None) -> Da
     a component has none other). Repeated rows come back as often as they came. Extra columns are ignored;
     an empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    fps = stage(rows.mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = components(link_fingerprints(nodes.select("fp")))
-    named = nodes.join(labels, nodes.fp == labels.node, "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    ids = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(ids, "label").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    rows = stage(grouped(docs), "simhash_labels")
+    ids = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "label").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that lead their component: the smallest doc_id, a null one last; one row of several alike."""
+    rows = stage(grouped(docs), "simhash_labels")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("k")
+    keep = rows.groupBy("label").agg(first).select(F.col("k.doc_id").alias("d"), F.col("k.text_hash").alias("t"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("k"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    kept = keyed.join(keep, F.col("k").eqNullSafe(F.col("d")) & (F.col("h") == F.col("t")), "left_semi")
+    repeats = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if repeats:  # rows that repeat in both: any one of them
+        kept = kept.dropDuplicates(["k", "h"])
+    return kept.select("row.*")

@@ -52,7 +52,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
