@@ -1,15 +1,505 @@
-"""All registered queries and their SQL."""
+"""All registered queries over the driver's tables, each with the SQL it is held against."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from tapeworks.functions import book, scalars
+from tapeworks.operators import asof, coverage, depth, duplicates, inventory, outcome, settle
+from tapeworks.plans.standin import BAR_S, EV, LEVELS, OFFSET_S, TOKENS, books, frames, read, tokens
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def r6(*names: str) -> list:
+    return [F.round(n, 6).alias(n) for n in names]
+
+
+def rounded(*names: str) -> str:
+    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+
+
+# ---- frames, casts, buckets
+
+
+@query(f"WITH {EV} SELECT kind, bar_ts, count(*) AS n FROM e WHERE kind IS NOT NULL GROUP BY GROUPING SETS ((kind, bar_ts), (kind))")
+def frame_counts(spark, d):
+    return frames(spark, d).where("kind IS NOT NULL").groupingSets([["kind", "bar_ts"], ["kind"]], "kind", "bar_ts").agg(F.count("*").alias("n")).select("kind", "bar_ts", "n")
+
+
+@query("SELECT (epoch_us(ts) // 300000000) * 300 AS bar_ts, event_type, count(*) AS n FROM events GROUP BY ALL")
+def bar_bucket_counts(spark, d):
+    bar = scalars.bar_of(F.unix_millis(F.col("ts").cast("timestamp")) / 1000, 300)
+    return read(spark, d, "events").groupBy(bar.alias("bar_ts"), "event_type").agg(F.count("*").alias("n"))
+
+
+MODE = "SELECT bar_ts, market, n FROM (SELECT bar_ts, market, count(*) AS n, row_number() OVER (PARTITION BY bar_ts ORDER BY count(*) DESC, min(seq)) AS rn FROM e {where} GROUP BY bar_ts, market) WHERE rn = 1"
+
+
+@query(f"WITH {EV} " + MODE.format(where=""))
+def primary_market_mode(spark, d):
+    return asof.first_seen_mode(frames(spark, d), ["bar_ts"], "market", "seq").select("bar_ts", "market", "n")
+
+
+@query(f"WITH {EV} " + MODE.format(where="WHERE kind = 'book'"))
+def dominant_market_mode(spark, d):
+    return asof.first_seen_mode(frames(spark, d), ["bar_ts"], "market", "seq", F.col("is_book")).select("bar_ts", "market", "n")
+
+
+@query(f"WITH {EV}, p AS ({MODE.format(where='')}) SELECT e.bar_ts, count(*) FILTER (e.market = p.market) AS own, count(*) AS n FROM e JOIN p ON e.bar_ts = p.bar_ts GROUP BY e.bar_ts")
+def is_primary_rows(spark, d):
+    f = frames(spark, d).drop("is_primary")
+    p = asof.first_seen_mode(f, ["bar_ts"], "market", "seq").select("bar_ts", F.col("market").alias("primary"))
+    own = f.join(p, "bar_ts").withColumn("is_primary", F.when(F.col("market") == F.col("primary"), 1).otherwise(0))
+    return own.groupBy("bar_ts").agg(F.sum("is_primary").alias("own"), F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS head, TRY_CAST(o_orderpriority AS DOUBLE) AS whole,
+  coalesce(CAST(trunc(TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE)) AS BIGINT), 0) AS whole_price FROM orders""")
+def safe_cast(spark, d):
+    p = F.col("o_orderpriority")
+    return read(spark, d, "orders").select("o_orderkey", scalars.safe_double(F.substring(p, 1, 1)).alias("head"), scalars.safe_double(p).alias("whole"), scalars.safe_long(F.col("o_totalprice"), 0).alias("whole_price"))
+
+
+# ---- book
+
+
+TIE = "l_linenumber, l_partkey, l_suppkey, size, price"
+
+
+@query(f"""WITH {LEVELS}, b AS (
+  SELECT l_orderkey, arg_max(struct_pack(p := price, s := size), r) FILTER (flag = 'A') AS bid, arg_max(struct_pack(p := price, s := size), q) FILTER (flag = 'R') AS ask,
+         count(*) FILTER (flag = 'A') AS n_bids, count(*) FILTER (flag = 'R') AS n_asks
+  FROM (SELECT *, -row_number() OVER (PARTITION BY l_orderkey ORDER BY price DESC, {TIE}) AS r, -row_number() OVER (PARTITION BY l_orderkey ORDER BY price, {TIE}) AS q FROM lv)
+  GROUP BY l_orderkey)
+SELECT l_orderkey, bid.p AS best_bid, bid.s AS best_bid_sz, ask.p AS best_ask, ask.s AS best_ask_sz, round((bid.p + ask.p) / 2, 6) AS mid, round(ask.p - bid.p, 6) AS spread, n_bids, n_asks FROM b""")
+def top_of_book(spark, d):
+    b = books(spark, d).withColumns({"b": book.best(F.col("bids"), True), "a": book.best(F.col("asks"), False)})
+    bid, ask = F.col("b.price"), F.col("a.price")
+    return b.select(
+        "l_orderkey", bid.alias("best_bid"), F.col("b.size").alias("best_bid_sz"), ask.alias("best_ask"), F.col("a.size").alias("best_ask_sz"), F.round(book.mid(bid, ask), 6).alias("mid"),
+        F.round(book.spread(bid, ask), 6).alias("spread"), book.level_count(F.col("bids")).cast("long").alias("n_bids"), book.level_count(F.col("asks")).cast("long").alias("n_asks"),
+    )
+
+
+@query(f"""WITH {LEVELS}, s AS (SELECT l_orderkey, flag, price, round(price - lag(price) OVER (PARTITION BY l_orderkey, flag ORDER BY price), 4) AS step,
+    max(price) OVER (PARTITION BY l_orderkey, flag) > min(price) OVER (PARTITION BY l_orderkey, flag) AS wide FROM lv WHERE flag IN ('A', 'R')),
+g AS (SELECT l_orderkey, count(*) FILTER (flag = 'A') AS bid_n, count(*) FILTER (flag = 'R') AS ask_n, min(price) FILTER (flag = 'A') AS bid_min, max(price) FILTER (flag = 'R') AS ask_max,
+    coalesce(bool_or(wide AND step <> 0.01) FILTER (flag = 'A'), false) AS bid_odd, coalesce(bool_or(wide AND step <> 0.01) FILTER (flag = 'R'), false) AS ask_odd,
+    coalesce(bool_or(wide AND step > 0.0101) FILTER (flag = 'A'), false) AS bid_hole, coalesce(bool_or(wide AND step > 0.0101) FILTER (flag = 'R'), false) AS ask_hole FROM s GROUP BY l_orderkey)
+SELECT k.l_orderkey, coalesce(bid_n, 0) AS bid_n, coalesce(ask_n, 0) AS ask_n, bid_min, ask_max, coalesce(bid_odd, false) AS bid_odd, coalesce(ask_odd, false) AS ask_odd,
+  coalesce(bid_hole, false) AS bid_hole, coalesce(ask_hole, false) AS ask_hole FROM (SELECT DISTINCT l_orderkey FROM lineitem) k LEFT JOIN g ON k.l_orderkey = g.l_orderkey""")
+def book_step_audit(spark, d):
+    p = depth.profile(books(spark, d))
+    return p.select("l_orderkey", F.col("bid_n").cast("long").alias("bid_n"), F.col("ask_n").cast("long").alias("ask_n"), "bid_min", "ask_max", "bid_odd", "ask_odd", "bid_hole", "ask_hole")
+
+
+@query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, count(*) FILTER (flag = 'A') AS bid_n, count(*) FILTER (flag = 'R') AS ask_n FROM lv GROUP BY l_orderkey)
+SELECT count(*) AS frames, count(*) FILTER (bid_n = 0) AS bid_empty, count(*) FILTER (ask_n = 0) AS ask_empty, round(avg(CASE WHEN bid_n >= 50 THEN 1.0::DOUBLE ELSE 0 END), 6) AS bid_50 FROM g""")
+def depth_totals(spark, d):
+    return depth.totals(depth.profile(books(spark, d))).select("frames", "bid_empty", "ask_empty", *r6("bid_50"))
+
+
+@query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, CAST(count(*) FILTER (flag = 'A') AS DOUBLE) AS bid_n, CAST(count(*) FILTER (flag = 'R') AS DOUBLE) AS ask_n,
+  min(price) FILTER (flag = 'A') AS bid_min, max(price) FILTER (flag = 'R') AS ask_max FROM lv GROUP BY l_orderkey),
+u AS (SELECT 'bid_n' AS metric, bid_n AS key FROM g UNION ALL SELECT 'ask_n', ask_n FROM g UNION ALL SELECT 'bid_min', bid_min FROM g UNION ALL SELECT 'ask_max', ask_max FROM g)
+SELECT metric, key, count(*) AS n FROM u WHERE key IS NOT NULL GROUP BY ALL""")
+def depth_histograms(spark, d):
+    return depth.histograms(depth.profile(books(spark, d)))
+
+
+@query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, CAST(count(*) FILTER (flag = 'A') AS DOUBLE) AS bid_n, CAST(count(*) FILTER (flag = 'R') AS DOUBLE) AS ask_n FROM lv GROUP BY l_orderkey),
+u AS (SELECT 'bid_n' AS metric, bid_n AS key FROM g UNION ALL SELECT 'ask_n', ask_n FROM g)
+SELECT metric, p, quantile_disc(key, p) AS key FROM u, (SELECT unnest([0.1, 0.5, 0.9, 0.99]::DOUBLE[]) AS p) GROUP BY metric, p""".replace("quantile_disc(key, p)", "CASE p WHEN 0.1 THEN quantile_disc(key, 0.1) WHEN 0.5 THEN quantile_disc(key, 0.5) WHEN 0.9 THEN quantile_disc(key, 0.9) ELSE quantile_disc(key, 0.99) END"))
+def hist_percentile(spark, d):
+    h = depth.histograms(depth.profile(books(spark, d))).where("metric IN ('bid_n', 'ask_n')")
+    out = None
+    for p in (0.1, 0.5, 0.9, 0.99):
+        one = depth.percentile(h, p, ["metric"]).withColumn("p", F.lit(p))
+        out = one if out is None else out.unionByName(one)
+    return out.select("metric", "p", "key")
+
+
+@query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, CAST(count(*) FILTER (flag = 'A') AS DOUBLE) AS key FROM lv GROUP BY l_orderkey)
+SELECT 'bid_n' AS metric, key, count(*) AS n FROM g GROUP BY key ORDER BY n DESC, key LIMIT 6""")
+def most_common_counts(spark, d):
+    return depth.most_common(depth.histograms(depth.profile(books(spark, d))), "bid_n", 6)
+
+
+# ---- joins and top-k
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(s_nationkey, -1) AS side FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) ON l_suppkey = s_suppkey")
+def side_lookup(spark, d):
+    side = read(spark, d, "supplier").where("s_nationkey < 12").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("side"))
+    li = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return li.join(side, "l_suppkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.coalesce("side", F.lit(-1)).alias("side"))
+
+
+@query("SELECT l_suppkey AS asset_id, count(*) AS n FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) ON l_suppkey = s_suppkey WHERE s_suppkey IS NULL GROUP BY l_suppkey ORDER BY n DESC, asset_id LIMIT 10")
+def unknown_topk(spark, d):
+    from tapeworks.operators.derive import unknown_assets
+
+    return unknown_assets(side_lookup(spark, d).select(F.col("l_suppkey").alias("asset_id"), "side"))
+
+
+@query(f"WITH {EV} SELECT market, asset_id, ts_ms, value, props FROM e WHERE kind = 'book' QUALIFY row_number() OVER (PARTITION BY market, asset_id ORDER BY ts_ms DESC, seq DESC) = 1")
+def latest_per_asset(spark, d):
+    return asof.latest(frames(spark, d).where("kind = 'book'"), ["market", "asset_id"], ["ts_ms", "seq"], ["ts_ms", "value", "props"])
+
+
+@query(f"""WITH {EV}, g AS (SELECT (ts_ms - lag(ts_ms) OVER (PARTITION BY asset_id ORDER BY seq)) / 1000.0::DOUBLE / 10000 AS s FROM e WHERE kind = 'book')
+SELECT CASE WHEN s < 0.05 THEN '0~0.05' WHEN s < 0.1 THEN '0.05~0.1' WHEN s < 0.2 THEN '0.1~0.2' WHEN s < 0.5 THEN '0.2~0.5' WHEN s < 1 THEN '0.5~1' WHEN s < 2 THEN '1~2'
+  WHEN s < 5 THEN '2~5' WHEN s < 10 THEN '5~10' WHEN s < 60 THEN '10~60' ELSE '60~inf' END AS bucket, count(*) AS n FROM g WHERE s >= 0 GROUP BY 1""")
+def interval_hist(spark, d):
+    f = frames(spark, d).where("kind = 'book'").withColumn("ts_ms", F.col("ts_ms") / 10_000)
+    return depth.intervals(f, ["asset_id"])
+
+
+@query("""SELECT o_custkey, count(*) AS n FROM (SELECT o_custkey, epoch_ms(o_orderdate) AS t, lag(epoch_ms(o_orderdate)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders)
+WHERE t < p GROUP BY o_custkey""")
+def time_regressions(spark, d):
+    o = read(spark, d, "orders").select("o_custkey", F.col("o_orderkey").alias("seq"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"))
+    return depth.regressions(o, ["o_custkey"]).groupBy("o_custkey").agg(F.count("*").alias("n"))
+
+
+# ---- coverage
+
+OFFSETS = f"""{EV}, k AS (SELECT pair % 7 AS line, * FROM e),
+m AS (SELECT line, bar_ts, market, count(*) FILTER (kind = 'book') AS book_rows, min(ts_ms) FILTER (kind = 'book') AS lo, max(ts_ms) FILTER (kind = 'book') AS hi, min(seq) AS s,
+  count(*) OVER (PARTITION BY line, bar_ts) AS markets_seen FROM k GROUP BY line, bar_ts, market),
+o AS (SELECT line, bar_ts, market, book_rows, markets_seen, lo / 1000.0::DOUBLE - bar_ts AS first, hi / 1000.0::DOUBLE - bar_ts AS last FROM m WHERE book_rows > 0
+  QUALIFY row_number() OVER (PARTITION BY line, bar_ts ORDER BY book_rows DESC, s) = 1)"""
+
+
+def _offsets(spark, d):
+    return coverage.bar_offsets(frames(spark, d).withColumn("line", F.col("pair") % 7), ["line", "bar_ts"])
+
+
+@query(f"WITH {OFFSETS} SELECT line, bar_ts, market, book_rows, markets_seen, {rounded('first', 'last')} FROM o")
+def bar_coverage(spark, d):
+    return _offsets(spark, d).select("line", "bar_ts", "market", "book_rows", "markets_seen", *r6("first", "last"))
+
+
+NEAREST = "list_sort(list({c}))[CAST(round_even({q} * (count(*) - 1), 0) AS INTEGER) + 1]"
+COVER = f"""count(*) AS bars, round({NEAREST.format(c='first', q=0.5)}, 6) AS first_p50, round({NEAREST.format(c='first', q=0.9)}, 6) AS first_p90, round({NEAREST.format(c='last', q=0.5)}, 6) AS last_p50,
+  round({NEAREST.format(c='last - first', q=0.5)}, 6) AS cover_p50, {NEAREST.format(c='book_rows', q=0.5)} AS rows_p50, round(avg(CASE WHEN first <= 20000 THEN 100.0::DOUBLE ELSE 0 END), 6) AS ok_pct,
+  count(*) FILTER (first > 90000) AS late, round(max(first), 6) AS latest"""
+
+
+@query(f"WITH {OFFSETS} SELECT line, {COVER} FROM o GROUP BY line")
+def coverage_pct_nearest_rank(spark, d):
+    r = coverage.report(_offsets(spark, d), ["line"], by_hour=False, ok_s=20_000, late_s=90_000)
+    return r.select("line", "bars", *r6("first_p50", "first_p90", "last_p50", "cover_p50"), "rows_p50", *r6("ok_pct"), "late", *r6("latest"))
+
+
+@query(f"WITH {OFFSETS}, h AS (SELECT *, CAST(bar_ts // 3600 % 24 AS INTEGER) AS hour FROM o) SELECT line, hour, {COVER} FROM h GROUP BY GROUPING SETS ((line, hour), (line))")
+def coverage_grouping_sets(spark, d):
+    r = coverage.report(_offsets(spark, d), ["line"], ok_s=20_000, late_s=90_000)
+    return r.select("line", "hour", "bars", *r6("first_p50", "first_p90", "last_p50", "cover_p50"), "rows_p50", *r6("ok_pct"), "late", *r6("latest"))
+
+
+# ---- outcome
+
+SNAP = f"""{EV}, {TOKENS}, snap AS (SELECT market, pair, bar_ts, asset_id, arg_max(struct_pack(mid := mid, spread := spread, ask := best_ask), (ts_ms, seq)) AS x FROM e
+  WHERE kind = 'book' AND mid IS NOT NULL AND spread IS NOT NULL AND ts_ms <= (bar_ts + {OFFSET_S}) * 1000 GROUP BY ALL),
+lead AS (SELECT market, bar_ts, arg_min(struct_pack(a := asset_id, x := x), (-x.mid, asset_id)) AS l, count(*) AS n_sides FROM snap GROUP BY market, bar_ts),
+ld AS (SELECT market, bar_ts, l.a AS lead, l.x.mid AS lead_mid, l.x.spread AS spread, l.x.ask AS ask, n_sides FROM lead WHERE n_sides = 2 OR l.x.mid > 0.5),
+w AS (SELECT ld.*, CASE WHEN winner = CAST(lead AS VARCHAR) THEN true WHEN lower(winner) IN ('up', '1') THEN CAST(lead AS VARCHAR) = up_token ELSE CAST(lead AS VARCHAR) = down_token END AS won
+  FROM ld JOIN tok ON ld.market = tok.market WHERE winner IS NOT NULL),
+r AS (SELECT *, CASE WHEN won THEN (1 - ask) / ask ELSE -1.0::DOUBLE END AS roi, CASE WHEN won THEN (1 - ask) / ask ELSE -1.0::DOUBLE END - 0.07::DOUBLE * (1 - ask) / ask AS fee_roi FROM w)"""
+
+
+def _snap(spark, d):
+    return outcome.snapshot(frames(spark, d).where("kind = 'book'"), ["market", "bar_ts"], OFFSET_S, ["ts_ms", "seq"])
+
+
+def _returns(spark, d):
+    lead = outcome.leaders(_snap(spark, d), ["market", "bar_ts"]).withColumn("lead", F.col("lead").cast("string"))
+    return outcome.returns(lead, tokens(frames(spark, d)))
+
+
+@query(f"WITH {SNAP} SELECT market, asset_id, {rounded('x.mid', 'x.spread').replace('AS x.', 'AS ')}, round(x.ask, 6) AS best_ask FROM snap")
+def asof_snapshot(spark, d):
+    return _snap(spark, d).select("market", "asset_id", *r6("mid", "spread", "best_ask"))
+
+
+@query(f"WITH {SNAP} SELECT market, lead, {rounded('lead_mid', 'spread', 'ask')}, n_sides FROM ld")
+def leader_pick(spark, d):
+    return outcome.leaders(_snap(spark, d), ["market", "bar_ts"]).select("market", "lead", *r6("lead_mid", "spread", "ask"), "n_sides")
+
+
+STATS = "count(spread) AS n, round(avg(CASE WHEN won THEN 100.0::DOUBLE ELSE 0 END), 6) AS win_pct, round(avg(ask), 6) AS ask, round(avg(roi), 6) AS roi, round(avg(fee_roi), 6) AS fee_roi"
+
+
+@query(f"""WITH {SNAP}, b AS (SELECT * FROM (VALUES {', '.join(f'({a}::DOUBLE, {b}::DOUBLE)' for a, b in outcome.BUCKETS)}) t(lo, hi)),
+s AS (SELECT lo, {STATS} FROM r JOIN b ON spread >= lo AND spread < hi GROUP BY lo)
+SELECT b.lo, b.hi, coalesce(n, 0) AS n, win_pct, ask, roi, fee_roi FROM b LEFT JOIN s ON b.lo = s.lo""")
+def roi_by_bucket(spark, d):
+    return outcome.by_bucket(_returns(spark, d)).select("lo", "hi", "n", *r6("win_pct", "ask", "roi", "fee_roi"))
+
+
+@query(f"WITH {SNAP} SELECT t, {STATS} FROM r JOIN (SELECT unnest({list(outcome.THRESHOLDS)}::DOUBLE[]) AS t) ON spread <= t GROUP BY t")
+def roi_cumulative(spark, d):
+    return outcome.cumulative(_returns(spark, d)).select("t", "n", *r6("win_pct", "ask", "roi", "fee_roi"))
+
+
+@query(f"WITH {SNAP} SELECT bar_ts, count(*) AS n, count(*) FILTER (won) AS wins, round(sum(roi), 6) AS roi_sum, round(sum(fee_roi), 6) AS fee_sum, round(sum(roi) / count(*), 6) AS roi FROM r GROUP BY ROLLUP (bar_ts)")
+def roi_pooled_rollup(spark, d):
+    return outcome.pooled(_returns(spark, d), ["bar_ts"]).select("bar_ts", "n", "wins", *r6("roi_sum", "fee_sum", "roi"))
+
+
+# ---- settlement: the last 40 % of a bar stands for its closing window
+
+SETTLE = f"""{EV}, {TOKENS}, mk AS (SELECT e.market, up_token, down_token, winner, CASE WHEN pair % 11 = 0 THEN NULL ELSE min(bar_ts) + {BAR_S} END AS end_s FROM e JOIN tok ON e.market = tok.market
+    WHERE winner IS NOT NULL GROUP BY e.market, pair, up_token, down_token, winner),
+j AS (SELECT e.*, up_token, down_token, CASE WHEN winner = up_token THEN 'UP' ELSE 'DOWN' END AS winner, end_s,
+    CAST((ts_ms - bar_ts * 1000) // 2500 AS BIGINT) + (bar_ts + {BAR_S}) * 1000 - {BAR_S * 1000 // 2500} AS t FROM e JOIN mk ON e.market = mk.market WHERE kind = 'book'),
+i AS (SELECT *, best_bid IS NOT NULL AND t BETWEEN end_s * 1000 - 60000 AND end_s * 1000 - 2000 AS inside FROM j),
+g AS (SELECT market, winner, end_s, arg_max(best_bid, (t, seq)) FILTER (inside AND CAST(asset_id AS VARCHAR) = up_token) AS up,
+    arg_max(best_bid, (t, seq)) FILTER (inside AND CAST(asset_id AS VARCHAR) = down_token) AS dn, max(t) AS seen FROM i GROUP BY ALL),
+p AS (SELECT market, winner, coalesce(up, -1) AS bid_up, coalesce(dn, -1) AS bid_dn, CASE WHEN coalesce(up, -1) > coalesce(dn, -1) THEN 'UP' ELSE 'DOWN' END AS pred,
+    CASE WHEN end_s IS NULL THEN 'no_window' WHEN seen < end_s * 1000 - 20000 THEN 'no_cover' WHEN up IS NULL AND dn IS NULL THEN 'no_bid' END AS reason FROM g)"""
+
+
+def _predicted(spark, d):
+    f = frames(spark, d)
+    t = F.floor((F.col("ts_ms") - F.col("bar_ts") * 1000) / 2500) + (F.col("bar_ts") + BAR_S) * 1000 - BAR_S * 1000 // 2500
+    q = f.where("kind = 'book'").select("market", F.col("asset_id").cast("string").alias("asset_id"), "best_bid", t.alias("ts_ms"), "seq")
+    m = tokens(f).where("winner IS NOT NULL").withColumn("winner", F.when(F.col("winner") == F.col("up_token"), "UP").otherwise("DOWN"))
+    pair = F.expr("CAST(down_token AS BIGINT) div 2")
+    start = F.when(pair % 11 != 0, F.split("market", "-")[1].cast("long") * 1000)
+    return settle.predict(q, m.withColumn("start_ms", start).withColumn("cycle_ms", F.lit(BAR_S * 1000)), ["ts_ms", "seq"])
+
+
+@query(f"WITH {SETTLE} SELECT market, winner, {rounded('bid_up', 'bid_dn')}, pred, reason FROM p")
+def settle_predictions(spark, d):
+    return _predicted(spark, d).select("market", "winner", *r6("bid_up", "bid_dn"), "pred", "reason")
+
+
+@query(f"""WITH {SETTLE} SELECT winner, count(*) AS n, count(*) FILTER (pred = winner) AS agree, round(median(bid_up), 6) AS up_median, round(median(bid_dn), 6) AS dn_median,
+  round(count(*) FILTER (pred = winner) / count(*), 6) AS rate FROM p WHERE reason IS NULL GROUP BY ROLLUP (winner)""")
+def settle_agreement(spark, d):
+    return settle.agreement(_predicted(spark, d)).select("winner", "n", "agree", *r6("up_median", "dn_median", "rate"))
+
+
+@query(f"WITH {SETTLE} SELECT coalesce(reason, 'used') AS reason, count(*) AS n FROM p GROUP BY 1")
+def settle_skip_reasons(spark, d):
+    return settle.reasons(_predicted(spark, d))
+
+
+@query(f"WITH {SETTLE} SELECT market, winner, {rounded('bid_up', 'bid_dn')}, pred FROM p WHERE reason IS NULL AND pred <> winner ORDER BY market LIMIT 10")
+def settle_mismatches(spark, d):
+    return settle.mismatches(_predicted(spark, d)).select("market", "winner", *r6("bid_up", "bid_dn"), "pred")
+
+
+@query("SELECT event_type, round(median(value), 6) AS median FROM events GROUP BY event_type")
+def median_interp(spark, d):
+    return read(spark, d, "events").groupBy("event_type").agg(F.round(F.median("value"), 6).alias("median"))
+
+
+# ---- inventories: orders as files, perturbed
+
+FILES = """a AS (SELECT '2026-09-' || lpad(CAST(o_orderkey % 28 + 1 AS VARCHAR), 2, '0') || '/' || CAST(o_orderkey AS VARCHAR) AS path, CAST(floor(o_totalprice) AS BIGINT) AS bytes, o_orderkey AS k FROM orders),
+b AS (SELECT path, CASE WHEN k % 7 = 0 THEN bytes + 1 ELSE bytes END AS bytes FROM a WHERE k % 5 <> 0 UNION ALL SELECT path || 'x', bytes FROM a WHERE k % 11 = 0),
+f AS (SELECT coalesce(a.path, b.path) AS path, a.bytes AS a_bytes, b.bytes AS b_bytes, a.path IS NOT NULL AS in_a, b.path IS NOT NULL AS in_b FROM a FULL JOIN b ON a.path = b.path)"""
+
+
+def _files(spark, d):
+    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").alias("bytes"))
+    a = o.withColumn("path", F.concat(F.lit("2026-09-"), F.lpad((F.col("k") % 28 + 1).cast("string"), 2, "0"), F.lit("/"), F.col("k").cast("string")))
+    b = a.where("k % 5 <> 0").select("path", F.when(F.col("k") % 7 == 0, F.col("bytes") + 1).otherwise(F.col("bytes")).alias("bytes"))
+    return a, b.union(a.where("k % 11 = 0").select(F.concat("path", F.lit("x")), "bytes"))
+
+
+@query(f"""WITH {FILES} SELECT path, CASE WHEN NOT in_b THEN 'missing' WHEN NOT in_a THEN 'extra' ELSE 'mismatch' END AS state, a_bytes AS remote, b_bytes AS local FROM f
+WHERE NOT in_a OR NOT in_b OR a_bytes IS DISTINCT FROM b_bytes""")
+def inventory_diff(spark, d):
+    return inventory.diff(*_files(spark, d))
+
+
+@query(f"""WITH {FILES}, s AS (SELECT CASE WHEN NOT in_b THEN 'missing' WHEN NOT in_a THEN 'extra' ELSE 'mismatch' END AS state, a_bytes AS bytes FROM f
+WHERE (NOT in_a OR NOT in_b OR a_bytes IS DISTINCT FROM b_bytes) AND substr(path, 1, 10) >= '2026-09-13') SELECT state, count(*) AS n, CAST(coalesce(sum(bytes), 0) AS BIGINT) AS bytes FROM s GROUP BY state""")
+def inventory_window_totals(spark, d):
+    a, b = (inventory.within_days(x, 2, 1_789_430_400.0) for x in _files(spark, d))
+    return inventory.totals(inventory.diff(a, b), bytes_="remote")
+
+
+@query(f"WITH {FILES} SELECT path, b_bytes AS bytes, CASE WHEN NOT in_b THEN 'gone' WHEN NOT in_a THEN 'added' WHEN a_bytes IS DISTINCT FROM b_bytes THEN 'changed' END AS change FROM f")
+def inventory_reconcile(spark, d):
+    return inventory.reconcile(*_files(spark, d))
+
+
+@query(f"""WITH {FILES}, n AS (SELECT path, CASE WHEN k % 3 = 0 THEN bytes * 2 ELSE bytes END AS bytes FROM a WHERE k % 13 <> 0)
+SELECT f.path, CASE WHEN a.bytes IS NOT DISTINCT FROM n.bytes THEN 'real' ELSE 'growing' END AS state FROM f LEFT JOIN a ON f.path = a.path LEFT JOIN n ON f.path = n.path WHERE in_a AND (NOT in_b OR a_bytes IS DISTINCT FROM b_bytes)""")
+def growing_vs_real(spark, d):
+    a, b = _files(spark, d)
+    short = inventory.diff(a, b).where("state <> 'extra'").select("path")
+    now = a.where("k % 13 <> 0").select("path", F.when(F.col("k") % 3 == 0, F.col("bytes") * 2).otherwise(F.col("bytes")).alias("bytes"))
+    return inventory.residual(short, a, now).select("path", "state")
+
+
+@query("""WITH r AS (SELECT 'l2_2026-09-' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '_' || CAST(p_partkey AS VARCHAR) AS name, sha256(p_name) AS sha, p_partkey AS k,
+  '2026-09-' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') AS day FROM part)
+SELECT name, day, CASE WHEN k % 4 = 0 THEN 'missing' WHEN k % 6 = 1 THEN 'redo' ELSE 'uptodate' END AS plan FROM r WHERE day <> '2026-09-20' AND day >= '2026-09-05'""")
+def package_plan(spark, d):
+    k = F.col("p_partkey")
+    r = read(spark, d, "part").select(k, F.concat(F.lit("l2_2026-09-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"), F.lit("_"), k.cast("string")).alias("name"), F.sha2("p_name", 256).alias("sha256"))
+    have = r.where("p_partkey % 4 <> 0").select("name", F.when(k % 6 == 1, F.lit("old")).otherwise(F.col("sha256")).alias("sha256"))
+    return inventory.package_plan(r, have, "2026-09-20", 10, 1_789_430_400.0)
+
+
+# ---- duplicates, digests, sets
+
+
+@query("""SELECT 'lineitem' AS what, count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS "distinct", count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicates FROM lineitem
+UNION ALL SELECT 'documents', count(*), count(DISTINCT coalesce(text, '~null')), count(*) - count(DISTINCT coalesce(text, '~null')) FROM documents""")
+def dup_audit(spark, d):
+    li = read(spark, d, "lineitem").select(F.lit("lineitem").alias("what"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"))
+    docs = read(spark, d, "documents").select(F.lit("documents").alias("what"), F.sha2("text", 256).alias("key"))
+    return duplicates.audit(li.union(docs), F.col("key"), ["what"])
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def dup_keys(spark, d):
+    return duplicates.repeated(read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT doc_id, sha256(text) AS sha FROM documents")
+def content_sha(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS name, sha256(text) AS want, sha256(text || 'x') AS got FROM documents WHERE doc_id % 9 = 0 AND text IS NOT NULL")
+def sha_verify(spark, d):
+    docs = read(spark, d, "documents").where("text IS NOT NULL").withColumn("name", F.col("doc_id").cast("string"))
+    got = docs.select("name", F.sha2(F.when(F.col("doc_id") % 9 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")), 256).alias("sha256"))
+    return inventory.verify_sha(docs.select("name", F.sha2("text", 256).alias("sha256")), got)
+
+
+SETS = "a AS (SELECT DISTINCT user_id, props FROM events WHERE event_id % 3 <> 0), b AS (SELECT DISTINCT user_id, props FROM events WHERE event_id % 3 <> 1)"
+
+
+@query(f"""WITH {SETS}, x AS (SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM (SELECT * FROM a INTERSECT SELECT * FROM b)) AS shared,
+  (SELECT count(*) FROM (SELECT * FROM a UNION SELECT * FROM b)) AS either) SELECT n_a, n_b, shared, either, n_a - shared AS only_a, n_b - shared AS only_b, round(n_a / either, 6) AS share_a, round(n_b / either, 6) AS share_b FROM x""")
+def set_coverage(spark, d):
+    a, b = (read(spark, d, "events").where(f"event_id % 3 <> {i}").select("user_id", "props") for i in (0, 1))
+    return duplicates.coverage(a, b).select("n_a", "n_b", "shared", "either", "only_a", "only_b", *r6("share_a", "share_b"))
+
+
+@query(f"WITH {SETS} SELECT 'union' AS op, * FROM (SELECT * FROM a UNION SELECT * FROM b) UNION ALL SELECT 'both', * FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'a_b', * FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'b_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
+def set_algebra(spark, d):
+    a, b = (read(spark, d, "events").where(f"event_id % 3 <> {i}").select("user_id", "props") for i in (0, 1))
+    named = lambda x, op: x.select(F.lit(op).alias("op"), "user_id", "props")
+    return named(a.union(b).distinct(), "union").union(named(a.intersect(b), "both")).union(named(a.subtract(b), "a_b")).union(named(b.subtract(a), "b_a"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT event_id, user_id, event_type, (epoch_us(ts) // 1000) / 1000.0::DOUBLE AS t FROM events),
+k AS (SELECT event_id, user_id, event_type, t FROM e QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY t, event_id) = 1
+  UNION ALL SELECT n.event_id, n.user_id, n.event_type, n.t FROM k JOIN LATERAL (SELECT e.* FROM e WHERE e.user_id = k.user_id AND e.event_type = k.event_type AND e.t - k.t >= 86400 ORDER BY e.t, e.event_id LIMIT 1) n ON true)
+SELECT event_id, user_id, event_type FROM k""")
+def dedup_window(spark, d):
+    e = read(spark, d, "events").select("event_id", "user_id", "event_type", (F.unix_millis(F.col("ts").cast("timestamp")) / 1000).alias("t"))
+    return duplicates.dedup_window(e, ["user_id", "event_type"], "t", "event_id", 86_400.0).select("event_id", "user_id", "event_type")
+
+
+GAPS = "WITH g AS (SELECT user_id, (epoch_us(ts) // 1000) / 1000.0::DOUBLE AS t, lag((epoch_us(ts) // 1000) / 1000.0::DOUBLE) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events)"
+
+
+@query(f"{GAPS} SELECT user_id, p + 86400 AS from_ts, t AS to_ts, round(t - p - 86400, 3) AS lost FROM g WHERE t - p >= 86400")
+def gap_islands(spark, d):
+    e = read(spark, d, "events").select("user_id", (F.unix_millis(F.col("ts").cast("timestamp")) / 1000).alias("t"))
+    return duplicates.gaps(e, ["user_id"], "t", 86_400.0).select("user_id", "from_ts", "to_ts", F.round("lost", 3).alias("lost"))
+
+
+@query(f"{GAPS}, i AS (SELECT *, sum(CASE WHEN p IS NULL OR t - p >= 86400 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM g) SELECT user_id, min(t) AS start, max(t) AS stop, count(*) AS n FROM i GROUP BY user_id, run")
+def activity_islands(spark, d):
+    e = read(spark, d, "events").select("user_id", (F.unix_millis(F.col("ts").cast("timestamp")) / 1000).alias("t"))
+    return duplicates.islands(e, ["user_id"], "t", 86_400.0)
+
+
+# ---- text, JSON, files, streams
+
+
+@query(r"""SELECT page_id, regexp_extract(url, '^(https?)://', 1) AS scheme, regexp_extract(url, '://([^/?#]+)', 1) AS host, TRY_CAST(regexp_extract(url, '/(\d+)', 1) AS BIGINT) AS number FROM pages""")
+def regex_timeline(spark, d):
+    u = F.col("url")
+    return read(spark, d, "pages").select("page_id", F.regexp_extract(u, "^(https?)://", 1).alias("scheme"), F.regexp_extract(u, "://([^/?#]+)", 1).alias("host"), F.regexp_extract(u, r"/(\d+)", 1).try_cast("bigint").alias("number"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_extract(spark, d):
+    return read(spark, d, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+
+
+@query(f"WITH {EV} SELECT market, asset_id, ts_ms, value FROM e WHERE kind = 'book' AND side = 1 AND bar_ts >= 1705000000")
+def partition_prune_roundtrip(spark, d):
+    out = _shared(spark, "roundtrip")
+    f = frames(spark, d).where("kind = 'book'").select("market", "asset_id", "ts_ms", "value", "bar_ts", "side", "seq")
+    f.repartition("bar_ts", "side").sortWithinPartitions("bar_ts", "side", "asset_id", "ts_ms", "seq").write.mode("overwrite").option("compression", "zstd").partitionBy("bar_ts", "side").parquet(out)
+    return spark.read.parquet(out).where("side = 1 AND bar_ts >= 1705000000").select("market", "asset_id", "ts_ms", "value")
+
+
+@query("SELECT (epoch_us(ts) // 86400000000) * 86400 AS bar_ts, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_bar_counts(spark, d):
+    from tapeworks.streaming import flow
+
+    schema = read(spark, d, "events").schema
+    src = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    return _drain(spark, flow.bar_counts(src, "ts", "1 day", ["event_type"]), "complete", "bar_counts")
+
+
+@query("SELECT o_custkey, count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders GROUP BY o_custkey")
+def running_extremes(spark, d):
+    o = read(spark, d, "orders")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    run = o.select("o_custkey", F.count("*").over(w).alias("n"), F.min("o_totalprice").over(w).alias("low"), F.max("o_totalprice").over(w).alias("high"))
+    return run.groupBy("o_custkey").agg(F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _shared(spark: SparkSession, tag: str) -> str:
+    """A new folder below the shared one; a temporary one only where none is set and the master is local."""
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='tapeworks-')}"
+    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def _drain(spark: SparkSession, stream: DataFrame, mode: str, tag: str) -> DataFrame:
+    """Runs a stream over what is there and returns its last result as a table."""
+    out = _shared(spark, tag)
+
+    def put(batch: DataFrame, i: int) -> None:
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{out}/rows")
+
+    q = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
