@@ -12,11 +12,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 class Dedup(StatefulProcessor):
     """Emits a key's row unless the key was emitted less than ``gap`` seconds before; drops do not renew that."""
 
-    def __init__(self, gap: float):
-        self.gap = gap
+    def __init__(self, gap: float, ttl: bool = True):
+        self.gap, self.ttl = gap, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "at double", ttlDurationMs=int(self.gap * 4000))
+        self.last = handle.getValueState("last", "at double", ttlDurationMs=int(self.gap * 4000)) if self.ttl else handle.getValueState("last", "at double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = self.last.get()[0] if self.last.exists() else None
@@ -35,9 +35,14 @@ class Dedup(StatefulProcessor):
         pass
 
 
-def dedup(frames: DataFrame, gap: float = 60.0) -> DataFrame:
-    """``frames``: arrival_ts double, conn, event_type, asset_id, hash, slug. Rows without a hash all pass."""
-    return frames.groupBy("event_type", "asset_id", "hash").transformWithStateInPandas(Dedup(gap), frames.schema, "Append", "ProcessingTime")
+def dedup(frames: DataFrame, gap: float = 60.0, *, live: bool = True) -> DataFrame:
+    """``frames``: arrival_ts double, conn, event_type, asset_id, hash, slug. Rows without a hash all pass.
+
+    A live stream drops a key's state after four gaps of wall-clock time. A replay has no use for wall-clock
+    time, and with it would never come to an end: ``live=False``.
+    """
+    mode = "ProcessingTime" if live else "None"
+    return frames.groupBy("event_type", "asset_id", "hash").transformWithStateInPandas(Dedup(gap, live), frames.schema, "Append", mode)
 
 
 class Silence(StatefulProcessor):
