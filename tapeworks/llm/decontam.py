@@ -38,6 +38,11 @@ def grams(ws: Column, k: int) -> Column:
     )
 
 
+def grams_of(k: int):
+    """A function of words; the lambda takes one argument only, as Spark would fill a second one with the position."""
+    return lambda ws: bound(ws, lambda w: grams(w, k))
+
+
 def winnowed(ws: Column, window: int = WINDOW, k: int = K) -> Column:
     """The distinct least hashes over all runs of ``window - k + 1`` hashes; none for fewer than ``window`` words."""
     span = window - k + 1
@@ -89,7 +94,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) ->
         mine = short.where(F.size("iw") == n).select(F.xxhash64("iw").alias("f"), "item", "iw")
         few = mine.count() <= BROADCAST_FINGERPRINTS
         mine = F.broadcast(mine) if few else mine
-        own_grams = d.select("doc_id", "th", F.posexplode(bound(words(F.col("text")), lambda w, n=n: grams(w, n))).alias("p", "f"))
+        own_grams = d.select("doc_id", "th", F.posexplode(grams_of(n)(words(F.col("text")))).alias("p", "f"))
         same = own_grams.join(mine, "f").select("doc_id", "th", "item", F.col("p").alias("lo"), (F.col("p") + n - 1).alias("hi"))
         found = found.union(same)
     return found
