@@ -21,6 +21,8 @@ files.
 from __future__ import annotations
 
 import hashlib
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ END_ID = 1
 #: Chunk lengths in ids: no cut before MIN_IDS, one at MAX_IDS at the latest, MEAN_IDS apart on average beyond the first.
 MIN_IDS, MEAN_IDS, MAX_IDS = 64, 512, 4096
 #: Words kept per worker with their ids; a full cache is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
 BLOCK_DOCS = 1024
 
 CHUNK = "struct<digest:binary,n:int,after:long>"
@@ -52,19 +54,33 @@ class WordEncoder(dict):
     """word bytes -> bytes of its ids.
 
     The vocabulary's pre-tokenizer never joins text across white space, so a text's ids are those of its
-    white-space-separated words in order, and words repeat.
+    white-space-separated words in order, and words repeat. It also parts letters from punctuation and
+    lowers case, so an ASCII word with punctuation behind it shares the entry of its bare lower-case form.
+    Apostrophes stay with their word, for contractions; so does all of a word that could hold a special token.
     """
 
+    BARE = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+    BEHIND = re.compile(rb"([^<|]*[^\x00-\x7f])([.,;:!?]+)")
+
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_file(path), f"<u{width}"
+        self.tokenizer, self.code = Tokenizer.from_file(path), {2: "H", 4: "I"}[width]
+        # letters whose lower case is one letter too: a mark left over would join the punctuation
+        self.letters = frozenset(c for c in map(chr, range(128, 0x2000)) if c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha())
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = self[word] = np.asarray(ids, self.kind).tobytes()
+        parts = self.BARE.fullmatch(word)
+        if parts and (parts[2] or parts[1] != parts[1].lower()):
+            out = self[parts[1].lower()] + (self[parts[2]] if parts[2] else b"")
+        elif (parts := self.BEHIND.fullmatch(word)) and parts[1].decode("utf-8", "replace")[-1] in self.letters:
+            out = self[parts[1]] + self[parts[2]]
+        else:
+            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            out = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        self[word] = out
         return out
 
     def encode(self, text: str | None) -> bytes:
