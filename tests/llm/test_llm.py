@@ -257,3 +257,11 @@ def test_language_model(spark, monkeypatch):
         assert r.held_out == (zlib.crc32(str(d).encode()) % 7 == 2) and r.n_tokens == len(ws) and r.n_known == sum(train[x] > 0 for x in ws) and r.train_tokens == n
         assert abs(r.base_score - sum(math.log10((train[x] + 1) / (n + v + 1)) for x in ws)) < 1e-6 and r.score < 0
     assert lm.score(df.limit(0)).count() == 0
+
+
+def test_lm_frequent_words_are_all_above_a_count(spark):
+    counts = spark.createDataFrame([(b"a", 1000), (b"b", 500), (b"c", 3), (b"d", 3), (b"e", 1)], "word binary, n long")
+    assert set(lm.frequent(counts, 2)) == {b"a", b"b"}
+    assert set(lm.frequent(counts, 3)) == {b"a", b"b"}  # equal counts go together
+    assert lm.frequent(counts, 9)[b"a"] == pytest.approx(math.log10(1001)) and len(lm.frequent(counts, 9)) == 5
+    assert lm.frequent(counts.where("false"), 9) == {} and lm.frequent(counts, 0) == {}
