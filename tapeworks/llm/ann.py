@@ -217,9 +217,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, seed: int =
     index = stage(distinct.mapInArrow(_hash_rows(hashing, dim), "v array<double>, ids array<long>, bucket long"), "ann_index")
     total = index.count()
     rate = min(1.0, 1.2 * SAMPLE_ROWS / max(total, 1))
-    sample = index.where((F.xxhash64("v", F.lit(seed)).cast("double") / 2.0**63 + 1) / 2 <= rate).select("v").limit(2 * SAMPLE_ROWS).collect()
-    sample = np.array([r.v for r in sample]).reshape(-1, dim)
-    probes = fit_probes(sample[np.lexsort(sample.T)] if len(sample) else sample, hashing, k)
+    sample = index.where((F.xxhash64("v", F.lit(seed)).cast("double") / 2.0**63 + 1) / 2 <= rate).select("v", F.xxhash64("v", F.lit(seed + 1)).alias("h")).limit(2 * SAMPLE_ROWS).collect()
+    sample = np.array([r.v for r in sorted(sample, key=lambda r: (r.h, r.v))]).reshape(-1, dim)  # by hash: its head is a sample of queries
+    probes = fit_probes(sample, hashing, k)
 
     # buckets to blocks: the directory has a row per occupied bucket, at most 4**HASHES or so, not per vector
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))

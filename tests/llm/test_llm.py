@@ -161,6 +161,24 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_with_a_dense_group_at_one_end(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((6000, 16))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    one = np.r_[np.full(15, 0.1), -1.0]
+    x[:2000] = one / np.sqrt(one @ one) + rng.standard_normal((2000, 16)) * 1e-4  # near copies, smallest last coordinates
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id >= 2000 AND vec_id % 20 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(2000, 6000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(np.argsort(-s)[:20].tolist()) & got.get(q, set()))
+    assert hit / (200 * 20) >= 0.9
+
+
 def test_urls(spark):
     cases = {
         "http://a.net/x": ("a.net", "/x", "net/", "block"), "https://B.Example.NET/en/1?x": ("b.example.net", "/en/1", "example.net/en/", "allow"), "http://net?q": ("net", "", None, "allow"),
