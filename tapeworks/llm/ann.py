@@ -8,7 +8,9 @@ are ranked by their exact inner product. Inner products become distances by one
 
 How many buckets to visit is fitted on a bounded, documented sample; every row is indexed. Buckets are
 dealt over a bounded number of blocks, so that a task holds one block and streams the queries that probe
-it: no candidate pair is ever a row, and each block returns at most ``k`` rows per query.
+it: no candidate pair is ever a row, and each block returns at most ``k`` rows per query. Queries that the
+probes leave short of ``k`` rows, or all where no number of probes reaches the recall asked for, are ranked
+against every block instead.
 """
 
 from __future__ import annotations
@@ -67,7 +69,7 @@ class Hashing:
 
 
 def fit_probes(sample: np.ndarray, hashing: Hashing, k: int, target: float = TARGET) -> int:
-    """The least number of probes (of those tried) that finds ``target`` of the true neighbours within the sample."""
+    """The least number of probes that finds ``target`` of the true neighbours within the sample; more than there are if none does."""
     every = len(hashing.moves)
     if len(sample) <= k + 1:
         return every
@@ -81,8 +83,7 @@ def fit_probes(sample: np.ndarray, hashing: Hashing, k: int, target: float = TAR
     for i in range(len(queries)):
         rank = {b: r for r, b in reversed(list(enumerate(probes[i].tolist())))}
         at[i] = [rank.get(b, every) for b in own[i].tolist()]
-    need = int(np.sort(at.ravel())[min(at.size - 1, math.ceil(target * at.size) - 1)]) + 1
-    return min(every, need)
+    return int(np.sort(at.ravel())[min(at.size - 1, math.ceil(target * at.size) - 1)]) + 1
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -137,7 +138,9 @@ def _rank(dim: int, k: int):
         lookup = {c: j for j, c in enumerate(buckets.tolist())}
         at = np.zeros((len(buckets), n), bool)
         for i, codes in enumerate(visits):
-            for c in codes:
+            if codes is None:
+                at[:, i] = True
+            for c in codes or ():
                 if c in lookup:
                     at[lookup[c], i] = True
         for j in range(len(buckets)):
@@ -242,9 +245,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, seed: int =
         F.get("blocks", F.pmod(F.xxhash64(least), F.size("blocks").cast("long")).cast("int")).alias("block"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("vec_id"),
         "ids", "v", F.array("bucket").alias("codes"),
     )
-    asked = clean(queries).where(F.size("v") == dim).dropDuplicates(["vec_id"])
-    routed = asked.mapInArrow(_route(hashing, dim, probes, block_of), "block int, kind int, vec_id long, ids array<long>, v array<double>, codes array<long>")
-    work = placed.union(routed).repartition(max(width, blocks), "block").sortWithinPartitions("block", "kind", "vec_id")
-    found = work.mapInArrow(_rank(dim, k), "query_id long, vec_id long, score double")
-    ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    asked = stage(clean(queries).where(F.size("v") == dim).dropDuplicates(["vec_id"]), "ann_queries")
+    routed_schema = "block int, kind int, vec_id long, ids array<long>, v array<double>, codes array<long>"
+
+    def ranked(routed: DataFrame) -> DataFrame:
+        work = placed.union(routed).repartition(max(width, blocks), "block").sortWithinPartitions("block", "kind", "vec_id")
+        found = work.mapInArrow(_rank(dim, k), "query_id long, vec_id long, score double")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def exact(some: DataFrame) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        return ranked(some.select(every.alias("block"), F.lit(1).alias("kind"), "vec_id", F.lit(None).cast("array<long>").alias("ids"), "v", F.lit(None).cast("array<long>").alias("codes")))
+
+    if probes > len(hashing.moves):  # no number of probes serves these vectors
+        return exact(asked)
+    first = stage(ranked(asked.mapInArrow(_route(hashing, dim, probes, block_of), routed_schema)), "ann_ranked")
+    candidates = index.agg(F.sum(F.size("ids"))).first()[0]
+    full = first.groupBy("query_id").count().where(F.col("count") >= min(k, candidates))
+    short = stage(asked.join(full, asked.vec_id == full.query_id, "left_anti"), "ann_short")
+    if short.limit(1).count() == 0:
+        return first
+    return first.join(short, first.query_id == short.vec_id, "left_anti").union(exact(short))

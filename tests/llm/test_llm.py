@@ -179,6 +179,26 @@ def test_nearest_with_a_dense_group_at_one_end(spark):
     assert hit / (200 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("probes", [1, 730])
+def test_nearest_serves_queries_that_probes_leave_short(spark, monkeypatch, probes):
+    monkeypatch.setattr(ann, "fit_probes", lambda *a, **b: probes)  # 730: no number of probes does
+    x = np.random.default_rng(6).standard_normal((900, 16))
+    x[7] *= 100  # all other distances shrink
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 30 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == set(range(0, 900, 30)) and all(len(v) == 20 for v in got.values())
+    exact = 0
+    for q, v in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        exact += v == np.argsort(-s)[:20].tolist()
+    assert exact == len(got) if probes == 730 else exact > 0
+    few = df.where("vec_id < 5")
+    assert ann.nearest(few, few).count() == 20
+
+
 def test_urls(spark):
     cases = {
         "http://a.net/x": ("a.net", "/x", "net/", "block"), "https://B.Example.NET/en/1?x": ("b.example.net", "/en/1", "example.net/en/", "allow"), "http://net?q": ("net", "", None, "allow"),
