@@ -1,19 +1,25 @@
-"""SimHash near-duplicates with covering locality-sensitive hashing.
+"""SimHash near-duplicates with covering locality-sensitive hashing, and near-duplicates by set similarity.
 
-Fingerprints that differ in at most two of 64 bits are linked. Bit positions are dealt over the seven
-non-zero vectors of GF(2)^3; table v (also non-zero) keeps the positions whose vector has an odd inner
-product with v. Two differing positions span at most a plane, so some v is orthogonal to both and the
-pair agrees on all bits that table keeps: no link can be missed.
+Fingerprints that differ in at most ``radius`` of 64 bits are linked. For radius 2, bit positions are dealt
+over the seven non-zero vectors of GF(2)^3; table v (also non-zero) keeps the positions whose vector has an
+odd inner product with v. Two differing positions span at most a plane, so some v is orthogonal to both and
+the pair agrees on all bits that table keeps: no link can be missed.
 
 Only distinct fingerprints enter the tables. A bucket of up to ``SMALL`` of them is compared pair by
 pair. In a larger one every member names the 65 points within one bit of it; members that name the same
 point are within two bits of each other, and any two within two bits share one. So the work stays
 proportional to the members, and the components are the same.
+
+A Jaccard similarity of 0.8 leaves about 10 +- 3 of 64 SimHash bits different, and a covering radius of 17
+would take 2^18 - 1 tables. Links by similarity therefore take their candidates from MinHash bands, which
+miss a pair at the threshold once in ``1 / MISS``, and hold every candidate against the exact similarity.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +29,10 @@ from pyspark.sql import functions as F
 from tapeworks.llm.common import discard, stage
 
 RADIUS, SHINGLE, SMALL, SEED = 2, 3, 48, 42
+#: Bands at most, and the chance that a pair at the similarity asked for shares none.
+BANDS, MISS = 32, 1e-6
+#: Set ids that a task remembers.
+SEEN = 1_000_000
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -35,16 +45,23 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of one text; 0 without words."""
+def gram_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """A hash of each run of ``shingle`` words, of all words where there are fewer."""
     import xxhash
 
     words = text.encode("utf-8", "replace").lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     grams = zip(*(words[k:] for k in range(shingle)), strict=False) if len(words) >= shingle else [words]
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(g, SEED) for g in map(b" ".join, grams)], np.uint64)
+    return np.array([digest(g, SEED) for g in map(b" ".join, grams)], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of one text; 0 without words."""
+    h = gram_hashes(text, shingle)
+    if not len(h):
+        return 0
     ones = np.zeros(64, np.int64)
     for lo in range(0, len(h), 65_536):
         block = h[lo : lo + 65_536, None].view(np.uint8)  # little-endian bytes
@@ -52,14 +69,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        fps = [signed(fingerprint(t.as_py())) for t in b.column("text")]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fps, pa.int64())], names=["doc_id", "text_hash", "fp"])
+def _fingerprints(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = [signed(fingerprint(t.as_py(), shingle)) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fps, pa.int64())], names=["doc_id", "text_hash", "fp"])
+
+    return run
+
+
+def _points(radius: int) -> list[int]:
+    """What to XOR with for every point within ``radius`` bits."""
+    return [sum(1 << i for i in at) for n in range(radius + 1) for at in combinations(range(64), n)]
 
 
 def link_fingerprints(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (u, v), u < v, between distinct fingerprints (column fp) that give the same components as all links."""
+    if not 0 <= radius <= 4:
+        raise ValueError("covering tables and points are for radius 0 to 4")
     masks = covering_masks(radius)
     table = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for i, m in enumerate(masks)]))
     hashed = nodes.select("fp", table.alias("x")).select("fp", "x.t", "x.key")
@@ -70,11 +97,12 @@ def link_fingerprints(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     pairs = F.flatten(F.transform("m", lambda a: F.transform(F.filter("m", lambda b: (a < b) & near(a, b)), lambda b: F.struct(a.alias("u"), b.alias("v")))))
     small = met.where(F.col("n") <= SMALL).groupBy("t", "key").agg(F.collect_list("fp").alias("m")).select(F.explode(pairs).alias("e")).select("e.u", "e.v")
 
-    points = F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(signed(1 << i))) for i in range(64)]))
-    around = met.where(F.col("n") > SMALL).select("fp").distinct().select("fp", points.alias("point")).groupBy("point").agg(F.collect_list("fp").alias("m")).where(F.size("m") > 1)
-    large = around.select(F.array_min("m").alias("u"), F.explode("m").alias("v")).where("u < v")
-    if radius != 2:
-        raise ValueError("the points of large buckets are those of radius 2")
+    # any two within the radius share a point that is within half of it, rounded down, of one and rounded up of the other
+    inner, outer = len(_points(radius // 2)), _points(-(-radius // 2))
+    points = F.explode(F.array(*[F.struct(F.col("fp").bitwiseXOR(F.lit(signed(x))).alias("point"), F.lit(i < inner).alias("inner")) for i, x in enumerate(outer)]))
+    around = met.where(F.col("n") > SMALL).select("fp").distinct().select("fp", points.alias("p")).groupBy("p.point").agg(F.collect_list("fp").alias("m"), F.min(F.when(F.col("p.inner"), F.col("fp"))).alias("u")).where(F.size("m") > 1)
+    star = around.where("u IS NOT NULL").select("u", F.explode("m").alias("v")).where("u <> v")
+    large = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return small.union(large).distinct()
 
 
@@ -106,16 +134,114 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label"))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, fp, label of every row; label names the component by its smallest fingerprint."""
+def banding(similarity: float) -> tuple[int, int]:
+    """Bands, and values in a band: the most selective of at most ``BANDS`` bands that miss no more than ``MISS``."""
+    if not 0 < similarity <= 1:
+        raise ValueError("the similarity is above 0 and at most 1")
+    for rows in range(16, 0, -1):
+        hit = similarity**rows
+        bands = 1 if hit == 1 else math.ceil(math.log(MISS) / math.log1p(-hit))
+        if bands <= BANDS:
+            return bands, rows
+    raise ValueError(f"a similarity of {similarity} takes more than {BANDS} bands")
+
+
+def band_keys(grams: np.ndarray, bands: int, rows: int) -> list[int]:
+    """A key for each band of MinHash values of a set of hashes; none for an empty set."""
+    import xxhash
+
+    if not len(grams):
+        return []
+    rng = np.random.default_rng(SEED)
+    by, plus = rng.integers(0, 1 << 64, (2, bands * rows, 1), np.uint64)
+    by |= np.uint64(1)
+    low = np.full(bands * rows, (1 << 64) - 1, np.uint64)
+    for lo in range(0, len(grams), 1024):
+        low = np.minimum(low, (grams[lo : lo + 1024] * by + plus).min(1))
+    return [signed(xxhash.xxh64_intdigest(v.tobytes(), i)) for i, v in enumerate(low.reshape(bands, rows))]
+
+
+def _sets(shingle: int, bands: int, rows: int):
+    """doc_id, text_hash and the id of the text's set of shingles; the set and its bands where the task meets it first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        seen: set[int] = set()
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                b = whole.slice(lo, 256)
+                ids, grams, keys = [], [], []
+                for t in b.column("text"):
+                    h = np.unique(gram_hashes(t.as_py(), shingle))
+                    ids.append(signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)))
+                    new = ids[-1] not in seen
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(ids[-1])
+                    grams.append(h.view(np.int64) if new else None)
+                    keys.append(band_keys(h, bands, rows) if new else None)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), b.column("text_hash"), pa.array(ids, pa.int64()), pa.array(grams, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "set_id", "grams", "keys"],
+                )
+
+    return run
+
+
+def link_sets(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, label) of the components of sets (set_id, grams, keys; repeated or null where met before) of at least ``similarity``.
+
+    Each bucket's members are held against its first one. Then only buckets whose members are still in
+    several components are compared, and only across those: a crowded bucket of copies costs its members.
+    """
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs.distinct(), "set_pairs")
+        needed = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
+        grams = stage(sets.where("grams IS NOT NULL").select("set_id", "grams").join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.first("grams").alias("grams")), "set_grams")
+        both = pairs.join(grams.select(F.col("set_id").alias("u"), F.col("grams").alias("a")), "u").join(grams.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), "v")
+        shared = F.size(F.array_intersect("a", "b"))
+        return both.where(shared >= similarity * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v")
+
+    once = sets.where("keys IS NOT NULL").select("set_id", F.size("grams").alias("n"), "keys").groupBy("set_id").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    hashed = once.select("set_id", "n", F.explode("keys").alias("key"))
+    size = hashed.groupBy("key").agg(F.count("*").alias("members"), F.min("set_id").alias("centre")).where("members > 1").select("key", "centre")
+    met = stage(hashed.join(size, "key"), "set_buckets")
+    edges = stage(similar(met.where("set_id <> centre").select(F.col("centre").alias("u"), F.col("set_id").alias("v"))), "set_links")
+
+    labels = components(edges)
+    placed = met.join(labels, met.set_id == labels.node, "left").select("key", "centre", "set_id", "n", F.coalesce("label", "set_id").alias("label"))
+    parts = placed.where("set_id <> centre").groupBy("key", "label").agg(F.collect_list(F.struct("set_id", "n")).alias("m"))
+    parts = stage(parts, "set_parts")
+    several = parts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    parts = parts.join(several, "key", "left_semi")
+    across = parts.join(parts.select("key", F.col("label").alias("other"), F.col("m").alias("w")), "key").where("label < other")
+    pairs = across.select(F.explode("m").alias("a"), "w").select("a", F.explode(F.filter("w", lambda x: F.least(x["n"], F.col("a.n")) >= similarity * F.greatest(x["n"], F.col("a.n")) - 1e-9)).alias("b"))
+    more = similar(pairs.select(F.least("a.set_id", "b.set_id").alias("u"), F.greatest("a.set_id", "b.set_id").alias("v")))
+    return components(edges.union(more))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    fps = stage(rows.mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long"), "fingerprints")
-    labels = components(link_fingerprints(fps.select("fp").distinct()))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+
+
+def grouped_by_similarity(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, text_hash, label of every row; label names the component by its smallest set of shingles."""
+    sets = stage(_rows(docs).mapInArrow(_sets(shingle, *banding(similarity)), "doc_id long, text_hash long, set_id long, grams array<long>, keys array<long>"), "shingle_sets")
+    labels = link_sets(sets, similarity)
+    return sets.join(labels, sets.set_id == labels.node, "left").select("doc_id", "text_hash", F.coalesce("label", "set_id").alias("label"))
+
+
+def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, text_hash, fp, label of every row; label names the component by its smallest fingerprint."""
+    fps = stage(_rows(docs).mapInArrow(_fingerprints(shingle), "doc_id long, text_hash long, fp long"), "fingerprints")
+    labels = components(link_fingerprints(fps.select("fp").distinct(), radius))
     return fps.join(labels, fps.fp == labels.node, "left").select("doc_id", "text_hash", "fp", F.coalesce("label", "fp").alias("label"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, fp (long), component_id.
 
     A null text has no words, fingerprint zero, and is linked like any other. component_id is the smallest
@@ -123,14 +249,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     a component has none other). Repeated rows come back as often as they came. Extra columns are ignored;
     an empty table gives an empty result.
     """
-    rows = stage(grouped(docs), "simhash_labels")
+    rows = stage(grouped(docs, shingle, radius), "simhash_labels")
     ids = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return rows.join(ids, "label").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that lead their component: the smallest doc_id, a null one last; one row of several alike."""
-    rows = stage(grouped(docs), "simhash_labels")
+def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, that lead their component: the smallest doc_id, a null one last; one row of several alike.
+
+    Linked are texts whose sets of ``shingle``-word runs have a Jaccard similarity of ``similarity`` or more, or,
+    where ``radius`` is given, those whose SimHash fingerprints differ in at most so many bits.
+    """
+    found = grouped_by_similarity(docs, shingle, similarity) if radius is None else grouped(docs, shingle, radius)
+    rows = stage(found.select("doc_id", "text_hash", "label"), "near_labels")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("k")
     keep = rows.groupBy("label").agg(first).select(F.col("k.doc_id").alias("d"), F.col("k.text_hash").alias("t"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

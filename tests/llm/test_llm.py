@@ -125,6 +125,42 @@ def test_simhash_components(spark, docs):
     assert neardup.near_duplicates(empty(spark)).count() == 0
 
 
+def test_one_of_each_by_similarity(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(40):  # a text and versions of it with one to eight words changed
+        base = [f"v{x}" for x in rng.integers(0, 5000, 150)]
+        for c in range(6):
+            words = list(base)
+            for at in rng.choice(150, 0 if c == 0 else int(rng.integers(1, 8)), replace=False):
+                words[at] = f"new{rng.integers(0, 10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(900, None), (901, ""), (902, "a b"), (903, "a  B"), (904, rows[0][1]), (904, rows[0][1])]
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(max(1, len(w) - 4))}
+    sets, label = [grams(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    want = sorted({rows[x][0] for x in label})
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in neardup.one_of_each(docs).collect()) == want
+    assert len(want) < neardup.one_of_each(docs, shingle=3, radius=2).count()
+    assert neardup.one_of_each(docs.limit(0)).count() == 0
+    nodes = [1 << 40 | int(x) for x in rng.choice(1 << 12, 300, replace=False)]
+    monkeypatch.setattr(neardup, "SMALL", 4)  # all by points
+    for radius in (0, 1, 3):
+        got = {r.node: r.label for r in neardup.components(neardup.link_fingerprints(spark.createDataFrame([(x,) for x in nodes], "fp long"), radius)).collect()}
+        near = {x: x for x in nodes}
+        for x in nodes:
+            for y in nodes:
+                if (x ^ y).bit_count() <= radius and near[x] != near[y]:
+                    a, b = sorted((near[x], near[y]))
+                    near = {k: a if v == b else v for k, v in near.items()}
+        assert {x: got.get(x, x) for x in nodes} == near
+
+
 def test_chat(spark):
     texts = ["", "</s>[INST] ok [/INST]", "back\\slash \\\\", "<|turn|>user<|said|>", "<|end|>\n", "a<\\|turn|>b", "é\n", None]
     rows = [(1, i, ("user", "assistant")[i % 2], t, "x") for i, t in enumerate(texts)] + [(2, 0, "assistant", "first", "x"), (2, 1, None, "odd", "x"), (None, 0, "user", "lost", "x")]
