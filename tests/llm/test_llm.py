@@ -339,3 +339,14 @@ def test_lm_frequent_words_are_all_above_a_count(spark):
     assert set(lm.frequent(counts, 3)) == {b"a", b"b"}  # equal counts go together
     assert lm.frequent(counts, 9)[b"a"] == pytest.approx(math.log10(1001)) and len(lm.frequent(counts, 9)) == 5
     assert lm.frequent(counts.where("false"), 9) == {} and lm.frequent(counts, 0) == {}
+
+
+def test_lm_mixes_all_known_words(spark, monkeypatch):
+    monkeypatch.setattr(lm, "STEPS", 5)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(["red", "green", "Blue", "é", "tiny,"], 40))) for i in range(60)] + [(501, "never seen words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = {r.doc_id: r for r in lm.score(df).collect()}
+    monkeypatch.setattr(lm, "frequent", lambda counts: {})  # every word is joined
+    got = {r.doc_id: r for r in lm.score(df).collect()}
+    assert all(got[d].n_known == w.n_known and abs(got[d].score - w.score) < 1e-5 and abs(got[d].base_score - w.base_score) < 1e-6 for d, w in want.items())
