@@ -350,3 +350,14 @@ def test_lm_mixes_all_known_words(spark, monkeypatch):
     monkeypatch.setattr(lm, "frequent", lambda counts: {})  # every word is joined
     got = {r.doc_id: r for r in lm.score(df).collect()}
     assert all(got[d].n_known == w.n_known and abs(got[d].score - w.score) < 1e-5 and abs(got[d].base_score - w.base_score) < 1e-6 for d, w in want.items())
+
+
+def test_lm_first_target_of_a_window_sees_17_ids():
+    assert lm.CONTEXT - lm.STRIDE + 1 == 17 and lm.DIM == 24 and lm.HIDDEN == 48
+    ids = np.arange(2, 2 + 3 * lm.STRIDE)
+    inputs, targets, _ = lm.windows_of([ids])
+    w = lm.init(np.random.default_rng(1), np.zeros(lm.CLASSES), np.zeros((lm.CLASSES, lm.MEMBERS)))
+    other = inputs.copy()
+    other[:, 0] = 1  # 16 ids before the first query position
+    a, b = (lm.log_probs(lm.folded(w), x, targets)[:, 0] for x in (inputs, other))
+    assert np.abs(a - b).max() > 0
