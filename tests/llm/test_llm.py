@@ -361,3 +361,19 @@ def test_lm_first_target_of_a_window_sees_17_ids():
     other[:, 0] = 1  # 16 ids before the first query position
     a, b = (lm.log_probs(lm.folded(w), x, targets)[:, 0] for x in (inputs, other))
     assert np.abs(a - b).max() > 0
+
+
+def test_lm_training_grows_with_the_corpus(spark):
+    rng = np.random.default_rng(5)
+    texts = [(i, " ".join(rng.choice(["red", "green", "blue", "tiny"], 300))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    w = lm.init(rng, np.zeros(lm.CLASSES), np.zeros((lm.CLASSES, lm.MEMBERS)))
+    slot_of = np.arange(1 << 16) % (lm.SLOTS - 2) + 2
+    few, n = lm.refine(docs.where("doc_id < 100"), lm.vocabulary_path(lm.VOCABULARY), slot_of, w)
+    more, m = lm.refine(docs, lm.vocabulary_path(lm.VOCABULARY), slot_of, w)
+    assert n > 50 and 3 * n < m < 5 * n and set(more) == set(w)
+    encode = lm.spaced(lm.vocabulary_path(lm.VOCABULARY))
+    ids = np.frombuffer(b"".join(map(encode.__getitem__, lm.words_of(texts[0][1]))), "<u2")
+    inputs, targets, _ = lm.windows_of([np.append(slot_of[ids], lm.END)])
+    loss = [lm.gradients(x, inputs, targets)[0] for x in (w, few, more)]
+    assert loss[2] < loss[1] < loss[0]
