@@ -57,7 +57,7 @@ class Template:
 
 CHAT = Template()
 FORMATTED = "conv_id long, formatted string, segments array<struct<start:int,stop:int,loss:boolean>>, valid boolean, broken_at int"
-READ = "conv_id long, n_turns long, roles array<string>, texts array<string>, loss array<string>, formatted_chars long"
+READ = "conv_id long, n_turns long, roles array<string>, texts array<string>, loss array<string>, formatted_chars long, valid boolean, broken_at int"
 
 
 def _format(template: Template):
@@ -125,7 +125,7 @@ def _read(template: Template):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for conv, text, segments in zip(b.column("conv_id").to_pylist(), b.column("formatted").to_pylist(), b.column("segments").to_pylist(), strict=True):
+            for conv, text, segments, valid, broken in zip(*(b.column(c).to_pylist() for c in ("conv_id", "formatted", "segments", "valid", "broken_at")), strict=True):
                 turns = [t.split(template.said) for t in text.split(template.turn)[1:]]
                 for t in turns:
                     if len(t) != 2 or not t[1].endswith(template.end):
@@ -133,9 +133,9 @@ def _read(template: Template):
                 roles = [template.unescape(t[0]) for t in turns]
                 texts = [template.unescape(t[1][: -len(template.end)]) for t in turns]
                 loss = [template.unescape(text[s["start"] : s["stop"]]) for s in segments if s["loss"]]
-                out.append((conv, len(turns), roles, texts, loss, len(text)))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.string()), pa.int64()]
-            names = ["conv_id", "n_turns", "roles", "texts", "loss", "formatted_chars"]
+                out.append((conv, len(turns), roles, texts, loss, len(text), valid, broken))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.string()), pa.int64(), pa.bool_(), pa.int32()]
+            names = ["conv_id", "n_turns", "roles", "texts", "loss", "formatted_chars", "valid", "broken_at"]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
@@ -143,8 +143,8 @@ def _read(template: Template):
 
 
 def read_chats(formatted: DataFrame, template: Template = CHAT) -> DataFrame:
-    """conv_id, n_turns, roles, texts, loss (texts under the mask), formatted_chars, parsed from ``format_chats`` output."""
-    return formatted.select("conv_id", "formatted", "segments").mapInArrow(_read(template), READ)
+    """conv_id, n_turns, roles, texts, loss (texts under the mask), formatted_chars, valid, broken_at, parsed from ``format_chats`` output."""
+    return formatted.select("conv_id", "formatted", "segments", "valid", "broken_at").mapInArrow(_read(template), READ)
 
 
 def digests(read: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def digests(read: DataFrame) -> DataFrame:
     loss = F.concat_ws("", "loss")
     sha = lambda c: F.sha2(c.cast("binary"), 256)
     return read.select(
-        "conv_id", "n_turns", sha(turns).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"), sha(loss).alias("loss_sha256"), "formatted_chars"
+        "conv_id", "n_turns", sha(turns).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"), sha(loss).alias("loss_sha256"), "formatted_chars", "valid", "broken_at"
     )
 
 

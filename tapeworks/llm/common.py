@@ -7,13 +7,16 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space of the word rule `[^\x20\x09-\x0D]+`; ``bytes.split()`` splits at the same six bytes.
 ASCII_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Parts over which copies of a row are numbered.
+NUMBERING = 256
+
 _roots: dict[str, str] = {}
 
 
@@ -83,3 +86,25 @@ def unit_hash(*cols: Column, seed: int) -> Column:
     said = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("~")) for c in cols])
     digits = F.conv(F.substring(F.md5(said.cast("binary")), 1, 13), 16, 10).cast("double")
     return (digits + 0.5) / F.lit(float(1 << 52))
+
+
+def numbered(rows: DataFrame, alike: list[str]) -> DataFrame:
+    """Adds ``copy``: 1, and where rows repeat in the columns ``alike``, numbers without gaps.
+
+    Rows that repeat are found by a count, and only they move: dealt over ``NUMBERING`` parts by the place they
+    come from, numbered in each, with the parts before them added up. No task holds all copies of a row.
+    """
+    repeats = stage(rows.groupBy(*alike).agg(F.count("*").alias("n")).where("n > 1").select(*[F.col(c).alias(f"r_{c}") for c in alike]), "repeats")
+    if not repeats.limit(1).count():
+        discard(repeats)
+        return rows.withColumn("copy", F.lit(1).cast("long"))
+    same = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in alike]
+    single = rows.join(repeats, same, "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    own = rows.join(repeats, same, "left_semi").withColumn("place", F.monotonically_increasing_id())
+    own = stage(own.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(NUMBERING))), "copies")
+    sums = own.groupBy(*alike, "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*alike).orderBy("part")) - F.col("n")
+    sums = sums.select(*[F.col(c).alias(f"s_{c}") for c in alike], F.col("part").alias("s_part"), before.alias("before"))
+    met = own.withColumn("within", F.row_number().over(Window.partitionBy(*alike, "part").orderBy("place")))
+    met = met.join(sums, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in alike] + [F.col("part") == F.col("s_part")])
+    return single.unionByName(met.withColumn("copy", F.col("before") + F.col("within")).select(*rows.columns, "copy"))

@@ -2,9 +2,11 @@
 
 Both sides' words give hashes of ``K`` consecutive words; of every ``WINDOW - K + 1`` consecutive hashes
 the least is kept as a fingerprint. A span of ``WINDOW`` words that a document shares with an item holds
-such a run of hashes, so both keep the same one. Fingerprints are joined, and each meeting is extended
-along its diagonal (document position minus item position): runs of at least ``WINDOW`` equal words are
-hits. Items of fewer words are one window each; their whole-item hashes are looked up directly.
+such a run of hashes, so both keep the same one: joined fingerprints name every document that can be hit.
+Items of fewer words are one window each, with the hash of all their words as fingerprint. In the documents
+that met an item, hits are extended to all words: each window is held, word for word, against the distinct
+windows of all items. So a word that repeats costs a row for each of its places in the document, not for
+each pair of places in document and item.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 from tapeworks.llm.common import ascii_lower, stage
 
 WINDOW, K = 13, 6
-#: Item fingerprints are broadcast up to this many (24 bytes each); beyond, the join shuffles.
-BROADCAST_FINGERPRINTS = 1_000_000
+#: Item fingerprints (24 bytes each) and windows (some 100 bytes each) are broadcast up to so many; beyond, the join shuffles.
+BROADCAST_FINGERPRINTS, BROADCAST_WINDOWS = 1_000_000, 200_000
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -56,48 +58,44 @@ def keyed(docs: DataFrame) -> DataFrame:
     return d.withColumn("th", F.xxhash64("text"))
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
-    """doc_id, th, item, lo, hi: spans (word positions, ends included) of ``docs`` that windows of items cover."""
+def windows(ws: Column, n: int) -> Column:
+    """(p, g): each run of n words, as its position from 0 and its words joined by spaces, which no word holds."""
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.struct((i - 1).alias("p"), F.array_join(F.slice(w, i, n), " ").alias("g")))
+    return F.when(F.size(ws) >= n, bound(ws, runs)).otherwise(F.array().cast("array<struct<p:int,g:string>>"))
+
+
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """Spans of ``docs`` that windows of items cover (doc_id, th, lo, hi; word positions, ends included), and (doc_id, th, item)."""
     it = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("iw")).where(F.size("iw") > 0)
     it = stage(it.where("item IS NOT NULL").distinct(), "bench_items")
     d = docs.select("doc_id", "th", "text")
+    lengths = sorted(r.n for r in it.where(F.size("iw") < window).select(F.size("iw").alias("n")).distinct().collect())  # window - 1 at most
 
-    long_items = it.where(F.size("iw") >= window)
-    own = long_items.select("item", "iw", F.explode(winnowed(F.col("iw"), window, k)).alias("f"))
-    own = own.select("item", "f", F.explode(F.filter(F.transform(grams(F.col("iw"), k), lambda x, q: F.when(x == F.col("f"), q)), lambda q: q.isNotNull())).alias("q"))
+    # fingerprints: winnowed ones, and whole items of fewer words
+    long_prints = it.where(F.size("iw") >= window).select(F.explode(winnowed(F.col("iw"), window, k)).alias("f"))
+    own = long_prints.union(it.where(F.size("iw") < window).select(F.xxhash64("iw"))).distinct()
     own = stage(own, "bench_fingerprints")
-    small = own.count() <= BROADCAST_FINGERPRINTS
-    hint = F.broadcast if small else (lambda x: x)
-    kept = d.select("doc_id", "th", F.explode(bound(words(F.col("text")), lambda w: winnowed(w, window, k))).alias("f"))
-    which = kept.join(hint(own.select("f").distinct()), "f", "left_semi").select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct()
+    hint = F.broadcast if own.count() <= BROADCAST_FINGERPRINTS else (lambda x: x)
+    prints = lambda w: F.concat(winnowed(w, window, k), *[F.array_distinct(grams(w, m)) for m in lengths])
+    kept = d.select("doc_id", "th", F.explode(bound(words(F.col("text")), prints)).alias("f"))
+    which = kept.join(hint(own), "f", "left_semi").select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct()
     which = stage(which, "met_documents")
     same_doc = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t"))
     texts = d.join(which, same_doc, "left_semi").dropDuplicates(["doc_id", "th"])
-    texts = stage(texts.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), words(F.col("text")).alias("dw")), "met_words")
-    met = texts.select("d", "t", F.posexplode(grams(F.col("dw"), k)).alias("p", "f")).join(hint(own), "f")
-    diagonals = met.select(F.col("d").alias("doc_id"), F.col("t").alias("th"), "item", (F.col("p") - F.col("q")).alias("diag")).distinct()
-
-    both = diagonals.join(texts, same_doc).join(hint(long_items), "item")
-    # the diagonal's positions within the document: equal words as 1, others as 0
-    lo, hi = F.greatest(F.col("diag"), F.lit(0)), F.least(F.col("diag") + F.size("iw"), F.size("dw")) - 1
-    equal = F.transform(F.sequence(lo, hi), lambda p: F.get(F.col("dw"), p) == F.get(F.col("iw"), p - F.col("diag")))
-    breaks = both.where(hi >= lo).select("doc_id", "th", "item", "diag", lo.alias("lo"), hi.alias("hi"), equal.alias("eq"))
-    stops = bound(
-        F.concat(F.array(F.lit(-1)), F.filter(F.transform("eq", lambda e, i: F.when(~e, i)), lambda i: i.isNotNull()), F.array(F.size("eq"))),
-        lambda s: F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s) - 1), lambda a, b: F.struct((a + 1).alias("a"), (b - 1).alias("b"))),
-    )
-    runs = breaks.select("doc_id", "th", "item", "lo", F.explode(F.filter(stops, lambda r: r["b"] - r["a"] + 1 >= window)).alias("r"))
-    found = runs.select("doc_id", "th", "item", (F.col("lo") + F.col("r.a")).alias("lo"), (F.col("lo") + F.col("r.b")).alias("hi"))
-
-    short = it.where(F.size("iw") < window)
-    for n in [r.n for r in short.select(F.size("iw").alias("n")).distinct().collect()]:  # at most window - 1 lengths
-        mine = short.where(F.size("iw") == n).select(F.xxhash64("iw").alias("f"), "item", "iw")
-        few = mine.count() <= BROADCAST_FINGERPRINTS
-        mine = F.broadcast(mine) if few else mine
-        own_grams = d.select("doc_id", "th", F.posexplode(grams_of(n)(words(F.col("text")))).alias("p", "f"))
-        same = own_grams.join(mine, "f").select("doc_id", "th", "item", F.col("p").alias("lo"), (F.col("p") + n - 1).alias("hi"))
-        found = found.union(same)
-    return found
+    texts = stage(texts.select("doc_id", "th", words(F.col("text")).alias("dw")), "met_words")
+
+    by_length = [(window, it.where(F.size("iw") >= window)), *((m, it.where(F.size("iw") == m)) for m in lengths)]
+    found, of_item = None, None
+    for m, some in by_length:
+        mine = some.select("item", F.explode(windows(F.col("iw"), m)).alias("x")).select("item", "x.g").distinct()
+        seen = texts.select("doc_id", "th", F.explode(windows(F.col("dw"), m)).alias("x")).select("doc_id", "th", "x.p", (F.col("x.p") + m - 1).alias("hi"), "x.g")
+        found, of_item = (seen, mine) if found is None else (found.union(seen), of_item.union(mine))
+    of_item = stage(of_item, "bench_windows")
+    distinct = of_item.select("g").distinct()
+    hint = F.broadcast if distinct.count() <= BROADCAST_WINDOWS else (lambda x: x)
+    found = stage(found.join(hint(distinct), "g", "left_semi"), "hits")
+    names = found.select("doc_id", "th", "g").distinct().join(of_item, "g").select("doc_id", "th", "item").distinct()
+    return found.select("doc_id", "th", F.col("p").alias("lo"), "hi").distinct(), names
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, k: int = K, rate: int = 20) -> DataFrame:
@@ -109,13 +107,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     the same values. Extra columns are ignored; empty tables are fine on either side.
     """
     d = keyed(docs)
-    found = stage(hits(d, benchmark, window, k), "hits")
+    spans, met = hits(d, benchmark, window, k)
     order = W.partitionBy("doc_id", "th").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(W.unboundedPreceding, -1))
-    spans = found.select("doc_id", "th", "lo", "hi").distinct()
     new = spans.select("doc_id", "th", F.greatest(F.col("hi") - F.greatest(F.col("lo") - 1, F.coalesce(reach, F.lit(-1))), F.lit(0)).alias("n"))
     n_hit = new.groupBy("doc_id", "th").agg(F.sum("n").alias("n_hit"))
-    names = found.select("doc_id", "th", "item").distinct().groupBy("doc_id", "th").agg(F.sort_array(F.collect_list("item")).alias("names"))
+    names = met.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list("item")).alias("names"))
     by = n_hit.alias("a").join(names.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.th <=> b.th")).select(
         F.col("a.doc_id").alias("d"), F.col("a.th").alias("t"), "n_hit", F.size("names").cast("long").alias("n_items"), F.sha2(F.array_join("names", ",").cast("binary"), 256).alias("items_sha256")
     )
@@ -130,7 +127,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not contaminated."""
+    """The rows of ``docs``, all columns, that are not contaminated.
+
+    Null and word-free texts stay; rows that repeat stay or go together; columns may have any names; an empty
+    table stays empty, and without items nothing goes.
+    """
     judged = decontaminate(docs.select("doc_id", "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"))
     bad = stage(judged.distinct(), "contaminated")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

@@ -67,11 +67,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 OP2_SQL = """
-WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         (CAST(('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '~') || '|' || coalesce(source, '~')), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
+WITH n AS (SELECT doc_id, source, text, row_number() OVER (PARTITION BY doc_id, source, text) AS copy FROM documents),
+d AS (
+  SELECT doc_id, source, copy, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         (CAST(('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '~') || '|' || coalesce(source, '~') || '|' || copy), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
            / 4503599627370496::DOUBLE AS u
-  FROM documents),
+  FROM n),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 i AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
              2.0::DOUBLE * source_size AS cap FROM s),
@@ -82,7 +83,7 @@ t AS (SELECT source, source_size, CASE WHEN is_full OR level IS NULL THEN cap EL
       FROM f CROSS JOIN (SELECT arg_min(rest / w_rest, cap / w) FILTER (NOT is_full) AS level FROM f)),
 b AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
 c AS (SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs, b.target - b.epochs * b.source_size AS budget,
-             sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(d.u) / (1 + least(d.size, 1000) / 1000.0::DOUBLE), d.doc_id ROWS UNBOUNDED PRECEDING) AS reach
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(d.u) / (1 + least(d.size, 1000) / 1000.0::DOUBLE), d.doc_id, d.copy ROWS UNBOUNDED PRECEDING) AS reach
       FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, source_size, target,
        CAST((epochs + CASE WHEN budget > 0 AND reach - size / 2.0::DOUBLE <= budget THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
@@ -91,14 +92,18 @@ FROM c
 
 OP5_SQL = r"""
 WITH r AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-e AS (SELECT *, len(regexp_extract_all(role || chr(10) || text, '\\|<\|turn\|>|<\|said\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS escapes FROM r)
+  SELECT conv_id, turn, role AS said_by, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, len(regexp_extract_all(role || chr(10) || text, '\\|<\|turn\|>|<\|said\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS escapes,
+             row_number() OVER w - 1 AS i, CASE WHEN first_value(said_by) OVER w = 'system' THEN 1 ELSE 0 END AS off
+      FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+o AS (SELECT *, CASE WHEN i < off THEN 'system' WHEN (i - off) % 2 = 0 THEN 'user' ELSE 'assistant' END AS due FROM e)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(length(role) + length(text) + escapes + 24) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id
+       CAST(sum(length(role) + length(text) + escapes + 24) AS BIGINT) AS formatted_chars,
+       count(*) FILTER (role <> due) = 0 AS valid, CAST(min(i) FILTER (role <> due) AS INTEGER) AS broken_at
+FROM o GROUP BY conv_id
 """
 
 OP7_SQL = r"""

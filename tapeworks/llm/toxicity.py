@@ -25,7 +25,7 @@ from tapeworks.llm.common import stage
 SAMPLE_ROWS, FOLDS, TREES, DEPTH, RATE, SEED = 16_000, 3, 40, 3, 0.25, 11
 THRESHOLD = 0.7
 #: A lexicon entry needs this many toxic texts of the sample, and this much of its texts toxic.
-SUPPORT, PRECISION, ENTRIES = 4, 0.9, 4_000
+SUPPORT, PRECISION = 4, 0.9
 HEADS = (4, 5, 6)
 CACHE_WORDS = 300_000
 
@@ -218,11 +218,11 @@ class Model:
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, entry, toxic, n texts): words and word beginnings, each once a text."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    """(kind, entry, fold, toxic, n texts): words and word beginnings, each once a text."""
+    seen: dict[tuple[int, int], Counter] = {(f, t): Counter() for f in range(FOLDS) for t in (0, 1)}
     known: dict[bytes, bytes] = {}
     for b in batches:
-        for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+        for order, text, toxic in zip(b.column("order").to_pylist(), b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
             own = set()
             for raw in set((text or "").encode("utf-8", "replace").split()):
                 w = known.get(raw)
@@ -232,24 +232,26 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if s:
                     own.add((0, w))
                 own.update((1, s[:n].encode()) for n in HEADS if len(s) >= n)
-            seen[toxic].update(own)
+            seen[order % FOLDS, toxic].update(own)
             if len(known) > CACHE_WORDS:
                 known.clear()
-    for toxic in (0, 1):
-        items = list(seen[toxic].items())
+    for (fold, toxic), counter in seen.items():
+        items = list(counter.items())
         for lo in range(0, len(items), 50_000):
             part = items[lo : lo + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k for (k, _), _ in part], pa.int32()), pa.array([e for (_, e), _ in part], pa.binary()), pa.array([toxic] * len(part), pa.int32()), pa.array([n for _, n in part], pa.int64())],
-                names=["kind", "entry", "toxic", "n"],
+                [pa.array([k for (k, _), _ in part], pa.int32()), pa.array([e for (_, e), _ in part], pa.binary()), pa.array([fold] * len(part), pa.int32()), pa.array([toxic] * len(part), pa.int32()), pa.array([n for _, n in part], pa.int64())],
+                names=["kind", "entry", "fold", "toxic", "n"],
             )
 
 
-def _feature_rows(lexicon: Lexicon):
+def _feature_rows(lexicons: list[Lexicon]):
+    """Features by each of the lexicons, one behind the other."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = Flags(lexicon)
+        flags = [Flags(x) for x in lexicons]
         for b in batches:
-            x = [features(t.as_py(), flags) for t in b.column("text")]
+            x = [[v for f in flags for v in features(t, f)] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("order"), b.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["order", "toxic", "x"])
 
     return run
@@ -270,23 +272,39 @@ def training_sample(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SA
     return stage(rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id")).select("order", "text", "toxic"), "toxic_sample")
 
 
+def chosen(counts: list, left_out: int | None) -> Lexicon:
+    """The entries with enough toxic texts, and hardly others, in all folds but ``left_out``."""
+    entries: tuple[set[bytes], set[bytes]] = (set(), set())
+    for r in counts:
+        pos, n = (sum(x for f, x in enumerate(c) if f != left_out) for c in (r.pos, r.n))
+        if pos >= SUPPORT and pos >= PRECISION * n:
+            entries[r.kind].add(bytes(r.entry))
+    return Lexicon(frozenset(entries[0]), frozenset(entries[1]))
+
+
 def fit(sample: DataFrame) -> Model:
-    """Fits on ``sample`` (order, text, toxic), which ``training_sample`` bounds. Without rows every score is low."""
-    counts = sample.mapInArrow(_entries, "kind int, entry binary, toxic int, n long").groupBy("kind", "entry").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum("n").alias("n")
-    )
-    good = counts.where((F.col("pos") >= SUPPORT) & (F.col("pos") >= PRECISION * F.col("n"))).orderBy(F.desc("pos"), "kind", "entry").limit(ENTRIES).collect()
-    lexicon = Lexicon(frozenset(bytes(r.entry) for r in good if r.kind == 0), frozenset(bytes(r.entry) for r in good if r.kind == 1))
-    got = sorted(sample.mapInArrow(_feature_rows(lexicon), "order long, toxic int, x array<double>").collect(), key=lambda r: (r.order, r.toxic, r.x))
+    """Fits on ``sample`` (order, text, toxic), which ``training_sample`` bounds. Without rows every score is low.
+
+    For calibration each fold is scored by a lexicon and trees that saw the other folds only.
+    """
+    cells = sample.mapInArrow(_entries, "kind int, entry binary, fold int, toxic int, n long")
+    per_fold = lambda only: F.array(*[F.sum(F.when((F.col("fold") == f) & only, F.col("n")).otherwise(0)) for f in range(FOLDS)])
+    counts = cells.groupBy("kind", "entry").agg(per_fold(F.col("toxic") == 1).alias("pos"), per_fold(F.lit(True)).alias("n"))
+    total = lambda c, out: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x) - (F.lit(0) if out is None else F.get(c, F.lit(out)))
+    folds = [None, *range(FOLDS)]
+    enough = [(total("pos", f) >= SUPPORT) & (total("pos", f) >= PRECISION * total("n", f)) for f in folds]
+    good = counts.where(F.greatest(*enough)).collect()  # entries of at least SUPPORT texts of the bounded sample
+    lexicons = [chosen(good, f) for f in folds]
+    got = sorted(sample.mapInArrow(_feature_rows(lexicons), "order long, toxic int, x array<double>").collect(), key=lambda r: (r.order, r.toxic, r.x))
     if not got:
         return Model(boosted=Boosted(-5.0))
-    x, y = np.array([r.x for r in got]), np.array([r.toxic for r in got], float)
-    fold = np.arange(len(y)) % FOLDS
+    x, y = np.array([r.x for r in got]).reshape(len(got), len(folds), -1), np.array([r.toxic for r in got], float)
+    fold = np.array([r.order % FOLDS for r in got])
     held = np.zeros(len(y))
     for f in range(FOLDS):
         if (fold != f).any() and (fold == f).any():
-            held[fold == f] = fit_boosted(x[fold != f], y[fold != f]).raw(x[fold == f])
-    return Model(lexicon, fit_boosted(x, y), isotonic(held, y))
+            held[fold == f] = fit_boosted(x[fold != f, f + 1], y[fold != f]).raw(x[fold == f, f + 1])
+    return Model(lexicons[0], fit_boosted(x[:, 0], y), isotonic(held, y))
 
 
 def _score(model: Model):
@@ -314,7 +332,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def clean_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not predicted toxic; judged and passed on in one go."""
+    """The rows of ``docs``, all columns, whose text is not predicted toxic; judged and passed on in one go.
+
+    Null and empty texts are judged by features that are all zero; equal rows stay or go together; columns may
+    have any names; an empty table stays empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = Flags(model.lexicon)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 DEFAULT = "allow"
-#: The index travels as a broadcast only up to this size; larger rule sets are joined by digest.
+#: An index travels as a broadcast up to this size; larger rule sets are cut into several, which judge one after the other.
 INDEX_BYTES = 128 << 20
 
 
@@ -37,14 +37,15 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def build_index(rules: tuple[tuple[str, str], ...]) -> bytes:
-    """counts | digests (sorted) | offsets (one more) | lengths of rule paths | strings; all numbers as little-endian u64."""
+    """counts, longest host | digests (sorted) | offsets (one more) | lengths of rule paths | strings; all numbers as little-endian u64."""
     import xxhash
 
     rows = sorted((xxhash.xxh64_intdigest(r.encode()), r.encode(), v.encode()) for r, v in dict(rules).items())
     lengths = sorted({len(r) - r.index(b"/") for _, r, _ in rows})
+    longest = max((r.index(b"/") for _, r, _ in rows), default=0)
     strings = [r + b"\0" + v for _, r, v in rows]
     out = io.BytesIO()
-    out.write(np.array([len(rows), len(lengths)], "<u8").tobytes())
+    out.write(np.array([len(rows), len(lengths), longest], "<u8").tobytes())
     out.write(np.array([d for d, _, _ in rows], "<u8").tobytes())
     out.write(np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype("<u8").tobytes())
     out.write(np.array(lengths, "<u8").tobytes())
@@ -60,8 +61,8 @@ class Index:
             f.write(content)
             f.flush()
             self.map = np.memmap(f, mode="r") if os.fstat(f.fileno()).st_size else np.zeros(0, np.uint8)
-        n, m = (int(x) for x in self.map[:16].view("<u8"))
-        at = 16
+        n, m, self.longest_host = (int(x) for x in self.map[:24].view("<u8"))
+        at = 24
         self.digests = self.map[at : at + 8 * n].view("<u8")
         at += 8 * n
         self.offsets = self.map[at : at + 8 * (n + 1)].view("<u8")
@@ -90,9 +91,24 @@ class Index:
 _indexes: dict[str, Index] = {}
 
 
-def _judge(shared, default: str):
+def host_ends(host: bytes, longest: int) -> Iterator[bytes]:
+    """The host and what lies behind each of its dots, as far as a rule of at most ``longest`` bytes can equal it."""
+    at = 0 if len(host) <= longest else host.find(b".", len(host) - longest - 1) + 1
+    if len(host) > longest and at == 0:
+        return
+    while True:
+        yield host[at:]
+        at = host.find(b".", at) + 1
+        if not at:
+            return
+
+
+def _judge(shared):
+    """Fills rule and verdict where a rule of this index is longer than the one found before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if shared.id not in _indexes:
+            _indexes.clear()
             _indexes[shared.id] = Index(shared.value)
         index = _indexes[shared.id]
         for b in batches:
@@ -100,21 +116,17 @@ def _judge(shared, default: str):
             for i, (host, path) in enumerate(zip(b.column("host").to_pylist(), b.column("path").to_pylist(), strict=True)):
                 p = path.encode()
                 heads = [p[:n] for n in index.path_lengths if n <= len(p)]
-                h = host.encode()
-                while heads:
+                for h in host_ends(host.encode(), index.longest_host) if heads else ():
                     keys += [h + x for x in heads]
                     owner += [i] * len(heads)
-                    dot = h.find(b".")
-                    if dot < 0:
-                        break
-                    h = h[dot + 1 :]
-            best: list[tuple[bytes, bytes] | None] = [None] * b.num_rows
+            before = zip(b.column("rule").to_pylist(), b.column("verdict").to_pylist(), strict=True)
+            best: list[tuple[bytes, bytes] | None] = [None if r is None else (r.encode(), v.encode()) for r, v in before]
             for i, got in zip(owner, index.find(keys), strict=True):
                 if got and (best[i] is None or len(got[0]) > len(best[i][0])):
                     best[i] = got
             rule = pa.array([x and x[0].decode() for x in best], pa.string())
-            verdict = pa.array([x[1].decode() if x else default for x in best], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, rule, verdict], names=[*b.schema.names, "rule", "verdict"])
+            verdict = pa.array([x and x[1].decode() for x in best], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], rule, verdict], names=b.schema.names)
 
     return run
 
@@ -127,13 +139,21 @@ def judge_urls(pages: DataFrame, *, rules: tuple[tuple[str, str], ...] = RULES,
     """
     if any("/" not in r for r, _ in rules):
         raise ValueError("a rule is a host, a slash and a path")
-    content = build_index(rules)
-    if len(content) > INDEX_BYTES:
-        raise ValueError(f"the index has {len(content)} bytes; split the rules into several passes")
+    indexes, waiting = [], [tuple(dict(rules).items())]
+    while waiting:
+        some = waiting.pop()
+        content = build_index(some)
+        if len(content) <= INDEX_BYTES or len(some) == 1:
+            indexes.append(content)
+        else:
+            waiting += [some[: len(some) // 2], some[len(some) // 2 :]]
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    shared = _Shared(pages.sparkSession.sparkContext.broadcast(content))
-    return rows.mapInArrow(_judge(shared, default), "page_id long, host string, path string, rule string, verdict string")
+    rows = rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")})
+    for content in indexes:
+        shared = _Shared(pages.sparkSession.sparkContext.broadcast(content))
+        rows = rows.mapInArrow(_judge(shared), "page_id long, host string, path string, rule string, verdict string")
+    return rows.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
 
 
 class _Shared:
