@@ -2,9 +2,11 @@
 
 ``write_store`` encodes texts, cuts each id stream at content-defined places (a rolling hash over the
 last 32 ids), keeps every distinct chunk once and writes, per document, a recipe: the ordered digests of
-its chunks. Recipes lie in ascending doc_id order and carry a Merkle root over the chunk digests; blocks
-of recipes and the whole corpus have roots above those. ``read_store`` and ``reconstruct`` read only the
-written files.
+its chunks. Recipes lie in ascending doc_id order. A Merkle tree of fan-out ``FANOUT`` stands above them:
+chunk digests give a document's root; documents (id, length, start, root) give the root of their block,
+blocks that of their part file, parts that of the corpus. ``read_store`` and ``reconstruct`` read only the
+written files, and first hold recipes against manifest and corpus root: a lost, added, cut or changed
+recipe file, manifest or chunk is an error and never a shorter result.
 
 Format, below one folder of the shared file system:
 
@@ -12,6 +14,7 @@ Format, below one folder of the shared file system:
   integers where the vocabulary fits, else 32-bit)
 * ``recipes/``  part, pos, doc_id, n_tokens, start (within the part), root, chunks[digest, n, after]
 * ``manifest/`` part, block, n_docs, n_tokens, root
+* ``corpus/``   n_parts, n_docs, n_tokens, root: one row
 
 Null texts count as empty, an empty text has the end id alone. A null doc_id sorts first. Repeated
 doc_ids are separate documents, ordered by root. Extra columns are ignored. An empty table gives empty
@@ -21,14 +24,14 @@ files.
 from __future__ import annotations
 
 import hashlib
-import re
-import struct
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import discard, new_path, stage
@@ -38,9 +41,16 @@ END_ID = 1
 MIN_IDS, MEAN_IDS, MAX_IDS = 64, 512, 4096
 #: Words kept per worker with their ids; a full cache is emptied.
 CACHE_WORDS = 1_200_000
-BLOCK_DOCS = 1024
+#: Children of a node of the Merkle tree at most, and so the documents of a block.
+FANOUT = 1024
+#: A chunk that more references than this name is joined from several copies of it.
+HOT, SALTS = 10_000, 64
 
 CHUNK = "struct<digest:binary,n:int,after:long>"
+RECIPE = f"part int, pos long, start long, doc_id long, n_tokens long, root string, chunks array<{CHUNK}>"
+BLOCK = "part int, block long, n_docs long, n_tokens long, root string"
+STORED = "digest binary, n_ids int, payload binary"
+TOP = "n_parts long, n_docs long, n_tokens long, root string"
 STAGED = f"kind int, doc_id long, row_key long, n_tokens long, chunks array<{CHUNK}>, digest binary, n_ids int, payload binary"
 
 
@@ -55,37 +65,88 @@ class WordEncoder(dict):
 
     The vocabulary's pre-tokenizer never joins text across white space, so a text's ids are those of its
     white-space-separated words in order, and words repeat. It also parts letters from punctuation and
-    lowers case, so an ASCII word with punctuation behind it shares the entry of its bare lower-case form.
-    Apostrophes stay with their word, for contractions; so does all of a word that could hold a special token.
+    lowers case, so a word with punctuation behind it shares the entry of its bare form. A word of letters
+    only is one piece whose last id alone ends a word, so many such words are encoded in one call and told
+    apart by these ids. Apostrophes stay with their word, for contractions; so does all of a word that could
+    hold a special token.
     """
 
-    BARE = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
-    BEHIND = re.compile(rb"([^<|]*[^\x00-\x7f])([.,;:!?]+)")
+    #: ASCII punctuation but the apostrophe.
+    BEHIND = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    #: Words in one call.
+    TOGETHER = 1_000
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.code = Tokenizer.from_file(path), {2: "H", 4: "I"}[width]
-        # letters whose lower case is one letter too: a mark left over would join the punctuation
-        self.letters = frozenset(c for c in map(chr, range(128, 0x2000)) if c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha())
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        self.tokenizer, self.width, self.tails = Tokenizer.from_file(path), width, {b"": b""}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+
+    def single(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+
+    def tail(self, marks: bytes) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) >= CACHE_WORDS:
+                self.tails.clear()
+            self.tails[marks] = self.single(marks)
+        return self.tails[marks]
+
+    def parts(self, word: bytes) -> tuple[bytes, bytes, bool]:
+        """Bare form, punctuation behind it, and whether the bare form is of letters only."""
+        core = word.rstrip(self.BEHIND)
+        if core.isalpha():
+            return core.lower(), word[len(core) :], True
+        text = core.decode("utf-8", "replace")
+        lower = text.lower()
+        # letters whose lower case is one letter too: a mark left over would join the punctuation; a sigma's depends on its place
+        if text.isalpha() and len(lower) == len(text) and lower.isalpha() and max(text) < "\u2000" and "\u03a3" not in text:
+            return lower.encode(), word[len(core) :], True
+        return word, b"", False
+
+    def learn(self, new: set[bytes]) -> None:
+        """Adds entries of words that are not in yet."""
+        if len(self) + len(new) > CACHE_WORDS:
             self.clear()
-        parts = self.BARE.fullmatch(word)
-        if parts and (parts[2] or parts[1] != parts[1].lower()):
-            out = self[parts[1].lower()] + (self[parts[2]] if parts[2] else b"")
-        elif (parts := self.BEHIND.fullmatch(word)) and parts[1].decode("utf-8", "replace")[-1] in self.letters:
-            out = self[parts[1]] + self[parts[2]]
-        else:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            out = struct.pack(f"<{len(ids)}{self.code}", *ids)
-        self[word] = out
+        made = [(w, *self.parts(w)) for w in new]
+        plain = list({core for _, core, _, letters in made if letters and core not in self})
+        for lo in range(0, len(plain), self.TOGETHER):
+            some = plain[lo : lo + self.TOGETHER]
+            text = b" ".join(some).decode("utf-8", "replace")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(some) or stops[-1] != len(ids):
+                self.update((w, self.single(w)) for w in some)  # a vocabulary without word ends
+                continue
+            whole, at = ids.astype(f"<u{self.width}").tobytes(), (stops * self.width).tolist()
+            self.update(zip(some, (whole[a:b] for a, b in zip([0, *at], at, strict=False)), strict=True))
+        for w, core, marks, _ in made:
+            if core not in self:
+                self[core] = self.single(core)
+            if w not in self:
+                self[w] = self[core] + self.tail(marks)
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids; words that no text before had are learned together."""
+        out: list = []
+        holes: list[tuple[int, list[int], list[bytes]]] = []
+        for n, t in enumerate(texts):
+            words = t.encode("utf-8", "replace").split() if t else []
+            ids = list(map(self.get, words))
+            at = list(compress(range(len(words)), map(not_, ids)))
+            if at:
+                holes.append((n, at, [words[i] for i in at]))
+            out.append(ids if at else b"".join(ids))
+        self.learn({w for _, _, words in holes for w in words})
+        for n, at, words in holes:
+            for i, w in zip(at, words, strict=True):
+                out[n][i] = self[w]
+            out[n] = b"".join(out[n])
         return out
 
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split())) if text else b""
-
 
 _encoders: dict[tuple[str, int], WordEncoder] = {}
 
@@ -137,7 +198,7 @@ def _encode(path: str, width: int, end_id: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                streams = [words.encode(t) + end for t in part.column("text").to_pylist()]
+                streams = [x + end for x in words.encode_all(part.column("text").to_pylist())]
                 lengths = np.array([len(s) // width for s in streams])
                 begins = np.concatenate([[0], np.cumsum(lengths)])
                 cuts = rolling_cuts(np.frombuffer(b"".join(streams), kind))
@@ -190,9 +251,7 @@ def write_store(docs: DataFrame, path: str | None = None, *, vocabulary: str | N
     chunks = staged.where("kind = 1").groupBy("digest").agg(F.first("n_ids").alias("n_ids"), F.first("payload").alias("payload"))
     chunks.write.option("compression", "zstd").parquet(f"{path}/chunks")
 
-    recipes = staged.where("kind = 0").select(
-        "doc_id", "row_key", "n_tokens", F.sha2(F.concat_ws("", F.transform("chunks", lambda c: F.hex(c["digest"]))).cast("binary"), 256).alias("root"), "chunks"
-    )
+    recipes = staged.where("kind = 0").select("doc_id", "row_key", "n_tokens", document_root(F.col("chunks")).alias("root"), "chunks")
     placed = (
         recipes.repartitionByRange("doc_id", "root", "row_key")
         .sortWithinPartitions("doc_id", "root", "row_key")
@@ -201,16 +260,55 @@ def write_store(docs: DataFrame, path: str | None = None, *, vocabulary: str | N
     placed.drop("row_key").write.option("compression", "zstd").parquet(f"{path}/recipes")
     discard(staged)
 
-    blocks = (
-        spark.read.parquet(f"{path}/recipes")
-        .groupBy("part", F.floor(F.col("pos") / BLOCK_DOCS).alias("block"))
-        .agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("pos", "root"))).alias("r"))
-        .select("part", "block", "n_docs", "n_tokens", F.sha2(F.array_join(F.transform("r", lambda x: x["root"]), "").cast("binary"), 256).alias("root"))
-    )
-    blocks.write.parquet(f"{path}/manifest")
+    _blocks(spark.read.schema(RECIPE).parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
+    whole = _corpus(spark.read.schema(BLOCK).parquet(f"{path}/manifest"))
+    spark.createDataFrame([whole], TOP).coalesce(1).write.parquet(f"{path}/corpus")
     return path
 
 
+def _node(children: Column) -> Column:
+    return F.sha2(F.array_join(children, ",").cast("binary"), 256)
+
+
+def document_root(chunks: Column) -> Column:
+    """The root over a recipe's digests: nodes of ``FANOUT`` digests each, and one node above them."""
+    firsts = F.sequence(F.lit(0), F.ceil(F.size(chunks) / FANOUT).cast("int") - 1)
+    digests = lambda i: F.transform(F.slice(chunks, i * FANOUT + 1, FANOUT), lambda c: F.concat_ws(":", F.hex(c["digest"]), c["n"].cast("string")))
+    return _node(F.transform(firsts, lambda i: _node(digests(i))))
+
+
+def _blocks(recipes: DataFrame) -> DataFrame:
+    """The manifest that ``recipes`` give: a row for each block of ``FANOUT`` neighbours in a part."""
+    said = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.col("n_tokens").cast("string"), F.col("start").cast("string"), "root")
+    return (
+        recipes.groupBy("part", F.floor(F.col("pos") / FANOUT).alias("block"))
+        .agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("pos", said.alias("said")))).alias("r"))
+        .select("part", "block", "n_docs", "n_tokens", _node(F.transform("r", lambda x: x["said"])).alias("root"))
+    )
+
+
+def _corpus(blocks: DataFrame) -> tuple[int, int, int, str]:
+    """n_parts, n_docs, n_tokens and root of a manifest; the driver sees a row a part file."""
+    by_part = blocks.groupBy("part").agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t"), _node(F.transform(F.sort_array(F.collect_list(F.struct("block", "root"))), lambda x: x["root"])).alias("root"))
+    parts = sorted(by_part.collect(), key=lambda r: r.part)
+    said = ",".join(f"{r.part}:{r.d}:{r.t}:{r.root}" for r in parts)
+    return len(parts), sum(r.d for r in parts), sum(r.t for r in parts), hashlib.sha256(said.encode()).hexdigest()
+
+
+def verified(spark: SparkSession, path: str) -> DataFrame:
+    """The recipes of a store, after its manifest, corpus root and recipes were held against each other; ValueError where they differ."""
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{path}/{name}")
+    recipes, manifest, top = read("recipes", RECIPE), read("manifest", BLOCK), read("corpus", TOP).collect()
+    if len(top) != 1 or tuple(top[0]) != _corpus(manifest):
+        raise ValueError("the manifest does not give the corpus root")
+    keys = ["part", "block"]
+    written, found = manifest.select(*keys, F.struct("n_docs", "n_tokens", "root").alias("a")), _blocks(recipes).select(*keys, F.struct("n_docs", "n_tokens", "root").alias("b"))
+    bad = written.join(found, keys, "full").where("NOT a <=> b").limit(1).collect()
+    if bad:
+        raise ValueError(f"block {bad[0].block} of part {bad[0].part} does not give its root")
+    return recipes
+
+
 def _crc_tables() -> np.ndarray:
     """tables[j][b]: what bit b of a CRC-32 becomes when 2**j zero bytes follow."""
     poly, col = 0xEDB88320, []
@@ -271,23 +369,35 @@ def _offsets(recipes: DataFrame) -> DataFrame:
     return sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
 
 
+def _met(refs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``refs`` (digest, ...) with their chunks' columns; a chunk that very many name is joined from ``SALTS`` copies."""
+    hot = refs.groupBy("digest").agg(F.count("*").alias("refs")).where(F.col("refs") > HOT).select("digest", F.lit(True).alias("hot"))
+    hot = stage(hot, "hot_chunks")
+    n = hot.count()  # at most one for each HOT references
+    hot = F.broadcast(hot) if n <= 100_000 else hot
+    salted = refs.join(hot, "digest", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("part", "pos"), F.lit(SALTS))).otherwise(0)).drop("hot")
+    copies = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+    spread = chunks.join(hot, "digest", "left").select(*chunks.columns, copies)
+    return salted.join(spread, ["digest", "salt"], "left").drop("salt")
+
+
+def _sound(root: Column) -> Column:
+    return F.when(root == document_root(F.col("chunks")), root).otherwise(F.raise_error(F.lit("a recipe does not give its root")))
+
+
 def read_store(spark: SparkSession, path: str, *, vocabulary: str | None = None) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32, root.
 
-    Every stored chunk is read, held against its digest and summed up once; a document's CRC-32 is put
-    together from those of its chunks, so no payload travels. A recipe that names a missing chunk, or a
-    root that its digests don't give, fails.
+    Recipes are held against the Merkle manifest first. Then every stored chunk is read, held against its
+    digest and summed up once; a document's CRC-32 is put together from those of its chunks, so no payload
+    travels. A recipe that names a missing chunk, or a root that its digests don't give, fails.
     """
     width = id_width(vocabulary or vocabulary_path())
-    crcs = spark.read.parquet(f"{path}/chunks").select("digest", "payload").mapInArrow(_check_chunks(width), "digest binary, crc long")
-    recipes = spark.read.parquet(f"{path}/recipes")
-    root = F.sha2(F.concat_ws("", F.transform("chunks", lambda c: F.hex(c["digest"]))).cast("binary"), 256)
-    refs = recipes.select(
-        "part", "pos", "doc_id", "start", "n_tokens",
-        F.when(root == F.col("root"), F.col("root")).otherwise(F.raise_error(F.lit("a recipe does not give its root"))).alias("root"),
-        F.explode("chunks").alias("c"),
-    ).select("part", "pos", "doc_id", "start", "n_tokens", "root", F.col("c.digest").alias("digest"), F.col("c.after").alias("after"))
-    met = refs.join(crcs, "digest", "left").select(
+    recipes = verified(spark, path)
+    crcs = spark.read.schema(STORED).parquet(f"{path}/chunks").select("digest", "payload").mapInArrow(_check_chunks(width), "digest binary, crc long")
+    refs = recipes.select("part", "pos", "doc_id", "start", "n_tokens", _sound(F.col("root")).alias("root"), F.explode("chunks").alias("c"))
+    refs = refs.select("part", "pos", "doc_id", "start", "n_tokens", "root", F.col("c.digest").alias("digest"), F.col("c.after").alias("after"))
+    met = _met(refs, crcs).select(
         "part", "pos", "doc_id", "start", "n_tokens", "root", "after", F.coalesce("crc", F.raise_error(F.lit("a chunk is missing")).cast("long")).alias("crc")
     )
     shifted = met.mapInArrow(_shift, "part int, pos long, doc_id long, start long, n_tokens long, root string, crc long")
@@ -297,19 +407,29 @@ def read_store(spark: SparkSession, path: str, *, vocabulary: str | None = None)
     )
 
 
+def _check_payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for d, p in zip(b.column("digest").to_pylist(), b.column("payload").to_pylist(), strict=True):
+            if hashlib.blake2b(p, digest_size=16).digest() != d:
+                raise ValueError(f"chunk {d.hex()} does not hold what its digest says")
+        yield b
+
+
 def reconstruct(spark: SparkSession, path: str, *, vocabulary: str | None = None) -> DataFrame:
-    """Per document, from the files: doc_id, start, ids (array<int>), put together from its recipe."""
+    """Per document, from the files: doc_id, start, ids (array<int>), put together from its recipe; verified as in ``read_store``."""
     width = id_width(vocabulary or vocabulary_path())
-    chunks, recipes = spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/recipes")
-    refs = recipes.select("part", "pos", "doc_id", "start", F.posexplode("chunks").alias("seq", "c")).withColumn("digest", F.col("c.digest"))
+    recipes = verified(spark, path)
+    chunks = spark.read.schema(STORED).parquet(f"{path}/chunks").select("digest", "payload").mapInArrow(_check_payloads, "digest binary, payload binary")
+    refs = recipes.select("part", "pos", "doc_id", "start", _sound(F.col("root")).alias("root"), F.posexplode("chunks").alias("seq", "c")).withColumn("digest", F.col("c.digest"))
 
     @F.pandas_udf("array<int>")
     def joined(parts):
         return parts.map(lambda p: np.frombuffer(b"".join(x["payload"] for x in p), f"<u{width}").astype(np.int32))
 
     return (
-        refs.join(chunks, "digest", "left")
-        .groupBy("part", "pos", "doc_id", "start")
+        _met(refs.drop("c"), chunks)
+        .withColumn("payload", F.coalesce("payload", F.raise_error(F.lit("a chunk is missing")).cast("binary")))
+        .groupBy("part", "pos", "doc_id", "start", "root")
         .agg(F.sort_array(F.collect_list(F.struct("seq", "payload"))).alias("parts"))
         .join(F.broadcast(_offsets(recipes)), "part")
         .select("doc_id", (F.col("start") + F.col("before")).alias("start"), joined("parts").alias("ids"))
