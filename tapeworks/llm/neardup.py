@@ -31,8 +31,8 @@ from tapeworks.llm.common import discard, stage
 RADIUS, SHINGLE, SMALL, SEED = 2, 3, 48, 42
 #: Bands at most, and the chance that a pair at the similarity asked for shares none.
 BANDS, MISS = 32, 1e-6
-#: Set ids that a task remembers.
-SEEN = 1_000_000
+#: Set ids that a task remembers; rounds in which buckets are held against one of their members.
+SEEN, ROUNDS = 1_000_000, 3
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -131,7 +131,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label"))
+    return stage(edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label")), "cc_labels")  # staged: a join can split a hot node's rows
 
 
 def banding(similarity: float) -> tuple[int, int]:
@@ -189,37 +189,90 @@ def _sets(shingle: int, bands: int, rows: int):
     return run
 
 
-def link_sets(sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, label) of the components of sets (set_id, grams, keys; repeated or null where met before) of at least ``similarity``.
+def linked(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose sets in ``grams`` (set_id, grams) have the similarity. Arrays of v travel once a pair, those of u once."""
+    b, a = grams.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), grams.select(F.col("set_id").alias("u"), F.col("grams").alias("a"))
+    shared = F.size(F.array_intersect("a", "b"))
+    return pairs.distinct().join(b, "v").join(a, "u").where(shared >= similarity * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v")
+
+
+def label_of(met: DataFrame, edges: DataFrame) -> DataFrame:
+    """``met`` with the label of each set's component over ``edges``."""
+    labels = components(edges)
+    return met.join(labels, met.set_id == labels.node, "left").select("key", "set_id", "n", "degree", F.coalesce("label", "set_id").alias("label"))
+
+
+def prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) of ``sets`` (set_id, n, label, grams) of different labels: all of the similarity asked for, and some others.
 
-    Each bucket's members are held against its first one. Then only buckets whose members are still in
-    several components are compared, and only across those: a crowded bucket of copies costs its members.
+    Prefix filtering (Chaudhuri et al. 2006, Xiao et al. 2008): with elements in ascending order of frequency, two
+    sets that share enough must share one of their first few, so frequent elements name hardly any pair. The
+    position of the shared element bounds what two sets can share at all.
     """
+    t = similarity
+    each = sets.select("set_id", "n", "label", F.explode("grams").alias("g"))
+    often = each.groupBy("g").agg(F.count("*").alias("c"))
+    ordered = each.join(often, "g").groupBy("set_id", "n", "label").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("e"))
+    reach = (F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9) + 1).cast("int")
+    entries = ordered.select("set_id", "n", "label", F.posexplode(F.slice("e", F.lit(1), reach)).alias("at", "x")).select("set_id", "n", "label", "at", F.col("x.g").alias("g"))
+    entries = stage(entries, "set_prefixes")
+    met = entries.groupBy("g").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("g")
+    entries = entries.join(met, "g", "left_semi")
+    # the smaller set of a pair shares one of even fewer
+    small = entries.where(F.col("at") <= F.col("n") - F.ceil(F.lit(2 * t / (1 + t)) * F.col("n") - 1e-9)).alias("s")
+    large = entries.alias("l")
+    same_size = (F.col("s.n") < F.col("l.n")) | ((F.col("s.n") == F.col("l.n")) & (F.col("s.set_id") < F.col("l.set_id")))
+    rest = F.least(F.col("s.n") - F.col("s.at"), F.col("l.n") - F.col("l.at"))
+    enough = (F.col("s.n") >= t * F.col("l.n") - 1e-9) & (rest >= t / (1 + t) * (F.col("s.n") + F.col("l.n")) - 1e-9)
+    both = small.join(large, (F.col("s.g") == F.col("l.g")) & same_size & enough & (F.col("s.label") != F.col("l.label")))
+    return both.select(F.least("s.set_id", "l.set_id").alias("u"), F.greatest("s.set_id", "l.set_id").alias("v"))
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs.distinct(), "set_pairs")
-        needed = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
-        grams = stage(sets.where("grams IS NOT NULL").select("set_id", "grams").join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.first("grams").alias("grams")), "set_grams")
-        both = pairs.join(grams.select(F.col("set_id").alias("u"), F.col("grams").alias("a")), "u").join(grams.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), "v")
-        shared = F.size(F.array_intersect("a", "b"))
-        return both.where(shared >= similarity * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v")
 
+def link_sets(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, label) of the components of sets (set_id, grams, keys; repeated or null where met before) of at least ``similarity``.
+
+    Rounds first: each bucket's members are held against one of them, the one with most neighbours in all its
+    buckets, in the next round against one that the first did not reach. A crowded bucket of copies so costs its
+    members. What then still lies in several components of a bucket is compared across these: in small buckets
+    pair by pair, in crowded ones by prefix filtering, which loses no pair and does not enumerate the bucket.
+    """
     once = sets.where("keys IS NOT NULL").select("set_id", F.size("grams").alias("n"), "keys").groupBy("set_id").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
     hashed = once.select("set_id", "n", F.explode("keys").alias("key"))
-    size = hashed.groupBy("key").agg(F.count("*").alias("members"), F.min("set_id").alias("centre")).where("members > 1").select("key", "centre")
+    size = hashed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     met = stage(hashed.join(size, "key"), "set_buckets")
-    edges = stage(similar(met.where("set_id <> centre").select(F.col("centre").alias("u"), F.col("set_id").alias("v"))), "set_links")
+    degree = met.groupBy("set_id").agg(F.sum("members").alias("degree"))
+    grams = sets.where("grams IS NOT NULL").select("set_id", "grams").join(degree, "set_id").groupBy("set_id").agg(F.first("grams").alias("grams"), F.first("degree").alias("degree"))
+    grams = stage(grams, "set_grams")
+    met = stage(met.join(grams.select("set_id", "degree"), "set_id").select("key", "set_id", "n", "degree"), "set_met")
+    size_fits = lambda a, b: F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
+
+    edges, links, open_ = None, 0, met.withColumn("label", F.col("set_id"))
+    for _ in range(ROUNDS):
+        # of the sets that no earlier centre of the bucket reached, the one of the highest degree
+        lead = open_.groupBy("key").agg(F.max(F.struct("degree", (-F.col("set_id")).alias("first"), "n", "label")).alias("c"))
+        lead = lead.select("key", (-F.col("c.first")).alias("centre"), F.col("c.n").alias("cn"), F.col("c.label").alias("cl"))
+        pairs = open_.join(lead, "key").where((F.col("label") != F.col("cl")) & size_fits(F.col("n"), F.col("cn")))
+        more = linked(pairs.select(F.col("centre").alias("u"), F.col("set_id").alias("v")), grams, similarity)
+        edges = stage(more if edges is None else edges.union(more), "set_links")
+        placed = stage(label_of(met, edges), "set_labels")
+        now = lead.join(placed.select(F.col("key").alias("k"), F.col("set_id").alias("s"), F.col("label").alias("reached")), (F.col("key") == F.col("k")) & (F.col("centre") == F.col("s"))).select("key", "reached")
+        left = open_.select("key", "set_id").join(placed, ["key", "set_id"]).join(now, "key").where("label <> reached").drop("reached")
+        open_ = stage(left, "set_open")
+        before, links = links, edges.count()
+        if links == before or not open_.limit(1).count():
+            break
 
-    labels = components(edges)
-    placed = met.join(labels, met.set_id == labels.node, "left").select("key", "centre", "set_id", "n", F.coalesce("label", "set_id").alias("label"))
-    parts = placed.where("set_id <> centre").groupBy("key", "label").agg(F.collect_list(F.struct("set_id", "n")).alias("m"))
-    parts = stage(parts, "set_parts")
-    several = parts.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    parts = parts.join(several, "key", "left_semi")
-    across = parts.join(parts.select("key", F.col("label").alias("other"), F.col("m").alias("w")), "key").where("label < other")
-    pairs = across.select(F.explode("m").alias("a"), "w").select("a", F.explode(F.filter("w", lambda x: F.least(x["n"], F.col("a.n")) >= similarity * F.greatest(x["n"], F.col("a.n")) - 1e-9)).alias("b"))
-    more = similar(pairs.select(F.least("a.set_id", "b.set_id").alias("u"), F.greatest("a.set_id", "b.set_id").alias("v")))
-    return components(edges.union(more))
+    several = placed.groupBy("key").agg(F.count("*").alias("members"), F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("key", "members")
+    mixed = stage(placed.join(several, "key"), "set_mixed")
+    m = F.collect_list(F.struct("set_id", "n", "label"))
+    apart = lambda a, b: (a["set_id"] < b["set_id"]) & (a["label"] != b["label"]) & size_fits(a["n"], b["n"])
+    pairs = F.flatten(F.transform("m", lambda a: F.transform(F.filter("m", lambda b: apart(a, b)), lambda b: F.struct(a["set_id"].alias("u"), b["set_id"].alias("v")))))
+    few = mixed.where(F.col("members") <= SMALL).groupBy("key").agg(m.alias("m")).select(F.explode(pairs).alias("e")).select("e.u", "e.v")
+    pool = mixed.where(F.col("members") > SMALL).select("set_id", "n", "label").distinct()
+    many = prefix_pairs(pool.join(grams.select("set_id", "grams"), "set_id"), similarity)
+    found = components(edges.union(linked(few.union(many), grams, similarity)))
+    discard(met, grams, placed, mixed, open_)  # the components are in tables of their own by now
+    return found
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -250,7 +303,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RA
     an empty table gives an empty result.
     """
     rows = stage(grouped(docs, shingle, radius), "simhash_labels")
-    ids = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    ids = stage(rows.groupBy("label").agg(F.min("doc_id").alias("component_id")), "simhash_ids")
     return rows.join(ids, "label").select("doc_id", "fp", "component_id")
 
 
