@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.llm import ann, chat, decontam, lm, mixing, neardup, sharding, tokenstore, toxicity, urls
+from tapeworks.llm import ann, chat, decontam, mixing, neardup, sharding, tokenstore, toxicity, urls
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int"
 
@@ -48,6 +48,70 @@ def test_tokenstore_round_trip(spark, docs):
     assert tokenstore.read_store(spark, tokenstore.write_store(empty(spark))).count() == 0
 
 
+def test_tokenstore_fails_where_files_are_lost_or_changed(spark, docs, monkeypatch):
+    import os
+    import shutil
+    from urllib.parse import urlparse
+
+    monkeypatch.setattr(tokenstore, "HOT", 1)  # every repeated chunk is salted
+    path = tokenstore.write_store(docs.repartition(4))
+    local = urlparse(path).path
+    want = sorted(map(str, tokenstore.read_store(spark, path).collect()))
+    assert len(want) == docs.count() and tokenstore.reconstruct(spark, path).count() == len(want)
+
+    def broken(change, reads=(tokenstore.read_store,)):
+        copy = f"{local}-broken"
+        shutil.copytree(local, copy)
+        change(copy)
+        for read in reads:
+            with pytest.raises(Exception, match="root|missing|digest|PATH_NOT_FOUND"):
+                read(spark, f"file://{copy}").collect()
+        shutil.rmtree(copy)
+
+    def lose(name):
+        def change(at):
+            part = max((f for f in os.listdir(f"{at}/{name}") if f.endswith(".parquet")), key=lambda f: os.path.getsize(f"{at}/{name}/{f}"))
+            os.remove(f"{at}/{name}/{part}")
+
+        return change
+
+    for name in ("recipes", "chunks", "manifest", "corpus"):
+        broken(lose(name), (tokenstore.read_store, tokenstore.reconstruct) if name == "chunks" else (tokenstore.reconstruct,))
+    broken(lambda at: shutil.rmtree(f"{at}/manifest"))
+
+    def swap(name, column, value):
+        def change(at):
+            df = spark.read.parquet(f"file://{at}/{name}").withColumn(column, value)
+            rows, schema = df.collect(), df.schema
+            shutil.rmtree(f"{at}/{name}")
+            spark.createDataFrame(rows, schema).write.parquet(f"file://{at}/{name}")
+
+        return change
+
+    broken(swap("recipes", "n_tokens", F.col("n_tokens") + 1))
+    broken(swap("recipes", "chunks", F.reverse("chunks")))
+    broken(swap("recipes", "doc_id", F.col("doc_id") + 1))
+    broken(swap("chunks", "payload", F.concat("payload", F.lit(b"xx"))))
+    broken(swap("manifest", "n_docs", F.lit(0).cast("long")))
+
+
+def test_word_encoder_against_the_tokenizer():
+    e = tokenstore.WordEncoder(tokenstore.vocabulary_path(), 2)
+    rng = np.random.default_rng(11)
+    signs = [*"abzAB 's't.,;:!?<|>-_'\u00e9\u00c8\u00df\u0130\u03a3\u03c3\u03c2\ufb01\u4f60\u00fc\u0308\u0660\u00bd\u2167\t\n \u00a0", "<|endoftext|>", " ", " "]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(3000)] + [None, "", "x" * 5000, "a " * 5000]
+    for at in range(0, len(texts), 100):
+        for t, got in zip(texts[at : at + 100], e.encode_all(texts[at : at + 100]), strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_word_cache_that_overflows(monkeypatch):
+    monkeypatch.setattr(tokenstore, "CACHE_WORDS", 5)
+    e = tokenstore.WordEncoder(tokenstore.vocabulary_path(), 4)
+    for t in ("one two three four, five; six seven", "one two nine ten", "un deux trois, one two three!? \u00e9t\u00e9"):
+        assert np.frombuffer(e.encode_all([t, t])[1], "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_crc_of_parts():
     a, b = b"hello", b"world" * 999
     got = tokenstore.crc_shift(np.array([zlib.crc32(a), zlib.crc32(b)], np.uint32), np.array([len(b), 0]))
@@ -70,6 +134,19 @@ def test_mix(spark, docs):
     assert mixing.mixed_rows(docs).columns == docs.columns and mixing.mixed_rows(docs).count() == sum(r.copies for r in got)
 
 
+def test_mix_draws_equal_rows_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_DOCS", 3)  # several rounds
+    rows = [(1, "w " * 10, "a")] * 100 + [(2, None, "a")] * 7 + [(None, "x y", None)] * 50 + [(i, "some words here", "b") for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    for source in ("a", "b", None):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own) / 2 and all(r.taken <= 2 * r.size for r in own)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(df.coalesce(1)).collect()))
+    assert mixing.mixed_rows(df).count() == sum(r.copies for r in got)
+
+
 def test_shards(spark, docs):
     got = sharding.shard(docs).collect()
     assert len(got) == docs.count()
@@ -78,6 +155,11 @@ def test_shards(spark, docs):
         assert slots == list(range(len(slots)))
     assert len({r.shard for r in got if r.text_crc32 == zlib.crc32(docs.where("doc_id = 103").first().text.encode())}) == 1
     assert {r.size for r in got if r.doc_id == 100} == {1} and sharding.shard(empty(spark)).count() == 0
+    same = spark.range(20_000).select(F.lit(7).alias("doc_id"), F.lit("one text").alias("text"), F.lit(1).alias("copy"))  # rows that repeat in all columns
+    sums = sharding.shard(same.unionByName(same.limit(5).withColumn("text", F.lit(None).cast("string")))).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("top")).collect()
+    assert len(sums) == 8 and max(r.b for r in sums) < 1.2 * min(r.b for r in sums) and all(r.n == r.slots == r.top + 1 for r in sums) and sum(r.n for r in sums) == 20_005
+    every = sorted((str(r.doc_id), r.size, r.text_crc32) for r in got)
+    assert every == sorted((str(r.doc_id), len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs.collect())
     many = sharding.shard(spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot text").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("text"))).groupBy("shard").agg(F.sum("size").alias("b")).collect()
     assert max(r.b for r in many) < 1.05 * min(r.b for r in many)
 
@@ -285,8 +367,8 @@ def test_decontamination(spark):
     rng = np.random.default_rng(9)
     vocab = [f"w{i}" for i in range(6)]  # few words: many chance meetings
     say = lambda n: " ".join(rng.choice(vocab, n))
-    items = [(i, say(int(rng.integers(13, 40)))) for i in range(8)] + [(20, "W1 w2, w3"), (21, "é"), (22, None), (23, "--"), (24, say(12)), (25, "w0 " * 15)]
-    rows = [(i, f"{say(30)}. {items[i % 8][1][: int(rng.integers(5, 200))]} {say(5)}") for i in range(40)] + [(90, None), (91, ""), (92, "w1 w2 w3 É é"), (93, say(3000)), (None, items[0][1]), (5, "other text")]
+    items = [(i, say(int(rng.integers(13, 40)))) for i in range(8)] + [(30, "w3 w1"), (31, "w3 w1"), (32, "zz " * 1000), (33, "zz " * 40 + "w1")] + [(20, "W1 w2, w3"), (21, "é"), (22, None), (23, "--"), (24, say(12)), (25, "w0 " * 15)]
+    rows = [(i, f"{say(30)}. {items[i % 8][1][: int(rng.integers(5, 200))]} {say(5)}") for i in range(40)] + [(90, None), (91, ""), (92, "w1 w2 w3 É é"), (93, say(3000)), (94, "Zz " * 20_000), (95, "zz " * 12), (90, None), (93, "w2"), (None, items[0][1]), (5, "other text")]
     df, b = spark.createDataFrame(rows, "doc_id long, text string").withColumn("th", F.lit(1)), spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontam.decontaminate(df, b).collect()}
     want = set()
@@ -296,84 +378,3 @@ def test_decontamination(spark):
     assert got == want
     assert decontam.decontaminate(df, b.limit(0)).where("n_hit > 0").count() == 0 and decontam.decontaminate(df.limit(0), b).count() == 0
     assert decontam.clean_rows(df, b).count() == sum(not w[5] for w in (next(x for x in want if x[0] == d and x[1] == brute_hits(t, [])[0]) for d, t in rows))
-
-
-def test_language_model(spark, monkeypatch):
-    rng = np.random.default_rng(2)
-    w = lm.init(rng, np.zeros(lm.CLASSES), np.zeros((lm.CLASSES, lm.MEMBERS)))
-    ids, targets = rng.integers(0, lm.SLOTS, (3, lm.CONTEXT)), rng.integers(0, lm.SLOTS, (3, lm.STRIDE))
-    w64 = {k: v.astype(np.float64) for k, v in w.items()}
-    _, g = lm.gradients(w64, ids, targets)
-    for k in ("Wq", "Wk", "Wv", "Wo", "W1", "W2", "Wc", "P"):
-        at = tuple(rng.integers(0, s) for s in w64[k].shape)
-        old, eps = w64[k][at], 1e-5
-        w64[k][at] = old + eps
-        up = lm.gradients(w64, ids, targets)[0]
-        w64[k][at] = old - eps
-        down = lm.gradients(w64, ids, targets)[0]
-        w64[k][at] = old
-        assert abs((up - down) / (2 * eps) - g[k][at]) < 1e-4 + 1e-2 * abs(g[k][at]), k
-    assert abs(-lm.log_probs(lm.folded(w), ids, targets).mean() - lm.gradients(w, ids, targets)[0]) < 1e-3
-    later = ids.copy()
-    later[:, -1] = (later[:, -1] + 1) % lm.SLOTS  # causal: the last input changes the last target's score only
-    assert np.abs(lm.log_probs(lm.folded(w), ids, targets) - lm.log_probs(lm.folded(w), later, targets))[:, :-1].max() < 1e-6
-    monkeypatch.setattr(lm, "STEPS", 30)
-    rows = [(i, " ".join(rng.choice(["red", "green", "Blue", "é", "tiny,"], rng.integers(0, 90)))) for i in range(120)] + [(500, None), (501, "never seen words"), (502, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit(0))
-    got = {r.doc_id: r for r in lm.score(df).collect()}
-    from collections import Counter
-
-    split = {d: [*(t or "").encode().lower().split(), "END"] for d, t in rows}
-    train = Counter(x for d, ws in split.items() if zlib.crc32(str(d).encode()) % 7 != 2 for x in ws)
-    n, v = sum(train.values()), len(train)
-    for d, ws in split.items():
-        r = got[d]
-        assert r.held_out == (zlib.crc32(str(d).encode()) % 7 == 2) and r.n_tokens == len(ws) and r.n_known == sum(train[x] > 0 for x in ws) and r.train_tokens == n
-        assert abs(r.base_score - sum(math.log10((train[x] + 1) / (n + v + 1)) for x in ws)) < 1e-6 and r.score < 0
-    assert lm.score(df.limit(0)).count() == 0
-
-
-def test_lm_frequent_words_are_all_above_a_count(spark):
-    counts = spark.createDataFrame([(b"a", 1000), (b"b", 500), (b"c", 3), (b"d", 3), (b"e", 1)], "word binary, n long")
-    assert set(lm.frequent(counts, 2)) == {b"a", b"b"}
-    assert set(lm.frequent(counts, 3)) == {b"a", b"b"}  # equal counts go together
-    assert lm.frequent(counts, 9)[b"a"] == pytest.approx(math.log10(1001)) and len(lm.frequent(counts, 9)) == 5
-    assert lm.frequent(counts.where("false"), 9) == {} and lm.frequent(counts, 0) == {}
-
-
-def test_lm_mixes_all_known_words(spark, monkeypatch):
-    monkeypatch.setattr(lm, "STEPS", 5)
-    rng = np.random.default_rng(3)
-    rows = [(i, " ".join(rng.choice(["red", "green", "Blue", "é", "tiny,"], 40))) for i in range(60)] + [(501, "never seen words")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    want = {r.doc_id: r for r in lm.score(df).collect()}
-    monkeypatch.setattr(lm, "frequent", lambda counts: {})  # every word is joined
-    got = {r.doc_id: r for r in lm.score(df).collect()}
-    assert all(got[d].n_known == w.n_known and abs(got[d].score - w.score) < 1e-5 and abs(got[d].base_score - w.base_score) < 1e-6 for d, w in want.items())
-
-
-def test_lm_first_target_of_a_window_sees_17_ids():
-    assert lm.CONTEXT - lm.STRIDE + 1 == 17 and lm.DIM == 24 and lm.HIDDEN == 48
-    ids = np.arange(2, 2 + 3 * lm.STRIDE)
-    inputs, targets, _ = lm.windows_of([ids])
-    w = lm.init(np.random.default_rng(1), np.zeros(lm.CLASSES), np.zeros((lm.CLASSES, lm.MEMBERS)))
-    other = inputs.copy()
-    other[:, 0] = 1  # 16 ids before the first query position
-    a, b = (lm.log_probs(lm.folded(w), x, targets)[:, 0] for x in (inputs, other))
-    assert np.abs(a - b).max() > 0
-
-
-def test_lm_training_grows_with_the_corpus(spark):
-    rng = np.random.default_rng(5)
-    texts = [(i, " ".join(rng.choice(["red", "green", "blue", "tiny"], 300))) for i in range(400)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
-    w = lm.init(rng, np.zeros(lm.CLASSES), np.zeros((lm.CLASSES, lm.MEMBERS)))
-    slot_of = np.arange(1 << 16) % (lm.SLOTS - 2) + 2
-    few, n = lm.refine(docs.where("doc_id < 100"), lm.vocabulary_path(lm.VOCABULARY), slot_of, w)
-    more, m = lm.refine(docs, lm.vocabulary_path(lm.VOCABULARY), slot_of, w)
-    assert n > 50 and 3 * n < m < 5 * n and set(more) == set(w)
-    encode = lm.spaced(lm.vocabulary_path(lm.VOCABULARY))
-    ids = np.frombuffer(b"".join(map(encode.__getitem__, lm.words_of(texts[0][1]))), "<u2")
-    inputs, targets, _ = lm.windows_of([np.append(slot_of[ids], lm.END)])
-    loss = [lm.gradients(x, inputs, targets)[0] for x in (w, few, more)]
-    assert loss[2] < loss[1] < loss[0]
