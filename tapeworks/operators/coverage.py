@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.functions.scalars import nearest_rank, utc_hour
+from tapeworks.functions.scalars import utc_hour
 from tapeworks.operators.asof import first_seen_mode
 
 
@@ -25,20 +25,22 @@ def bar_offsets(rows: DataFrame, keys: list[str]) -> DataFrame:
 def report(offsets: DataFrame, groups: list[str], *, by_hour: bool = True, ok_s: float = 10.0, late_s: float = 90.0) -> DataFrame:
     """Per group and, with ``by_hour``, UTC hour (NULL: all): bars, nearest-rank percentiles, ok_pct, late, latest.
 
-    A group has one row per bar, so the lists behind the percentiles are bounded by the bars of a day and line.
+    Percentiles come from counts per value and their running sums: no group's values are gathered in a list.
     """
-    o = offsets.withColumn("hour", utc_hour(F.col("bar_ts")))
-    sets = [[*groups, "hour"], groups] if by_hour else [groups]
-    lists = {c: F.collect_list(x) for c, x in (("f", F.col("first")), ("l", F.col("last")), ("c", F.col("last") - F.col("first")), ("b", F.col("book_rows")))}
-    g = o.groupingSets(sets, *groups, "hour").agg(
-        F.count("*").alias("bars"), *[x.alias(f"_{c}") for c, x in lists.items()], (F.avg((F.col("first") <= ok_s).cast("double")) * 100).alias("ok_pct"),
-        F.count_if(F.col("first") > late_s).alias("late"), F.max("first").alias("latest"),
-    ) if by_hour else o.groupBy(*groups).agg(
-        F.count("*").alias("bars"), *[x.alias(f"_{c}") for c, x in lists.items()], (F.avg((F.col("first") <= ok_s).cast("double")) * 100).alias("ok_pct"),
-        F.count_if(F.col("first") > late_s).alias("late"), F.max("first").alias("latest"),
-    ).withColumn("hour", F.lit(None).cast("int"))
-    return g.select(
-        *groups, "hour", "bars", nearest_rank(F.col("_f"), 0.5).alias("first_p50"), nearest_rank(F.col("_f"), 0.9).alias("first_p90"),
-        nearest_rank(F.col("_l"), 0.5).alias("last_p50"), nearest_rank(F.col("_c"), 0.5).alias("cover_p50"), nearest_rank(F.col("_b"), 0.5).alias("rows_p50"),
-        "ok_pct", "late", "latest",
-    )
+    hour = utc_hour(F.col("bar_ts"))
+    o = offsets.withColumn("hour", F.explode(F.array(hour, F.lit(None).cast("int"))) if by_hour else F.lit(None).cast("int"))
+    keys = [*groups, "hour"]
+    base = o.groupBy(*keys).agg(
+        F.count("*").alias("bars"), (F.avg((F.col("first") <= ok_s).cast("double")) * 100).alias("ok_pct"), F.count_if(F.col("first") > late_s).alias("late"), F.max("first").alias("latest")
+    )
+    wanted = {"first_p50": ("first", 0.5), "first_p90": ("first", 0.9), "last_p50": ("last", 0.5), "cover_p50": ("cover", 0.5), "rows_p50": ("book_rows", 0.5)}
+    values = {"first": F.col("first"), "last": F.col("last"), "cover": F.col("last") - F.col("first"), "book_rows": F.col("book_rows").cast("double")}
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in values.items()]))
+    counts = o.select(*keys, each.alias("x")).select(*keys, "x.*").where("value IS NOT NULL").groupBy(*keys, "metric", "value").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*keys, "metric")
+    run = counts.withColumn("upto", F.sum("n").over(w.orderBy("value"))).withColumn("all", F.sum("n").over(w))
+    rank = lambda q: F.bround(F.lit(q) * (F.col("all") - 1), 0)  # noqa: E731  halves go to the even rank
+    found = run.groupBy(*keys).agg(*[F.min(F.when((F.col("metric") == m) & (F.col("upto") > rank(q)), F.col("value"))).alias(name) for name, (m, q) in wanted.items()])
+    found = found.select(*[F.col(k).alias(f"_{k}") for k in keys], *wanted)
+    met = base.join(found, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left")
+    return met.select(*keys, "bars", "first_p50", "first_p90", "last_p50", "cover_p50", F.col("rows_p50").cast("long").alias("rows_p50"), "ok_pct", "late", "latest")

@@ -45,6 +45,15 @@ def percentile(histogram: DataFrame, p: float, groups: list[str]) -> DataFrame:
     return run.where(F.col("_c") >= F.col("_t") * p).groupBy(*groups).agg(F.min("key").alias("key"))
 
 
+def percentiles(histogram: DataFrame, shares: list[float], groups: list[str]) -> DataFrame:
+    """p, key for each of ``shares``, from one running sum."""
+    w = Window.partitionBy(*groups)
+    run = histogram.withColumn("_c", F.sum("n").over(w.orderBy("key"))).withColumn("_t", F.sum("n").over(w))
+    least = [F.min(F.when(F.col("_c") >= F.col("_t") * p, F.col("key"))) for p in shares]
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"_{i}").alias("key")) for i, p in enumerate(shares)]))
+    return run.groupBy(*groups).agg(*[x.alias(f"_{i}") for i, x in enumerate(least)]).select(*groups, each.alias("x")).select(*groups, "x.*")
+
+
 def most_common(histogram: DataFrame, metric: str, top: int) -> DataFrame:
     return histogram.where(F.col("metric") == metric).orderBy(F.desc("n"), "key").limit(top)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import book
@@ -34,10 +34,18 @@ def sides(tokens: DataFrame, *, parity: bool = False) -> DataFrame:
 
 def with_context(frames: DataFrame, summary: DataFrame, side: DataFrame) -> DataFrame:
     """Adds side (-1: unknown) and is_primary. The small sides are broadcast by size where Spark finds them small."""
-    f = frames.withColumn("asset_id", F.col("f.asset_id")).join(side, "asset_id", "left").withColumn("side", F.coalesce("side", F.lit(-1).cast("tinyint")))
-    f = f.join(summary.select("file", "primary"), "file", "left")
-    own = (F.col("f.market") != "") & (F.col("f.market") == F.col("primary"))
-    return f.withColumn("is_primary", F.when(own, 1).otherwise(0).cast("tinyint"))
+    return with_primary(with_side(frames.withColumn("asset_id", F.col("f.asset_id")), side), summary, ["file"], F.col("f.market"))
+
+
+def with_side(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """Adds the side of asset_id, -1 where it is unknown."""
+    return rows.join(side, "asset_id", "left").withColumn("side", F.coalesce("side", F.lit(-1).cast(dict(side.dtypes)["side"])))
+
+
+def with_primary(rows: DataFrame, primary: DataFrame, keys: list[str], market: Column) -> DataFrame:
+    """Adds primary, and is_primary: 1 for rows of the primary market of their ``keys``."""
+    f = rows.join(primary.select(*keys, "primary"), keys, "left")
+    return f.withColumn("is_primary", F.when((market != "") & (market == F.col("primary")), 1).otherwise(0).cast("tinyint"))
 
 
 def quotes(frames: DataFrame) -> DataFrame:
@@ -67,9 +75,12 @@ def marks(frames: DataFrame) -> DataFrame:
 
 
 def write(table: DataFrame, name: str, out: str) -> None:
-    """Parquet by day, coin and cycle; only the partitions present are replaced; rows lie by asset and time."""
+    """Parquet by day, coin and cycle; only the partitions present are replaced; rows lie by asset and time.
+
+    Ranges over all sort columns, so that a large day of one line is written by several tasks.
+    """
     order = [*SORT[name], "file", "seq"]
-    rows = table.repartition("day", "coin", "cycle").sortWithinPartitions("day", "coin", "cycle", *order).drop("file", "seq")
+    rows = table.repartitionByRange("day", "coin", "cycle", *order).sortWithinPartitions("day", "coin", "cycle", *order).drop("file", "seq")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("day", "coin", "cycle").parquet(f"{out}/{name}")
 
 
@@ -77,9 +88,9 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
     tokens.orderBy("market").coalesce(1).write.mode("overwrite").parquet(f"{out}/bar_tokens")
 
 
-def row_counts(frames: DataFrame) -> DataFrame:
-    """day (NULL: all), kind, n."""
-    return frames.where("kind IS NOT NULL").groupingSets([["day", "kind"], ["kind"]], "day", "kind").agg(F.count("*").alias("n"))
+def row_counts(frames: DataFrame, by: str = "day") -> DataFrame:
+    """day or other column ``by`` (NULL: all), kind, n."""
+    return frames.where("kind IS NOT NULL").groupingSets([[by, "kind"], ["kind"]], by, "kind").agg(F.count("*").alias("n"))
 
 
 def unknown_assets(rows: DataFrame, top: int = 10) -> DataFrame:
@@ -87,7 +98,7 @@ def unknown_assets(rows: DataFrame, top: int = 10) -> DataFrame:
     return rows.where("side = -1").groupBy("asset_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "asset_id").limit(top)
 
 
-def sample_files(frames: DataFrame, n: int = 8, seed: int = 20260912) -> DataFrame:
+def sample_files(frames: DataFrame, n: int = 8, seed: int = 7) -> DataFrame:
     return frames.select("file").distinct().orderBy(F.xxhash64("file", F.lit(seed)), "file").limit(n)
 
 

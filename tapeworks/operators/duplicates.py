@@ -24,25 +24,44 @@ def coverage(a: DataFrame, b: DataFrame) -> DataFrame:
     return g.select("n_a", "n_b", "shared", "either", (F.col("n_a") - F.col("shared")).alias("only_a"), (F.col("n_b") - F.col("shared")).alias("only_b"), (F.col("n_a") / F.col("either")).alias("share_a"), (F.col("n_b") / F.col("either")).alias("share_b"))
 
 
+def algebra(a: DataFrame, b: DataFrame) -> DataFrame:
+    """op and key columns: the distinct keys of either (union), of both, and of one alone (a_b, b_a), from one count of all."""
+    keys = a.columns
+    t = a.select(*keys, F.lit(True).alias("_x"), F.lit(False).alias("_y")).union(b.select(*keys, F.lit(False), F.lit(True))).groupBy(*keys).agg(F.bool_or("_x").alias("_x"), F.bool_or("_y").alias("_y"))
+    x, y = F.col("_x"), F.col("_y")
+    ops = F.array(F.lit("union"), F.when(x & y, "both").when(x, "a_b").otherwise("b_a"))
+    return t.select(F.explode(ops).alias("op"), *keys)
+
+
 def dedup_window(rows: DataFrame, keys: list[str], at: str, order: str, gap: float = 60.0, skip: Column | None = None) -> DataFrame:
-    """Keeps a row unless its key was kept less than ``gap`` before; drops do not renew that. Rows that ``skip`` names are all kept.
+    """Keeps a row unless its key was kept less than ``gap`` before; drops do not renew that. Rows that ``skip`` names, and rows without a time, are all kept.
 
     A key's rows are split where two neighbours are ``gap`` or more apart: the later one is kept whatever came
-    before, so each run can be folded by itself, in order. A run's times are folded in one array pass.
+    before, so each run can be folded by itself. A run passes by in order, with its last kept time alone in memory,
+    and whole rows come out: neither the order column nor any other has to be unique.
     """
-    plain = rows if skip is None else rows.where(~skip)
+    free = F.col(at).isNull() if skip is None else F.col(at).isNull() | F.coalesce(skip, F.lit(False))
     w = Window.partitionBy(*keys).orderBy(at, order)
-    marked = plain.withColumn("_new", F.coalesce(F.col(at) - F.lag(at).over(w) >= gap, F.lit(True)).cast("int"))
-    runs = marked.withColumn("_run", F.sum("_new").over(w)).groupBy(*keys, "_run").agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("t"), F.col(order).alias("o")))).alias("_r"))
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast(f"array<{dict(rows.dtypes)[order]}>").alias("kept"))
-
-    def step(acc: Column, x: Column) -> Column:
-        keep = acc["last"].isNull() | (x["t"].cast("double") - acc["last"] >= gap)
-        return F.struct(F.when(keep, x["t"].cast("double")).otherwise(acc["last"]).alias("last"), F.when(keep, F.concat(acc["kept"], F.array(x["o"]))).otherwise(acc["kept"]).alias("kept"))
-
-    kept = runs.select(F.explode(F.aggregate("_r", start, step)["kept"]).alias(order))
-    out = plain.join(kept, order, "left_semi")
-    return out if skip is None else out.unionByName(rows.where(skip))
+    marked = rows.where(~free).withColumn("_new", F.coalesce(F.col(at) - F.lag(at).over(w) >= gap, F.lit(True)).cast("int"))
+    runs = marked.withColumn("_run", F.sum("_new").over(w)).withColumn("_t", F.col(at).cast("double")).drop("_new")
+    lead = [*keys, "_run"]
+    columns = rows.columns
+
+    def fold(batches):
+        import pyarrow as pa
+
+        run, last = None, 0.0
+        for b in batches:
+            keep = []
+            for key, t in zip(zip(*(b.column(c).to_pylist() for c in lead), strict=True), b.column("_t").to_pylist(), strict=True):
+                kept = key != run or t - last >= gap
+                if kept:
+                    run, last = key, t
+                keep.append(kept)
+            yield b.filter(pa.array(keep, pa.bool_())).select(columns)
+
+    out = runs.repartition(*lead).sortWithinPartitions(*lead, at, order).mapInArrow(fold, rows.schema)
+    return out.unionByName(rows.where(free))
 
 
 def gaps(rows: DataFrame, keys: list[str], at: str, silence: float) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions import book, scalars
-from tapeworks.operators import asof, coverage, depth, duplicates, inventory, outcome, settle
+from tapeworks.operators import asof, coverage, depth, derive, duplicates, inventory, outcome, settle
 from tapeworks.plans.standin import BAR_S, EV, LEVELS, OFFSET_S, TOKENS, books, frames, read, tokens
+from tapeworks.sources import frames as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -48,7 +49,7 @@ def rounded(*names: str) -> str:
 
 @query(f"WITH {EV} SELECT kind, bar_ts, count(*) AS n FROM e WHERE kind IS NOT NULL GROUP BY GROUPING SETS ((kind, bar_ts), (kind))")
 def frame_counts(spark, d):
-    return frames(spark, d).where("kind IS NOT NULL").groupingSets([["kind", "bar_ts"], ["kind"]], "kind", "bar_ts").agg(F.count("*").alias("n")).select("kind", "bar_ts", "n")
+    return derive.row_counts(frames(spark, d), "bar_ts").select("kind", "bar_ts", "n")
 
 
 @query("SELECT (epoch_us(ts) // 300000000) * 300 AS bar_ts, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -74,7 +75,7 @@ def dominant_market_mode(spark, d):
 def is_primary_rows(spark, d):
     f = frames(spark, d).drop("is_primary")
     p = asof.first_seen_mode(f, ["bar_ts"], "market", "seq").select("bar_ts", F.col("market").alias("primary"))
-    own = f.join(p, "bar_ts").withColumn("is_primary", F.when(F.col("market") == F.col("primary"), 1).otherwise(0))
+    own = derive.with_primary(f, p, ["bar_ts"], F.col("market"))
     return own.groupBy("bar_ts").agg(F.sum("is_primary").alias("own"), F.count("*").alias("n"))
 
 
@@ -118,10 +119,11 @@ def book_step_audit(spark, d):
     return p.select("l_orderkey", F.col("bid_n").cast("long").alias("bid_n"), F.col("ask_n").cast("long").alias("ask_n"), "bid_min", "ask_max", "bid_odd", "ask_odd", "bid_hole", "ask_hole")
 
 
-@query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, count(*) FILTER (flag = 'A') AS bid_n, count(*) FILTER (flag = 'R') AS ask_n FROM lv GROUP BY l_orderkey)
-SELECT count(*) AS frames, count(*) FILTER (bid_n = 0) AS bid_empty, count(*) FILTER (ask_n = 0) AS ask_empty, round(avg(CASE WHEN bid_n >= 50 THEN 1.0::DOUBLE ELSE 0 END), 6) AS bid_50 FROM g""")
+@query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, count(*) FILTER (flag = 'A') AS bid_n, count(*) FILTER (flag = 'R') AS ask_n,
+  min(price) FILTER (flag = 'A') AS bid_min, max(price) FILTER (flag = 'R') AS ask_max FROM lv GROUP BY l_orderkey)
+SELECT count(*) AS frames, count(*) FILTER (bid_n = 0) AS bid_empty, count(*) FILTER (ask_n = 0) AS ask_empty, count(*) FILTER (bid_min <= 0.0101) AS bid_low, count(*) FILTER (ask_max >= 0.9899) AS ask_high, round(avg(CASE WHEN bid_n >= 50 THEN 1.0::DOUBLE ELSE 0 END), 6) AS bid_50 FROM g""")
 def depth_totals(spark, d):
-    return depth.totals(depth.profile(books(spark, d))).select("frames", "bid_empty", "ask_empty", *r6("bid_50"))
+    return depth.totals(depth.profile(books(spark, d))).select("frames", "bid_empty", "ask_empty", "bid_low", "ask_high", *r6("bid_50"))
 
 
 @query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, CAST(count(*) FILTER (flag = 'A') AS DOUBLE) AS bid_n, CAST(count(*) FILTER (flag = 'R') AS DOUBLE) AS ask_n,
@@ -137,11 +139,7 @@ u AS (SELECT 'bid_n' AS metric, bid_n AS key FROM g UNION ALL SELECT 'ask_n', as
 SELECT metric, p, quantile_disc(key, p) AS key FROM u, (SELECT unnest([0.1, 0.5, 0.9, 0.99]::DOUBLE[]) AS p) GROUP BY metric, p""".replace("quantile_disc(key, p)", "CASE p WHEN 0.1 THEN quantile_disc(key, 0.1) WHEN 0.5 THEN quantile_disc(key, 0.5) WHEN 0.9 THEN quantile_disc(key, 0.9) ELSE quantile_disc(key, 0.99) END"))
 def hist_percentile(spark, d):
     h = depth.histograms(depth.profile(books(spark, d))).where("metric IN ('bid_n', 'ask_n')")
-    out = None
-    for p in (0.1, 0.5, 0.9, 0.99):
-        one = depth.percentile(h, p, ["metric"]).withColumn("p", F.lit(p))
-        out = one if out is None else out.unionByName(one)
-    return out.select("metric", "p", "key")
+    return depth.percentiles(h, [0.1, 0.5, 0.9, 0.99], ["metric"]).select("metric", "p", "key")
 
 
 @query(f"""WITH {LEVELS}, g AS (SELECT l_orderkey, CAST(count(*) FILTER (flag = 'A') AS DOUBLE) AS key FROM lv GROUP BY l_orderkey)
@@ -155,16 +153,14 @@ def most_common_counts(spark, d):
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(s_nationkey, -1) AS side FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) ON l_suppkey = s_suppkey")
 def side_lookup(spark, d):
-    side = read(spark, d, "supplier").where("s_nationkey < 12").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("side"))
-    li = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return li.join(side, "l_suppkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.coalesce("side", F.lit(-1)).alias("side"))
+    side = read(spark, d, "supplier").where("s_nationkey < 12").select(F.col("s_suppkey").alias("asset_id"), F.col("s_nationkey").alias("side"))
+    li = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("asset_id"))
+    return derive.with_side(li, side).select("l_orderkey", "l_linenumber", "l_partkey", F.col("asset_id").alias("l_suppkey"), "side")
 
 
 @query("SELECT l_suppkey AS asset_id, count(*) AS n FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) ON l_suppkey = s_suppkey WHERE s_suppkey IS NULL GROUP BY l_suppkey ORDER BY n DESC, asset_id LIMIT 10")
 def unknown_topk(spark, d):
-    from tapeworks.operators.derive import unknown_assets
-
-    return unknown_assets(side_lookup(spark, d).select(F.col("l_suppkey").alias("asset_id"), "side"))
+    return derive.unknown_assets(side_lookup(spark, d).select(F.col("l_suppkey").alias("asset_id"), "side"))
 
 
 @query(f"WITH {EV} SELECT market, asset_id, ts_ms, value, props FROM e WHERE kind = 'book' QUALIFY row_number() OVER (PARTITION BY market, asset_id ORDER BY ts_ms DESC, seq DESC) = 1")
@@ -226,7 +222,7 @@ def coverage_grouping_sets(spark, d):
 # ---- outcome
 
 SNAP = f"""{EV}, {TOKENS}, snap AS (SELECT market, pair, bar_ts, asset_id, arg_max(struct_pack(mid := mid, spread := spread, ask := best_ask), (ts_ms, seq)) AS x FROM e
-  WHERE kind = 'book' AND mid IS NOT NULL AND spread IS NOT NULL AND ts_ms <= (bar_ts + {OFFSET_S}) * 1000 GROUP BY ALL),
+  WHERE kind = 'book' AND own = 1 AND mid IS NOT NULL AND spread IS NOT NULL AND ts_ms <= (bar_ts + {OFFSET_S}) * 1000 GROUP BY ALL),
 lead AS (SELECT market, bar_ts, arg_min(struct_pack(a := asset_id, x := x), (-x.mid, asset_id)) AS l, count(*) AS n_sides FROM snap GROUP BY market, bar_ts),
 ld AS (SELECT market, bar_ts, l.a AS lead, l.x.mid AS lead_mid, l.x.spread AS spread, l.x.ask AS ask, n_sides FROM lead WHERE n_sides = 2 OR l.x.mid > 0.5),
 w AS (SELECT ld.*, CASE WHEN winner = CAST(lead AS VARCHAR) THEN true WHEN lower(winner) IN ('up', '1') THEN CAST(lead AS VARCHAR) = up_token ELSE CAST(lead AS VARCHAR) = down_token END AS won
@@ -414,8 +410,7 @@ def set_coverage(spark, d):
 @query(f"WITH {SETS} SELECT 'union' AS op, * FROM (SELECT * FROM a UNION SELECT * FROM b) UNION ALL SELECT 'both', * FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'a_b', * FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'b_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
 def set_algebra(spark, d):
     a, b = (read(spark, d, "events").where(f"event_id % 3 <> {i}").select("user_id", "props") for i in (0, 1))
-    named = lambda x, op: x.select(F.lit(op).alias("op"), "user_id", "props")
-    return named(a.union(b).distinct(), "union").union(named(a.intersect(b), "both")).union(named(a.subtract(b), "a_b")).union(named(b.subtract(a), "b_a"))
+    return duplicates.algebra(a, b)
 
 
 @query("""WITH RECURSIVE e AS (SELECT event_id, user_id, event_type, (epoch_us(ts) // 1000) / 1000.0::DOUBLE AS t FROM events),
@@ -459,9 +454,79 @@ def json_extract(spark, d):
 @query(f"WITH {EV} SELECT market, asset_id, ts_ms, value FROM e WHERE kind = 'book' AND side = 1 AND bar_ts >= 1705000000")
 def partition_prune_roundtrip(spark, d):
     out = _shared(spark, "roundtrip")
-    f = frames(spark, d).where("kind = 'book'").select("market", "asset_id", "ts_ms", "value", "bar_ts", "side", "seq")
-    f.repartition("bar_ts", "side").sortWithinPartitions("bar_ts", "side", "asset_id", "ts_ms", "seq").write.mode("overwrite").option("compression", "zstd").partitionBy("bar_ts", "side").parquet(out)
-    return spark.read.parquet(out).where("side = 1 AND bar_ts >= 1705000000").select("market", "asset_id", "ts_ms", "value")
+    f = frames(spark, d).where("kind = 'book'").select(F.col("bar_ts").cast("string").alias("day"), F.col("side").cast("string").alias("coin"), F.lit("7d").alias("cycle"), "market", "asset_id", "ts_ms", "value", F.lit("-").alias("file"), "seq")
+    derive.write(f, "quotes", out)
+    return spark.read.parquet(f"{out}/quotes").where("coin = '1' AND CAST(day AS BIGINT) >= 1705000000").select("market", "asset_id", "ts_ms", "value")
+
+
+# ---- the raw path: events as gzip JSON lines, one file a bar, read back as captures are
+
+
+def _raw(spark, d):
+    """Events written as capture files in the shared folder, then read, parsed and named. One file a bar, renamed by the driver."""
+    out = _shared(spark, "raw")
+    f = frames(spark, d)
+    k = F.col("seq") % 40
+    level = lambda p: F.struct((p / 100).cast("string").alias("price"), (k + 1).cast("string").alias("size"))
+    book_ = F.struct(
+        F.lit("book").alias("event_type"), "market", F.col("asset_id").cast("string").alias("asset_id"), F.col("ts_ms").cast("string").alias("timestamp"), F.concat(F.lit("h"), "seq").alias("hash"),
+        F.when(k > 2, F.array(level(k + 10), level(k + 12), level(k + 11))).otherwise(F.array()).alias("bids"), F.array(level(k + 20), level(k + 15)).alias("asks"),
+    )
+    trade = F.struct(
+        F.lit("last_trade_price").alias("event_type"), "market", F.col("asset_id").cast("string").alias("asset_id"), F.col("ts_ms").cast("string").alias("timestamp"),
+        ((k + 1) / 100).cast("string").alias("price"), (k + 2).cast("string").alias("size"), F.when(k % 2 == 0, "BUY").otherwise("SELL").alias("side"), F.lit("0").alias("fee_rate_bps"),
+    )
+    gap = F.struct(F.lit("gap").alias("mark"), (F.col("ts_ms") / 1000).alias("from_ts"), (F.col("ts_ms") / 1000 + 2).alias("to_ts"), F.lit(2.0).alias("lost_s"))
+    said = F.when(F.col("kind") == "book", F.to_json(book_)).when(F.col("kind") == "trade", F.to_json(trade)).when(F.col("kind") == "gap", F.to_json(gap)).otherwise("{broken")
+    lines = f.select("bar_ts", "seq", said.alias("value")).repartition("bar_ts").sortWithinPartitions("bar_ts", "seq")
+    lines.select("bar_ts", "value").write.partitionBy("bar_ts").option("compression", "gzip").text(f"{out}/parts")
+    path = lambda x: spark._jvm.org.apache.hadoop.fs.Path(x)
+    fs = path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{out}/2024-01-01"))
+    for file in fs.globStatus(path(f"{out}/parts/bar_ts=*/part-*")):
+        bar = file.getPath().getParent().getName().split("=")[1]
+        fs.rename(file.getPath(), path(f"{out}/2024-01-01/btc-updown-5m-{bar}.jsonl.gz"))
+    return raw.kind(raw.parse(raw.read_lines(spark, raw.resolve(out, "2024-01-01"))))
+
+
+def _derived(spark, d):
+    f = _raw(spark, d)
+    pairs = frames(spark, d).where("pair % 3 <> 0").select("market", (F.col("pair") * 2 + 1).cast("string").alias("up_token"), (F.col("pair") * 2).cast("string").alias("down_token"), F.lit("updown").alias("outcome_kind")).distinct()
+    return derive.with_context(f, derive.file_summary(f), derive.sides(pairs))
+
+
+RAW = f"""{EV}, m AS ({MODE.format(where="WHERE kind IN ('book', 'trade')")}), x AS (SELECT e.*, CASE WHEN e.market = m.market THEN 1 ELSE 0 END AS prim, seq % 40 AS k,
+  CASE WHEN pair % 3 = 0 THEN -1 ELSE asset_id % 2 END AS which FROM e LEFT JOIN m ON e.bar_ts = m.bar_ts)"""
+
+
+@query(f"""WITH {EV}, m AS ({MODE.format(where="WHERE kind IN ('book', 'trade')")}), c AS (SELECT bar_ts, count(*) AS rows, count(*) FILTER (kind IS NULL) AS bad_json,
+  count(DISTINCT market) FILTER (kind IN ('book', 'trade')) AS n_markets FROM e GROUP BY bar_ts) SELECT c.*, m.market AS "primary" FROM c LEFT JOIN m ON c.bar_ts = m.bar_ts""")
+def raw_file_summary(spark, d):
+    s = derive.file_summary(_raw(spark, d))
+    return s.select(F.regexp_extract("file", r"-(\d+)\.jsonl", 1).cast("long").alias("bar_ts"), "rows", "bad_json", "n_markets", "primary")
+
+
+@query(f"""WITH {RAW} SELECT 'btc' AS coin, '5m' AS cycle, ts_ms, bar_ts, market, CAST(asset_id AS VARCHAR) AS asset_id, which AS side, CASE WHEN k > 2 THEN (k + 12) / 100.0::DOUBLE END AS best_bid,
+  CASE WHEN k > 2 THEN (k + 1)::DOUBLE END AS best_bid_sz, (k + 15) / 100.0::DOUBLE AS best_ask, (k + 1)::DOUBLE AS best_ask_sz, CASE WHEN k > 2 THEN 3 ELSE 0 END AS n_bids, 2 AS n_asks,
+  'h' || seq AS book_hash, 'btc-updown-5m-' || bar_ts AS slug, prim AS is_primary FROM x WHERE kind = 'book'""")
+def raw_quotes(spark, d):
+    return derive.quotes(_derived(spark, d)).drop("day", "mid", "spread", "file", "seq")
+
+
+@query(f"""WITH {RAW} SELECT ts_ms, bar_ts, market, CAST(asset_id AS VARCHAR) AS asset_id, which AS side, CASE WHEN k % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS taker_side, (k + 1) / 100.0::DOUBLE AS price,
+  (k + 2)::DOUBLE AS size, 0 AS fee_rate_bps, prim AS is_primary FROM x WHERE kind = 'trade'""")
+def raw_trades(spark, d):
+    return derive.trades(_derived(spark, d)).select("ts_ms", "bar_ts", "market", "asset_id", "side", "taker_side", "price", "size", "fee_rate_bps", "is_primary")
+
+
+@query(f"WITH {EV} SELECT bar_ts, round(ts_ms / 1000.0::DOUBLE, 3) AS from_ts, round(ts_ms / 1000.0::DOUBLE + 2, 3) AS to_ts, 2.0::DOUBLE AS lost_s, 'btc-updown-5m-' || bar_ts AS slug FROM e WHERE kind = 'gap'")
+def raw_marks(spark, d):
+    return derive.marks(_derived(spark, d)).select("bar_ts", F.round("from_ts", 3).alias("from_ts"), F.round("to_ts", 3).alias("to_ts"), "lost_s", "slug")
+
+
+@query(f"WITH {EV} SELECT kind, count(*) AS n FROM e WHERE kind IS NOT NULL GROUP BY kind")
+def raw_row_counts(spark, d):
+    return derive.row_counts(_raw(spark, d)).where("day IS NULL").select("kind", "n")
 
 
 @query("SELECT (epoch_us(ts) // 86400000000) * 86400 AS bar_ts, event_type, count(*) AS n FROM events GROUP BY ALL")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeworks.sources import frames as raw
+
 BAR_S, OFFSET_S = 604_800, 302_400
 
 
@@ -23,15 +25,17 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.select(F.col("event_id").alias("seq"), F.col("user_id").alias("asset_id"), "event_type", "value", "props", ms.alias("ts_ms"))
     k = F.from_json("props", "k long")["k"]
     e = e.withColumns({"bar_ts": F.floor(F.col("ts_ms") / (BAR_S * 1000)) * BAR_S, "pair": F.expr("asset_id div 2"), "side": F.col("asset_id") % 2, "mid": F.col("value") / 500, "spread": (k % 8) / 100})
-    kind = F.when(F.col("event_type").isin("view", "click"), "book").when(F.col("event_type") == "purchase", "trade").when(F.col("event_type") == "error", "gap")
-    return e.withColumns({"kind": kind, "market": F.concat_ws("-", "pair", "bar_ts"), "best_ask": F.col("mid") + F.col("spread") / 2, "best_bid": F.col("mid") - F.col("spread") / 2, "is_primary": F.lit(1), "is_book": F.coalesce(kind == "book", F.lit(False))})
+    said = F.when(F.col("event_type").isin("view", "click"), "book").when(F.col("event_type") == "purchase", "last_trade_price")
+    f = F.struct(said.alias("event_type"), F.when(F.col("event_type") == "error", "gap").alias("mark"))
+    e = raw.kind(e.withColumns({"f": f, "bad_json": F.lit(False)})).drop("f", "bad_json")
+    return e.withColumns({"market": F.concat_ws("-", "pair", "bar_ts"), "best_ask": F.col("mid") + F.col("spread") / 2, "best_bid": F.col("mid") - F.col("spread") / 2, "is_primary": F.when(F.col("pair") % 13 != 5, 1).otherwise(0), "is_book": F.coalesce(F.col("kind") == "book", F.lit(False))})
 
 
 EV = f"""ev AS (
   SELECT event_id AS seq, user_id AS asset_id, event_type, value, props, epoch_us(ts) // 1000 AS ts_ms, ((epoch_us(ts) // 1000) // {BAR_S * 1000}) * {BAR_S} AS bar_ts,
          user_id // 2 AS pair, user_id % 2 AS side, value / 500 AS mid, (CAST(json_extract(props, '$.k') AS BIGINT) % 8) / 100.0::DOUBLE AS spread,
          CASE WHEN event_type IN ('view', 'click') THEN 'book' WHEN event_type = 'purchase' THEN 'trade' WHEN event_type = 'error' THEN 'gap' END AS kind FROM events),
-e AS (SELECT *, CAST(pair AS VARCHAR) || '-' || CAST(bar_ts AS VARCHAR) AS market, mid + spread / 2 AS best_ask, mid - spread / 2 AS best_bid FROM ev)"""
+e AS (SELECT *, CASE WHEN pair % 13 <> 5 THEN 1 ELSE 0 END AS own, CAST(pair AS VARCHAR) || '-' || CAST(bar_ts AS VARCHAR) AS market, mid + spread / 2 AS best_ask, mid - spread / 2 AS best_bid FROM ev)"""
 
 
 def tokens(f: DataFrame) -> DataFrame:

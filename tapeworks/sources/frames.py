@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tapeworks.functions.scalars import slug_of
 from tapeworks.schemas import RAW_FRAME
 
+# What file names look like, and where a line names its event.
+EVENT_RULE = r'"event_type"\s*:\s*"([^"]+)"'
 NAME_RULE = r"([a-z]+)-updown-(\d+m)-(\d+)\.jsonl\.gz$"
 
 
@@ -45,7 +47,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def parse(lines: DataFrame, *, books_only: bool = False) -> DataFrame:
     """Adds the frame's fields as struct ``f`` and bad_json. ``books_only`` parses lines with "book" alone; ev is the event by pattern."""
     f = F.from_json("value", RAW_FRAME, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    ev = F.nullif(F.regexp_extract("value", r'"event_type"\s*:\s*"([^"]+)"', 1), F.lit(""))
+    ev = F.nullif(F.regexp_extract("value", EVENT_RULE, 1), F.lit(""))
     if books_only:
         f = F.when(F.col("value").contains('"book"'), f)
     out = lines.withColumn("ev", ev).withColumn("f", f)

@@ -105,19 +105,20 @@ def test_settle(spark):
 
 def test_inventory(spark, tmp_path):
     mk = lambda d: spark.createDataFrame(list(d.items()), "path string, bytes long")
-    remote = {"2026-09-16/a": 100, "2026-09-16/b": 200, "2026-09-17/c": 300}
-    d = {r.path: (r.state, r.remote, r.local) for r in inventory.diff(mk(remote), mk({"2026-09-16/a": 100, "2026-09-16/b": 150, "2026-09-15/old": 1})).collect()}
-    assert d == {"2026-09-16/b": ("mismatch", 200, 150), "2026-09-17/c": ("missing", 300, None), "2026-09-15/old": ("extra", None, 1)}
-    assert {r.path for r in inventory.within_days(mk(remote), 0, 1789529400.0).collect()} == set(remote)
-    assert inventory.within_days(mk({"2026-09-10/x": 1, "2026-09-16/y": 1}), 2, 1789529400.0).count() == 1
-    res = {r.path: r.state for r in inventory.residual(mk({"a": 1, "b": 1, "c": 1}), mk({"a": 200, "b": 200, "c": 9}), mk({"a": 300, "b": 200})).collect()}
-    assert res == {"a": "growing", "b": "real", "c": "growing"}
+    remote = {"2026-03-04/sun": 12, "2026-03-04/moon": 71, "2026-03-05/star": 5_000}
+    d = {r.path: (r.state, r.remote, r.local) for r in inventory.diff(mk(remote), mk({"2026-03-04/sun": 12, "2026-03-04/moon": 70, "2026-02-27/dust": 9})).collect()}
+    assert d == {"2026-03-04/moon": ("mismatch", 71, 70), "2026-03-05/star": ("missing", 5_000, None), "2026-02-27/dust": ("extra", None, 9)}
+    noon = 1_772_712_000.0  # 2026-03-05
+    assert {r.path for r in inventory.within_days(mk(remote), 0, noon).collect()} == set(remote)
+    assert inventory.within_days(mk({"2026-02-20/x": 1, "2026-03-05/y": 1}), 2, noon).count() == 1
+    res = {r.path: r.state for r in inventory.residual(mk({"p": 1, "q": 1, "r": 1}), mk({"p": 31, "q": 44, "r": 2}), mk({"p": 32, "q": 44})).collect()}
+    assert res == {"p": "growing", "q": "real", "r": "growing"}
     p = str(tmp_path / "inv.txt")
     listings.write_inventory(mk(remote), p, "header")
     (tmp_path / "inv.txt").open("a").write("bad row\n# note\n")
     assert {r.path: r.bytes for r in listings.read_inventory(spark, p).collect()} == remote
-    got = {r.path: r.change for r in inventory.reconcile(mk({"x": 1, "y": 2}), mk({"x": 5, "z": 3})).collect()}
-    assert got == {"x": "changed", "y": "gone", "z": "added"}
+    got = {r.path: r.change for r in inventory.reconcile(mk({"k": 3, "l": 4}), mk({"k": 7, "m": 6})).collect()}
+    assert got == {"k": "changed", "l": "gone", "m": "added"}
     packs = spark.createDataFrame([("l2_2026-09-16", 100.0), ("l2_full", 0.0)], "name string, mtime double")
     r = {x.name: (x.publish, x["delete"]) for x in inventory.retention(packs, 100.0 + 8 * 86400).collect()}
     assert r == {"l2_2026-09-16": (False, True), "l2_full": (False, False)}
@@ -159,3 +160,48 @@ def test_catalogue_on_the_smallest_tables(spark, name):
     from tapeworks.plans.catalogue import queries
 
     assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_dedup_window_keeps_rows_not_orders(spark):
+    from tapeworks.operators import duplicates
+
+    rows = [("a", 0.0, 1), ("a", 10.0, 2), ("b", 0.0, 2), ("b", 59.9, 2), ("b", 60.0, 2), ("b", 119.0, 3), (None, 5.0, 1), (None, 6.0, 1), ("a", None, 9), ("c", 0.0, 4), ("c", 0.0, 4)]
+    df = spark.createDataFrame(rows, "k string, t double, o int").repartition(3)
+    got = sorted(duplicates.dedup_window(df, ["k"], "t", "o", 60.0).collect(), key=str)
+    assert sorted(map(tuple, got), key=str) == sorted([("a", 0.0, 1), ("b", 0.0, 2), ("b", 60.0, 2), (None, 5.0, 1), ("a", None, 9), ("c", 0.0, 4)], key=str)
+    assert duplicates.dedup_window(df, ["k"], "t", "o", 60.0, F.col("k") == "c").where("k = 'c'").count() == 2
+    long = spark.range(3000).select(F.lit("x").alias("k"), F.col("id").cast("double").alias("t"), F.col("id").alias("o"))  # never silent
+    assert [r.t for r in duplicates.dedup_window(long, ["k"], "t", "o", 60.0).orderBy("t").collect()] == [60.0 * i for i in range(50)]
+    assert duplicates.dedup_window(long.limit(0), ["k"], "t", "o").count() == 0
+
+
+def test_set_algebra_and_percentiles(spark):
+    from tapeworks.operators import depth, duplicates
+
+    a, b = (spark.createDataFrame([(x,) for x in xs], "v int") for xs in ([1, 1, 2, None], [2, 3, None, None]))
+    got = sorted(map(tuple, duplicates.algebra(a, b).collect()), key=str)
+    assert got == sorted([("union", 1), ("union", 2), ("union", 3), ("union", None), ("both", 2), ("both", None), ("a_b", 1), ("b_a", 3)], key=str)
+    h = spark.createDataFrame([("m", 1.0, 5), ("m", 2.0, 4), ("m", 9.0, 1)], "metric string, key double, n long")
+    assert {r.p: r.key for r in depth.percentiles(h, [0.1, 0.5, 0.9, 0.99], ["metric"]).collect()} == {0.1: 1.0, 0.5: 1.0, 0.9: 2.0, 0.99: 9.0}
+    assert depth.percentile(h, 0.9, ["metric"]).first().key == 2.0
+
+
+def test_file_helpers(spark, tmp_path):
+    import json
+
+    from tapeworks.operators import derive
+    from tapeworks.sources import frames as src
+
+    day = tmp_path / "2026-03-04"
+    day.mkdir()
+    (day / "btc-updown-5m-1772582400.jsonl.gz").write_bytes(b"abc")
+    (day / "notes.txt").write_text("x")
+    assert [(r.path, r.bytes) for r in listings.scan_files(spark, str(tmp_path)).collect()] == [("2026-03-04/btc-updown-5m-1772582400.jsonl.gz", 3)]
+    (tmp_path / "packs.json").write_text(json.dumps({"generated": "x", "files": [{"name": "p1", "size": 4, "mtime": 1.5, "sha256": "ab", "final": True}]}))
+    assert [tuple(r) for r in listings.read_packages(spark, str(tmp_path / "packs.json")).collect()] == [("p1", 4, 1.5, "ab", True)]
+    f = spark.createDataFrame([(f"f{i}", "d1" if i < 6 else "d2", "book" if i % 2 else None) for i in range(12)], "file string, day string, kind string")
+    assert derive.sample_files(f, 5).count() == 5 and derive.sample_files(f, 5).collect() == derive.sample_files(f.repartition(7), 5).collect()
+    assert {(r.day, r.n) for r in derive.row_counts(f).collect()} == {("d1", 3), ("d2", 3), (None, 6)}
+    assert src.without_files(f, f.where("file IN ('f1', 'f2')").select("file")).count() == 10
+    derive.write_tokens(spark.createDataFrame([("m2", "u"), ("m1", "v")], "market string, up_token string"), str(tmp_path))
+    assert [r.market for r in spark.read.parquet(f"{tmp_path}/bar_tokens").collect()] == ["m1", "m2"]
