@@ -54,34 +54,38 @@ class Lexicon:
     words: frozenset[bytes] = frozenset()
     heads: frozenset[bytes] = frozenset()
 
-    def flags(self, word: bytes) -> int:
-        w = plain(word)
+    def flags(self, w: bytes) -> int:
+        """What the lexicon says of a plain word."""
         text = w.decode("utf-8", "replace")
-        out = HIT if w in self.words else 0
-        if any(text[:n].encode() in self.heads for n in HEADS if len(text) >= n):
-            out |= HEAD
-        if w in _SECOND:
-            out |= SECOND
-        raw = word.decode("utf-8", "replace")
-        if len(raw) > 2 and raw.isupper():
-            out |= CAPS
-        bare = raw.strip(EDGE)
-        if any(c.isalpha() for c in bare) and (any(c in DISGUISE for c in bare) or re.search(r"(.)\1\1", bare)):
-            out |= ODD
-        return out
+        return (HIT if w in self.words else 0) | (HEAD if any(text[:n].encode() in self.heads for n in HEADS if len(text) >= n) else 0)
+
+
+def shape(word: bytes, w: bytes) -> int:
+    """What a word and its plain form say without a lexicon."""
+    out, raw = SECOND if w in _SECOND else 0, word.decode("utf-8", "replace")
+    if len(raw) > 2 and raw.isupper():
+        out |= CAPS
+    bare = raw.strip(EDGE)
+    if any(c.isalpha() for c in bare) and (any(c in DISGUISE for c in bare) or re.search(r"(.)\1\1", bare)):
+        out |= ODD
+    return out
 
 
 _SECOND = frozenset(w.encode() for w in SECOND_PERSON)
 
 
 class Flags(dict):
-    def __init__(self, lexicon: Lexicon):
-        self.lexicon = lexicon
+    """word -> a byte of flags for each of the lexicons."""
+
+    def __init__(self, *lexicons: Lexicon):
+        self.lexicons = lexicons
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHE_WORDS:
             self.clear()
-        out = self[word] = self.lexicon.flags(word)
+        w = plain(word)
+        own = shape(word, w)
+        out = self[word] = bytes(x.flags(w) | own for x in self.lexicons)
         return out
 
 
@@ -89,10 +93,16 @@ _PUNCT = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + by
 
 
 def features(text: str | None, flags: Flags) -> list[float]:
+    """The features by each of the lexicons, one behind the other."""
     raw = text.encode("utf-8", "replace") if text else b""
     words = raw.split()
-    n, size = max(len(words), 1), max(len(raw), 1)
-    f = np.frombuffer(bytes(map(flags.__getitem__, words)), np.uint8)
+    f = np.frombuffer(b"".join(map(flags.__getitem__, words)), np.uint8).reshape(-1, len(flags.lexicons))
+    kinds = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+    return [x for i in range(len(flags.lexicons)) for x in _features(f[:, i], kinds, len(words), len(raw))]
+
+
+def _features(f: np.ndarray, kinds: np.ndarray, n_words: int, n_bytes: int) -> list[float]:
+    n, size = max(n_words, 1), max(n_bytes, 1)
     hit, head, second = f & HIT > 0, f & HEAD > 0, f & SECOND > 0
     toxic = np.flatnonzero(hit | head)
     near = 0
@@ -103,11 +113,10 @@ def features(text: str | None, flags: Flags) -> list[float]:
         right = np.abs(at[np.minimum(j, len(at) - 1)] - toxic)
         near = int((np.minimum(left, right) <= 5).sum())
     odd = f & ODD > 0
-    kinds = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     return [
         float(hit.sum()), float(hit.sum()) / n, float(head.sum()), float(head.sum()) / n, float(near), float(second.sum()) / n, float((f & CAPS > 0).sum()) / n,
         float(kinds[33]) / n, float(kinds[list(_PUNCT)].sum()) / size, float(odd.sum()) / n, float((odd & (hit | head)).sum()), float(kinds[65:91].sum()) / size,
-        float(kinds[48:58].sum()) / size, math.log1p(len(words)),
+        float(kinds[48:58].sum()) / size, math.log1p(n_words),
     ]
 
 
@@ -249,9 +258,9 @@ def _feature_rows(lexicons: list[Lexicon]):
     """Features by each of the lexicons, one behind the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = [Flags(x) for x in lexicons]
+        flags = Flags(*lexicons)
         for b in batches:
-            x = [[v for f in flags for v in features(t, f)] for t in b.column("text").to_pylist()]
+            x = [features(t, flags) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("order"), b.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["order", "toxic", "x"])
 
     return run
