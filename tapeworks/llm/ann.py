@@ -1,20 +1,23 @@
-"""Approximate nearest neighbours by multiprobe p-stable hashing.
-
-``HASHES`` Gaussian projections, cut into slots of width ``width``, give a vector's bucket. A query visits
-its own bucket and those up to one slot away per hash in estimated success order: by the sum of squared
-distances from its projections to the visited slots (Lv et al. 2007). Candidates of the visited buckets
-are ranked by their exact inner product. Inner products become distances by one more coordinate,
-``sqrt(M^2 - |x|^2)`` for rows and 0 for queries, M the largest norm.
-
-How many buckets to visit is fitted on a bounded, documented sample; every row is indexed. Buckets are
-dealt over a bounded number of blocks, so that a task holds one block and streams the queries that probe
-it: no candidate pair is ever a row, and each block returns at most ``k`` rows per query. Queries that the
-probes leave short of ``k`` rows, or all where no number of probes reaches the recall asked for, are ranked
-against every block instead.
+"""Approximate nearest neighbours by multiprobe p-stable hashing over several tables.
+
+In each of ``TABLES`` tables, Gaussian projections cut into slots of width ``WIDTH`` give a vector's bucket.
+The number of projections follows the number of rows, so that a bucket holds some ``BUCKET_ROWS`` of them at
+every size. A query visits, in each table, its own bucket and perturbed ones in estimated success order (Lv
+et al. 2007: sets of slot borders by the expected sum of squared distances of their ranks, made once, then
+mapped to each query's own borders by sorting them). The candidates of all tables are merged and ranked by
+their exact inner product. Inner products become distances by one more coordinate, ``sqrt(M^2 - |x|^2)`` for
+rows and 0 for queries, M the largest norm.
+
+How many buckets a query visits is fitted on a bounded, documented set of queries against all rows; every
+row is indexed in every table. Buckets are dealt over blocks by the slots of their first projections, so that
+a task holds one block and streams the queries that probe it: no candidate pair is ever a row, and each block
+returns at most ``k`` rows per query. Queries that the probes leave short of ``k`` rows, or all where no number
+of probes reaches the recall asked for, are ranked against every row instead.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -25,103 +28,216 @@ from pyspark.sql import functions as F
 
 from tapeworks.llm.common import stage
 
-HASHES, WIDTH, SEED = 6, 3.0, 5
-#: Sample for fitting the number of probes: rows, queries, and the recall asked of it.
-SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 8_192, 256, 0.97
-#: Rows that a block holds at most.
+TABLES, WIDTH, SEED = 4, 2.0, 5
+#: Rows that a bucket holds on average; bits that one projection's slot gives at this width (its entropy).
+BUCKET_ROWS, SLOT_BITS = 32, math.log2(math.sqrt(2 * math.pi * math.e) / WIDTH)
+#: Queries for fitting the number of probes, the recall asked of them, and the most probes a table.
+FIT_QUERIES, TARGET, MOST_PROBES = 256, 0.95, 8_192
+#: Rows of all tables that a block holds at most, but for chance.
 BLOCK_ROWS = 32_768
 
 
+def hash_count(rows: int) -> int:
+    """Projections of a table: as many as part ``rows`` into buckets of ``BUCKET_ROWS``."""
+    return max(4, round(math.log2(max(rows, 1) / BUCKET_ROWS + 1) / SLOT_BITS))
+
+
+def perturbations(hashes: int, most: int) -> np.ndarray:
+    """Sets of border ranks by expected score, the empty set first: a 0/1 matrix, sets by 2 * ``hashes`` ranks.
+
+    Ranks r and 2 * ``hashes`` - 1 - r are the two borders of one slot, so no set holds both.
+    """
+    m = hashes
+    near = [j * (j + 1) / (4 * (m + 1) * (m + 2)) for j in range(1, m + 1)]
+    z = near + [1 - j / (m + 1) + j * (j + 1) / (4 * (m + 1) * (m + 2)) for j in range(m, 0, -1)]
+    heap, out = [(z[0], (0,))], [()]
+    while heap and len(out) < most:
+        cost, ranks = heapq.heappop(heap)
+        if all(2 * m - 1 - r not in ranks for r in ranks):
+            out.append(ranks)
+        last = ranks[-1]
+        if last + 1 < 2 * m:
+            heapq.heappush(heap, (cost - z[last] + z[last + 1], (*ranks[:-1], last + 1)))
+            heapq.heappush(heap, (cost + z[last + 1], (*ranks, last + 1)))
+    sets = np.zeros((len(out), 2 * m), np.int64)
+    for i, ranks in enumerate(out):
+        sets[i, list(ranks)] = 1
+    return sets
+
+
 class Hashing:
-    """The projections, and what they make of vectors."""
+    """The projections of all tables, and what they make of vectors."""
 
-    def __init__(self, dim: int, top: float, seed: int = SEED, hashes: int = HASHES, width: float = WIDTH):
+    def __init__(self, dim: int, top: float, hashes: int, *, cell: int = 0, seed: int = SEED, tables: int = TABLES, most: int = MOST_PROBES):
         rng = np.random.default_rng(seed)
-        self.top = top or 1.0
-        self.a, self.b, self.width = rng.standard_normal((dim + 1, hashes)), rng.uniform(0, width, hashes), width
-        self.moves = np.stack(np.meshgrid(*[[-1, 0, 1]] * hashes, indexing="ij"), -1).reshape(-1, hashes)
+        self.top, self.tables, self.hashes = top or 1.0, tables, hashes
+        self.a, self.b = rng.standard_normal((dim + 1, tables * hashes)), rng.uniform(0, WIDTH, tables * hashes)
+        # a bucket's code is linear in its slots, so a probe's code is the query's own plus its moves'; a cell takes the first slots only
+        self.weights = rng.integers(-(1 << 62), 1 << 62, (2, tables, hashes)) | 1
+        self.weights[1, :, cell:] = 0
+        self.shift = rng.integers(-(1 << 62), 1 << 62, (2, tables))
+        self.sets = perturbations(hashes, most)
 
     def project(self, x: np.ndarray, rows: bool) -> np.ndarray:
-        """In units of slots. A query is scaled to the largest norm: its own length changes no order."""
+        """In units of slots: vectors by tables by hashes. A query is scaled to the largest norm: its own length changes no order."""
         norm = np.sqrt((x * x).sum(1))
         if rows:
             extra = np.sqrt(np.maximum(1.0 - np.minimum(norm / self.top, 1.0) ** 2, 0.0))
             x = x / self.top
         else:
             extra, x = np.zeros(len(x)), x / np.maximum(norm, 1e-300)[:, None]
-        return (np.c_[x, extra] @ self.a + self.b) / self.width
+        return ((np.c_[x, extra] @ self.a + self.b) / WIDTH).reshape(len(x), self.tables, self.hashes)
 
-    def bucket(self, slots: np.ndarray) -> np.ndarray:
-        """One number for a bucket: the slots, 8 bits each, or hashed together where a slot is far out."""
-        weights = np.int64(1) << (np.int64(10) * np.arange(slots.shape[-1], dtype=np.int64))
-        return (np.clip(slots, -511, 511).astype(np.int64) + 512) @ weights
+    def codes(self, slots: np.ndarray) -> np.ndarray:
+        """Bucket and cell of each vector in each table, 64 bits each: 2 by vectors by tables."""
+        s = np.floor(slots).astype(np.int64)
+        return np.stack([(s * w).sum(-1) + c for w, c in zip(self.weights, self.shift, strict=True)])
 
     def probes(self, x: np.ndarray, count: int) -> np.ndarray:
-        """Buckets to visit, in estimated success order, for each query."""
+        """Buckets and cells to visit in estimated success order: 2 by queries by tables by probes."""
         p = self.project(x, rows=False)
-        slot = np.floor(p)
-        inside = p - slot
-        gap = np.stack([inside, np.zeros_like(inside), 1 - inside], -1) ** 2  # to slot -1, 0, +1
-        score = sum(gap[:, j, self.moves[:, j] + 1] for j in range(p.shape[1]))
-        order = np.argpartition(score, count - 1, axis=1)[:, :count] if count < score.shape[1] else np.broadcast_to(np.arange(score.shape[1]), score.shape)
-        order = np.take_along_axis(order, np.argsort(np.take_along_axis(score, order, 1), axis=1, kind="stable"), 1)
-        return self.bucket(slot[:, None, :] + self.moves[order])
-
-
-def fit_probes(sample: np.ndarray, hashing: Hashing, k: int, target: float = TARGET) -> int:
-    """The least number of probes that finds ``target`` of the true neighbours within the sample; more than there are if none does."""
-    every = len(hashing.moves)
-    if len(sample) <= k + 1:
-        return every
-    queries = sample[: min(SAMPLE_QUERIES, len(sample))]
-    s = queries @ sample.T
-    s[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
-    best = np.argpartition(-s, k, axis=1)[:, :k]
-    own = hashing.bucket(np.floor(hashing.project(sample, rows=True)))[best]
-    probes = hashing.probes(queries, every)
-    at = np.full(own.shape, every)
-    for i in range(len(queries)):
-        rank = {b: r for r, b in reversed(list(enumerate(probes[i].tolist())))}
-        at[i] = [rank.get(b, every) for b in own[i].tolist()]
-    return int(np.sort(at.ravel())[min(at.size - 1, math.ceil(target * at.size) - 1)]) + 1
+        inside = p - np.floor(p)
+        order = np.argsort(np.concatenate([inside, 1 - inside], -1), -1, kind="stable")  # borders below, then above
+        base, sets = self.codes(p), self.sets[:count]
+        out = np.empty((2, *p.shape[:2], len(sets)), np.int64)
+        for i, w in enumerate(self.weights):
+            moves = np.take_along_axis(np.broadcast_to(np.concatenate([-w, w], -1), order.shape), order, -1)
+            out[i] = base[i][..., None] + moves @ sets.T
+        return out
+
+
+class Places:
+    """Blocks of each table's cells. A cell of more rows than a block takes lies in several, its rows dealt by id."""
+
+    def __init__(self, tables: int, per_table: int, crowded: dict[int, int]):
+        self.tables, self.per_table = tables, per_table
+        self.cells = np.array(sorted(crowded), np.int64)
+        self.pieces = np.array([crowded[c] for c in sorted(crowded)], np.int64)
+
+    def count(self, cells: np.ndarray) -> np.ndarray:
+        """In how many blocks each cell lies."""
+        if not len(self.cells):
+            return np.ones(cells.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
+        return np.where(self.cells[at] == cells, self.pieces[at], 1)
+
+    def block(self, table: np.ndarray, cells: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        return table * self.per_table + (_mix(cells) + piece) % self.per_table
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """31 well-mixed bits of 64-bit numbers."""
+    u = x.astype(np.uint64)
+    return (((u ^ (u >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+
+
+def _short(codes: np.ndarray) -> np.ndarray:
+    """A bucket's name inside a block: 32 of its bits. Two buckets of one name only add candidates."""
+    return (codes >> 32).astype(np.int32)
+
+
+def fit_probes(queries: np.ndarray, best: list[np.ndarray], hashing: Hashing, target: float = TARGET) -> int:
+    """The least number of probes a table that finds ``target`` of the queries' true neighbours ``best``; more than there are if none does."""
+    every, at = len(hashing.sets), []
+    for i, near in enumerate(best):
+        if not len(near):
+            continue
+        own, probes = hashing.codes(hashing.project(near, rows=True))[0], hashing.probes(queries[i : i + 1], every)[0, 0]
+        first = np.full(len(near), every)
+        for t in range(hashing.tables):
+            order = np.argsort(probes[t], kind="stable")
+            j = np.minimum(np.searchsorted(probes[t], own[:, t], sorter=order), every - 1)
+            first = np.minimum(first, np.where(probes[t][order[j]] == own[:, t], order[j], every))
+        at += first.tolist()
+    return sorted(at)[min(len(at) - 1, math.ceil(target * len(at)) - 1)] + 1 if at else 1
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _hash_rows(hashing: Hashing, dim: int):
+def _few(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def _scan(asked: np.ndarray, asked_ids: list[int], dim: int, k: int):
+    """Of each partition, the ``k`` vectors of largest inner product with each of the given queries but their own rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((len(asked), 0, dim)), np.zeros((len(asked), 0))
+        for b in _few(batches, 2_048):
+            x, ids = _matrix(b.column("v"), dim), b.column("ids").to_pylist()
+            s = asked @ x.T
+            own = {i: n for n, i in enumerate(asked_ids)}
+            for j, of in enumerate(ids):
+                if len(of) == 1 and of[0] in own:
+                    s[own[of[0]], j] = -np.inf
+            take = min(k, len(x))
+            top = np.argpartition(-s, take - 1, axis=1)[:, :take]
+            rows, score = np.concatenate([held[0], x[top]], 1), np.concatenate([held[1], np.take_along_axis(s, top, 1)], 1)
+            keep = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            held = np.take_along_axis(rows, keep[..., None], 1), np.take_along_axis(score, keep, 1)
+        n = held[1].shape[1]
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(len(asked)), n), pa.int32()), pa.array(list(held[0].reshape(-1, dim)), pa.list_(pa.float64())), pa.array(held[1].ravel())],
+                names=["n", "v", "score"],
+            )
+
+    return run
+
+
+def _cell_counts(hashing: Hashing, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                codes = hashing.bucket(np.floor(hashing.project(_matrix(b.column("v"), dim), rows=True)))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes)], names=[*b.schema.names, "bucket"])
+                cells, counts = np.unique(hashing.codes(hashing.project(_matrix(b.column("v"), dim), rows=True))[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts)], names=["cell", "n"])
 
     return run
 
 
-def _route(hashing: Hashing, dim: int, probes: int, block_of: dict[int, list[int]]):
-    """Query rows, one for each block that holds a bucket they probe, with the buckets to visit there."""
+def _place(hashing: Hashing, places: Places, dim: int):
+    """Each row once a table, with its block and its bucket there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, ids = _matrix(b.column("v"), dim), b.column("vec_id").to_pylist()
-            visits = hashing.probes(x, probes)
-            block, who, which = [], [], []
-            for i, row in enumerate(visits.tolist()):
-                per: dict[int, list[int]] = {}
-                for code in dict.fromkeys(row):
-                    for n in block_of.get(code, ()):
-                        per.setdefault(n, []).append(code)
-                for n, codes in per.items():
-                    block.append(n)
-                    who.append(i)
-                    which.append(codes)
+        for b in _few(batches, 4_096):
+            codes, cells = hashing.codes(hashing.project(_matrix(b.column("v"), dim), rows=True))
+            least = np.array([min(i) for i in b.column("ids").to_pylist()], np.int64)
+            for t in range(hashing.tables):
+                block = places.block(np.int64(t), cells[:, t], _mix(least) % places.count(cells[:, t]))
+                n = len(block)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block, pa.int32()), pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.int64()), b.column("ids"), b.column("v"),
+                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32)), pa.array(_short(codes[:, t])))],
+                    names=["block", "kind", "vec_id", "ids", "v", "codes"],
+                )
+
+    return run
+
+
+def _route(hashing: Hashing, places: Places, dim: int, probes: int):
+    """Query rows, one for each block that can hold a bucket they probe, with the buckets to visit there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _few(batches, 32):
+            codes, cells = hashing.probes(_matrix(b.column("v"), dim), probes)
+            who, table = np.broadcast_to(np.arange(len(cells))[:, None, None], cells.shape).ravel(), np.broadcast_to(np.arange(cells.shape[1])[:, None], cells.shape).ravel()
+            codes, cells = _short(codes.ravel()), cells.ravel()
+            pieces = places.count(cells)
+            at = np.repeat(np.arange(len(cells)), pieces)
+            piece = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            block = places.block(table[at], cells[at], piece)
+            order = np.lexsort((block, who[at]))
+            at, block = at[order], block[order]
+            starts = np.flatnonzero(np.r_[True, (np.diff(who[at]) != 0) | (np.diff(block) != 0)])
+            query = pa.array(who[at][starts])
+            n = len(starts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block, pa.int32()), pa.array([1] * len(block), pa.int32()), pa.array([ids[i] for i in who], pa.int64()),
-                 pa.array([None] * len(block), pa.list_(pa.int64())), pa.array(list(x[who]) if who else [], pa.list_(pa.float64())), pa.array(which, pa.list_(pa.int64()))],
+                [pa.array(block[starts], pa.int32()), pa.array(np.ones(n, np.int32)), b.column("vec_id").take(query), pa.nulls(n, pa.list_(pa.int64())), b.column("v").take(query),
+                 pa.ListArray.from_arrays(pa.array(np.r_[starts, len(at)].astype(np.int32)), pa.array(codes[at]))],
                 names=["block", "kind", "vec_id", "ids", "v", "codes"],
             )
 
@@ -129,34 +245,28 @@ def _route(hashing: Hashing, dim: int, probes: int, block_of: dict[int, list[int
 
 
 def _rank(dim: int, k: int):
-    """Per block: its rows come first, then the queries; yields each query's best k of the block."""
+    """Per block: its rows come first, then the queries; yields each query's best k of the buckets it visits there (of all where it names none)."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def best(x, ids, buckets, starts, q_ids, q, visits) -> pa.RecordBatch:
-        n = len(q_ids)
-        scores = np.full((n, len(x)), -np.inf)
-        lookup = {c: j for j, c in enumerate(buckets.tolist())}
-        at = np.zeros((len(buckets), n), bool)
-        for i, codes in enumerate(visits):
-            if codes is None:
-                at[:, i] = True
-            for c in codes or ():
-                if c in lookup:
-                    at[lookup[c], i] = True
-        for j in range(len(buckets)):
-            who = np.flatnonzero(at[j])
-            if len(who):
-                lo, hi = starts[j], starts[j + 1]
-                scores[who, lo:hi] = q[who] @ x[lo:hi].T
-        take = min(k + 1, len(x))  # one more: the query itself may be among them
-        top = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-        edge = np.take_along_axis(scores, top, 1).min(1)
+    def best(x, ids, codes, q_ids, q, visits) -> pa.RecordBatch | None:
         out: list[tuple[int, int, float]] = []
-        for i in range(n):
-            near = np.flatnonzero(scores[i] >= edge[i] - 1e-9) if edge[i] > -np.inf else np.flatnonzero(scores[i] > -np.inf)
+        for i, who in enumerate(q_ids):
+            if visits[i].is_valid:
+                wanted = visits[i].values.to_numpy()
+                lo, hi = np.searchsorted(codes, wanted, "left"), np.searchsorted(codes, wanted, "right")
+                lo, n = lo[hi > lo], (hi - lo)[hi > lo]
+                of = np.unique(np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()))
+                scores = x[of] @ q[i]
+            else:
+                of, scores = None, x @ q[i]
+            if not len(scores):
+                continue
+            take = min(k + 1, len(scores))  # one more: the query itself may be among them
+            near = np.flatnonzero(scores >= np.partition(scores, len(scores) - take)[len(scores) - take] - 1e-9 * max(1.0, np.abs(scores).max()))
+            near = near if of is None else of[near]
             exact = (q[i] * x[near]).sum(1)  # the same sum for equal vectors
-            rows = [(-s, v) for s, j in zip(exact.tolist(), near.tolist(), strict=True) for v in ids[j] if v != q_ids[i]]
-            out += [(q_ids[i], v, -s) for s, v in sorted(rows)[:k]]
+            rows = [(-s, v) for s, j in zip(exact.tolist(), near.tolist(), strict=True) for v in ids[j] if v != who]
+            out += [(who, v, -s) for s, v in sorted(rows)[:k]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema) if out else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,42 +281,46 @@ def _rank(dim: int, k: int):
                 if blocks[lo] != block:
                     block, parts, ready = blocks[lo], [], None
                 if kinds[lo] == 0:
-                    parts.append((_matrix(s.column("v"), dim), s.column("ids").to_pylist(), [c[0] for c in s.column("codes").to_pylist()]))
+                    parts.append((_matrix(s.column("v"), dim), s.column("ids").to_pylist(), s.column("codes").flatten().to_numpy()))
                     continue
                 if ready is None:
                     if not parts:
                         continue
-                    codes = np.array([c for p in parts for c in p[2]])
+                    codes = np.concatenate([p[2] for p in parts])
                     order = np.argsort(codes, kind="stable")
                     ids = [i for p in parts for i in p[1]]
-                    buckets, starts = np.unique(codes[order], return_index=True)
-                    ready = np.concatenate([p[0] for p in parts])[order], [ids[i] for i in order], buckets, [*starts.tolist(), len(codes)]
+                    ready = np.concatenate([p[0] for p in parts])[order], [ids[i] for i in order], codes[order]
                     parts = []
-                for at in range(0, s.num_rows, 256):
-                    q = s.slice(at, 256)
-                    out = best(*ready, q.column("vec_id").to_pylist(), _matrix(q.column("v"), dim), q.column("codes").to_pylist())
+                for q in _few([s], 256):
+                    out = best(*ready, q.column("vec_id").to_pylist(), _matrix(q.column("v"), dim), q.column("codes"))
                     if out is not None:
                         yield out
 
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, seed: int = SEED) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, seed: int = SEED, stats: dict | None = None) -> DataFrame:
     """The ``k`` rows of ``vectors`` (vec_id, embedding) of largest inner product for each row of ``queries``.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; a row with the query's own
     vec_id is no candidate. Vectors that are null, zero, hold nulls or non-finite numbers, lack an id, or have
     another length than most, take no part. Equal vectors are indexed once, with their ``k + 1`` smallest ids:
-    no other copy can be among the nearest k. Repeated query rows count once. Extra columns are ignored.
-    Empty tables give an empty result.
+    no other copy can be among the nearest k. Repeated query rows count once; of several vectors under one
+    query id the smallest asks. Extra columns are ignored. Empty tables give an empty result. ``stats`` is
+    filled with the numbers of rows, hashes, probes and queries ranked against every row.
+
+    On the driver: ``k`` vectors for each of ``FIT_QUERIES`` queries, and a number for each cell that is
+    larger than a block (at most ``TABLES`` / ``BLOCK_ROWS`` of the number of rows).
     """
     spark, empty = vectors.sparkSession, "query_id long, rank int, vec_id long, score double"
-    v = F.col("embedding").cast("array<double>")
+    kind = "array<float>" if all(df.schema["embedding"].dataType.simpleString() == "array<float>" for df in (vectors, queries)) else "array<double>"
+    v = F.col("embedding").cast(kind)
     clean = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(
         "vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')) AND exists(v, x -> x <> 0)"
     )
     rows = clean(vectors)
-    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("top")).orderBy(F.desc("n"), "dim").first()
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.sqrt(F.max(square)).alias("top")).orderBy(F.desc("n"), "dim").first()
     if dims is None:
         return spark.createDataFrame([], empty)
     dim, top = dims.dim, dims.top
@@ -215,55 +329,54 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, seed: int =
     few = lambda c: F.slice(F.array_sort(F.array_distinct(c)), 1, k + 1)
     in_part = Window.partitionBy("v", "salt").orderBy("vec_id")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64))).withColumn("rn", F.row_number().over(in_part)).where(F.col("rn") <= k + 1)
-    distinct = salted.groupBy("v").agg(few(F.collect_list("vec_id")).alias("ids"))
-    hashing = Hashing(dim, top, seed)
-    index = stage(distinct.mapInArrow(_hash_rows(hashing, dim), "v array<double>, ids array<long>, bucket long"), "ann_index")
-    total = index.count()
-    rate = min(1.0, 1.2 * SAMPLE_ROWS / max(total, 1))
-    sample = index.where((F.xxhash64("v", F.lit(seed)).cast("double") / 2.0**63 + 1) / 2 <= rate).select("v", F.xxhash64("v", F.lit(seed + 1)).alias("h")).limit(2 * SAMPLE_ROWS).collect()
-    sample = np.array([r.v for r in sorted(sample, key=lambda r: (r.h, r.v))]).reshape(-1, dim)  # by hash: its head is a sample of queries
-    probes = fit_probes(sample, hashing, k)
-
-    # buckets to blocks: the directory has a row per occupied bucket, at most 4**HASHES or so, not per vector
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = stage(salted.groupBy("v").agg(few(F.collect_list("vec_id")).alias("ids")), "ann_index")
+    asked = stage(clean(queries).where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v")), "ann_queries")
+    shape = index.agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("ids")).first()
+    total, width = shape.n, int(spark.conf.get("spark.sql.shuffle.partitions"))
     capacity = min(BLOCK_ROWS, max(256, -(-total // max(width, 1))))
-    sizes = sorted(((r.bucket, r["count"]) for r in index.groupBy("bucket").count().collect()), key=lambda x: (-x[1], x[0]))
-    pieces = {b: -(-n // capacity) for b, n in sizes}
-    block_of, heap, blocks = {}, [], max(1, -(-total // capacity))
-    import heapq
-
-    heap = [(0, i) for i in range(blocks)]
-    for b, n in sizes:
-        block_of[b] = []
-        for _ in range(pieces[b]):
-            load, i = heapq.heappop(heap)
-            block_of[b].append(i)
-            heapq.heappush(heap, (load + -(-n // pieces[b]), i))
-    places = spark.createDataFrame([(b, x) for b, x in block_of.items()], "bucket long, blocks array<int>")
-    least = F.array_min("ids")
-    placed = index.join(F.broadcast(places), "bucket").select(
-        F.get("blocks", F.pmod(F.xxhash64(least), F.size("blocks").cast("long")).cast("int")).alias("block"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("vec_id"),
-        "ids", "v", F.array("bucket").alias("codes"),
-    )
-    asked = stage(clean(queries).where(F.size("v") == dim).dropDuplicates(["vec_id"]), "ann_queries")
-    routed_schema = "block int, kind int, vec_id long, ids array<long>, v array<double>, codes array<long>"
-
-    def ranked(routed: DataFrame) -> DataFrame:
-        work = placed.union(routed).repartition(max(width, blocks), "block").sortWithinPartitions("block", "kind", "vec_id")
-        found = work.mapInArrow(_rank(dim, k), "query_id long, vec_id long, score double")
+    hashes, per_table = hash_count(total), -(-total // capacity)
+    cell = min(hashes, math.ceil(max(0.0, math.log2(8 * total / capacity)) / SLOT_BITS))
+    hashing = Hashing(dim, top, hashes, cell=cell, seed=seed)
+    block_schema = f"block int, kind int, vec_id long, ids array<long>, v {kind}, codes array<int>"
+
+    def ranked(work: DataFrame, blocks: int) -> DataFrame:
+        work = work.repartition(max(width, blocks), "block").sortWithinPartitions("block", "kind", "vec_id")
+        found = work.mapInArrow(_rank(dim, k), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
     def exact(some: DataFrame) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        return ranked(some.select(every.alias("block"), F.lit(1).alias("kind"), "vec_id", F.lit(None).cast("array<long>").alias("ids"), "v", F.lit(None).cast("array<long>").alias("codes")))
-
-    if probes > len(hashing.moves):  # no number of probes serves these vectors
+        least, no = F.array_min("ids"), lambda t: F.lit(None).cast(t)
+        held = index.select(F.pmod(F.xxhash64(least), F.lit(per_table)).cast("int").alias("block"), F.lit(0).alias("kind"), no("long").alias("vec_id"), "ids", "v", F.array(F.lit(0)).alias("codes"))
+        every = F.explode(F.sequence(F.lit(0), F.lit(per_table - 1)))
+        asking = some.select(every.alias("block"), F.lit(1).alias("kind"), "vec_id", no("array<long>").alias("ids"), "v", no("array<int>").alias("codes"))
+        return ranked(held.union(asking), per_table)
+
+    # the number of probes: fitted on queries drawn by hash, against all rows
+    drawn = asked.select("vec_id", "v", F.xxhash64("v", F.lit(seed)).alias("h")).orderBy("h", "vec_id").limit(FIT_QUERIES).collect()
+    if not drawn:
+        return spark.createDataFrame([], empty)
+    fit = np.array([r.v for r in drawn], np.float64).reshape(-1, dim)
+    scanned = index.mapInArrow(_scan(fit, [r.vec_id for r in drawn], dim, k), "n int, v array<double>, score double").where("score > double('-inf')")
+    near = scanned.withColumn("rn", F.row_number().over(Window.partitionBy("n").orderBy(F.desc("score"), "v"))).where(F.col("rn") <= k).collect()
+    best = [np.array([r.v for r in near if r.n == i], np.float64).reshape(-1, dim) for i in range(len(fit))]
+    probes = fit_probes(fit, best, hashing)
+    if stats is not None:
+        stats.update(rows=total, hashes=hashes, probes=probes, exact=0)
+    if probes > len(hashing.sets):  # no number of probes serves these vectors
+        if stats is not None:
+            stats["exact"] = asked.count()
         return exact(asked)
-    first = stage(ranked(asked.mapInArrow(_route(hashing, dim, probes, block_of), routed_schema)), "ann_ranked")
-    candidates = index.agg(F.sum(F.size("ids"))).first()[0]
-    full = first.groupBy("query_id").count().where(F.col("count") >= min(k, candidates))
+
+    crowded = index.mapInArrow(_cell_counts(hashing, dim), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > capacity).collect()
+    places = Places(TABLES, per_table, {r.cell: -(-r.n // capacity) for r in crowded})
+    work = index.mapInArrow(_place(hashing, places, dim), block_schema).union(asked.mapInArrow(_route(hashing, places, dim, probes), block_schema))
+    first = stage(ranked(work, TABLES * per_table), "ann_ranked")
+    full = first.groupBy("query_id").count().where(F.col("count") >= min(k, shape.ids))
     short = stage(asked.join(full, asked.vec_id == full.query_id, "left_anti"), "ann_short")
-    if short.limit(1).count() == 0:
+    left = short.count()
+    if stats is not None:
+        stats["exact"] = left
+    if not left:
         return first
     return first.join(short, first.query_id == short.vec_id, "left_anti").union(exact(short))

@@ -279,6 +279,46 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_probes_are_the_perturbed_buckets_each_once_in_order_of_cost():
+    rng = np.random.default_rng(8)
+    h = ann.Hashing(6, 1.0, 4, cell=2)
+    x = rng.standard_normal((5, 6))
+    p, (codes, cells) = h.project(x, rows=False), h.probes(x, 10**6)
+    assert codes.shape == (5, ann.TABLES, 3**4) and (codes[..., 0] == h.codes(p)[0]).all()
+    moves = np.stack(np.meshgrid(*[[-1, 0, 1]] * 4, indexing="ij"), -1).reshape(-1, 4)
+    for t in range(ann.TABLES):
+        want = {tuple(h.codes(p + m)[:, 0, t].tolist()) for m in moves}  # bucket and cell
+        assert set(zip(codes[0, t].tolist(), cells[0, t].tolist(), strict=True)) == want and len(set(codes[0, t].tolist())) == 81
+    sets = ann.perturbations(4, 10**6)
+    near = [j * (j + 1) / (4 * 5 * 6) for j in range(1, 5)]
+    z = np.array(near + [1 - j / 5 + j * (j + 1) / (4 * 5 * 6) for j in range(4, 0, -1)])
+    assert (np.diff(sets @ z) >= -1e-12).all() and not (sets & sets[:, ::-1]).any()
+
+
+def test_crowded_cells_lie_in_several_blocks():
+    places = ann.Places(2, 5, {7: 3, -9: 5})
+    assert places.count(np.array([7, 8, -9])).tolist() == [3, 1, 5]
+    cell = np.full(5, -9)
+    assert sorted(places.block(np.int64(1), cell, np.arange(5)).tolist()) == [5, 6, 7, 8, 9]
+
+
+def test_nearest_splits_crowded_cells(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((2000, 8))
+    x[:900] = x[0] + rng.standard_normal((900, 8)) * 1e-3
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got, stats = {}, {}
+    for r in ann.nearest(df, df.where("vec_id % 20 = 0"), stats=stats).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(np.argsort(-s)[:20].tolist()) & found)
+    assert len(got) == 100 and hit >= 0.9 * 2000 and stats["rows"] == 2000 and stats["probes"] >= 1
+
+
 def test_nearest_with_a_dense_group_at_one_end(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((6000, 16))
@@ -297,9 +337,9 @@ def test_nearest_with_a_dense_group_at_one_end(spark):
     assert hit / (200 * 20) >= 0.9
 
 
-@pytest.mark.parametrize("probes", [1, 730])
+@pytest.mark.parametrize("probes", [1, 10**6])
 def test_nearest_serves_queries_that_probes_leave_short(spark, monkeypatch, probes):
-    monkeypatch.setattr(ann, "fit_probes", lambda *a, **b: probes)  # 730: no number of probes does
+    monkeypatch.setattr(ann, "fit_probes", lambda *a, **b: probes)  # a million: no number of probes does
     x = np.random.default_rng(6).standard_normal((900, 16))
     x[7] *= 100  # all other distances shrink
     df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
@@ -312,7 +352,7 @@ def test_nearest_serves_queries_that_probes_leave_short(spark, monkeypatch, prob
         s = x @ x[q]
         s[q] = -np.inf
         exact += v == np.argsort(-s)[:20].tolist()
-    assert exact == len(got) if probes == 730 else exact > 0
+    assert exact == len(got) if probes == 10**6 else exact > 0
     few = df.where("vec_id < 5")
     assert ann.nearest(few, few).count() == 20
 
