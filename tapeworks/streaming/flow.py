@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tapeworks.functions.scalars import bar_of, slug_epoch
+from tapeworks.functions.scalars import bar_of, first_hash, slug_epoch
 
 
 def replay(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
@@ -23,6 +25,12 @@ def on_time(frames: DataFrame, cycle_s: int) -> DataFrame:
     return frames.where(bar_of(F.col("arrival_ts"), cycle_s) == slug_epoch(F.col("slug")))
 
 
+def keyed(frames: DataFrame) -> DataFrame:
+    """One ``hash`` of the ids that frames of different kinds carry: hash, transaction_hash, txhash; empty without any."""
+    ids = [c for c in ("hash", "transaction_hash", "txhash") if c in frames.columns]
+    return frames.withColumn("hash", first_hash(*ids)).drop(*ids[1:])
+
+
 def bar_counts(events: DataFrame, ts: str, cycle: str, keys: list[str], delay: str | None = None) -> DataFrame:
     """Rows per epoch-aligned tumbling bar and key."""
     e = events.withWatermark(ts, delay) if delay else events
@@ -74,11 +82,57 @@ def silent(frames: DataFrame, now_s: float, limit: float = 45.0) -> DataFrame:
     return frames.groupBy("line").agg(F.max("arrival_ts").alias("last_ts")).where(F.lit(now_s) - F.col("last_ts") >= limit).select("line", "last_ts", F.lit("resubscribe").alias("action"))
 
 
+def heartbeat(frames: DataFrame, kept: DataFrame, marks: DataFrame, breaks: DataFrame, now_s: float, alive_s: float = 60.0) -> DataFrame:
+    """Per line of ``frames`` (line, conn, arrival_ts): messages, duplicates, disconnects, connections alive, gaps closed.
+
+    ``kept`` holds the frames that de-duplication let pass, ``marks`` silences, ``breaks`` a row for each lost connection.
+    """
+    lines = frames.groupBy("line").agg(F.count("*").alias("messages"))
+    conns = frames.groupBy("line", "conn").agg(F.max("arrival_ts").alias("last_ts")).groupBy("line").agg(F.count_if(F.lit(now_s) - F.col("last_ts") < alive_s).alias("alive"))
+    count = lambda df, name: df.groupBy("line").agg(F.count("*").alias(name))
+    out = lines.join(conns, "line").join(count(kept, "kept"), "line", "left").join(count(breaks, "disconnects"), "line", "left")
+    out = out.join(count(marks.where(F.col("note") != "open"), "gaps"), "line", "left").na.fill(0)
+    return out.select("line", "messages", (F.col("messages") - F.col("kept")).alias("duplicates"), "disconnects", "alive", "gaps")
+
+
+def obey(orders: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Hands the watchdog's orders to live sources that name ``folder``: the highest generation of a line, in a file of its own."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        for r in batch.groupBy("line").agg(F.max("generation").alias("generation")).toLocalIterator():  # a row a line
+            _put(folder, f"{r.line}.json", r.generation)
+
+    return orders.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+
+
+def _put(folder: str, name: str, value) -> None:
+    """A file that is there whole or not at all."""
+    files, path = fs.FileSystem.from_uri(folder)
+    files.create_dir(path, recursive=True)
+    with files.open_output_stream(f"{path}/.{name}") as f:
+        f.write(json.dumps(value).encode())
+    files.move(f"{path}/.{name}", f"{path}/{name}")
+
+
+def _get(folder: str, name: str):
+    files, path = fs.FileSystem.from_uri(folder)
+    try:
+        with files.open_input_stream(f"{path}/{name}") as f:
+            return json.loads(f.read())
+    except FileNotFoundError:
+        return None
+
+
 class LiveBooks(DataSource):
-    """Frames from a feed: options ``feed`` ("module:function" returning an iterator factory) and ``conn``.
+    """Frames from a feed: options ``feed`` ("module:function" returning an iterator factory), ``conn``, ``log``, ``orders``, ``line``.
 
     The feed function takes (conn, generation) and yields (arrival_ts, event_type, asset_id, hash, slug, body);
     it raises OSError when the connection breaks. Back-off is linear, 3 s an attempt up to 60 s.
+
+    ``log`` is a folder (URI or absolute path) that outlives the driver: rows are written there before their offset is given out, and
+    a restarted query reads the rows of an offset that was planned but not committed again. Without it such
+    rows are lost with the process (at most once). ``orders`` is the folder that ``obey`` writes: a higher
+    generation of ``line`` there makes the source subscribe anew.
     """
 
     @classmethod
@@ -100,14 +154,19 @@ class LiveReader(SimpleDataSourceStreamReader):
 
         module, name = options["feed"].split(":")
         self.feed, self.conn = getattr(importlib.import_module(module), name), int(options.get("conn", "0"))
+        self.log, self.orders, self.line = options.get("log"), options.get("orders"), options.get("line", "")
         self.kept: dict[int, list[tuple]] = {}
         self.source: Iterator | None = None
-        self.attempt = self.generation = 0
+        self.attempt = self.generation = self.ordered = 0
 
     def initialOffset(self) -> dict:
         return {"at": 0, "generation": 0}
 
     def read(self, start: dict):
+        self.generation = max(self.generation, start["generation"])
+        ordered = self.orders and _get(self.orders, f"{self.line}.json") or 0
+        if ordered > self.ordered:
+            self.source, self.ordered, self.generation = None, ordered, self.generation + 1
         rows: list[tuple] = []
         try:
             if self.source is None:
@@ -121,11 +180,28 @@ class LiveReader(SimpleDataSourceStreamReader):
             self.source, self.attempt, self.generation = None, self.attempt + 1, self.generation + 1
             time.sleep(min(3 * self.attempt, 60))
         end = {"at": start["at"] + len(rows), "generation": self.generation}
-        self.kept[start["at"]] = rows
+        if rows:
+            self.kept[start["at"]] = rows
+            if self.log:
+                _put(self.log, f"{self.conn}-{start['at']}.json", rows)
         return iter(rows), end
 
     def readBetweenOffsets(self, start: dict, end: dict):
-        return iter(self.kept.get(start["at"], [])[: end["at"] - start["at"]])
+        at, out = start["at"], []
+        while at < end["at"]:
+            rows = self.kept.get(at) or self.log and _get(self.log, f"{self.conn}-{at}.json")
+            if not rows:
+                if self.log:
+                    raise OSError(f"rows from offset {at} on are not in {self.log}")
+                break
+            out, at = out + [tuple(r) for r in rows], at + len(rows)
+        return iter(out[: end["at"] - start["at"]])
 
     def commit(self, end: dict) -> None:
         self.kept = {k: v for k, v in self.kept.items() if k >= end["at"]}
+        if self.log:
+            files, path = fs.FileSystem.from_uri(self.log)
+            for f in files.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+                conn, _, at = f.base_name.removesuffix(".json").partition("-")
+                if conn == str(self.conn) and at.isdigit() and int(at) < end["at"]:
+                    files.delete_file(f.path)

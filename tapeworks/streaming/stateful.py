@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -22,13 +23,11 @@ class Dedup(StatefulProcessor):
         last = self.last.get()[0] if self.last.exists() else None
         for f in (pd.concat(list(rows)).sort_values("arrival_ts", kind="stable"),):
             keep = []
-            for at, hash_ in zip(f["arrival_ts"], f["hash"], strict=True):
-                new = not hash_ or last is None or at - last >= self.gap
-                keep.append(new)
-                if new and hash_:
+            for at in f["arrival_ts"]:
+                keep.append(last is None or at - last >= self.gap)
+                if keep[-1]:
                     last = at
-            if last is not None:
-                self.last.update((float(last),))
+            self.last.update((float(last),))
             yield f[keep]
 
     def close(self) -> None:
@@ -36,50 +35,125 @@ class Dedup(StatefulProcessor):
 
 
 def dedup(frames: DataFrame, gap: float = 60.0, *, live: bool = True) -> DataFrame:
-    """``frames``: arrival_ts double, conn, event_type, asset_id, hash, slug. Rows without a hash all pass.
+    """``frames``: arrival_ts double, conn, event_type, asset_id, hash, slug. Rows without a hash all pass, beside the state.
 
     A live stream drops a key's state after four gaps of wall-clock time. A replay has no use for wall-clock
     time, and with it would never come to an end: ``live=False``.
     """
-    mode = "ProcessingTime" if live else "None"
-    return frames.groupBy("event_type", "asset_id", "hash").transformWithStateInPandas(Dedup(gap, live), frames.schema, "Append", mode)
+    mode, hashed = ("ProcessingTime" if live else "None"), F.coalesce("hash", F.lit("")) != ""
+    kept = frames.where(hashed).groupBy("event_type", "asset_id", "hash").transformWithStateInPandas(Dedup(gap, live), frames.schema, "Append", mode)
+    return kept.union(frames.where(~hashed))
 
 
 class Silence(StatefulProcessor):
     """Marks of silences: when the next row comes, or by event-time timer while it has not."""
 
-    def __init__(self, gap: float):
-        self.gap = gap
+    COLUMNS = ["line", "bar_ts", "from_ts", "to_ts", "lost_s", "note"]
+
+    def __init__(self, gap: float, cycle_s: int | None = None):
+        self.gap, self.cycle_s = gap, cycle_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "at double, open boolean")
 
+    def bar(self, at: float) -> int | None:
+        return int(at // self.cycle_s) * self.cycle_s if self.cycle_s else None
+
+    def marks(self, line: str, since: float, until: float) -> list[tuple]:
+        """A silence that outlasts its bar is cut at each switch; only its last piece ends by a reconnection."""
+        out = []
+        while self.cycle_s and self.bar(since) + self.cycle_s < until:
+            switch = float(self.bar(since) + self.cycle_s)
+            out.append((line, self.bar(since), since, switch, switch - since, "unresolved"))
+            since = switch
+        return [*out, (line, self.bar(since), since, until, until - since, "reconnected")]
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, is_open = self.last.get() if self.last.exists() else (None, False)
         out = []
         for at in sorted(x for f in rows for x in f["at"].tolist()):
             if last is not None and at - last >= self.gap:
-                out.append((key[0], last + self.gap, at, at - last - self.gap, "reconnected"))
-                is_open = False
-            last = at if last is None else max(last, at)
+                out += self.marks(key[0], last + self.gap, at)
+            if last is None or at > last:
+                last, is_open = at, False
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
         if last is not None:
             self.last.update((last, is_open))
-            self.handle.registerTimer(int((last + self.gap) * 1000))
-        yield pd.DataFrame(out, columns=["line", "from_ts", "to_ts", "lost_s", "note"])
+            if not is_open:
+                self.handle.registerTimer(int((last + self.gap) * 1000))
+        yield self.frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last, is_open = self.last.get()
-        out = [] if is_open else [(key[0], last + self.gap, None, None, "open")]
+        out = [] if is_open else [(key[0], self.bar(last + self.gap), last + self.gap, None, None, "open")]
         self.last.update((last, True))
-        yield pd.DataFrame(out, columns=["line", "from_ts", "to_ts", "lost_s", "note"])
+        yield self.frame(out)
+
+    def frame(self, out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=self.COLUMNS).astype({"bar_ts": "Int64"})
 
     def close(self) -> None:
         pass
 
 
-def silences(rows: DataFrame, gap: float = 60.0) -> DataFrame:
-    """``rows``: line, at (seconds), ts (timestamp with a watermark) -> line, from_ts, to_ts, lost_s, note (open marks first have no end)."""
-    return rows.groupBy("line").transformWithStateInPandas(Silence(gap), "line string, from_ts double, to_ts double, lost_s double, note string", "Append", "EventTime")
+def silences(rows: DataFrame, gap: float = 60.0, cycle_s: int | None = None) -> DataFrame:
+    """``rows``: line, at (seconds), ts (timestamp with a watermark) -> line, bar_ts, from_ts, to_ts, lost_s, note.
+
+    Marks begin when the silence is found out, ``gap`` after the last row. Open ones come first and have no end.
+    With ``cycle_s``, a silence is closed as ``unresolved`` where its bar ends and goes on in the next bar.
+    """
+    schema = "line string, bar_ts long, from_ts double, to_ts double, lost_s double, note string"
+    return rows.groupBy("line").transformWithStateInPandas(Silence(gap, cycle_s), schema, "Append", "EventTime")
+
+
+class Watchdog(StatefulProcessor):
+    """Orders a new subscription each time a line has written nothing for ``limit`` seconds."""
+
+    def __init__(self, limit: float):
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "due double, generation int")
+
+    def orders(self, line: str, due: float, generation: int, until: float) -> tuple[list[tuple], float, int]:
+        out = []
+        while due < until:
+            generation += 1
+            out.append((line, due, generation, "resubscribe"))
+            due += self.limit
+        return out, due, generation
+
+    def save(self, due: float, generation: int) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.state.update((due, generation))
+        self.handle.registerTimer(int(due * 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        due, generation = self.state.get() if self.state.exists() else (float("inf"), 0)
+        out = []
+        for at in sorted(x for f in rows for x in f["at"].tolist()):
+            said, due, generation = self.orders(key[0], due, generation, at)
+            out += said
+            due = at + self.limit if due == float("inf") else max(due, at + self.limit)
+        self.save(due, generation)
+        yield pd.DataFrame(out, columns=["line", "at", "generation", "action"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due, generation = self.state.get()
+        self.save(due + self.limit, generation + 1)
+        yield pd.DataFrame([(key[0], due, generation + 1, "resubscribe")], columns=["line", "at", "generation", "action"])
+
+    def close(self) -> None:
+        pass
+
+
+def watchdog(rows: DataFrame, limit: float = 45.0) -> DataFrame:
+    """``rows``: line, at (seconds), ts (timestamp with a watermark) -> line, at, generation, action.
+
+    A line that stays silent is ordered anew every ``limit`` seconds of event time, with the next generation.
+    """
+    return rows.groupBy("line").transformWithStateInPandas(Watchdog(limit), "line string, at double, generation int, action string", "Append", "EventTime")

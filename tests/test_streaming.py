@@ -1,5 +1,8 @@
 """Replays through the streaming operators, held against their batch twins."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from tapeworks.operators import duplicates
@@ -51,6 +54,56 @@ def test_silence_marks(spark, tmp_path):
     assert closed == {("m", 60.0, 61.0), ("l", 119.0, 300.0)}
 
 
+def test_rows_without_a_hash_need_no_state(spark, tmp_path):
+    b = 1_789_000_000.0
+    batches = [[(b, 0, "book", "a", None, "s"), (b, 1, "book", "a", "", "s"), (b, 0, "book", "a", "k", "s")], [(b + 1, 1, "book", "a", None, "s"), (b + 1, 1, "book", "a", "k", "s")]]
+    got = drain(stateful.dedup(replay(spark, tmp_path, batches), live=False), "hashless_out")
+    assert sorted((r.arrival_ts - b, r.hash or "") for r in got.collect()) == [(0, ""), (0, ""), (0, "k"), (1, "")]
+
+
+def test_dedup_of_a_live_stream_ends_by_wall_clock(spark, tmp_path):
+    b = 1_789_000_000.0
+    src = replay(spark, tmp_path, [[(b, 0, "book", "a", "k", "s"), (b + 1, 1, "book", "a", "k", "s"), (b + 60, 1, "book", "a", "k", "s")]])
+    q = stateful.dedup(src).writeStream.format("memory").queryName("live_out").outputMode("append").start()
+    try:
+        until = time.time() + 60  # such a query never runs dry
+        while spark.table("live_out").count() < 2 and time.time() < until:
+            time.sleep(0.5)
+        assert sorted(r.arrival_ts - b for r in spark.table("live_out").collect()) == [0, 60]
+    finally:
+        q.stop()
+
+
+def test_one_hash_of_several_ids(spark):
+    df = spark.createDataFrame([("h", "t", "x"), ("", "t", "x"), (None, None, "x"), (None, "", None)], "hash string, transaction_hash string, txhash string")
+    assert [r.hash for r in flow.keyed(df).collect()] == ["h", "t", "x", ""] and flow.keyed(df).columns == ["hash"]
+
+
+def test_a_silence_over_a_bar_switch_is_closed_unresolved(spark, tmp_path):
+    b = 1_789_000_200.0  # a bar of 300 s begins
+    batches = [[("l", b + 100)], [("l", b + 710)]]
+    s = replay(spark, tmp_path, batches, "line string, at double").withColumn("ts", F.timestamp_seconds("at")).withWatermark("ts", "0 seconds")
+    got = drain(stateful.silences(s, 60.0, 300), "switch_out").where("note <> 'open'").collect()
+    want = {(0, 160, 300, "unresolved"), (300, 300, 600, "unresolved"), (600, 600, 710, "reconnected")}
+    assert {(r.bar_ts - b, r.from_ts - b, r.to_ts - b, r.note) for r in got} == want and len(got) == 3
+
+
+def test_the_watchdog_orders_once_a_limit(spark, tmp_path):
+    b = 1_789_000_000.0
+    batches = [[("l", b), ("m", b)], [("m", b + 40)], [("m", b + 80), ("l", b + 100)], [("l", b + 101), ("m", b + 110)]]
+    s = replay(spark, tmp_path, batches, "line string, at double").withColumn("ts", F.timestamp_seconds("at")).withWatermark("ts", "0 seconds")
+    got = drain(stateful.watchdog(s), "dog_out").collect()
+    assert sorted((r.line, r.at - b, r.generation, r.action) for r in got) == [("l", 45, 1, "resubscribe"), ("l", 90, 2, "resubscribe")]
+
+
+def test_heartbeat_of_each_line(spark):
+    f = spark.createDataFrame([("l", 0, 100.0), ("l", 1, 30.0), ("l", 0, 101.0), ("m", 0, 10.0)], "line string, conn int, arrival_ts double")
+    marks = spark.createDataFrame([("l", "reconnected"), ("l", "unresolved"), ("l", "open")], "line string, note string")
+    breaks = spark.createDataFrame([("m",)], "line string")
+    got = flow.heartbeat(f, f.where("arrival_ts <> 101"), marks, breaks, 110.0).collect()
+    assert {tuple(r) for r in got} == {("l", 3, 1, 0, 1, 2), ("m", 1, 0, 1, 0, 0)}
+
+
 def test_late_frames_and_bars(spark, tmp_path):
     s = 1_789_000_200
     f = spark.createDataFrame([(s + 1.0, 0, "book", "a", "h", f"btc-updown-5m-{s}"), (s + 301.0, 0, "book", "a", "h", f"btc-updown-5m-{s}"), (s + 302.0, 1, "book", "a", "i", f"btc-updown-5m-{s + 300}")], SCHEMA)
@@ -73,3 +126,40 @@ def test_live_source(spark):
     assert len(list(r.readBetweenOffsets({"at": 0}, end))) == 3
     r.commit(end)
     assert not r.kept
+
+
+def numbered_feed(conn, generation):
+    yield from ((1.0 + i, "book", f"g{generation}", f"h{i}", "s", "{}") for i in range(1000))
+
+
+def test_a_restarted_source_reads_what_was_planned(tmp_path, monkeypatch):
+    monkeypatch.setattr(flow.LiveReader, "BATCH", 3)
+    options = {"feed": f"{__name__}:numbered_feed", "log": str(tmp_path / "log")}
+    a = flow.LiveReader(options)
+    rows, one = a.read(a.initialOffset())
+    rows, more = list(rows), a.read(one)
+    again = flow.LiveReader(options)
+    assert list(again.readBetweenOffsets({"at": 0, "generation": 0}, one)) == rows
+    assert list(again.readBetweenOffsets({"at": 0, "generation": 0}, more[1])) == rows + list(more[0])
+    again.commit(one)
+    with pytest.raises(OSError):
+        list(flow.LiveReader(options).readBetweenOffsets({"at": 0, "generation": 0}, one))
+    assert len(list(flow.LiveReader(options).readBetweenOffsets(one, more[1]))) == 3
+
+
+def test_the_source_obeys_the_watchdog(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flow.LiveReader, "BATCH", 3)
+    folder = str(tmp_path / "orders")
+    r = flow.LiveReader({"feed": f"{__name__}:numbered_feed", "orders": folder, "line": "l"})
+    rows, end = r.read(r.initialOffset())
+    assert [x[3] for x in rows] == ["g0"] * 3
+    src = replay(spark, tmp_path, [[("l", 45.0, 1, "resubscribe"), ("m", 45.0, 7, "resubscribe")]], "line string, at double, generation int, action string")
+    q = flow.obey(src, folder, str(tmp_path / "checkpoint"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows, end = r.read(end)
+    assert [x[3] for x in rows] == ["g1"] * 3 and end["generation"] == 1
+    rows = list(r.read(end)[0])  # obeyed once
+    assert [x[5] for x in rows] == ["s"] * 3 and [x[4] for x in rows] == ["h3", "h4", "h5"]
