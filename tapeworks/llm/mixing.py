@@ -81,7 +81,7 @@ def plan(rows: DataFrame, share: float = SHARE, most: float = MOST, weights: tup
             F.sum("r.size").alias("range_size"), F.count("*").alias("n"), F.first("e.budget").alias("budget"), F.first("e.before").alias("base")
         )
         sums = sums.withColumn("before", F.col("base") + F.sum("range_size").over(Window.partitionBy("source").orderBy("prefix")) - F.col("range_size"))
-        edge = stage(sums.where("before < budget AND before + range_size > budget").select("source", "budget", "prefix", "before", "n").coalesce(1), "mix_edge")
+        edge = stage(sums.where("before < budget AND before + range_size >= budget").select("source", "budget", "prefix", "before", "n").coalesce(1), "mix_edge")
         if (edge.agg(F.max("n")).first()[0] or 0) <= RANGE_DOCS:
             break
     # only that range is sorted document by document

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import ann, chat, decontam, lm, mixing, neardup, sharding, tokenstore, toxicity, urls
+from tapeworks.llm import ann, chat, decontam, funnel, lm, mixing, neardup, repeats, sharding, tokenstore, toxicity, urls, whiten
 from tapeworks.llm.common import table
 
 
@@ -59,10 +59,25 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel.funnels(table(spark, sf_dir, "clicks"))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_store, op2_mix_sources, op3_shard, op4_simhash, op5_chat_format, op6_nearest, op7_url_filter, op8_toxicity, op9_decontaminate, op10_lm_score)
+        for f in (
+            op1_token_store, op2_mix_sources, op3_shard, op4_simhash, op5_chat_format, op6_nearest, op7_url_filter, op8_toxicity, op9_decontaminate, op10_lm_score, op11_funnels,
+            op12_whiten, op13_repeats,
+        )
     }
 
 
@@ -134,5 +149,40 @@ FROM dw LEFT JOIN pos ON dw.doc_id = pos.doc_id LEFT JOIN names ON dw.doc_id = n
 """
 
 
+def _attempts(name: str, steps: tuple[str, ...], excluding: str) -> str:
+    """One funnel over ``r`` (client_id, kind, t): as-of joins over the whole table, without ranges."""
+    said = [f"{name}1 AS (SELECT client_id, t AS t1, t, 0::BIGINT AS dt FROM r WHERE kind = '{steps[0]}')"]
+    for i, kind in enumerate(steps[1:], 2):
+        said.append(f"""{name}{i} AS (SELECT p.client_id, p.t1, n.t, n.t - p.t AS dt FROM {name}{i - 1} p
+  ASOF JOIN (SELECT * FROM r WHERE kind = '{kind}') n ON p.client_id = n.client_id AND p.t < n.t
+  ASOF LEFT JOIN (SELECT * FROM r WHERE kind = '{excluding}') x ON p.client_id = x.client_id AND p.t < x.t
+  WHERE n.t - p.t1 <= 300000000 AND (x.t IS NULL OR x.t > n.t))""")
+    return ", ".join(said)
+
+
+_FUNNELS = (("A", ("view", "click", "view", "purchase"), "error"), ("B", ("signup", "view", "click", "purchase"), "error"), ("C", ("click", "click", "purchase", "view"), "signup"))
+OP11_SQL = f"""
+WITH r AS (SELECT DISTINCT client_id, kind, epoch_us(arrived_at) AS t FROM clicks WHERE client_id IS NOT NULL AND kind IS NOT NULL AND arrived_at IS NOT NULL),
+{", ".join(_attempts(*f) for f in _FUNNELS)},
+a AS ({" UNION ALL ".join(f"SELECT '{f}' AS funnel, client_id, {i} AS step, dt FROM {f}{i}" for f in "ABC" for i in range(1, 5))}),
+k AS (SELECT *, count(*) OVER (PARTITION BY funnel, client_id, step) AS n, row_number() OVER (PARTITION BY funnel, client_id, step ORDER BY dt) AS place FROM a),
+c AS (SELECT funnel, client_id, {", ".join(f"count(*) FILTER (step = {i}) AS n{i}" for i in range(1, 5))}, max(step) AS deepest,
+      {", ".join(f"max(dt) FILTER (step = {i} AND place = (25 * n + 99) // 100) AS t{i}" for i in range(2, 5))} FROM k GROUP BY funnel, client_id)
+SELECT *, count(*) OVER (PARTITION BY funnel, deepest) AS same_depth FROM c
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+win AS (SELECT r, k, i, array_to_string(w[i:i + 49], ' ') AS g FROM (SELECT r, k, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+lo AS (SELECT g, min(k) AS k FROM win GROUP BY g HAVING min(k) < max(k)),
+hit AS (SELECT r, i FROM win JOIN lo ON win.g = lo.g WHERE win.k > lo.k),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 49)) AS p FROM hit),
+one AS (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0),
+kept AS (SELECT one.r, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY one.p) FILTER (gone.p IS NULL) AS said
+         FROM one LEFT JOIN gone ON one.r = gone.r AND one.p = gone.p GROUP BY one.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256 FROM d LEFT JOIN kept ON d.r = kept.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": OP2_SQL, "op5_chat_format": OP5_SQL, "op7_url_filter": OP7_SQL, "op9_decontaminate": OP9_SQL}
+    return {"op2_mix_sources": OP2_SQL, "op5_chat_format": OP5_SQL, "op7_url_filter": OP7_SQL, "op9_decontaminate": OP9_SQL, "op11_funnels": OP11_SQL, "op13_repeats": OP13_SQL}
