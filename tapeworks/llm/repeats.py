@@ -11,8 +11,8 @@ repeat is missed. An anchor is extended to both sides, since at least one extens
 
 Equal texts are one text, of their smallest doc_id: in all other copies every word of a text of ``length``
 words or more goes. Windows of the last level are told apart by 96 bits of two hashes. Rows move as
-(hash, document, position), never as pairs: a passage that a third of all documents share costs a row a
-position and document, its smallest doc_id is a pre-aggregated minimum, and the join that brings it back can be split.
+(hash, document, position), never as pairs, and a window that a text repeats is one row of it: a passage that a third of all documents share costs a row a
+window and document, its smallest doc_id is a pre-aggregated minimum, and the join that brings it back can be split.
 """
 
 from __future__ import annotations
@@ -115,6 +115,19 @@ def anchors(words: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
     return place, short[place], double[np.minimum(place, last)], double[np.clip(place - k, 0, last)], right, left
 
 
+def first_of_each(*columns: np.ndarray) -> np.ndarray:
+    """Ascending places of the first row of each distinct one."""
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    return np.sort(order[new])
+
+
+def alike(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """All places with a hash that one of ``places`` has: a window that a text repeats moves as one row, and is found again where the text is."""
+    return np.flatnonzero(np.isin(hashes, hashes[places]))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc (the id; null: ``LAST_ID``), th and th2 (128 bits of the text), text, and the row's other columns as ``row``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -151,6 +164,8 @@ def _first_pass(length: int):
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
                 place, short, right, left, has_right, has_left = anchors(cache.of(words), bounds, length)
                 owner = np.searchsorted(bounds, place, side="right") - 1
+                once = first_of_each(owner, right * np.uint64(BASES[1]) ^ left, short, has_right * 2 + has_left)
+                place, short, right, left, has_right, has_left, owner = (v[once] for v in (place, short, right, left, has_right, has_left, owner))
                 offsets = np.searchsorted(owner, np.arange(len(sizes) + 1))
                 part = b.slice(lo, len(sizes))
                 yield pa.RecordBatch.from_arrays(
@@ -165,8 +180,11 @@ def _first_pass(length: int):
     return run
 
 
-def _window_pass(length: int, around: int):
-    """Hashes of the windows of ``length`` words that start at ``places`` or up to ``around`` words before one."""
+def _window_pass(length: int, shorter: int, both: bool):
+    """Hashes of the windows of ``length`` words that hold one of ``shorter`` words which starts alike one of ``places``; each distinct one of a text once.
+
+    With ``both``, for ``places`` that are not anchors alone, both halves of a window have to be such windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -177,9 +195,14 @@ def _window_pass(length: int, around: int):
                 n = len(words) - length + 1
                 if n <= 0:
                     continue
-                s = places.values.to_numpy()
-                marks = np.bincount(np.clip(s - around, 0, n), minlength=n + 1) - np.bincount(np.clip(s + 1, 0, n), minlength=n + 1)
-                at = np.flatnonzero(np.cumsum(marks)[:n])
+                found = alike(windows(words, shorter), places.values.to_numpy())
+                if both:
+                    at = np.intersect1d(found, found - shorter, assume_unique=True)
+                else:
+                    marks = np.bincount(np.clip(found - (length - shorter), 0, n), minlength=n + 1) - np.bincount(np.clip(found + 1, 0, n), minlength=n + 1)
+                    at = np.flatnonzero(np.cumsum(marks)[:n])
+                h = windows(words, length)[at]
+                at = at[np.sort(np.unique(h, return_index=True)[1])]
                 if not len(at):
                     continue
                 more = (windows(words, length, BASES[1])[at] & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
@@ -197,11 +220,14 @@ def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
 
 def _kept(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
         for b in batches:
             out = []
             for text, starts in zip(_texts(b.column("text")), b.column("starts"), strict=True):
                 words = text.split()
-                gone = covered(len(words), starts.values.to_numpy(), length) if starts.is_valid else np.zeros(len(words), bool)
+                gone = np.zeros(len(words), bool)
+                if starts.is_valid:
+                    gone = covered(len(words), alike(windows(cache.of(words), length), starts.values.to_numpy()), length)
                 out.append((int(gone.sum()), b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)))
             own = [b.column(c) for c in b.schema.names if c not in ("text", "starts")]
             names = [c for c in b.schema.names if c not in ("text", "starts")]
@@ -233,14 +259,14 @@ def half_length(found: DataFrame, length: int) -> DataFrame:
     return stage(met.select("doc", "th", "places"), "repeats_half")
 
 
-def window_rows(rows: DataFrame, places: DataFrame, length: int, around: int) -> DataFrame:
+def window_rows(rows: DataFrame, places: DataFrame, length: int, shorter: int, both: bool = False) -> DataFrame:
     met = with_places(rows.select("doc", "th", "text"), places, "places")
-    return stage(met.mapInArrow(_window_pass(length, around), "h long, x long, doc long, th long"), "repeats_windows")
+    return stage(met.mapInArrow(_window_pass(length, shorter, both), "h long, x long, doc long, th long"), "repeats_windows")
 
 
 def hits(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
     """doc, th, starts: windows of ``length`` words that also start in a document with a smaller id."""
-    found = window_rows(rows, places, length, length - 2 * (length // 4))
+    found = window_rows(rows, places, length, 2 * (length // 4))
     key = ["h", "g"]
     met = found.withColumn("g", F.shiftright("x", 32))
     first = met.groupBy(*key).agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select(*key, "lo")
@@ -304,15 +330,13 @@ def longest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = keyed(docs).drop("row")
     schema = "doc long, th long, th2 long, n_words long, sha string, place array<int>, short array<long>, right array<long>, left array<long>"
     found = stage(rows.mapInArrow(_first_pass(length), schema), "repeats_anchors")
-    places, around, levels = half_length(found, length), length - 2 * (length // 4), []
+    places, shorter, levels = half_length(found, length), 2 * (length // 4), []
     while places.limit(1).count():
-        met = window_rows(rows, places, length, around).withColumn("g", F.shiftright("x", 32)).withColumn("at", F.col("x").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
+        met = window_rows(rows, places, length, shorter, bool(levels)).withColumn("g", F.shiftright("x", 32)).withColumn("at", F.col("x").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
         both = met.groupBy("h", "g").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo < hi").select("h", "g")
-        kept = met.join(both, ["h", "g"], "left_semi").groupBy("doc", "th").agg(F.collect_set("at").alias("at"))
-        kept = stage(kept, "repeats_level")
-        levels.append(kept.select("doc", F.lit(length).cast("long").alias("words")))
-        longer = F.array_intersect("at", F.transform("at", lambda p: p - F.lit(length)))  # both halves repeat
-        places, around, length = stage(kept.select("doc", "th", longer.alias("places")).where(F.size("places") > 0), "repeats_places"), 0, 2 * length
+        places = stage(met.join(both, ["h", "g"], "left_semi").groupBy("doc", "th").agg(F.collect_set("at").alias("places")), "repeats_level")
+        levels.append(places.select("doc", F.lit(length).cast("long").alias("words")))
+        shorter, length = length, 2 * length
     if not levels:
         return docs.sparkSession.createDataFrame([], "doc_id long, words long")
     out = levels[0]

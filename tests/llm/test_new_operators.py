@@ -269,8 +269,14 @@ def test_a_shared_passage_costs_a_row_a_position(spark):
     own = repeats.keyed(df).drop("row")
     found = repeats.stage(own.mapInArrow(repeats._first_pass(50), "doc long, th long, th2 long, n_words long, sha string, place array<int>, short array<long>, right array<long>, left array<long>"), "t")
     places = repeats.half_length(found, 50)
-    assert repeats.window_rows(own, places, 50, 26).count() <= 2000 * 13
+    assert repeats.window_rows(own, places, 50, 24).count() <= 2000 * 13
     assert repeats.digests(df).agg(F.sum("n_removed")).first()[0] == 1999 * 60
+    same = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("a b "), 2000), F.col("id").cast("string")).alias("text"))
+    own = repeats.keyed(same).drop("row")
+    found = repeats.stage(own.mapInArrow(repeats._first_pass(50), found.schema), "t")
+    assert found.select(F.explode("place")).count() <= 40 * 60  # not a row for each of 4,000 places
+    assert repeats.window_rows(own, repeats.half_length(found, 50), 50, 24).count() <= 40 * 60
+    assert repeats.digests(same).agg(F.sum("n_removed")).first()[0] == 39 * 4000
 
 
 # ---- mixing: budgets that end exactly where a range of keys ends
