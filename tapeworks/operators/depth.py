@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions import book
 from tapeworks.functions.scalars import interval_bucket
 from tapeworks.operators.asof import lagged
+from tapeworks.sources import frames as raw
 
 
 def profile(frames: DataFrame, bids: str = "bids", asks: str = "asks") -> DataFrame:
@@ -66,3 +67,43 @@ def intervals(frames: DataFrame, keys: list[str], seq: str = "seq", ts: str = "t
 
 def regressions(frames: DataFrame, keys: list[str], seq: str = "seq", ts: str = "ts_ms") -> DataFrame:
     return lagged(frames, keys, seq, ts).where(F.col(ts) < F.col("prev"))
+
+
+def audit(captures: DataFrame) -> DataFrame:
+    """One row over ``frames.read_captures``: files, files_unreadable, lines, bad_json, book_frames, in one pass.
+
+    Lines of a file that breaks off count up to the break, and the file is one that could not be read.
+    """
+    line, said = F.col("status").isNull(), F.col("value").contains('"book"')
+    good = F.coalesce(F.col("f").isNotNull() & F.col("f._corrupt").isNull(), F.lit(False))
+    rows = raw.parse(captures.withColumn("_said", said), books_only=True)
+    return rows.agg(
+        F.count_if(~line).alias("files"), F.count_if(~line & (F.col("status") != "ok")).alias("files_unreadable"), F.count_if(line).alias("lines"),
+        F.count_if(line & F.col("_said") & ~good).alias("bad_json"), F.count_if(line & good & (F.col("f.event_type") == "book")).alias("book_frames"),
+    )
+
+
+def event_counts(captures: DataFrame) -> DataFrame:
+    """ev, n of all lines that name an event; book lines without one are "?"."""
+    rows = raw.parse(captures.where(F.col("status").isNull()).withColumn("_said", F.col("value").contains('"book"')), books_only=True)
+    ev = F.when(F.col("_said") & ~F.col("bad_json"), F.coalesce(F.nullif("f.event_type", F.lit("")), F.lit("?"))).when(~F.col("_said"), F.col("ev"))
+    return rows.select(ev.alias("ev")).where("ev IS NOT NULL").groupBy("ev").agg(F.count("*").alias("n"))
+
+
+def tidy(one_row: DataFrame) -> DataFrame:
+    """metric, key (NULL), n: the columns of a one-row report as rows."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.lit(None).cast("string").alias("key"), F.col(c).cast("double").alias("n")) for c in one_row.columns]))
+    return one_row.select(each.alias("x")).select("x.*")
+
+
+def dump(path: str, reports: list[DataFrame], counts: dict[str, DataFrame]) -> None:
+    """The audit as JSON lines (metric, key, n): one-row reports, and counts (metric, key, n or any first column and n) by name."""
+    out = None
+    for df in [tidy(r) for r in reports]:
+        out = df if out is None else out.unionByName(df)
+    for name, df in counts.items():
+        metric = F.col("metric") if "metric" in df.columns else F.lit(name)
+        key = "key" if "key" in df.columns else next(c for c in df.columns if c != "n")
+        rows = df.select(metric.alias("metric"), F.col(key).cast("string").alias("key"), F.col("n").cast("double").alias("n"))
+        out = rows if out is None else out.unionByName(rows)
+    out.sort("metric", "key").coalesce(1).write.mode("overwrite").json(path)

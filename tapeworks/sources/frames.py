@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions.scalars import slug_of
 from tapeworks.schemas import RAW_FRAME
+from tapeworks.sources.captures import gzip_lines
 
 # What file names look like, and where a line names its event.
 EVENT_RULE = r'"event_type"\s*:\s*"([^"]+)"'
@@ -34,14 +35,39 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     A file that breaks off gives its lines up to there. Names that don't fit give other / other / 0.
     """
     lines = spark.read.option("ignoreCorruptFiles", "true").text(paths)
-    file = F.col("_metadata.file_path")
-    name = F.element_at(F.split(file, "/"), -1)
+    return named(lines.select("value", F.monotonically_increasing_id().alias("seq"), F.col("_metadata.file_path").alias("file"))).where(F.trim("value") != "")
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """Adds what a file's name says: day, coin, cycle, bar_ts, slug."""
+    name = F.element_at(F.split("file", "/"), -1)
     part = lambda i: F.nullif(F.regexp_extract(name, NAME_RULE, i), F.lit(""))
-    return lines.select(
-        "value", F.monotonically_increasing_id().alias("seq"), file.alias("file"), F.element_at(F.split(file, "/"), -2).alias("day"),
-        F.coalesce(part(1), F.lit("other")).alias("coin"), F.coalesce(part(2), F.lit("other")).alias("cycle"),
-        F.coalesce(part(3).cast("long"), F.lit(0)).alias("bar_ts"), slug_of(name).alias("slug"),
-    ).where(F.trim("value") != "")
+    return rows.withColumns({
+        "day": F.element_at(F.split("file", "/"), -2), "coin": F.coalesce(part(1), F.lit("other")), "cycle": F.coalesce(part(2), F.lit("other")),
+        "bar_ts": F.coalesce(part(3).cast("long"), F.lit(0)), "slug": slug_of(name),
+    })
+
+
+def read_captures(spark: SparkSession, paths: str | list[str], *, whole: bool = False) -> DataFrame:
+    """As ``read_lines``, with all lines and a closing row a file: status (NULL for lines), bytes, error.
+
+    seq counts a file's lines. With ``whole``, files that break off have their closing row alone. One pass gives
+    both, so counts of lines and of damaged files come from one scan; ``lines`` and ``closing`` take them apart.
+    """
+    return named(gzip_lines(spark, paths, whole=whole))
+
+
+def lines(captures: DataFrame) -> DataFrame:
+    return captures.where(F.col("status").isNull() & (F.trim("value") != "")).drop("status", "bytes", "error")
+
+
+def closing(captures: DataFrame) -> DataFrame:
+    """file, day, slug, status (ok, truncated, corrupt, unreadable), lines (that were given), bytes, error."""
+    return captures.where("status IS NOT NULL").select("file", "day", "slug", "status", F.col("seq").alias("lines"), "bytes", "error")
+
+
+def damaged(captures: DataFrame) -> DataFrame:
+    return closing(captures).where("status <> 'ok'")
 
 
 def parse(lines: DataFrame, *, books_only: bool = False) -> DataFrame:

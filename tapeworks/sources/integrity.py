@@ -1,66 +1,103 @@
-"""Which gzip files are cut or damaged, and what their members hold."""
+"""Which gzip and Parquet files are cut or damaged, and what gzip members hold."""
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
+from tapeworks.sources import files
+from tapeworks.sources.captures import gzip_lines, inflate  # noqa: F401
 
-def inflate(content: bytes) -> tuple[str, int]:
-    """ok, truncated or corrupt, and how many bytes came out; all members of the file count."""
-    total, rest = 0, content
-    while rest:
-        d = zlib.decompressobj(31)
-        try:
-            for lo in range(0, len(rest), 1 << 20):
-                total += len(d.decompress(rest[lo : lo + (1 << 20)]))
-                if d.eof:
-                    rest = d.unused_data + rest[lo + (1 << 20) :]
-                    break
-        except zlib.error:
-            return "corrupt", total
-        if not d.eof:
-            return "truncated", total
-        rest = rest.lstrip(b"\0")
-    return ("ok" if content else "truncated"), total
+HEADER = b"\x1f\x8b\x08"
+MEMBER = "member int, offset long, length long, ok boolean, lines long, error string"
 
 
 def probe(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, status, inflated bytes."""
+    """file, status, inflated bytes; files pass by in pieces and their lines stay in the task."""
+    return gzip_lines(spark, paths).where("status IS NOT NULL").select("file", "status", "bytes")
+
+
+def found_members(content: bytes) -> list[tuple]:
+    """member, offset, length, ok, lines, error of each place with a gzip header."""
+    at, starts, rows = content.find(HEADER), [], []
+    while at >= 0:
+        starts.append(at)
+        at = content.find(HEADER, at + 1)
+    for i, (s, e) in enumerate(zip(starts, [*starts[1:], len(content)], strict=False)):
+        try:
+            d = zlib.decompressobj(31)
+            text = d.decompress(content[s:e])
+            rows.append((i, s, e - s, d.eof, text.count(b"\n"), None if d.eof else "truncated"))
+        except zlib.error as x:
+            rows.append((i, s, e - s, False, 0, str(x)))
+    return rows
+
+
+class GzMembers:
+    """Table function ``gz_members(content)`` for LATERAL joins over a table of files."""
+
+    def eval(self, content: bytes):
+        yield from found_members(content or b"")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            got = [inflate(c) for c in f["content"]]
-            yield pd.DataFrame({"file": f["file"], "status": [g[0] for g in got], "bytes": [g[1] for g in got]})
 
-    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
-    return files.mapInPandas(run, "file string, status string, bytes long")
+def register(spark: SparkSession) -> None:
+    """Makes ``gz_members`` known to SQL: SELECT path, m.* FROM files, LATERAL gz_members(content) m."""
+    spark.udtf.register("gz_members", udtf(GzMembers, returnType=MEMBER))
 
 
 def members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """file, member, offset, length, ok, lines, error: each place with a gzip header, inflated by itself."""
+    register(spark)
+    found = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
+    return found.lateralJoin(udtf(GzMembers, returnType=MEMBER)(F.col("content").outer())).drop("content")
+
+
+def parquet_files(spark: SparkSession, root: str, *, deep: bool = False) -> DataFrame:
+    """file, partition (the folders below ``root``), rows, error of each Parquet file there; ``deep`` decodes the rows too, a batch at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            out = []
+            for path in b.column("file").to_pylist():
+                where, at = files.place(path)
+                try:
+                    with where.open_input_file(at) as f:
+                        table = pq.ParquetFile(f, page_checksum_verification=deep)
+                        n = table.metadata.num_rows
+                        if deep and sum(len(x) for x in table.iter_batches(8_192)) != n:
+                            raise OSError("rows are missing")
+                    out.append((n, None))
+                except (OSError, pa.ArrowException) as e:
+                    out.append((None, f"{type(e).__name__}: {e}"[:300]))
+            yield pa.RecordBatch.from_arrays([b.column("file"), b.column("partition"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string())], names=["file", "partition", "rows", "error"])
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    tail = F.regexp_extract("path", r"((?:/[^/=]+=[^/]*)*)/[^/]*$", 1)
+    rows = found.select(F.col("path").alias("file"), F.ltrim(tail, F.lit("/")).alias("partition"))
+    return rows.repartition(spark.sparkContext.defaultParallelism, "file").mapInArrow(run, "file string, partition string, rows long, error string")
+
+
+def readable_partitions(spark: SparkSession, root: str, *, deep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of the partitions whose files can all be read, and beside them partition, file, error of the files that can't.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for file, content in zip(f["file"], f["content"], strict=True):
-                at, starts = content.find(b"\x1f\x8b\x08"), []
-                while at >= 0:
-                    starts.append(at)
-                    at = content.find(b"\x1f\x8b\x08", at + 1)
-                for i, s in enumerate(starts):
-                    e = starts[i + 1] if i + 1 < len(starts) else len(content)
-                    try:
-                        d = zlib.decompressobj(31)
-                        text = d.decompress(content[s:e])
-                        rows.append((file, i, s, e - s, d.eof, text.count(b"\n"), None if d.eof else "truncated"))
-                    except zlib.error as x:
-                        rows.append((file, i, s, e - s, False, 0, str(x)))
-            yield pd.DataFrame(rows, columns=["file", "member", "offset", "length", "ok", "lines", "error"])
-
-    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
-    return files.mapInPandas(run, "file string, member int, offset long, length long, ok boolean, lines long, error string")
+    A partition with a damaged file is left out as a whole. What reaches the driver are the names of damaged partitions.
+    """
+    found = parquet_files(spark, root, deep=deep)
+    errors = found.where("error IS NOT NULL").select("partition", "file", "error")
+    bad = sorted({r.partition for r in errors.select("partition").distinct().toLocalIterator()})
+    read = spark.read.option("basePath", root).option("recursiveFileLookup", "false")
+    if not bad:
+        return read.parquet(root), errors
+    if "" in bad:
+        raise OSError(f"{root} has damaged files outside any partition")
+    good = [r.partition for r in found.select("partition").distinct().where(~F.col("partition").isin(bad)).toLocalIterator()]
+    if not good:
+        raise OSError(f"no partition of {root} can be read")
+    return read.parquet(*[f"{root.rstrip('/')}/{p}" for p in sorted(good)]), errors
