@@ -202,7 +202,8 @@ class BarFiles(DataSource):
     """Sink of rows (day, slug, value): gzip lines, one file a bar, ``<path>/<day>/<slug>.jsonl.gz``.
 
     As a table's sink, a bar's rows have to lie in one task, one after another (``write_captures`` sees to it). As a
-    stream's, a line's rows have to (``write_bars`` of ``tapeworks.streaming.flow`` does); each micro-batch adds a gzip member to
+    stream's, a line's rows have to (``write_bars`` of ``tapeworks.streaming.flow`` does), and a column ``at`` puts the rows of
+    a micro-batch in order; each micro-batch adds a gzip member to
     ``.parts``, and the task that meets a later bar of the line joins the members of the bars before it. The driver
     only moves files. A batch that is run again replaces what it wrote; rows of a bar that was closed by an
     earlier batch are kept below ``.late``.
@@ -309,8 +310,10 @@ class BarStreamWriter(DataSourceStreamArrowWriter):
         return [(*name.split("~", 1), f"{top}/{name}") for name in files.children(top)]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        members = Members(self.out)
-        for batch in iterator:
+        members, batches = Members(self.out), list(iterator)
+        if batches and "at" in batches[0].schema.names:  # shuffled blocks come in any order
+            batches = pa.Table.from_batches(batches).sort_by([("at", "ascending"), ("value", "ascending")]).to_batches()
+        for batch in batches:
             for key, values in runs(batch):
                 members.add(key, values)
         own = {key: members.close(key) for key in list(members.open)}

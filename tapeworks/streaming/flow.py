@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import time
 from collections.abc import Callable, Iterator
 
-from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tapeworks.functions.scalars import bar_of, first_hash, slug_epoch
+from tapeworks.sources import files
+from tapeworks.sources.captures import BarFiles
 
 
 def replay(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
@@ -20,9 +23,28 @@ def replay(spark: SparkSession, path: str, schema: str, files_per_trigger: int =
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def on_time(frames: DataFrame, cycle_s: int) -> DataFrame:
-    """Drops frames of a bar that is no longer, or not yet, the active one at arrival."""
-    return frames.where(bar_of(F.col("arrival_ts"), cycle_s) == slug_epoch(F.col("slug")))
+def routed(frames: DataFrame, cycle_s: int) -> DataFrame:
+    """Adds ``late``: bars by which a frame's own bar lies behind the active one at arrival (below 0: it is yet to come); NULL without a slug's bar."""
+    return frames.withColumn("late", (bar_of(F.col("arrival_ts"), cycle_s) - slug_epoch(F.col("slug"))) / F.lit(cycle_s))
+
+
+def on_time(frames: DataFrame, cycle_s: int, watch: str | Observation | None = None) -> DataFrame:
+    """Drops frames of a bar that is no longer, or not yet, the active one at arrival.
+
+    ``watch`` names an observation of each batch, taken before the drop: frames, late_1 (of the bar before), late_more, early, unnamed.
+    """
+    out = routed(frames, cycle_s)
+    if watch is not None:
+        late = F.col("late")
+        out = out.observe(watch, F.count("*").alias("frames"), F.count_if((late > 0) & (late <= 1)).alias("late_1"), F.count_if(late > 1).alias("late_more"), F.count_if(late < 0).alias("early"), F.count_if(late.isNull()).alias("unnamed"))
+    return out.where("late = 0").drop("late")
+
+
+def late_by_slug(frames: DataFrame, cycle_s: int) -> DataFrame:
+    """slug, late_1, late_more, early, unnamed: what ``on_time`` drops, for a query of its own beside it."""
+    late = F.col("late")
+    dropped = routed(frames, cycle_s).where(late.isNull() | (late != 0))
+    return dropped.groupBy("slug").agg(F.count_if((late > 0) & (late <= 1)).alias("late_1"), F.count_if(late > 1).alias("late_more"), F.count_if(late < 0).alias("early"), F.count_if(late.isNull()).alias("unnamed"))
 
 
 def keyed(frames: DataFrame) -> DataFrame:
@@ -46,12 +68,19 @@ def liveness(frames: DataFrame) -> DataFrame:
     return frames.groupBy("conn").agg(F.max("arrival_ts").alias("last_ts"), F.count("*").alias("messages"))
 
 
-def write_bars(frames: DataFrame, out: str, checkpoint: str, flush: str = "2 seconds") -> StreamingQuery:
-    """JSON lines, gzipped, by day and slug; a micro-batch is a flush."""
-    rows = frames.withColumn("day", F.date_format(F.timestamp_seconds("arrival_ts"), "yyyy-MM-dd"))
+def write_bars(frames: DataFrame, out: str, checkpoint: str, flush: str | None = "2 seconds") -> StreamingQuery:
+    """One gzip file a bar below ``out``; a micro-batch, every ``flush``, is a flush; None takes what is there and ends.
+
+    The day is the bar's. A line's rows go to one task, which puts a micro-batch's rows in order of arrival.
+    """
+    frames.sparkSession.dataSource.register(BarFiles)
     body = F.to_json(F.struct(*[c for c in frames.columns if c != "slug"])).alias("value")
-    w = rows.select("day", "slug", body).writeStream.format("text").option("compression", "gzip").partitionBy("day", "slug")
-    return w.option("path", out).option("checkpointLocation", checkpoint).trigger(processingTime=flush).start()
+    day = F.date_format(F.timestamp_seconds(slug_epoch(F.col("slug"))), "yyyy-MM-dd")
+    rows = frames.where(slug_epoch(F.col("slug")).isNotNull()).withColumns({"day": day, "line": F.regexp_replace("slug", "-[^-]*$", "")})
+    each = rows.repartition("line").select("day", "slug", body, F.col("arrival_ts").alias("at"))
+    w = each.writeStream.format("bar_files").option("path", out).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if flush is None else w.trigger(processingTime=flush)
+    return w.start()
 
 
 class Heartbeat(StreamingQueryListener):
@@ -100,39 +129,27 @@ def obey(orders: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
 
     def write(batch: DataFrame, _: int) -> None:
         for r in batch.groupBy("line").agg(F.max("generation").alias("generation")).toLocalIterator():  # a row a line
-            _put(folder, f"{r.line}.json", r.generation)
+            files.put_json(folder, f"{r.line}.json", r.generation)
 
     return orders.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
 
 
-def _put(folder: str, name: str, value) -> None:
-    """A file that is there whole or not at all."""
-    files, path = fs.FileSystem.from_uri(folder)
-    files.create_dir(path, recursive=True)
-    with files.open_output_stream(f"{path}/.{name}") as f:
-        f.write(json.dumps(value).encode())
-    files.move(f"{path}/.{name}", f"{path}/{name}")
-
-
-def _get(folder: str, name: str):
-    files, path = fs.FileSystem.from_uri(folder)
-    try:
-        with files.open_input_stream(f"{path}/{name}") as f:
-            return json.loads(f.read())
-    except FileNotFoundError:
-        return None
-
-
 class LiveBooks(DataSource):
-    """Frames from a feed: options ``feed`` ("module:function" returning an iterator factory), ``conn``, ``log``, ``orders``, ``line``.
+    """Frames from a feed over several connections, each read in a task of its own.
+
+    Options: ``feed`` ("module:function"), ``conns`` (2), ``log``, ``orders``, ``line``, ``seconds`` that a task reads at most (1), ``rows`` (10,000).
 
-    The feed function takes (conn, generation) and yields (arrival_ts, event_type, asset_id, hash, slug, body);
-    it raises OSError when the connection breaks. Back-off is linear, 3 s an attempt up to 60 s.
+    The feed function takes (conn, generation, cursor) and yields (arrival_ts, event_type, asset_id, hash, slug, body), or None
+    while nothing comes, so that a task can end in time. ``cursor`` counts the rows already taken of this generation: a feed
+    that can resume goes on from there; one that can't ignores it, and what passes between two reads is left to the
+    other connection. The feed says "subscribe" in a row of its own when it has subscribed to a slug. It raises OSError when the
+    connection breaks: a row "lost" follows, and the next generation begins after a linear back-off of 3 s an attempt up to 60 s.
 
-    ``log`` is a folder (URI or absolute path) that outlives the driver: rows are written there before their offset is given out, and
-    a restarted query reads the rows of an offset that was planned but not committed again. Without it such
-    rows are lost with the process (at most once). ``orders`` is the folder that ``obey`` writes: a higher
-    generation of ``line`` there makes the source subscribe anew.
+    ``log`` is a folder (URI or absolute path) that the driver and all tasks share. A task writes what it has read, and where it
+    stopped, there before it gives rows out; a batch that is run again, by the same query or after a restart from its checkpoint,
+    reads them there. The driver plans moments only, no row passes through it. Speculative copies of a task would read the
+    connection twice, so they have to be off. ``orders`` is the folder that ``obey`` writes: a higher generation of ``line``
+    there makes every connection subscribe anew.
     """
 
     @classmethod
@@ -142,66 +159,94 @@ class LiveBooks(DataSource):
     def schema(self) -> str:
         return "arrival_ts double, conn int, event_type string, asset_id string, hash string, slug string, body string"
 
-    def simpleStreamReader(self, schema):
-        return LiveReader(self.options)
+    def streamReader(self, schema):
+        return LiveReader(dict(self.options))
 
 
-class LiveReader(SimpleDataSourceStreamReader):
-    BATCH = 1000
+class Connection(InputPartition):
+    def __init__(self, conn: int, start: int, end: int):
+        super().__init__((conn, start, end))
+        self.conn, self.start, self.end = conn, start, end
 
-    def __init__(self, options):
-        import importlib
 
-        module, name = options["feed"].split(":")
-        self.feed, self.conn = getattr(importlib.import_module(module), name), int(options.get("conn", "0"))
-        self.log, self.orders, self.line = options.get("log"), options.get("orders"), options.get("line", "")
-        self.kept: dict[int, list[tuple]] = {}
-        self.source: Iterator | None = None
-        self.attempt = self.generation = self.ordered = 0
+#: Feeds that this worker has open: (feed, line, conn) -> (generation, cursor, iterator). The worker that read a connection last goes on with it.
+_open: dict[tuple, tuple[int, int, Iterator]] = {}
+
+
+class LiveReader(DataSourceStreamReader):
+    FIRST = {"generation": 0, "cursor": 0, "attempt": 0, "retry_at": 0.0, "ordered": 0}
+    ROW = pa.schema([("arrival_ts", pa.float64()), ("conn", pa.int32()), *[(c, pa.string()) for c in ("event_type", "asset_id", "hash", "slug", "body")]])
+
+    def __init__(self, options: dict):
+        self.feed, self.log, self.conns = options["feed"], options["log"].rstrip("/"), int(options.get("conns", "2"))
+        self.orders, self.line = options.get("orders"), options.get("line", "")
+        self.seconds, self.rows, self.told = float(options.get("seconds", "1")), int(options.get("rows", "10000")), 0
 
     def initialOffset(self) -> dict:
-        return {"at": 0, "generation": 0}
-
-    def read(self, start: dict):
-        self.generation = max(self.generation, start["generation"])
-        ordered = self.orders and _get(self.orders, f"{self.line}.json") or 0
-        if ordered > self.ordered:
-            self.source, self.ordered, self.generation = None, ordered, self.generation + 1
-        rows: list[tuple] = []
+        return {"at": 0}
+
+    def latestOffset(self) -> dict:
+        """A moment, in milliseconds; later than any before."""
+        self.told = max(self.told + 1, int(time.time() * 1000))
+        return {"at": self.told}
+
+    def partitions(self, start: dict, end: dict) -> list[Connection]:
+        return [Connection(c, start["at"], end["at"]) for c in range(self.conns)] if start["at"] < end["at"] else []
+
+    def logged(self, conn: int, at: int) -> str:
+        return f"{self.log}/{conn}/{at:020d}.arrow"
+
+    def read(self, p: Connection) -> Iterator[pa.RecordBatch]:
+        table = self.recall(p.conn, p.end)
+        if table is None:
+            before = self.recall(p.conn, p.start)
+            rows, state = self.take(p.conn, json.loads(before.schema.metadata[b"state"]) if before is not None else dict(self.FIRST))
+            table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, self.ROW.types, strict=True)], schema=self.ROW.with_metadata({"state": json.dumps(state)}))
+            tmp = files.new_name(f"{self.log}/{p.conn}")
+            where, at = files.place(tmp)
+            with where.open_output_stream(at) as f, pa.ipc.new_file(f, table.schema) as out:
+                out.write_table(table)
+            files.move(tmp, self.logged(p.conn, p.end))
+        yield from table.replace_schema_metadata(None).to_batches()
+
+    def recall(self, conn: int, at: int) -> pa.Table | None:
+        where, path = files.place(self.logged(conn, at))
+        try:
+            with where.open_input_file(path) as f:
+                return pa.ipc.open_file(f).read_all()
+        except FileNotFoundError:
+            return None
+
+    def take(self, conn: int, state: dict) -> tuple[list[tuple], dict]:
+        """Rows that come within ``seconds``, and the state after them."""
+        rows, now = [], time.time()
+        ordered = self.orders and files.get_json(self.orders, f"{self.line}.json") or 0
+        if ordered > state["ordered"]:
+            state |= {"ordered": ordered, "generation": state["generation"] + 1, "cursor": 0, "retry_at": 0.0}
+        if now < state["retry_at"]:
+            return rows, state
+        key = (self.feed, self.line, conn)
+        generation, cursor, source = _open.pop(key, (None, None, None))
         try:
-            if self.source is None:
-                self.source = iter(self.feed(self.conn, self.generation))
-            for row in self.source:
-                rows.append((row[0], self.conn, *row[1:]))
-                if len(rows) >= self.BATCH:
+            if (generation, cursor) != (state["generation"], state["cursor"]):
+                module, name = self.feed.split(":")
+                source = iter(getattr(importlib.import_module(module), name)(conn, state["generation"], state["cursor"]))
+            for row in source:
+                if row is not None:
+                    rows.append((row[0], conn, *row[1:]))
+                if len(rows) >= self.rows or time.time() - now >= self.seconds:
                     break
-            self.attempt = 0
+            state |= {"cursor": state["cursor"] + len(rows), "attempt": 0}
+            _open[key] = (state["generation"], state["cursor"], source)
         except OSError:
-            self.source, self.attempt, self.generation = None, self.attempt + 1, self.generation + 1
-            time.sleep(min(3 * self.attempt, 60))
-        end = {"at": start["at"] + len(rows), "generation": self.generation}
-        if rows:
-            self.kept[start["at"]] = rows
-            if self.log:
-                _put(self.log, f"{self.conn}-{start['at']}.json", rows)
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: dict, end: dict):
-        at, out = start["at"], []
-        while at < end["at"]:
-            rows = self.kept.get(at) or self.log and _get(self.log, f"{self.conn}-{at}.json")
-            if not rows:
-                if self.log:
-                    raise OSError(f"rows from offset {at} on are not in {self.log}")
-                break
-            out, at = out + [tuple(r) for r in rows], at + len(rows)
-        return iter(out[: end["at"] - start["at"]])
+            wait = min(3 * (state["attempt"] + 1), 60)
+            rows.append((time.time(), conn, "lost", "", None, None, None))
+            state |= {"generation": state["generation"] + 1, "cursor": 0, "attempt": state["attempt"] + 1, "retry_at": time.time() + wait}
+        return rows, state
 
     def commit(self, end: dict) -> None:
-        self.kept = {k: v for k, v in self.kept.items() if k >= end["at"]}
-        if self.log:
-            files, path = fs.FileSystem.from_uri(self.log)
-            for f in files.get_file_info(fs.FileSelector(path, allow_not_found=True)):
-                conn, _, at = f.base_name.removesuffix(".json").partition("-")
-                if conn == str(self.conn) and at.isdigit() and int(at) < end["at"]:
-                    files.delete_file(f.path)
+        """Logs before the last committed moment go; that one says where to go on."""
+        for conn in range(self.conns):
+            for name in files.children(f"{self.log}/{conn}"):
+                if name.endswith(".arrow") and int(name.removesuffix(".arrow")) < end["at"]:
+                    files.remove(f"{self.log}/{conn}/{name}")
