@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,30 +39,37 @@ def dedup_window(rows: DataFrame, keys: list[str], at: str, order: str, gap: flo
     """Keeps a row unless its key was kept less than ``gap`` before; drops do not renew that. Rows that ``skip`` names, and rows without a time, are all kept.
 
     A key's rows are split where two neighbours are ``gap`` or more apart: the later one is kept whatever came
-    before, so each run can be folded by itself. A run passes by in order, with its last kept time alone in memory,
-    and whole rows come out: neither the order column nor any other has to be unique.
+    before, so each run can be folded by itself. A run passes by in order, with its last kept time alone in memory and a search from one
+    kept row to the next, and whole rows come out: neither the order column nor any other has to be unique.
     """
     free = F.col(at).isNull() if skip is None else F.col(at).isNull() | F.coalesce(skip, F.lit(False))
     w = Window.partitionBy(*keys).orderBy(at, order)
     marked = rows.where(~free).withColumn("_new", F.coalesce(F.col(at) - F.lag(at).over(w) >= gap, F.lit(True)).cast("int"))
-    runs = marked.withColumn("_run", F.sum("_new").over(w)).withColumn("_t", F.col(at).cast("double")).drop("_new")
-    lead = [*keys, "_run"]
+    runs = marked.withColumn("_run", F.sum("_new").over(w)).withColumn("_t", F.col(at).cast("double"))
     columns = rows.columns
 
     def fold(batches):
-        import pyarrow as pa
-
-        run, last = None, 0.0
+        last = 0.0
         for b in batches:
-            keep = []
-            for key, t in zip(zip(*(b.column(c).to_pylist() for c in lead), strict=True), b.column("_t").to_pylist(), strict=True):
-                kept = key != run or t - last >= gap
-                if kept:
-                    run, last = key, t
-                keep.append(kept)
-            yield b.filter(pa.array(keep, pa.bool_())).select(columns)
-
-    out = runs.repartition(*lead).sortWithinPartitions(*lead, at, order).mapInArrow(fold, rows.schema)
+            t, new = b.column("_t").to_numpy(), b.column("_new").to_numpy() > 0
+            keep = new.copy()
+            cuts = np.flatnonzero(new).tolist()
+            for lo, hi in zip([0, *cuts] if not cuts or cuts[0] else cuts, [*cuts, len(t)] if not cuts or cuts[0] else [*cuts[1:], len(t)], strict=True):
+                i = lo
+                if lo < hi and new[lo]:
+                    last, i = t[lo], lo + 1
+                while i < hi:  # from one kept row to the next
+                    i += int(np.searchsorted(t[i:hi], last + gap))
+                    while i > lo + 1 and t[i - 1] - last >= gap:  # the sum was rounded, the difference counts
+                        i -= 1
+                    while i < hi and t[i] - last < gap:
+                        i += 1
+                    if i < hi:
+                        keep[i], last = True, t[i]
+                        i += 1
+            yield b.filter(pa.array(keep)).select(columns)
+
+    out = runs.repartition(*keys, "_run").sortWithinPartitions(*keys, "_run", at, order, F.desc("_new")).mapInArrow(fold, rows.schema)
     return out.unionByName(rows.where(free))
 
 

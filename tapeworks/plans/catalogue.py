@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Callable
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions import book, scalars
 from tapeworks.operators import asof, coverage, depth, derive, duplicates, inventory, outcome, settle
 from tapeworks.plans.standin import BAR_S, EV, LEVELS, OFFSET_S, TOKENS, books, frames, read, tokens
+from tapeworks.sources import captures, files, integrity
 from tapeworks.sources import frames as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -462,9 +465,8 @@ def partition_prune_roundtrip(spark, d):
 # ---- the raw path: events as gzip JSON lines, one file a bar, read back as captures are
 
 
-def _raw(spark, d):
-    """Events written as capture files in the shared folder, then read, parsed and named. One file a bar, renamed by the driver."""
-    out = _shared(spark, "raw")
+def _capture_lines(spark, d):
+    """day, slug, seq, value: events as lines of captures, one file a bar."""
     f = frames(spark, d)
     k = F.col("seq") % 40
     level = lambda p: F.struct((p / 100).cast("string").alias("price"), (k + 1).cast("string").alias("size"))
@@ -478,15 +480,44 @@ def _raw(spark, d):
     )
     gap = F.struct(F.lit("gap").alias("mark"), (F.col("ts_ms") / 1000).alias("from_ts"), (F.col("ts_ms") / 1000 + 2).alias("to_ts"), F.lit(2.0).alias("lost_s"))
     said = F.when(F.col("kind") == "book", F.to_json(book_)).when(F.col("kind") == "trade", F.to_json(trade)).when(F.col("kind") == "gap", F.to_json(gap)).otherwise("{broken")
-    lines = f.select("bar_ts", "seq", said.alias("value")).repartition("bar_ts").sortWithinPartitions("bar_ts", "seq")
-    lines.select("bar_ts", "value").write.partitionBy("bar_ts").option("compression", "gzip").text(f"{out}/parts")
-    path = lambda x: spark._jvm.org.apache.hadoop.fs.Path(x)
-    fs = path(out).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path(f"{out}/2024-01-01"))
-    for file in fs.globStatus(path(f"{out}/parts/bar_ts=*/part-*")):
-        bar = file.getPath().getParent().getName().split("=")[1]
-        fs.rename(file.getPath(), path(f"{out}/2024-01-01/btc-updown-5m-{bar}.jsonl.gz"))
-    return raw.kind(raw.parse(raw.read_lines(spark, raw.resolve(out, "2024-01-01"))))
+    return f.select(F.lit("2024-01-01").alias("day"), F.concat(F.lit("btc-updown-5m-"), "bar_ts").alias("slug"), "seq", said.alias("value"))
+
+
+_CAPTURES: dict[tuple[str, str, bool], str] = {}
+
+
+def _captures(spark, d, damaged=False):
+    """Folder of captures, written once for all queries of a session. ``damaged``: the first bar's file breaks off in a second member, the last one's ends in bytes that are no gzip."""
+    key = (spark.sparkContext.applicationId, d, damaged)
+    if key not in _CAPTURES:
+        out = _shared(spark, "raw")
+        captures.write_captures(_capture_lines(spark, d), out)
+        if damaged:
+            found = [path for path, _ in files.listed(f"{out}/2024-01-01/*.jsonl.gz")]
+            _append(min(found, key=len_and_name), b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03")
+            _append(max(found, key=len_and_name), b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\xff\xff\xff\xff")
+        _CAPTURES[key] = out
+    return _CAPTURES[key]
+
+
+def len_and_name(path: str) -> tuple[int, str]:
+    """Orders bars as numbers."""
+    return len(path), path
+
+
+def _append(path: str, data: bytes) -> None:
+    where, at = files.place(path)
+    with where.open_input_stream(at, compression=None) as f:
+        data = f.read() + data  # one bar's file
+    tmp = files.new_name(path.rsplit("/", 2)[0] + "/.staging")
+    with where.open_output_stream(files.place(tmp)[1], compression=None) as f:
+        f.write(data)
+    files.move(tmp, path)
+
+
+def _raw(spark, d):
+    """Captures read, parsed and named."""
+    return raw.kind(raw.parse(raw.read_lines(spark, raw.resolve(_captures(spark, d), "2024-01-01"))))
 
 
 def _derived(spark, d):
@@ -529,6 +560,123 @@ def raw_row_counts(spark, d):
     return derive.row_counts(_raw(spark, d)).where("day IS NULL").select("kind", "n")
 
 
+@query(f"""WITH {EV}, b AS (SELECT bar_ts, row_number() OVER (ORDER BY bar_ts) AS lo, row_number() OVER (ORDER BY bar_ts DESC) AS hi FROM e GROUP BY bar_ts)
+SELECT (SELECT count(*) FROM b) AS files, (SELECT count(*) FROM b WHERE lo = 1 OR hi = 1) AS files_unreadable, count(*) AS lines, 0 AS bad_json, count(*) FILTER (kind = 'book') AS book_frames FROM e""")
+def raw_damaged_audit(spark, d):
+    return depth.audit(raw.read_captures(spark, raw.resolve(_captures(spark, d, damaged=True), "2024-01-01")))
+
+
+@query(f"""WITH {EV}, b AS (SELECT bar_ts, count(*) AS n, row_number() OVER (ORDER BY bar_ts) AS lo, row_number() OVER (ORDER BY bar_ts DESC) AS hi FROM e GROUP BY bar_ts)
+SELECT bar_ts, CASE WHEN hi = 1 THEN 'corrupt' WHEN lo = 1 THEN 'truncated' ELSE 'ok' END AS status, CASE WHEN hi = 1 OR lo = 1 THEN 0 ELSE n END AS lines FROM b""")
+def raw_whole_files(spark, d):
+    rows = raw.read_captures(spark, raw.resolve(_captures(spark, d, damaged=True), "2024-01-01"), whole=True)
+    return rows.groupBy("bar_ts").agg(F.max("status").alias("status"), F.count_if(F.col("status").isNull() & (F.trim("value") != "")).alias("lines"))
+
+
+@query(f"WITH {EV} SELECT coalesce(event_type, '?') AS ev, count(*) AS n FROM (SELECT CASE WHEN kind = 'trade' THEN 'last_trade_price' ELSE kind END AS event_type FROM e WHERE kind IN ('book', 'trade')) GROUP BY 1")
+def raw_event_counts(spark, d):
+    return depth.event_counts(raw.read_captures(spark, raw.resolve(_captures(spark, d, damaged=True), "2024-01-01")))
+
+
+@query(f"WITH {EV}, b AS (SELECT row_number() OVER (ORDER BY bar_ts) - 1 AS i, bar_ts, count(*) AS n FROM e GROUP BY bar_ts) SELECT 'btc-updown-5m-' || bar_ts || '.jsonl.gz' AS name, 0 AS member, true AS ok, n AS lines FROM b")
+def raw_gzip_members(spark, d):
+    integrity.register(spark)
+    spark.read.format("binaryFile").load(f"{_captures(spark, d)}/2024-01-01").createOrReplaceTempView("tapeworks_gz_files")
+    return spark.sql("SELECT element_at(split(path, '/'), -1) AS name, m.member, m.ok, m.lines FROM tapeworks_gz_files, LATERAL gz_members(content) m WHERE m.ok")
+
+
+@query(f"WITH {EV} SELECT 'd' || bar_ts AS day, 'c' || side AS coin, count(*) AS n FROM e WHERE kind = 'book' GROUP BY ALL")
+def footer_row_counts(spark, d):
+    out = _shared(spark, "footers")
+    f = frames(spark, d).where("kind = 'book'").select(F.concat(F.lit("d"), "bar_ts").alias("day"), F.concat(F.lit("c"), "side").alias("coin"), F.lit("7d").alias("cycle"), "market", "asset_id", "ts_ms", F.lit("-").alias("file"), "seq")
+    derive.write(f, "quotes", out)
+    return derive.stored_rows(spark, out, "quotes").select("day", "coin", "n")
+
+
+@query(f"WITH {EV} SELECT bar_ts, count(*) AS n FROM e WHERE kind = 'book' AND bar_ts <> (SELECT min(bar_ts) FROM e WHERE kind = 'book') GROUP BY bar_ts")
+def partitions_without_damaged(spark, d):
+    out = _shared(spark, "partitions")
+    f = frames(spark, d).where("kind = 'book'")
+    f.select("bar_ts", "market", "ts_ms").repartition("bar_ts").write.partitionBy("bar_ts").parquet(out)
+    victim = min((path for path, _ in files.listed(f"{out}/*/*.parquet")), key=len_and_name)
+    _append(victim, b"no footer")
+    rows, errors = integrity.readable_partitions(spark, out)
+    assert errors.count() == 1
+    return rows.groupBy(F.col("bar_ts").cast("long").alias("bar_ts")).agg(F.count("*").alias("n"))
+
+
+# ---- replays through the streaming operators
+
+
+def _replay(spark, d):
+    """events as a stream: seq, at (seconds), ts (with a watermark), line, conn, kind."""
+    schema = read(spark, d, "events").schema
+    src = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+    at = F.unix_micros("ts") / 1_000_000
+    return src.select(F.col("event_id").alias("seq"), at.alias("at"), "ts", F.concat(F.lit("l"), F.col("user_id") % 40).alias("line"), (F.col("user_id") % 2).cast("int").alias("conn"), "event_type", F.col("user_id").alias("user_id"))
+
+
+STREAM = "r AS (SELECT event_id AS seq, epoch_us(ts) / 1000000.0::DOUBLE AS tm, 'l' || (user_id % 40) AS line, CAST(user_id % 2 AS INTEGER) AS conn, event_type, user_id FROM events)"
+
+
+@query(f"""WITH {STREAM}, g AS (SELECT line, tm, lag(tm) OVER (PARTITION BY line ORDER BY tm) AS p FROM r), s AS (SELECT line, p + 7200 AS lo, tm AS hi FROM g WHERE tm - p >= 7200),
+c AS (SELECT line, lo, hi, unnest(generate_series(CAST(floor(lo / 86400) AS BIGINT), CAST(floor(hi / 86400) AS BIGINT))) AS k FROM s),
+x AS (SELECT line, k * 86400 AS bar_ts, greatest(lo, k * 86400.0::DOUBLE) AS lo, least(hi, (k + 1) * 86400.0::DOUBLE) AS hi, hi >= (k + 1) * 86400 AS cut FROM c)
+SELECT line, bar_ts, round(lo, 4) AS from_ts, round(hi, 4) AS to_ts, round(hi - lo, 4) AS lost_s, CASE WHEN cut THEN 'unresolved' ELSE 'reconnected' END AS note FROM x WHERE hi > lo OR (NOT cut AND lo = hi)""")
+def stream_silences(spark, d):
+    from tapeworks.streaming import stateful
+
+    s = _drain(spark, stateful.silences(_replay(spark, d).select("line", "at", "ts"), 7200.0, 86_400), "append", "silences")
+    # a last row may be followed by marks of timers that fire as the replay ends
+    last = read(spark, d, "events").groupBy(F.concat(F.lit("l"), F.col("user_id") % 40).alias("line")).agg((F.max(F.unix_micros(F.col("ts").cast("timestamp"))) / 1_000_000).alias("last"))
+    closed = s.where("note <> 'open'").join(last, "line").where("from_ts < last")
+    return closed.select("line", "bar_ts", *[F.round(c, 4).alias(c) for c in ("from_ts", "to_ts", "lost_s")], "note")
+
+
+@query(f"""WITH {STREAM}, f AS (SELECT line AS slug, conn, tm, event_type = 'purchase' AS sub FROM r WHERE event_type <> 'error'),
+n AS (SELECT *, lead(tm) OVER w AS next, lead(sub) OVER w AS again FROM f WINDOW w AS (PARTITION BY slug, conn ORDER BY tm, NOT sub))
+SELECT slug, conn, round(tm, 4) AS subscribed_ts, round(next, 4) AS first_ts, round((next - tm) * 1000, 1) AS latency_ms FROM n WHERE sub AND NOT again""")
+def stream_first_frames(spark, d):
+    from tapeworks.streaming import stateful
+
+    kind = F.when(F.col("event_type") == "purchase", "subscribe").when(F.col("event_type") == "error", "lost").otherwise(F.col("event_type"))
+    r = _replay(spark, d).select(F.col("line").alias("slug"), "conn", kind.alias("event_type"), F.col("at").alias("arrival_ts"), "ts")
+    out = _drain(spark, stateful.first_frames(r, 1e8), "append", "first_frames")
+    return out.select("slug", "conn", F.round("subscribed_ts", 4).alias("subscribed_ts"), F.round("first_ts", 4).alias("first_ts"), F.round("latency_ms", 1).alias("latency_ms"))
+
+
+@query(f"""WITH {STREAM}, x AS (SELECT CAST(floor(tm / 86400) AS BIGINT) AS k, CAST(floor(tm / 86400) AS BIGINT) - CASE WHEN seq % 11 = 0 THEN 1 WHEN seq % 13 = 0 THEN 3 WHEN seq % 17 = 0 THEN -1 ELSE 0 END AS own FROM r)
+SELECT 'd-' || (own * 86400) AS slug, count(*) FILTER (k - own = 1) AS late_1, count(*) FILTER (k - own > 1) AS late_more, count(*) FILTER (k < own) AS early FROM x WHERE k <> own GROUP BY own""")
+def stream_late_counts(spark, d):
+    from tapeworks.streaming import flow
+
+    shift = F.when(F.col("seq") % 11 == 0, 1).when(F.col("seq") % 13 == 0, 3).when(F.col("seq") % 17 == 0, -1).otherwise(0)
+    r = _replay(spark, d).select(F.col("at").alias("arrival_ts"), F.concat(F.lit("d-"), scalars.bar_of(F.col("at"), 86_400) - shift * 86_400).alias("slug"))
+    return _drain(spark, flow.late_by_slug(r, 86_400), "complete", "late").select("slug", "late_1", "late_more", "early")
+
+
+@query(f"""WITH RECURSIVE {STREAM}, k AS (SELECT seq, user_id, event_type, tm FROM r QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY tm, seq) = 1
+  UNION ALL SELECT n.seq, n.user_id, n.event_type, n.tm FROM k JOIN LATERAL (SELECT r.* FROM r WHERE r.user_id = k.user_id AND r.event_type = k.event_type AND r.tm - k.tm >= 86400 ORDER BY r.tm, r.seq LIMIT 1) n ON true)
+SELECT r.seq, k.seq IS NULL AS duplicate FROM r LEFT JOIN k ON r.seq = k.seq""")
+def stream_dedup_tagged(spark, d):
+    from tapeworks.streaming import stateful
+
+    r = _replay(spark, d).select(F.col("at").alias("arrival_ts"), "conn", "event_type", F.lit("a").alias("asset_id"), F.col("user_id").cast("string").alias("hash"), F.lit("s").alias("slug"), "seq")
+    return _drain(spark, stateful.dedup(r, 86_400.0, live=False, tag=True), "append", "tagged").select("seq", "duplicate")
+
+
+@query(f"WITH {STREAM} SELECT 'l' || (user_id % 40) || '-' || CAST(floor(tm / 604800) AS BIGINT) * 604800 AS slug, count(*) AS lines, min(seq) AS first_seq, max(seq) AS last_seq FROM r GROUP BY ALL")
+def stream_bar_files(spark, d):
+    from tapeworks.streaming import flow
+
+    out = _shared(spark, "bars")
+    r = _replay(spark, d).select(F.col("at").alias("arrival_ts"), F.concat("line", F.lit("-"), scalars.bar_of(F.col("at"), 604_800)).alias("slug"), "seq")
+    flow.write_bars(r, f"{out}/files", f"{out}/state", None).awaitTermination()
+    captures.close_bars(f"{out}/files")
+    rows = raw.lines(raw.read_captures(spark, f"{out}/files/*/*.jsonl.gz")).withColumn("n", F.from_json("value", "seq long")["seq"])
+    return rows.groupBy("slug").agg(F.count("*").alias("lines"), F.min("n").alias("first_seq"), F.max("n").alias("last_seq"))
+
+
 @query("SELECT (epoch_us(ts) // 86400000000) * 86400 AS bar_ts, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_bar_counts(spark, d):
     from tapeworks.streaming import flow
@@ -546,15 +694,22 @@ def running_extremes(spark, d):
     return run.groupBy("o_custkey").agg(F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
+_LOCAL: list[str] = []
+
+
 def _shared(spark: SparkSession, tag: str) -> str:
     """A new folder below the shared one; a temporary one only where none is set and the master is local."""
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='tapeworks-')}"
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="tapeworks-"))
+            atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+        base = f"file://{_LOCAL[0]}"
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 

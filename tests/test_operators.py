@@ -63,27 +63,30 @@ def test_coverage_uses_the_market_with_most_books(spark):
     assert asof.first_seen_mode(df, ["bar_ts"], "market", "seq").where("bar_ts = 0").first().market == "m1"
 
 
-def q(rows):
-    return [(m, a, 1000000, 940, ask, mid, spread, 1) for m, a, ask, mid, spread in rows]
-
-
 SCHEMA = "market string, asset_id string, ts_ms long, bar_ts long, best_ask double, mid double, spread double, is_primary int"
 
 
 def test_outcome(spark):
-    rows = q([("m1", "U1", 0.60, 0.595, 0.01), ("m1", "D1", 0.42, 0.415, 0.01), ("m2", "U2", 0.70, 0.695, 0.04), ("m2", "D2", 0.32, 0.315, 0.04), ("m3", "U3", 0.52, 0.51, -0.01), ("m4", "U4", 0.3, 0.3, 0.01), ("m5", "U5", 0.6, 0.6, 0.02)])
-    late = [("m1", "D1", 1000001, 940, 0.9, 0.9, 0.01, 1), ("m1", "D1", 999999, 940, 0.9, 0.9, 0.01, 0)]
-    df = spark.createDataFrame(rows + late, SCHEMA).withColumn("seq", F.monotonically_increasing_id())
-    tok = spark.createDataFrame([("m1", "U1", "D1", "U1"), ("m2", "U2", "D2", "DOWN"), ("m3", "U3", "D3", "UP"), ("m5", "U5", "D5", None)], "market string, up_token string, down_token string, winner string")
-    lead = outcome.leaders(outcome.snapshot(df, ["market", "bar_ts"], 60, ["ts_ms", "seq"]), ["market", "bar_ts"])
-    assert {r.market for r in lead.collect()} == {"m1", "m2", "m3", "m5"}  # one-sided below one half is left out
+    """At 4,000 s, 100 s into a bar: two-sided, one-sided, crossed and unsettled markets, frames after the moment and of other markets."""
+    at, bar = 4_000_000, 3_900
+    now = [
+        ("pear", "p+", 0.80, 0.79, 0.02), ("pear", "p-", 0.23, 0.22, 0.02), ("plum", "l+", 0.55, 0.525, 0.05), ("plum", "l-", 0.50, 0.475, 0.05),
+        ("sloe", "s-", 0.64, 0.645, -0.01), ("figs", "f+", 0.45, 0.44, 0.02), ("lime", "m-", 0.90, 0.885, 0.03),
+    ]
+    rows = [(m, a, at, bar, ask, mid, spread, 1) for m, a, ask, mid, spread in now]
+    rows += [("pear", "p-", at + 250, bar, 0.97, 0.96, 0.02, 1), ("pear", "p-", at - 250, bar, 0.97, 0.96, 0.02, 0), ("plum", "l+", at - 9_000, bar, 0.2, 0.1, 0.2, 1)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("seq", F.monotonically_increasing_id())
+    tok = spark.createDataFrame([("pear", "p+", "p-", "p+"), ("plum", "l+", "l-", "DOWN"), ("sloe", "s+", "s-", "DOWN"), ("lime", "m+", "m-", None)], "market string, up_token string, down_token string, winner string")
+    lead = outcome.leaders(outcome.snapshot(df, ["market", "bar_ts"], 100, ["ts_ms", "seq"]), ["market", "bar_ts"])
+    assert {r.market: r.lead for r in lead.collect()} == {"pear": "p+", "plum": "l+", "sloe": "s-", "lime": "m-"}  # one-sided below one half is left out
     got = {r.market: r for r in outcome.returns(lead, tok).collect()}
-    assert got["m1"].lead == "U1" and abs(got["m1"].roi - 0.4 / 0.6) < 1e-9 and got["m2"].roi == -1.0 and got["m3"].won and "m5" not in got
-    assert abs(got["m1"].fee_roi - (0.4 / 0.6 - 0.07 * 0.4 / 0.6)) < 1e-9
-    assert {r.market for r in outcome.returns(lead, tok, parity=True).collect()} == {"m1", "m2", "m3", "m5"}
+    assert set(got) == {"pear", "plum", "sloe"} and [got[m].won for m in ("pear", "plum", "sloe")] == [True, False, True]
+    assert abs(got["pear"].roi - 0.25) < 1e-9 and got["plum"].roi == -1.0 and abs(got["sloe"].roi - 0.5625) < 1e-9
+    assert abs(got["pear"].fee_roi - (0.25 - 0.07 * 0.25)) < 1e-9
+    assert set(r.market for r in outcome.returns(lead, tok, parity=True).collect()) == {"pear", "plum", "sloe", "lime"}
     r = outcome.returns(lead, tok)
-    assert [(x.lo, x.n) for x in outcome.by_bucket(r).orderBy("lo").collect()][:3] == [(0.0, 1), (0.015, 0), (0.025, 0)]
-    assert {x.t: x.n for x in outcome.cumulative(r).collect()} == {0.01: 2, 0.02: 2, 0.03: 2, 0.05: 3}
+    assert {x.lo: x.n for x in outcome.by_bucket(r).collect()} == {0.0: 0, 0.015: 1, 0.025: 0, 0.035: 1, 0.055: 0}  # crossed books are in none
+    assert {x.t: x.n for x in outcome.cumulative(r).collect()} == {0.01: 1, 0.02: 2, 0.03: 2, 0.05: 3}
     assert outcome.pooled(r, ["bar_ts"]).where("bar_ts IS NULL").first().n == 3
 
 
