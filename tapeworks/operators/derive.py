@@ -99,6 +99,11 @@ def unknown_assets(rows: DataFrame, top: int = 10) -> DataFrame:
     return rows.where("side = -1").groupBy("asset_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "asset_id").limit(top)
 
 
+def unknown_totals(rows: DataFrame) -> DataFrame:
+    """One row: rows of unknown side, and how many assets they name."""
+    return rows.where("side = -1").agg(F.count("*").alias("rows"), F.count_distinct("asset_id").alias("assets"))
+
+
 def sample_files(frames: DataFrame, n: int = 8, seed: int = 7) -> DataFrame:
     return frames.select("file").distinct().orderBy(F.xxhash64("file", F.lit(seed)), "file").limit(n)
 

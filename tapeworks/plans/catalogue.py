@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions import book, scalars
 from tapeworks.operators import asof, coverage, depth, derive, duplicates, inventory, outcome, settle
 from tapeworks.plans.standin import BAR_S, EV, LEVELS, OFFSET_S, TOKENS, books, frames, read, tokens
-from tapeworks.sources import captures, files, integrity
+from tapeworks.sources import captures, files, integrity, listings
 from tapeworks.sources import frames as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,23 @@ def most_common_counts(spark, d):
 # ---- joins and top-k
 
 
+@query("SELECT count(*) AS rows, count(DISTINCT l_suppkey) AS assets FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) ON l_suppkey = s_suppkey WHERE s_suppkey IS NULL")
+def unknown_counts(spark, d):
+    side = read(spark, d, "supplier").where("s_nationkey < 12").select(F.col("s_suppkey").alias("asset_id"), F.col("s_nationkey").alias("side"))
+    return derive.unknown_totals(derive.with_side(read(spark, d, "lineitem").select(F.col("l_suppkey").alias("asset_id")), side))
+
+
+@query("""WITH lv AS (SELECT l_orderkey, l_returnflag AS flag, (l_partkey * 7 + l_linenumber) % 60 AS c FROM lineitem),
+p AS (SELECT l_orderkey, flag, CASE WHEN flag = 'A' THEN greatest(c, 1) / 100.0::DOUBLE ELSE least(40 + c, 99) / 100.0::DOUBLE END AS price FROM lv WHERE flag IN ('A', 'R')),
+g AS (SELECT l_orderkey, min(price) FILTER (flag = 'A') AS lo, max(price) FILTER (flag = 'R') AS hi FROM p GROUP BY l_orderkey)
+SELECT k.l_orderkey, coalesce(lo <= 0.0101, false) AS bid_low, coalesce(hi >= 0.9899, false) AS ask_high FROM (SELECT DISTINCT l_orderkey FROM lineitem) k LEFT JOIN g ON k.l_orderkey = g.l_orderkey""")
+def boundary_flags(spark, d):
+    c = (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 60
+    side = lambda flag, cents: F.collect_list(F.when(F.col("l_returnflag") == flag, F.struct((cents / 100).cast("string").alias("price"), F.lit("1").alias("size"))))
+    b = read(spark, d, "lineitem").groupBy("l_orderkey").agg(side("A", F.greatest(c, F.lit(1))).alias("bids"), side("R", F.least(c + 40, F.lit(99))).alias("asks"))
+    return depth.profile(b).select("l_orderkey", "bid_low", "ask_high")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(s_nationkey, -1) AS side FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) ON l_suppkey = s_suppkey")
 def side_lookup(spark, d):
     side = read(spark, d, "supplier").where("s_nationkey < 12").select(F.col("s_suppkey").alias("asset_id"), F.col("s_nationkey").alias("side"))
@@ -454,6 +471,42 @@ def json_extract(spark, d):
     return read(spark, d, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
+@query(r"""WITH m AS (SELECT c_custkey AS k, CASE c_custkey % 6 WHEN 0 THEN '["Up","Down"]' WHEN 1 THEN '["Down", "Up"]' WHEN 2 THEN '["Yes","No"]' WHEN 3 THEN 'oops' WHEN 4 THEN '["Up"," down "]' END AS outcomes,
+  CASE c_custkey % 5 WHEN 0 THEN '["1","0"]' WHEN 1 THEN '["0","1"]' WHEN 2 THEN '["0.5","0.5"]' WHEN 3 THEN 'x' END AS prices FROM customer)
+SELECT CAST(k AS VARCHAR) AS market, CASE k % 6 WHEN 0 THEN 'u' || k WHEN 4 THEN 'u' || k WHEN 1 THEN 'd' || k END AS up_token, CASE k % 6 WHEN 0 THEN 'd' || k WHEN 4 THEN 'd' || k WHEN 1 THEN 'u' || k END AS down_token,
+  CASE WHEN k % 6 IN (0, 4) THEN 'updown' WHEN k % 6 = 1 THEN 'updown_rev' ELSE 'other:' || coalesce(outcomes, '') END AS outcome_kind,
+  CASE WHEN k % 5 > 1 OR k % 6 NOT IN (0, 1, 4) THEN NULL WHEN (k % 5 = 0) = (k % 6 <> 1) THEN 'UP' ELSE 'DOWN' END AS winner FROM m""")
+def token_dimension(spark, d):
+    k = F.col("c_custkey")
+    pick = lambda n, texts: F.element_at(F.array(*[F.lit(t) for t in texts]), (k % n + 1).cast("int"))
+    m = read(spark, d, "customer").select(
+        k.cast("string").alias("market"), F.lit("s").alias("slug"), pick(6, ['["Up","Down"]', '["Down", "Up"]', '["Yes","No"]', "oops", '["Up"," down "]', None]).alias("outcomes"),
+        F.to_json(F.array(F.concat(F.lit("u"), k), F.concat(F.lit("d"), k))).alias("clobTokenIds"), pick(5, ['["1","0"]', '["0","1"]', '["0.5","0.5"]', "x", None]).alias("outcomePrices"),
+        F.lit(True).alias("closed"), F.lit("q").alias("question"), F.lit("e").alias("end_date"),
+    )
+    return listings.bar_tokens(m).select("market", "up_token", "down_token", "outcome_kind", "winner")
+
+
+@query(f"""WITH {EV}, l AS (SELECT seq, bar_ts, event_type, asset_id % 2 AS conn, (ts_ms // 1000) % 86400 AS s, ts_ms % 1000 AS ms FROM e WHERE event_type <> 'error')
+SELECT 'btc-5m' AS line, 'btc-updown-5m-' || bar_ts || '-' || seq AS slug, CASE event_type WHEN 'view' THEN 'bar' WHEN 'click' THEN 'token' WHEN 'signup' THEN 'sub' ELSE 'first' END AS kind,
+  CASE WHEN event_type IN ('signup', 'purchase') THEN CAST(conn AS INTEGER) END AS conn, round(s + ms / 1000.0::DOUBLE, 3) AS t, CASE WHEN event_type = 'purchase' THEN (seq % 900)::DOUBLE END AS server_ms FROM l""")
+def log_lines(spark, d):
+    f = frames(spark, d)
+    second = F.floor(F.col("ts_ms") / 1000) % 86_400
+    clock = F.format_string("%02d:%02d:%02d.%03d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60, F.col("ts_ms") % 1000)
+    slug, conn = F.concat(F.lit("btc-updown-5m-"), "bar_ts", F.lit("-"), "seq"), F.concat(F.lit("[c"), F.col("asset_id") % 2, F.lit("] "))
+    said = (
+        F.when(F.col("event_type") == "view", F.concat(F.lit(" "), clock, F.lit(" bar→ "), slug, F.lit(" (旧 x)")))
+        .when(F.col("event_type") == "click", F.concat(F.lit(" "), clock, F.lit(" 新市场 "), slug, F.lit(" token 就绪")))
+        .when(F.col("event_type") == "signup", F.concat(conn, clock, F.lit(" 已发订阅 "), slug))
+        .when(F.col("event_type") == "purchase", F.concat(conn, clock, F.lit(" 首帧 "), slug, F.lit(" (发订阅后 "), F.col("seq") % 900, F.lit("ms)")))
+        .otherwise("noise")
+    )
+    out = _shared(spark, "log")
+    f.select(F.concat(F.lit("  [btc-5m]"), said).alias("value")).write.text(out)
+    return listings.log_events(spark, out).select("line", "slug", "kind", "conn", F.round("t", 3).alias("t"), "server_ms")
+
+
 @query(f"WITH {EV} SELECT market, asset_id, ts_ms, value FROM e WHERE kind = 'book' AND side = 1 AND bar_ts >= 1705000000")
 def partition_prune_roundtrip(spark, d):
     out = _shared(spark, "roundtrip")

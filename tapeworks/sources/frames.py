@@ -57,6 +57,20 @@ def read_captures(spark: SparkSession, paths: str | list[str], *, whole: bool =
     return named(gzip_lines(spark, paths, whole=whole))
 
 
+def matching(rows: DataFrame, *, coins: list[str] | None = None, cycles: list[str] | None = None, days: list[str] | None = None, name: str = "") -> DataFrame:
+    """Rows of files by what their names say: coins and cycles as whole words, days as prefixes (2026-01 is a month), ``name`` as a part of the file's name.
+
+    Without a condition all rows stay; an empty list keeps none.
+    """
+    keep = F.lit(True)
+    for column, wanted in (("coin", coins), ("cycle", cycles)):
+        if wanted is not None:
+            keep = keep & F.col(column).isin(wanted)
+    if days is not None:
+        keep = keep & F.exists(F.array(*[F.lit(d) for d in days]).cast("array<string>"), lambda d: F.col("day").startswith(d))
+    return rows.where(keep & F.element_at(F.split("file", "/"), -1).contains(name))
+
+
 def lines(captures: DataFrame) -> DataFrame:
     return captures.where(F.col("status").isNull() & (F.trim("value") != "")).drop("status", "bytes", "error")
 

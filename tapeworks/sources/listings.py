@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,10 +89,11 @@ def unresolved(ids: DataFrame, tokens: DataFrame) -> DataFrame:
     return ids.select("market").where("market <> ''").distinct().join(tokens, "market", "left_anti")
 
 
-def look_up(missing: DataFrame, fetch, batch: int = 50, tries: int = 3) -> list[dict]:
+def look_up(missing: DataFrame, fetch, batch: int = 50, tries: int = 3, wait_s: float = 1.0, sleep=time.sleep) -> list[dict]:
     """Records from ``fetch(ids, closed)`` in batches, closed markets first, then the rest without that filter.
 
-    ``fetch`` is the caller's; network access stays outside of Spark. Ids are markets, not frames.
+    ``fetch`` is the caller's; network access stays outside of Spark. Ids are markets, not frames. A try that fails with
+    OSError is followed by a wait of ``wait_s``, twice that after the second and so on; the last one's error is raised.
     """
     ids, found = sorted(r.market for r in missing.toLocalIterator()), {}
     for closed in (True, False):
@@ -104,6 +106,7 @@ def look_up(missing: DataFrame, fetch, batch: int = 50, tries: int = 3) -> list[
                 except OSError:
                     if attempt + 1 == tries:
                         raise
+                    sleep(wait_s * (attempt + 1))
     return [found[i] for i in ids if i in found]
 
 

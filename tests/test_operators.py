@@ -208,3 +208,48 @@ def test_file_helpers(spark, tmp_path):
     assert src.without_files(f, f.where("file IN ('f1', 'f2')").select("file")).count() == 10
     derive.write_tokens(spark.createDataFrame([("m2", "u"), ("m1", "v")], "market string, up_token string"), str(tmp_path))
     assert [r.market for r in spark.read.parquet(f"{tmp_path}/bar_tokens").collect()] == ["m1", "m2"]
+
+
+def test_predicates_on_names_and_look_ups_that_wait(spark):
+    from tapeworks.sources import frames as src
+
+    names = [f"/r/2026-0{m}-0{d}/{c}-updown-{y}-{i}.jsonl.gz" for i, (m, d, c, y) in enumerate([(1, 2, "btc", "5m"), (1, 3, "eth", "5m"), (2, 1, "btc", "15m"), (2, 9, "sol", "5m")])] + ["/r/2026-01-02/odd.gz"]
+    df = src.named(spark.createDataFrame([(n,) for n in names], "file string"))
+    got = lambda **c: sorted(names.index(r.file) for r in src.matching(df, **c).collect())
+    assert got() == [0, 1, 2, 3, 4] and got(coins=["btc"]) == [0, 2] and got(cycles=["5m"]) == [0, 1, 3] and got(days=["2026-01"]) == [0, 1, 4]
+    assert got(coins=["btc", "eth"], cycles=["5m"], days=["2026-01-03", "2026-02"]) == [1] and got(name="updown-15m") == [2] and got(days=[]) == [] and got(coins=["other"]) == [4]
+
+    waits, calls = [], []
+
+    def fetch(ids, closed):
+        calls.append((tuple(ids), closed))
+        if len(calls) in (1, 2):
+            raise OSError("busy")
+        return [{"market": i} for i in ids if closed == (i == "a")]
+
+    missing = spark.createDataFrame([("a",), ("b",)], "market string")
+    assert listings.look_up(missing, fetch, sleep=waits.append) == [{"market": "a"}, {"market": "b"}]
+    assert waits == [1.0, 2.0] and calls[-1] == (("b",), False)
+    with pytest.raises(OSError):
+        listings.look_up(missing, lambda ids, closed: (_ for _ in ()).throw(OSError("down")), sleep=waits.append)
+
+
+def test_reports_digests_and_days(spark, tmp_path):
+    import hashlib
+    import json
+
+    from tapeworks.operators import derive
+
+    listings.write_report(str(tmp_path / "report.json"), {"b": 1, "a": [2]})
+    assert json.loads((tmp_path / "report.json").read_text()) == {"a": [2], "b": 1}
+    (tmp_path / "one.bin").write_bytes(b"12")
+    assert [tuple(r) for r in inventory.file_sha(spark, str(tmp_path / "one.bin")).collect()] == [("one.bin", hashlib.sha256(b"12").hexdigest())]
+    mk = lambda d: spark.createDataFrame(list(d.items()), "name string, sha256 string")
+    assert {r.name: r.state for r in inventory.drift(mk({"x": "1", "y": "2", "z": "3"}), mk({"x": "1", "y": "9", "w": "4"})).collect()} == {"y": "changed", "z": "gone", "w": "new"}
+    packs = spark.createDataFrame([("2026-03-04", 50.0), ("2026-03-05", 50.0)], "day string, mtime double")
+    members = spark.createDataFrame([("2026-03-04/a", 10.0), ("2026-03-04/b", 60.0), ("2026-03-05/a", 40.0)], "path string, mtime double")
+    assert [r.day for r in inventory.stale_packages(packs, members).collect()] == ["2026-03-04"]
+    days = spark.createDataFrame([(1772582399999,), (1772582400000,), (None,)], "ms long").select(scalars.utc_day(F.col("ms")).alias("d")).collect()
+    assert [r.d for r in days] == ["2026-03-03", "2026-03-04", None]
+    rows = spark.createDataFrame([("a", -1), ("a", -1), ("b", 1), ("c", -1)], "asset_id string, side int")
+    assert tuple(derive.unknown_totals(rows).first()) == (3, 2)
