@@ -41,7 +41,8 @@ def _stats() -> list:
 
 def by_bucket(r: DataFrame, buckets=BUCKETS) -> DataFrame:
     """lo, hi and statistics; an empty bucket has n 0; a spread below all buckets is in none."""
-    dim = r.sparkSession.createDataFrame([(float(a), float(b)) for a, b in buckets], "lo double, hi double")
+    each = F.explode(F.array(*[F.struct(F.lit(float(a)).alias("lo"), F.lit(float(b)).alias("hi")) for a, b in buckets]))
+    dim = r.sparkSession.range(1, numPartitions=1).select(each.alias("b")).select("b.*")
     i = F.lit(None).cast("double")
     for a, b in buckets:
         i = F.when((F.col("spread") >= a) & (F.col("spread") < b), F.lit(float(a))).otherwise(i)

@@ -41,7 +41,8 @@ e AS (SELECT *, CASE WHEN pair % 13 <> 5 THEN 1 ELSE 0 END AS own, CAST(pair AS
 def tokens(f: DataFrame) -> DataFrame:
     """market, up_token, down_token, winner: the asset of the market's last purchase, NULL without one."""
     w = F.max_by(F.when(F.col("kind") == "trade", F.col("asset_id")), F.when(F.col("kind") == "trade", F.struct("ts_ms", "seq")))
-    return f.groupBy("market", "pair").agg(w.cast("string").alias("winner")).select("market", (F.col("pair") * 2 + 1).cast("string").alias("up_token"), (F.col("pair") * 2).cast("string").alias("down_token"), "winner")
+    rows = f.groupBy("market").agg(w.cast("string").alias("winner"), F.first("pair").alias("pair"))  # a market has one pair
+    return rows.select("market", (F.col("pair") * 2 + 1).cast("string").alias("up_token"), (F.col("pair") * 2).cast("string").alias("down_token"), "winner")
 
 
 TOKENS = """tok AS (SELECT market, CAST(pair * 2 + 1 AS VARCHAR) AS up_token, CAST(pair * 2 AS VARCHAR) AS down_token,
