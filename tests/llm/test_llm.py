@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeworks.llm import ann, chat, decontam, mixing, neardup, sharding, tokenstore, toxicity, urls
+from tapeworks.llm.common import stage
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int"
 
@@ -418,3 +419,34 @@ def test_decontamination(spark):
     assert got == want
     assert decontam.decontaminate(df, b.limit(0)).where("n_hit > 0").count() == 0 and decontam.decontaminate(df.limit(0), b).count() == 0
     assert decontam.clean_rows(df, b).count() == sum(not w[5] for w in (next(x for x in want if x[0] == d and x[1] == brute_hits(t, [])[0]) for d, t in rows))
+
+
+def test_decontamination_shuffles_as_it_broadcasts(spark):
+    """Past the size of a broadcast the joins are dealt; spans and items stay the same."""
+    rng = np.random.default_rng(10)
+    say = lambda n: " ".join(rng.choice(["w0", "w1", "w2"], n))
+    items = [(i, say(int(rng.integers(1, 30)))) for i in range(20)]
+    rows = [(i, say(60)) for i in range(30)] + [(None, items[3][1])]
+    df, b = decontam.keyed(spark.createDataFrame(rows, "doc_id long, text string")), spark.createDataFrame(items, "item_id long, text string")
+    wide, dealt = decontam.hits(df, b), decontam.hits(df, b, prints_most=0, most=0)
+    for x, y in zip(wide, dealt, strict=True):
+        assert sorted(map(repr, x.collect())) == sorted(map(repr, y.select(x.columns).collect()))
+
+
+def test_decontamination_of_a_shared_window(spark, monkeypatch):
+    """1,000 items and 10,000 documents with one passage: rows follow documents and items, not their product."""
+    sizes = {}
+
+    def counted(df, tag):
+        out = stage(df, tag)
+        sizes[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(decontam, "stage", counted)
+    line = " ".join(f"k{i}" for i in range(13))
+    items = spark.range(1000).select(F.col("id").alias("item_id"), F.concat_ws(" ", F.lit(line), F.concat(F.lit("own"), "id")).alias("text"))
+    df = spark.range(10_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.concat(F.lit("before"), "id"), F.lit(line), F.concat(F.lit("after"), "id")).alias("text"))
+    names = ",".join(sorted(str(i) for i in range(1000)))
+    got = decontam.decontaminate(df, items).groupBy("n_hit", "n_items", "items_sha256").count().collect()
+    assert [tuple(r) for r in got] == [(13, 1000, hashlib.sha256(names.encode()).hexdigest(), 10_000)]
+    assert sizes["hits"] == sizes["document_classes"] == 10_000 and sizes["item_lists"] == 1 and sizes["class_items"] == 2000
