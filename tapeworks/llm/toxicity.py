@@ -196,12 +196,13 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, trees: int = TREES) -> Boosted:
 
 
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators: knots of a rising step function from raw scores to rates."""
-    order = np.argsort(raw, kind="stable")
+    """Pool-adjacent-violators: knots of a rising step function from raw scores to rates; equal scores are one point."""
+    points, at = np.unique(raw, return_inverse=True)
+    sums, weights = np.bincount(at, y, len(points)), np.bincount(at, minlength=len(points))
     blocks: list[list[float]] = []  # sum, weight, lowest raw, highest raw
-    for s, v in zip(raw[order].tolist(), y[order].tolist(), strict=True):
-        blocks.append([v, 1.0, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1] or blocks[-2][3] == blocks[-1][2]):
+    for s, v, w in zip(points.tolist(), sums.tolist(), weights.tolist(), strict=True):
+        blocks.append([v, w, s, s])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             b = blocks.pop()
             blocks[-1] = [blocks[-1][0] + b[0], blocks[-1][1] + b[1], blocks[-1][2], b[3]]
     xs = np.array([x for b in blocks for x in (b[2], b[3])])
