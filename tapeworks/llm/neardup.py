@@ -311,7 +311,8 @@ def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, r
     """The rows of ``docs``, all columns, that lead their component: the smallest doc_id, a null one last; one row of several alike.
 
     Linked are texts whose sets of ``shingle``-word runs have a Jaccard similarity of ``similarity`` or more, or,
-    where ``radius`` is given, those whose SimHash fingerprints differ in at most so many bits.
+    where ``radius`` is given, those whose SimHash fingerprints differ in at most so many bits. A null text counts as
+    an empty one, and texts without words are alike. An empty table gives no rows.
     """
     found = grouped_by_similarity(docs, shingle, similarity) if radius is None else grouped(docs, shingle, radius)
     rows = stage(found.select("doc_id", "text_hash", "label"), "near_labels")

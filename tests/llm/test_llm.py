@@ -370,6 +370,24 @@ def test_urls(spark):
     assert urls.judge_urls(df.limit(0)).count() == 0
 
 
+def test_nearest_recall_of_queries_that_did_not_fit_the_probes(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((6000, 16)) * rng.uniform(0.3, 3, (6000, 1))
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 10 = 0")
+    fitted = {r.vec_id for r in asked.orderBy(F.xxhash64("embedding", F.lit(ann.SEED)), "vec_id").limit(ann.FIT_QUERIES).collect()}
+    got, stats = {}, {}
+    for r in ann.nearest(df, asked, stats=stats).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in set(range(0, 6000, 10)) - fitted:
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall.append(len(set(np.argsort(-s)[:20].tolist()) & got[q]) / 20)
+    print("held-out queries, mean and least recall:", len(recall), np.mean(recall), min(recall), stats)
+    assert len(recall) == 600 - 256 and np.mean(recall) >= 0.9
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(5)
     mild, bad = [f"word{i}" for i in range(60)], ["zork", "blargh", "snerf"]
