@@ -669,6 +669,11 @@ def _replay(spark, d):
     return src.select(F.col("event_id").alias("seq"), at.alias("at"), "ts", F.concat(F.lit("l"), F.col("user_id") % 40).alias("line"), (F.col("user_id") % 2).cast("int").alias("conn"), "event_type", F.col("user_id").alias("user_id"))
 
 
+def half_up(c: str, digits: int):
+    """Rounded as the SQL rounds a double: the scaled number, halves away from zero. Times to the microsecond often end in a half of the last digit kept."""
+    return (F.round(F.col(c) * 10**digits) / 10**digits).alias(c)
+
+
 STREAM = "r AS (SELECT event_id AS seq, epoch_us(ts) / 1000000.0::DOUBLE AS tm, 'l' || (user_id % 40) AS line, CAST(user_id % 2 AS INTEGER) AS conn, event_type, user_id FROM events)"
 
 
@@ -683,7 +688,7 @@ def stream_silences(spark, d):
     # a last row may be followed by marks of timers that fire as the replay ends
     last = read(spark, d, "events").groupBy(F.concat(F.lit("l"), F.col("user_id") % 40).alias("line")).agg((F.max(F.unix_micros(F.col("ts").cast("timestamp"))) / 1_000_000).alias("last"))
     closed = s.where("note <> 'open'").join(last, "line").where("from_ts < last")
-    return closed.select("line", "bar_ts", *[F.round(c, 4).alias(c) for c in ("from_ts", "to_ts", "lost_s")], "note")
+    return closed.select("line", "bar_ts", *[half_up(c, 4) for c in ("from_ts", "to_ts", "lost_s")], "note")
 
 
 @query(f"""WITH {STREAM}, f AS (SELECT line AS slug, conn, tm, event_type = 'purchase' AS sub FROM r WHERE event_type <> 'error'),
@@ -695,7 +700,7 @@ def stream_first_frames(spark, d):
     kind = F.when(F.col("event_type") == "purchase", "subscribe").when(F.col("event_type") == "error", "lost").otherwise(F.col("event_type"))
     r = _replay(spark, d).select(F.col("line").alias("slug"), "conn", kind.alias("event_type"), F.col("at").alias("arrival_ts"), "ts")
     out = _drain(spark, stateful.first_frames(r, 1e8), "append", "first_frames")
-    return out.select("slug", "conn", F.round("subscribed_ts", 4).alias("subscribed_ts"), F.round("first_ts", 4).alias("first_ts"), F.round("latency_ms", 1).alias("latency_ms"))
+    return out.select("slug", "conn", half_up("subscribed_ts", 4), half_up("first_ts", 4), half_up("latency_ms", 1))
 
 
 @query(f"""WITH {STREAM}, x AS (SELECT CAST(floor(tm / 86400) AS BIGINT) AS k, CAST(floor(tm / 86400) AS BIGINT) - CASE WHEN seq % 11 = 0 THEN 1 WHEN seq % 13 = 0 THEN 3 WHEN seq % 17 = 0 THEN -1 ELSE 0 END AS own FROM r)

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+STORE, WITHOUT_VARIABLES = "spark.sql.streaming.stateStore.providerClass", "HDFSBackedStateStoreProvider"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def with_store(rows: DataFrame) -> DataFrame:
+    """``rows``, in a session whose state store can keep the variables of these operators. Spark's default one cannot, and is changed for RocksDB; any other stays."""
+    conf = rows.sparkSession.conf
+    if conf.get(STORE).endswith(WITHOUT_VARIABLES):
+        conf.set(STORE, ROCKSDB)
+    return rows
+
 
 class Dedup(StatefulProcessor):
     """Emits a key's row unless the key was emitted less than ``gap`` seconds before; drops do not renew that. With ``tag`` all rows pass, marked."""
@@ -43,7 +54,7 @@ def dedup(frames: DataFrame, gap: float = 60.0, *, live: bool = True, tag: bool
     """
     mode, hashed = ("ProcessingTime" if live else "None"), F.coalesce("hash", F.lit("")) != ""
     schema = T.StructType([*frames.schema.fields, T.StructField("duplicate", T.BooleanType())]) if tag else frames.schema
-    kept = frames.where(hashed).groupBy("event_type", "asset_id", "hash").transformWithStateInPandas(Dedup(gap, live, tag), schema, "Append", mode)
+    kept = with_store(frames).where(hashed).groupBy("event_type", "asset_id", "hash").transformWithStateInPandas(Dedup(gap, live, tag), schema, "Append", mode)
     rest = frames.where(~hashed)
     return kept.union(rest.withColumn("duplicate", F.lit(False)) if tag else rest)
 
@@ -125,7 +136,7 @@ def silences(rows: DataFrame, gap: float = 60.0, cycle_s: int | None = None) ->
     With ``cycle_s``, a silence is closed as ``unresolved`` where its bar ends, at that time and while the line is still silent, and goes on in the next bar.
     """
     schema = "line string, bar_ts long, from_ts double, to_ts double, lost_s double, note string"
-    return rows.groupBy("line").transformWithStateInPandas(Silence(gap, cycle_s), schema, "Append", "EventTime")
+    return with_store(rows).groupBy("line").transformWithStateInPandas(Silence(gap, cycle_s), schema, "Append", "EventTime")
 
 
 class Watchdog(StatefulProcessor):
@@ -176,7 +187,7 @@ def watchdog(rows: DataFrame, limit: float = 45.0) -> DataFrame:
 
     A line that stays silent is ordered anew every ``limit`` seconds of event time, with the next generation.
     """
-    return rows.groupBy("line").transformWithStateInPandas(Watchdog(limit), "line string, at double, generation int, action string", "Append", "EventTime")
+    return with_store(rows).groupBy("line").transformWithStateInPandas(Watchdog(limit), "line string, at double, generation int, action string", "Append", "EventTime")
 
 
 class Pulse(StatefulProcessor):
@@ -242,7 +253,7 @@ def pulse(tagged: DataFrame, every: float = 30.0, alive: float = 60.0) -> DataFr
     "lost" count as such. gaps are silences of all connections of ``alive`` seconds that have ended, gap_s the length of one that lasts.
     """
     schema = "line string, at double, messages long, duplicates long, disconnects long, rebuilt long, alive int, connections int, gaps long, gap_s double"
-    return tagged.groupBy("line").transformWithStateInPandas(Pulse(every, alive), schema, "Append", "ProcessingTime")
+    return with_store(tagged).groupBy("line").transformWithStateInPandas(Pulse(every, alive), schema, "Append", "ProcessingTime")
 
 
 class FirstFrame(StatefulProcessor):
@@ -289,4 +300,4 @@ def first_frames(frames: DataFrame, keep: float = 3600.0) -> DataFrame:
     without a subscription before them, and all after the first, say nothing.
     """
     schema = "slug string, conn int, subscribed_ts double, first_ts double, latency_ms double"
-    return frames.where("event_type <> 'lost'").groupBy("slug", "conn").transformWithStateInPandas(FirstFrame(keep), schema, "Append", "EventTime")
+    return with_store(frames).where("event_type <> 'lost'").groupBy("slug", "conn").transformWithStateInPandas(FirstFrame(keep), schema, "Append", "EventTime")

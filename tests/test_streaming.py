@@ -347,3 +347,32 @@ def test_bars_from_a_stream(spark, tmp_path):
     assert sorted(captures.close_bars(f"{tmp_path}/bars")) == [f"{c}-updown-5m-{s + 300}" for c in ("btc", "eth")]
     got = sorted((slug, __import__("json").loads(v)["hash"]) for slug, v in written(spark, f"{tmp_path}/bars"))
     assert got == sorted((r[5], r[4]) for b in batches for r in b) and len(list((tmp_path / "bars").glob("*/*.gz"))) == 4
+
+
+@pytest.mark.parametrize("name", ["stream_silences", "stream_first_frames", "stream_dedup_tagged"])
+def test_a_session_as_spark_makes_it(spark, name):
+    """Spark's default state store knows no state variables; the operators see to one that does. Held against the SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from tapeworks.plans.catalogue import oracle_sql, queries
+
+    sf, before = "/root/testdata/sf0.001", spark.conf.get(stateful.STORE)
+    spark.conf.set(stateful.STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        out = queries()[name](spark, sf)
+        assert spark.conf.get(stateful.STORE) == stateful.ROCKSDB
+    finally:
+        spark.conf.set(stateful.STORE, before)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
+    want = db.execute(f"SELECT {', '.join(out.columns)} FROM ({oracle_sql()[name]})").fetchall()
+    assert want and sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_another_state_store_stays(spark):
+    before = spark.conf.get(stateful.STORE)
+    spark.conf.set(stateful.STORE, "some.OtherProvider")
+    try:
+        stateful.with_store(spark.range(1))
+        assert spark.conf.get(stateful.STORE) == "some.OtherProvider"
+    finally:
+        spark.conf.set(stateful.STORE, before)
