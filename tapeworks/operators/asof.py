@@ -23,7 +23,7 @@ def lagged(df: DataFrame, keys: list[str], seq: str, ts: str = "ts_ms") -> DataF
 
 
 def first_seen_mode(df: DataFrame, keys: list[str], value: str, seq: str, counted: Column | None = None) -> DataFrame:
-    """Per key the most frequent ``value``; ties go to the value seen first. ``counted`` limits what counts."""
+    """Per key the most frequent ``value``; ties go to the value seen first. ``counted`` limits what counts, as to number and first sight."""
     hit = F.lit(True) if counted is None else counted
-    n = df.groupBy(*keys, value).agg(F.count_if(hit).alias("_n"), F.min(seq).alias("_first"))
+    n = df.groupBy(*keys, value).agg(F.count_if(hit).alias("_n"), F.min(F.when(hit, F.col(seq))).alias("_first"))
     return n.where("_n > 0").groupBy(*keys).agg(F.max_by(value, F.struct(F.col("_n"), (-F.col("_first")).alias("f"))).alias(value), F.max("_n").alias("n"))

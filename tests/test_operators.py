@@ -63,6 +63,13 @@ def test_coverage_uses_the_market_with_most_books(spark):
     assert asof.first_seen_mode(df, ["bar_ts"], "market", "seq").where("bar_ts = 0").first().market == "m1"
 
 
+def test_ties_go_to_the_market_first_seen_among_what_counts(spark):
+    rows = [(0, "late", False, 1), (0, "soon", True, 2), (0, "late", True, 3), (0, "none", False, 0)]
+    df = spark.createDataFrame(rows, "bar_ts long, market string, is_book boolean, seq int")
+    assert asof.first_seen_mode(df, ["bar_ts"], "market", "seq", F.col("is_book")).collect() == [(0, "soon", 1)]
+    assert asof.first_seen_mode(df, ["bar_ts"], "market", "seq").collect() == [(0, "late", 2)]
+
+
 SCHEMA = "market string, asset_id string, ts_ms long, bar_ts long, best_ask double, mid double, spread double, is_primary int"
 
 
