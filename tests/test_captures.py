@@ -127,6 +127,19 @@ def test_members_in_sql(spark, folder):
     assert integrity.members(spark, f"{folder}/{DAY}").where("NOT ok").count() >= 3
 
 
+def test_header_bytes_inside_a_member():
+    inside = gzip.compress(b"a\n\x1f\x8b\x08 b\n", compresslevel=0)  # stored as it is
+    good, large = gzip.compress(b"c\n"), gzip.compress(b"d\n" * 3_000_000)
+    says = lambda *parts: [(r[3], r[4], r[5]) for r in integrity.found_members(b"".join(parts))]
+    assert inside.count(integrity.HEADER) == 2
+    assert says(inside, good, large) == [(True, 2, None), (True, 1, None), (True, 3_000_000, None)]
+    found = integrity.found_members(inside + good)
+    assert [(r[0], r[1], r[2]) for r in found] == [(0, 0, len(inside)), (1, len(inside), len(good))]
+    cut = says(gzip.compress(b"e\nf\n", compresslevel=0)[:-8], good)  # a member without its end, and a whole one behind it
+    assert [c[0] for c in cut] == [False, True] and cut[1][1] == 1
+    assert says(b"no gzip") == [] and says(inside[:-1])[0][0] is False
+
+
 def test_rows_are_counted_in_footers(spark, tmp_path, capsys):
     q = spark.range(1000).select(F.concat(F.lit("2026-02-0"), F.col("id") % 3 + 1).alias("day"), F.lit("btc").alias("coin"), F.when(F.col("id") % 2 == 0, "5m").otherwise("15m").alias("cycle"), F.col("id").cast("string").alias("asset_id"), F.col("id").alias("ts_ms"), F.lit("f").alias("file"), F.col("id").alias("seq"))
     derive.write(q, "quotes", str(tmp_path))
