@@ -8,9 +8,9 @@ count. The output has two steps (class, then member) and for ranges a third. The
 window, with masked attention of ``HEADS`` heads over batches of windows. Positions enter as a learned
 bias per head and distance. A text's score is the sum over its ids, its end included.
 
-Corpus statistics (word counts N, V, c; subword counts) come from all training documents. Weights are
-first trained on a bounded sample of windows, then in groups on a fixed share of all windows, and averaged
-by windows: training grows with the corpus. Windows are drawn, dealt to groups and ordered by a hash of
+Corpus statistics (word counts N, V, c; subword counts) and weights come from all training documents. A bounded
+number of windows gives the weights that training starts from; every window of the corpus then trains them, once,
+in groups whose weights are averaged by windows, in up to ``ROUNDS`` rounds. Windows are dealt to groups and ordered by a hash of
 document and position, so neither weights nor scores depend on how files or partitions are cut.
 """
 
@@ -39,10 +39,10 @@ SLOTS = CLASSES * MEMBERS
 RARE, END, START, RANGE = 0, 1, SLOTS, SLOTS + 1
 SYMBOLS = RANGE + TAIL
 DIM, HEADS, HIDDEN, CONTEXT, STRIDE = 24, 2, 48, 48, 32
-#: First training: windows in the sample at most, steps, windows a step, learning rate.
+#: Where training starts from: windows at most, steps, windows a step, learning rate.
 SAMPLE_WINDOWS, STEPS, BATCH, RATE, SEED = 24_000, 1_500, 64, 1e-2, 3
-#: The pass over all training documents: share of the windows, learning rate, windows in a group.
-PASS_SHARE, PASS_RATE, GROUP_WINDOWS = 1 / 32, 2e-3, 16_384
+#: The pass over all windows of the training documents: learning rate, windows in a group, rounds between which the groups' weights are averaged.
+PASS_RATE, GROUP_WINDOWS, ROUNDS = 2e-3, 16_384, 4
 #: Frequent words whose counts travel to every worker (bounded); the other words' counts are joined, with the same result.
 HEAD_WORDS = 250_000
 COUNTER_WORDS, CACHE_WORDS = 400_000, 500_000
@@ -221,6 +221,18 @@ def log_probs(t: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray) ->
     return out.reshape(targets.shape)
 
 
+def _cross_entropy(x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of column ``own`` of each row of logits, and its gradient with the sign turned; ``x`` is overwritten."""
+    at = np.arange(len(x))
+    x -= x.max(-1, keepdims=True)
+    said = x[at, own]
+    np.exp(x, out=x)
+    total = x.sum(-1)
+    x /= total[:, None]
+    x[at, own] -= 1
+    return said - np.log(total), x
+
+
 def gradients(w: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss (nats a token) and its gradient; targets below 0 do not count."""
     s = forward(w, ids)
@@ -230,26 +242,21 @@ def gradients(w: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray) ->
     slot = np.where(used, np.where(t > START, RARE, t), 0)
     cls, member = slot // MEMBERS, slot % MEMBERS
     g: dict[str, np.ndarray] = {}
-    lc = _log_softmax(f @ w["Wc"] + w["bc"])
-    loss = -float((lc[np.arange(len(t)), cls] * used).sum())
-    dl = np.exp(lc)
-    dl[np.arange(len(t)), cls] -= 1
+    said, dl = _cross_entropy(f @ w["Wc"] + w["bc"], cls)
+    loss = -float((said * used).sum())
     dl *= used[:, None] / n
     g["Wc"], g["bc"], df = f.T @ dl, dl.sum(0), dl @ w["Wc"].T
     g["Wm"], g["bm"] = np.zeros_like(w["Wm"]), np.zeros_like(w["bm"])
     for c, at in _by_class(cls):
-        lm = _log_softmax(f[at] @ w["Wm"][c] + w["bm"][c])
-        loss -= float((lm[np.arange(len(at)), member[at]] * used[at]).sum())
-        dm = np.exp(lm)
-        dm[np.arange(len(at)), member[at]] -= 1
+        own = f[at]
+        said, dm = _cross_entropy(own @ w["Wm"][c] + w["bm"][c], member[at])
+        loss -= float((said * used[at]).sum())
         dm *= used[at][:, None] / n
-        g["Wm"][c], g["bm"][c] = f[at].T @ dm, dm.sum(0)
+        g["Wm"][c], g["bm"][c] = own.T @ dm, dm.sum(0)
         df[at] += dm @ w["Wm"][c].T
     at = np.flatnonzero(t > START)
-    lt = _log_softmax(f[at] @ w["Wt"] + w["bt"])
-    loss -= float(lt[np.arange(len(at)), t[at] - RANGE].sum())
-    dt = np.exp(lt)
-    dt[np.arange(len(at)), t[at] - RANGE] -= 1
+    said, dt = _cross_entropy(f[at] @ w["Wt"] + w["bt"], t[at] - RANGE)
+    loss -= float(said.sum())
     dt /= n
     g["Wt"], g["bt"] = f[at].T @ dt, dt.sum(0)
     df[at] += dt @ w["Wt"].T
@@ -603,16 +610,19 @@ def fit(train_docs: DataFrame, *, vocabulary: str | None = None, seed: int = SEE
     ranges = of_symbol[RANGE:] + 1
     weights = init(np.random.default_rng(seed), np.log(p.sum(1) / p.sum()), np.log(p / p.sum(1, keepdims=True)), np.log(ranges / ranges.sum()))
 
-    total = max(freq.sum() / STRIDE + n_docs, 1.0)
-    first = SAMPLE_WINDOWS / total
-    share = min(1.0, max(PASS_SHARE, first))
     rows = train_docs.select(F.xxhash64("doc_id", "text").alias("key"), "text")
-    drawn = stage(rows.mapInArrow(_draw_windows(path, symbol_of, share, seed), "h long, w binary").distinct(), "lm_windows")
-    sample = drawn if first >= 1 else drawn.where(F.expr(f"conv(hex(h), 16, 10) <= cast({int(first * 2.0**64)} as decimal(20, 0))"))
+    if rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        rows = rows.dropDuplicates(["key"])
+    windows = stage(rows.mapInArrow(_draw_windows(path, symbol_of, 1.0, seed), "h long, w binary"), "lm_windows")
+    total = windows.count()
+    first = SAMPLE_WINDOWS / max(total, 1)
+    sample = windows if first >= 1 else windows.where(F.expr(f"conv(hex(h), 16, 10) <= cast({int(first * 2.0**64)} as decimal(20, 0))"))
     got = sorted((r.h % (1 << 64), bytes(r.w)) for r in sample.collect())
     weights = train(_matrix([w for _, w in got]), weights, seed=seed)
-    weights, _ = refine(drawn, weights)
-    discard(drawn)
+    rounds = max(1, min(ROUNDS, total // GROUP_WINDOWS))
+    for i in range(rounds):
+        weights, _ = refine(windows.where(F.pmod(F.shiftrightunsigned("h", 32), F.lit(rounds)) == i), weights)
+    discard(windows)
     known = int(n_docs > 0)
     return LanguageModel(path, folded(weights), symbol_of, within, int(words) + n_docs, int(distinct) + known, frequent(counts), math.log10(n_docs + 1)), counts
 

@@ -180,3 +180,21 @@ def test_training_grows_with_the_corpus_and_helps(spark, monkeypatch):
     assert drawn_all == sorted(r.tobytes() for r in np.concatenate([inputs, targets], 1).astype("<i2"))
     loss = [lm.gradients(x, inputs, targets)[0] for x in (w, few, more)]
     assert loss[1] < loss[0] and loss[2] < loss[0]
+
+
+def test_every_window_trains(spark, quick, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_WINDOWS", 64)
+    monkeypatch.setattr(lm, "SAMPLE_WINDOWS", 20)
+    rng, seen, real = np.random.default_rng(8), [], lm.refine
+    texts = [(i, " ".join(rng.choice(["red", "green", "blue", "tiny"], rng.integers(1, 200)))) for i in range(150)]
+
+    def counted(windows, weights):
+        out = real(windows, weights)
+        seen.append(out[1])
+        return out
+
+    monkeypatch.setattr(lm, "refine", counted)
+    model, _ = lm.fit(spark.createDataFrame([*texts, texts[0]], "doc_id long, text string"))  # a row that repeats trains once
+    encode = lm.spaced(model.path)
+    assert sum(seen) == sum(sum(len(encode[w]) // 2 for w in lm.words_of(t)) // lm.STRIDE + 1 for _, t in texts)
+    assert len(seen) == lm.ROUNDS and min(seen) > 0
