@@ -10,9 +10,11 @@ pair. In a larger one every member names the 65 points within one bit of it; mem
 point are within two bits of each other, and any two within two bits share one. So the work stays
 proportional to the members, and the components are the same.
 
-A Jaccard similarity of 0.8 leaves about 10 +- 3 of 64 SimHash bits different, and a covering radius of 17
-would take 2^18 - 1 tables. Links by similarity therefore take their candidates from MinHash bands, which
-miss a pair at the threshold once in ``1 / MISS``, and hold every candidate against the exact similarity.
+Links by similarity go through the same fingerprints first, of the sets of shingles: the pairs that the
+covering tables name are held against the exact similarity, and those that have it are one label from then on. A
+Jaccard similarity of 0.8 leaves about 10 +- 3 of 64 bits different, though, and a covering radius of 17 would
+take 2^18 - 1 tables. What lies beyond the radius takes its candidates from MinHash bands, which miss a pair at
+the threshold once in ``1 / MISS``; they only compare sets of different labels, again by the exact similarity.
 """
 
 from __future__ import annotations
@@ -59,7 +61,11 @@ def gram_hashes(text: str | None, shingle: int) -> np.ndarray:
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The 64-bit SimHash of one text; 0 without words."""
-    h = gram_hashes(text, shingle)
+    return simhash(gram_hashes(text, shingle))
+
+
+def simhash(h: np.ndarray) -> int:
+    """A bit is 1 where it is set in over half of the hashes ``h``; 0 without any."""
     if not len(h):
         return 0
     ones = np.zeros(64, np.int64)
@@ -162,7 +168,7 @@ def band_keys(grams: np.ndarray, bands: int, rows: int) -> list[int]:
 
 
 def _sets(shingle: int, bands: int, rows: int):
-    """doc_id, text_hash and the id of the text's set of shingles; the set and its bands where the task meets it first."""
+    """doc_id, text_hash and the id of the text's set of shingles; the set, its fingerprint and its bands where the task meets it first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -171,7 +177,7 @@ def _sets(shingle: int, bands: int, rows: int):
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
-                ids, grams, keys = [], [], []
+                ids, grams, fps, keys = [], [], [], []
                 for t in b.column("text"):
                     h = np.unique(gram_hashes(t.as_py(), shingle))
                     ids.append(signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)))
@@ -180,10 +186,11 @@ def _sets(shingle: int, bands: int, rows: int):
                         seen.clear()
                     seen.add(ids[-1])
                     grams.append(h.view(np.int64) if new else None)
+                    fps.append(signed(simhash(h)) if new else None)
                     keys.append(band_keys(h, bands, rows) if new else None)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("text_hash"), pa.array(ids, pa.int64()), pa.array(grams, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "text_hash", "set_id", "grams", "keys"],
+                    [b.column("doc_id"), b.column("text_hash"), pa.array(ids, pa.int64()), pa.array(grams, pa.list_(pa.int64())), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "set_id", "grams", "fp", "keys"],
                 )
 
     return run
@@ -228,10 +235,28 @@ def prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
     return both.select(F.least("s.set_id", "l.set_id").alias("u"), F.greatest("s.set_id", "l.set_id").alias("v"))
 
 
-def link_sets(sets: DataFrame, similarity: float) -> DataFrame:
+def near_sets(sets: DataFrame, similarity: float, radius: int = RADIUS) -> DataFrame:
+    """Links (u, v) of ``sets`` (set_id, grams, fp; repeated or null where met before) that their SimHash names: within ``radius`` bits, and of the similarity.
+
+    Sets of one fingerprint go with the first of them, and the first ones of linked fingerprints with each other.
+    """
+    own = stage(sets.where("fp IS NOT NULL").select("set_id", "fp").distinct(), "set_fingerprints")
+    first = stage(own.groupBy("fp").agg(F.min("set_id").alias("first")), "set_first")
+    same = own.join(first, "fp").where("set_id <> first").select(F.col("first").alias("u"), F.col("set_id").alias("v"))
+    a, b = (first.select(F.col("fp").alias(x), F.col("first").alias(f"f{x}")) for x in "uv")
+    apart = link_fingerprints(first.select("fp"), radius).join(a, "u").join(b, "v").select(F.least("fu", "fv").alias("u"), F.greatest("fu", "fv").alias("v"))
+    pairs = stage(same.union(apart), "set_near")
+    named = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
+    grams = sets.where("grams IS NOT NULL").join(named, "set_id", "left_semi").groupBy("set_id").agg(F.first("grams").alias("grams"))
+    found = stage(linked(pairs, stage(grams, "near_grams"), similarity), "near_links")
+    discard(own, first, pairs)
+    return found
+
+
+def link_sets(sets: DataFrame, similarity: float, known: DataFrame | None = None) -> DataFrame:
     """(node, label) of the components of sets (set_id, grams, keys; repeated or null where met before) of at least ``similarity``.
 
-    Rounds first: each bucket's members are held against one of them, the one with most neighbours in all its
+    ``known`` (u, v) are links found before; sets that they join are not compared again. Rounds first: each bucket's members are held against one of them, the one with most neighbours in all its
     buckets, in the next round against one that the first did not reach. A crowded bucket of copies so costs its
     members. What then still lies in several components of a bucket is compared across these: in small buckets
     pair by pair, in crowded ones by prefix filtering, which loses no pair and does not enumerate the bucket.
@@ -247,6 +272,8 @@ def link_sets(sets: DataFrame, similarity: float) -> DataFrame:
     size_fits = lambda a, b: F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
 
     edges, links, open_ = None, 0, met.withColumn("label", F.col("set_id"))
+    if known is not None:
+        edges, links, open_ = known, known.count(), stage(label_of(met, known), "set_open")
     for _ in range(ROUNDS):
         # of the sets that no earlier centre of the bucket reached, the one of the highest degree
         lead = open_.groupBy("key").agg(F.max(F.struct("degree", (-F.col("set_id")).alias("first"), "n", "label")).alias("c"))
@@ -282,8 +309,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def grouped_by_similarity(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """doc_id, text_hash, label of every row; label names the component by its smallest set of shingles."""
-    sets = stage(_rows(docs).mapInArrow(_sets(shingle, *banding(similarity)), "doc_id long, text_hash long, set_id long, grams array<long>, keys array<long>"), "shingle_sets")
-    labels = link_sets(sets, similarity)
+    sets = stage(_rows(docs).mapInArrow(_sets(shingle, *banding(similarity)), "doc_id long, text_hash long, set_id long, grams array<long>, fp long, keys array<long>"), "shingle_sets")
+    labels = link_sets(sets, similarity, near_sets(sets, similarity))
     return sets.join(labels, sets.set_id == labels.node, "left").select("doc_id", "text_hash", F.coalesce("label", "set_id").alias("label"))
 
 
@@ -310,7 +337,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RA
 def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that lead their component: the smallest doc_id, a null one last; one row of several alike.
 
-    Linked are texts whose sets of ``shingle``-word runs have a Jaccard similarity of ``similarity`` or more, or,
+    Linked are texts whose sets of ``shingle``-word runs have a Jaccard similarity of ``similarity`` or more (by SimHash first, then
+    by MinHash bands, each pair held against the exact similarity), or,
     where ``radius`` is given, those whose SimHash fingerprints differ in at most so many bits. A null text counts as
     an empty one, and texts without words are alike. An empty table gives no rows.
     """
