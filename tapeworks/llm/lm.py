@@ -39,6 +39,7 @@ SLOTS = CLASSES * MEMBERS
 RARE, END, START, RANGE = 0, 1, SLOTS, SLOTS + 1
 SYMBOLS = RANGE + TAIL
 DIM, HEADS, HIDDEN, CONTEXT, STRIDE = 24, 2, 48, 48, 32
+WIDTH = DIM // HEADS
 #: Where training starts from: windows at most, steps, windows a step, learning rate.
 SAMPLE_WINDOWS, STEPS, BATCH, RATE, SEED = 24_000, 1_500, 64, 1e-2, 3
 #: The pass over all windows of the training documents: learning rate, windows in a group, rounds between which the groups' weights are averaged.
@@ -116,68 +117,51 @@ def bias(w: dict[str, np.ndarray]) -> np.ndarray:
     return w["R"][:, np.maximum(BEHIND, 0)] + MASK
 
 
-def by_head(x: np.ndarray) -> np.ndarray:
-    """(batch, n, DIM) as (batch, HEADS, n, DIM / HEADS)."""
-    return x.reshape(*x.shape[:2], HEADS, DIM // HEADS).transpose(0, 2, 1, 3)
-
-
-def joined(x: np.ndarray) -> np.ndarray:
-    return x.transpose(0, 2, 1, 3).reshape(x.shape[0], x.shape[2], DIM)
-
-
-def forward(w: dict[str, np.ndarray], ids: np.ndarray) -> dict[str, np.ndarray]:
-    """Hidden states of the last STRIDE positions of windows ``ids`` (batch, CONTEXT)."""
-    x = w["E"][ids]
-    xq = x[:, -STRIDE:]
-    q, k, v = by_head(xq @ w["Wq"]) * np.float32(1 / math.sqrt(DIM // HEADS)), by_head(x @ w["Wk"]), by_head(x @ w["Wv"])
-    a = q @ k.transpose(0, 1, 3, 2)
-    a += bias(w)
-    np.exp(np.minimum(a, 30.0, out=a), out=a)
-    a /= a.sum(-1, keepdims=True)
-    z = joined(a @ v)
-    h = xq + z @ w["Wo"]
-    r = np.maximum(h @ w["W1"] + w["b1"], 0)
-    return {"x": x, "xq": xq, "q": q, "k": k, "v": v, "a": a, "z": z, "h": h, "r": r, "f": h + r @ w["W2"]}
-
-
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(-1, keepdims=True)
     x -= np.log(np.exp(x).sum(-1, keepdims=True))
     return x
 
 
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls.astype(np.int16), kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+def outputs(w: dict[str, np.ndarray]) -> np.ndarray:
+    """For each class the weights of both output steps side by side, biases as the last row: (CLASSES, DIM + 1, CLASSES + MEMBERS)."""
+    out = np.empty((CLASSES, DIM + 1, CLASSES + MEMBERS), w["Wm"].dtype)
+    out[:, :DIM, :CLASSES], out[:, DIM, :CLASSES] = w["Wc"], w["bc"]
+    out[:, :DIM, CLASSES:], out[:, DIM, CLASSES:] = w["Wm"], w["bm"]
+    return out
+
+
+def _exp_totals(logits: np.ndarray) -> np.ndarray | None:
+    """Turns logits (n, CLASSES + MEMBERS) into their exp, in place; the sums over each step, (n, 2), or None where they left the safe range."""
+    with np.errstate(over="ignore"):
+        np.exp(logits, out=logits)
+        totals = logits.reshape(-1, MEMBERS) @ np.ones(MEMBERS, logits.dtype)  # there are as many members as classes
+    return totals.reshape(-1, 2) if 1e-30 < totals.min(initial=1) and totals.max(initial=1) < 1e30 else None
+
+
+def _less_maximum(logits: np.ndarray) -> np.ndarray:
+    """Takes the maximum of each step off, in place."""
+    two = logits.reshape(len(logits), 2, MEMBERS)
+    two -= two.max(-1, keepdims=True)
+    return logits
 
 
 def folded(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Tables for scoring: what a symbol gives to states and queries, and to keys and values; whether logits stay small."""
     heads = lambda x: x.reshape(len(x), HEADS, -1)
-    q, k, v = heads(w["E"] @ w["Wq"]) * np.float32(1 / math.sqrt(DIM // HEADS)), heads(w["E"] @ w["Wk"]), heads(w["E"] @ w["Wv"])
+    q, k, v = heads(w["E"] @ w["Wq"]) * np.float32(1 / math.sqrt(WIDTH)), heads(w["E"] @ w["Wk"]), heads(w["E"] @ w["Wv"])
     ones = np.ones((SYMBOLS, HEADS, 1), np.float32)  # attention weights and their sum come from one product
     each = lambda x: np.ascontiguousarray(x.transpose(1, 0, 2))
-    out = {"x": w["E"], "q": each(q), "k": each(k), "v": each(np.concatenate([v, ones], 2)), "bias": bias(w), "high_c": np.abs(w["Wc"]), "high_m": np.abs(w["Wm"])}
-    out |= {k: w[k] for k in ("Wo", "W1", "b1", "W2", "Wc", "bc", "Wm", "bm", "Wt", "bt")}
+    out = {"x": w["E"], "q": each(q), "k": each(k), "v": each(np.concatenate([v, ones], 2)), "bias": bias(w), "outer": outputs(w)}
+    out |= {k: w[k] for k in ("Wo", "W1", "b1", "W2", "Wt", "bt")}
     reach = max(float(np.abs(q[:, h]).max(0) @ np.abs(k[:, h]).max(0)) for h in range(HEADS)) + float(np.abs(w["R"]).max())
     return out | {"tame": np.array(reach < 80)}
 
 
-def _log_total(x: np.ndarray, tame: bool = True) -> np.ndarray:
-    """log of the sum of exp over the last axis; x is overwritten where no overflow is possible."""
-    top = 0.0 if tame else x.max(-1)
-    if not tame:
-        x = x - top[:, None]
-    return np.log(np.exp(x, out=x) @ np.ones(x.shape[-1], np.float32)) + top
-
-
 def states(t: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
     """Hidden states of the last STRIDE positions, (batch * STRIDE, DIM), from ``folded`` tables."""
     own = ids[:, -STRIDE:]
-    z, width = np.empty((len(ids), STRIDE, DIM), np.float32), DIM // HEADS
+    z, width = np.empty((len(ids), STRIDE, DIM), np.float32), WIDTH
     for i in range(HEADS):
         a = t["q"][i].take(own, 0) @ t["k"][i].take(ids, 0).transpose(0, 2, 1)
         a += t["bias"][i]
@@ -195,30 +179,44 @@ def states(t: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
     return h
 
 
-#: Windows at once: their arrays stay in a core's cache.
-AT_ONCE = 64
+#: Windows whose states, and windows whose outputs are worked out at once, and rows of logits at once: their arrays stay in a core's cache.
+AT_ONCE, SORTED, ROWS = 64, 512, 512
 
 
 def log_probs(t: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probabilities of the symbols ``targets`` (batch, STRIDE), from ``folded`` tables."""
-    ids = ids.astype(np.intp, copy=False)
-    f = np.concatenate([states(t, ids[lo : lo + AT_ONCE]) for lo in range(0, len(ids), AT_ONCE)])
-    want = targets.ravel()
-    slot = np.where(want > START, RARE, want)
-    cls, member = slot // MEMBERS, slot % MEMBERS
-    high = np.abs(f).max(0, initial=0)  # what logits can reach at most
-    logits = f @ t["Wc"]
-    logits += t["bc"]
-    out = logits.ravel().take(np.arange(len(want)) * CLASSES + cls) - _log_total(logits, float((high @ t["high_c"] + np.abs(t["bc"])).max()) < 60)
-    tame = (high @ t["high_m"] + np.abs(t["bm"])).max(1) < 60
-    for c, at in _by_class(cls):
-        m = f.take(at, 0) @ t["Wm"][c]
-        m += t["bm"][c]
-        own = m.ravel().take(np.arange(len(at)) * MEMBERS + member.take(at))
-        out[at] += own - _log_total(m, tame[c])
-    at = np.flatnonzero(want > START)
-    out[at] += _log_softmax(f[at] @ t["Wt"] + t["bt"])[np.arange(len(at)), want[at] - RANGE]
-    return out.reshape(targets.shape)
+    ids, out = ids.astype(np.intp, copy=False), np.empty(targets.shape, np.float32)
+    logits = np.empty((ROWS, CLASSES + MEMBERS), np.float32)
+    at_member = np.arange(ROWS) * (CLASSES + MEMBERS) + CLASSES
+    for begin in range(0, len(ids), SORTED):
+        block, want = ids[begin : begin + SORTED], targets[begin : begin + SORTED].ravel()
+        slot = np.where(want > START, RARE, want).astype(np.int16)
+        order = slot.argsort(kind="stable")  # a class is one product
+        slot = slot.take(order)
+        f = np.ones((len(want), DIM + 1), np.float32)
+        for lo in range(0, len(block), AT_ONCE):
+            f[lo * STRIDE : (lo + AT_ONCE) * STRIDE, :DIM] = states(t, block[lo : lo + AT_ONCE])
+        by_class = f.take(order, 0)
+        said, totals = np.zeros(len(want), np.float32), np.ones((len(want), 2), np.float32)
+        cuts = np.searchsorted(slot, np.arange(CLASSES + 1) * MEMBERS).tolist()
+        for c in range(CLASSES):
+            for lo in range(cuts[c], cuts[c + 1], ROWS):
+                hi = min(lo + ROWS, cuts[c + 1])
+                x, total, member = logits[: hi - lo], None, at_member[: hi - lo] + (slot[lo:hi] - c * MEMBERS)
+                for safe in (False, True):
+                    if total is None:
+                        np.matmul(by_class[lo:hi], t["outer"][c], out=x)
+                        if safe:
+                            _less_maximum(x)
+                        np.add(x[:, c], x.ravel().take(member), out=said[lo:hi])
+                        total = _exp_totals(x)
+                totals[lo:hi] = total
+        got = np.empty_like(said)
+        got[order] = said - np.log(totals).sum(1)
+        at = np.flatnonzero(want > START)
+        got[at] += _log_softmax(f[at, :DIM] @ t["Wt"] + t["bt"])[np.arange(len(at)), want[at] - RANGE]
+        out[begin : begin + SORTED] = got.reshape(-1, STRIDE)
+    return out
 
 
 def _cross_entropy(x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,84 +232,164 @@ def _cross_entropy(x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def gradients(w: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss (nats a token) and its gradient; targets below 0 do not count."""
-    s = forward(w, ids)
-    f, t = s["f"].reshape(-1, DIM), targets.ravel()
-    used = t >= 0
-    n = np.float32(max(used.sum(), 1))
-    slot = np.where(used, np.where(t > START, RARE, t), 0)
-    cls, member = slot // MEMBERS, slot % MEMBERS
-    g: dict[str, np.ndarray] = {}
-    said, dl = _cross_entropy(f @ w["Wc"] + w["bc"], cls)
-    loss = -float((said * used).sum())
-    dl *= used[:, None] / n
-    g["Wc"], g["bc"], df = f.T @ dl, dl.sum(0), dl @ w["Wc"].T
-    g["Wm"], g["bm"] = np.zeros_like(w["Wm"]), np.zeros_like(w["bm"])
-    for c, at in _by_class(cls):
-        own = f[at]
-        said, dm = _cross_entropy(own @ w["Wm"][c] + w["bm"][c], member[at])
-        loss -= float((said * used[at]).sum())
-        dm *= used[at][:, None] / n
-        g["Wm"][c], g["bm"][c] = own.T @ dm, dm.sum(0)
-        df[at] += dm @ w["Wm"][c].T
+    """Mean loss (nats a token) and its gradient over windows ``ids`` (batch, CONTEXT); targets below 0 do not count.
+
+    Attention weights stay undivided, their sums beside the values; tokens stand sorted by class, so that each
+    class is one product for both steps of the output, biases included.
+    """
+    batch, real = len(ids), w["E"].dtype
+    one, scale = (lambda n: np.ones(n, real)), real.type(1 / math.sqrt(WIDTH))
+    heads = lambda x, n: x.reshape(batch, -1, HEADS, n).transpose(0, 2, 1, 3)
+    # a key, a value and a place for 1 of each head, side by side
+    inner = np.zeros((DIM, HEADS, 2 * WIDTH + 1), real)
+    inner[:, :, :WIDTH], inner[:, :, WIDTH:-1] = w["Wk"].reshape(DIM, HEADS, WIDTH), w["Wv"].reshape(DIM, HEADS, WIDTH)
+    inner = inner.reshape(DIM, -1)
+    flat_ids = ids.ravel()
+    x = w["E"].take(flat_ids, 0)
+    xq = x.reshape(batch, CONTEXT, DIM)[:, -STRIDE:].reshape(-1, DIM)
+    q, kv = heads(xq @ w["Wq"] * scale, WIDTH), heads(x @ inner, 2 * WIDTH + 1)
+    kv[..., -1] = 1
+    k, v = kv[..., :WIDTH], kv[..., WIDTH:]
+    a = q @ k.transpose(0, 1, 3, 2)
+    a += bias(w)
+    np.exp(np.minimum(a, 30.0, out=a), out=a)
+    y = a @ v
+    y, sums = y[..., :WIDTH] / y[..., WIDTH:], y[..., WIDTH:]
+    z = y.transpose(0, 2, 1, 3).reshape(-1, DIM)
+    h = z @ w["Wo"]
+    h += xq
+    r = h @ w["W1"]
+    r += w["b1"]
+    np.maximum(r, 0, out=r)
+
+    t = targets.ravel()
+    slot = np.where(t > START, RARE, np.maximum(t, 0)).astype(np.int16)
+    order = slot.argsort(kind="stable")
+    slot, t = slot.take(order), t.take(order)
+    cls, used = slot >> (MEMBERS.bit_length() - 1), (t >= 0).astype(real)
+    n = real.type(max(used.sum(), 1))
+    f = np.ones((len(t), DIM + 1), real)
+    np.add(h, r @ w["W2"], out=f[:, :DIM])
+    f = f.take(order, 0)
+    outer = outputs(w)
+    back, g_outer = np.ascontiguousarray(outer[:, :DIM].transpose(0, 2, 1)), np.zeros_like(outer)
+    logits, df = np.empty((len(t), CLASSES + MEMBERS), real), np.empty((len(t), DIM), real)
+    cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    spans = [(c, slice(lo, hi)) for c, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)) if lo < hi]
+    own_class = np.arange(len(t)) * (CLASSES + MEMBERS) + cls
+    own_member = own_class + (CLASSES - cls + slot - cls * MEMBERS)
+    flat, total = logits.ravel(), None
+    for safe in (False, True):
+        if total is None:
+            for c, at in spans:
+                np.matmul(f[at], outer[c], out=logits[at])
+            if safe:
+                _less_maximum(logits)
+            said = flat.take(own_class) + flat.take(own_member)
+            total = _exp_totals(logits)
+    loss = -float(((said - np.log(total).sum(1)) * used).sum())
+    used /= n
+    each = logits.reshape(-1, MEMBERS)
+    each *= (used[:, None] / total).reshape(-1, 1)
+    flat[own_class] -= used
+    flat[own_member] -= used
+    for c, at in spans:
+        np.matmul(logits[at], back[c], out=df[at])
+        np.matmul(f[at].T, logits[at], out=g_outer[c])
+    of_class, of_member = g_outer[:, :, :CLASSES].sum(0), g_outer[:, :, CLASSES:]
+    g = {"Wc": of_class[:DIM], "bc": of_class[DIM], "Wm": of_member[:, :DIM], "bm": of_member[:, DIM]}
     at = np.flatnonzero(t > START)
-    said, dt = _cross_entropy(f[at] @ w["Wt"] + w["bt"], t[at] - RANGE)
+    rare = f[at, :DIM]
+    said, dt = _cross_entropy(rare @ w["Wt"] + w["bt"], t[at] - RANGE)
     loss -= float(said.sum())
     dt /= n
-    g["Wt"], g["bt"] = f[at].T @ dt, dt.sum(0)
+    g["Wt"], g["bt"] = rare.T @ dt, dt.sum(0)
     df[at] += dt @ w["Wt"].T
-    flat = lambda y: y.reshape(-1, y.shape[-1])
-    r, h, z = flat(s["r"]), flat(s["h"]), flat(s["z"])
-    du = (df @ w["W2"].T) * (r > 0)
+    unsorted = np.empty_like(df)
+    unsorted[order] = df
+    df = unsorted
+
+    du = df @ w["W2"].T
+    du *= r > 0
     dh = df + du @ w["W1"].T
-    g["W2"], g["W1"], g["b1"], g["Wo"] = r.T @ df, h.T @ du, du.sum(0), z.T @ dh
-    shape = s["z"].shape
-    dz = by_head((dh @ w["Wo"].T).reshape(shape))
-    da, dv = dz @ s["v"].transpose(0, 1, 3, 2), joined(s["a"].transpose(0, 1, 3, 2) @ dz)
-    ds = s["a"] * (da - (da * s["a"]).sum(-1, keepdims=True))
-    at_distance = ds.sum(0)
-    g["R"] = np.stack([np.bincount(BEHIND[BEHIND >= 0], x[BEHIND >= 0], CONTEXT) for x in at_distance]).astype(w["R"].dtype)
-    scale = np.float32(1 / math.sqrt(DIM // HEADS))
-    dq, dk = joined(ds @ s["k"]) * scale, joined(ds.transpose(0, 1, 3, 2) @ s["q"])
-    g["Wq"], g["Wk"], g["Wv"] = flat(s["xq"]).T @ flat(dq), flat(s["x"]).T @ flat(dk), flat(s["x"]).T @ flat(dv)
-    dx = dk @ w["Wk"].T + dv @ w["Wv"].T
-    dx[:, -STRIDE:] += dh.reshape(shape) + dq @ w["Wq"].T
+    g["W2"], g["W1"], g["b1"], g["Wo"] = r.T @ df, h.T @ du, one(len(du)) @ du, z.T @ dh
+    dz = np.empty((batch, HEADS, STRIDE, WIDTH + 1), real)
+    np.divide(heads(dh @ w["Wo"].T, WIDTH), sums, out=dz[..., :WIDTH])
+    dz[..., WIDTH] = -np.einsum("bhsw,bhsw->bhs", dz[..., :WIDTH], y)
+    ds = dz @ v.transpose(0, 1, 3, 2)
+    ds *= a
+    g["R"] = np.stack([np.bincount(BEHIND[BEHIND >= 0], s[BEHIND >= 0], CONTEXT) for s in ds.sum(0)]).astype(real)
+    dq, dkv = np.empty((batch, STRIDE, HEADS, WIDTH), real), np.zeros((batch, CONTEXT, HEADS, 2 * WIDTH + 1), real)
+    dk, dv = (dkv[..., own].transpose(0, 2, 1, 3) for own in (slice(WIDTH), slice(WIDTH, -1)))
+    np.matmul(ds, k, out=dq.transpose(0, 2, 1, 3))
+    np.matmul(ds.transpose(0, 1, 3, 2), q, out=dk)
+    np.matmul(a.transpose(0, 1, 3, 2), dz[..., :WIDTH], out=dv)
+    dq, dkv = dq.reshape(-1, DIM), dkv.reshape(len(x), -1)
+    dq *= scale
+    g_inner = (x.T @ dkv).reshape(DIM, HEADS, 2 * WIDTH + 1)
+    g["Wq"], g["Wk"], g["Wv"] = xq.T @ dq, g_inner[:, :, :WIDTH].reshape(DIM, DIM), g_inner[:, :, WIDTH:-1].reshape(DIM, DIM)
+    dx = dkv @ inner.T
+    dh += dq @ w["Wq"].T
+    dx.reshape(batch, CONTEXT, DIM)[:, -STRIDE:] += dh.reshape(batch, STRIDE, DIM)
     # rows of equal symbols are neighbours, so one sum by runs adds them up
-    order = np.argsort(ids.ravel(), kind="stable")
-    sorted_ids = ids.ravel()[order]
+    order = flat_ids.astype(np.int16).argsort(kind="stable")
+    sorted_ids = flat_ids.take(order)
     first = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1]])
     g["E"] = np.zeros_like(w["E"])
-    g["E"][sorted_ids[first]] = np.add.reduceat(flat(dx)[order], first, axis=0)
+    g["E"][sorted_ids[first]] = np.add.reduceat(dx.take(order, 0), first, axis=0)
     return loss / float(n), g
 
 
 class Adam:
-    """Changes ``w`` in place."""
+    """``w`` starts as a copy of the weights given and changes with each step; ``flat`` is all of it, by sorted names."""
 
-    def __init__(self, w: dict[str, np.ndarray]):
-        self.w, self.at = w, 0
-        self.m, self.v = {k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.names, self.at = sorted(weights), 0
+        self.flat = np.concatenate([weights[k].ravel() for k in self.names])
+        self.w = unflat(self.flat, weights)
+        self.m, self.v, self.a, self.b = (np.zeros_like(self.flat) for _ in range(4))
 
     def step(self, rows: np.ndarray, lr: float) -> float:
         loss, g = gradients(self.w, rows[:, :CONTEXT].astype(np.int64), rows[:, CONTEXT:].astype(np.int64))
-        w, m, v = self.w, self.m, self.v
+        m, v, a, b = self.m, self.v, self.a, self.b
         self.at += 1
-        for k, x in g.items():
-            m[k] = 0.9 * m[k] + 0.1 * x
-            v[k] = 0.99 * v[k] + 0.01 * x * x
-            w[k] -= np.float32(lr) * (m[k] / (1 - 0.9**self.at)) / (np.sqrt(v[k] / (1 - 0.99**self.at)) + np.float32(1e-8))
+        np.concatenate([g[k].ravel() for k in self.names], out=a)
+        np.multiply(a, 0.1, out=b)
+        m *= 0.9
+        m += b
+        a *= a
+        a *= 0.01
+        v *= 0.99
+        v += a
+        np.divide(v, 1 - 0.99**self.at, out=a)
+        np.sqrt(a, out=a)
+        a += 1e-8
+        np.divide(m, a, out=b)
+        b *= lr / (1 - 0.9**self.at)
+        self.flat -= b
         return loss
 
 
+def unflat(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Views of ``flat`` in the shapes of ``like``, by sorted names."""
+    cuts = np.cumsum([like[k].size for k in sorted(like)])[:-1]
+    return {k: x.reshape(like[k].shape) for k, x in zip(sorted(like), np.split(flat, cuts), strict=True)}
+
+
+def keep_memory() -> None:
+    """After one large block is freed, malloc keeps freed arrays of a few hundred KB instead of mapping each anew."""
+    np.empty(31 << 20, np.uint8)
+
+
 def train(windows: np.ndarray, weights: dict[str, np.ndarray], *, steps: int = STEPS, seed: int = SEED) -> dict[str, np.ndarray]:
     """Adam on ``windows`` (n, CONTEXT + STRIDE): inputs, then targets (-1: none), from ``weights``."""
-    rng, w = np.random.default_rng(seed), {k: x.copy() for k, x in weights.items()}
+    rng, adam = np.random.default_rng(seed), Adam(weights)
     if not len(windows):
-        return w
-    adam = Adam(w)
+        return adam.w
+    keep_memory()
     for step in range(1, steps + 1):
         adam.step(windows[rng.integers(0, len(windows), BATCH)], RATE * min(1.0, step / 20) * (1 - 0.95 * step / steps))
-    return w
+    return adam.w
 
 
 # ---- windows
@@ -479,24 +557,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Windows that are given out together.
+DRAWN = 8_192
+
+
 def _draw_windows(path: str, symbol_of: np.ndarray, share: float, seed: int):
     """h, w: a share of the windows of each text (key, text), drawn by a hash of key and position, and that hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, most = spaced(path), np.uint64(min(share, 1.0) * (2.0**64 - 4096))
+        before, behind = np.full(CONTEXT, START, np.int16), np.array([END] + [START] * STRIDE, np.int16)
+        of_id, own = symbol_of.astype(np.int16), np.r_[: CONTEXT, CONTEXT - STRIDE + 1 : CONTEXT + 1]
+        streams, begins, hashes, held, end = [], [], [], 0, 0
+
+        def flush():
+            # as in windows_of, for the drawn windows only
+            rows = np.concatenate(streams)[np.concatenate(begins)[:, None] + own]
+            targets = rows[:, CONTEXT:]
+            targets[targets == START] = -1
+            offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1] * 2)
+            windows = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.astype("<i2", copy=False))])
+            out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), windows], names=["h", "w"])
+            for x in (streams, begins, hashes):
+                x.clear()
+            return out
+
         for b in batches:
             for key, t in zip(b.column("key").to_pylist(), b.column("text"), strict=True):
                 ids = np.frombuffer(b"".join(map(encode.__getitem__, words_of(t.as_py()))), "<u2")
                 n = len(ids) // STRIDE + 1
                 h = mixed(mixed(np.array([key], np.int64).view(np.uint64) + np.uint64(seed)) + np.arange(n, dtype=np.uint64))
                 at = np.flatnonzero(h <= most)
-                if len(at):
-                    s = np.concatenate([np.full(CONTEXT, START, np.int64), symbol_of[ids], [END], np.full(STRIDE, START, np.int64)])
-                    # as in windows_of, for the drawn windows only
-                    inputs = s[(at * STRIDE + STRIDE - 1)[:, None] + np.arange(CONTEXT)]
-                    targets = s[(at * STRIDE + CONTEXT)[:, None] + np.arange(STRIDE)]
-                    rows = np.concatenate([inputs, np.where(targets == START, -1, targets)], 1).astype("<i2")
-                    yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["h", "w"])
+                if not len(at):
+                    continue
+                streams += [before, of_id.take(ids), behind]
+                begins.append(at * STRIDE + (STRIDE - 1 + end))
+                hashes.append(h[at])
+                end, held = end + CONTEXT + len(ids) + len(behind), held + len(at)
+                if held >= DRAWN:
+                    yield flush()
+                    held = end = 0
+        if held:
+            yield flush()
 
     return run
 
@@ -505,37 +607,50 @@ def _matrix(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), "<i2").reshape(-1, CONTEXT + STRIDE)
 
 
+def _rows(windows: pa.BinaryArray) -> np.ndarray:
+    """The windows of a column, which are equally long, as one array."""
+    size = (CONTEXT + STRIDE) * 2
+    begin = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset]
+    return np.frombuffer(windows.buffers()[2], "<i2", len(windows) * size // 2, begin).reshape(-1, CONTEXT + STRIDE)
+
+
+def _in_order(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The order by hash, then by the window's bytes."""
+    order = h.argsort(kind="stable")
+    if len(h) > 1 and (h[order][1:] == h[order][:-1]).any():
+        order = np.array(sorted(range(len(h)), key=lambda i: (h[i], rows[i].tobytes())))
+    return order
+
+
 def _train_groups(weights: dict[str, np.ndarray]):
-    """Rows (g, h, w) come sorted; trains on each group from ``weights``; yields n and the sum of the groups' weights, each times its windows."""
+    """Rows (g, h, w) come sorted by g; trains on each group, ordered by h and w, from ``weights``; yields n and the sum of the groups' weights, each times its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n, least, adam, held, group = None, 0, 1 << 62, None, [], None
-
-        def learn(rows):
-            adam.step(_matrix(rows), PASS_RATE * min(1.0, (adam.at + 1) / 20))
+        keep_memory()
+        total, n, least, group, hs, ws = 0.0, 0, 1 << 62, None, [], []
 
         def close():
-            nonlocal total
-            if held:
-                learn(held)
-                held.clear()
-            flat = np.concatenate([adam.w[k].ravel() for k in sorted(adam.w)]).astype(np.float64) * in_group
-            total = flat if total is None else total + flat
-
-        in_group = 0
+            nonlocal total, n
+            h, rows, adam = np.concatenate(hs), np.concatenate(ws), Adam(weights)
+            rows = rows[_in_order(h, rows)]
+            for lo in range(0, len(rows), BATCH):
+                adam.step(rows[lo : lo + BATCH], PASS_RATE * min(1.0, (adam.at + 1) / 20))
+            total, n = total + adam.flat.astype(np.float64) * len(rows), n + len(rows)
+            hs.clear()
+            ws.clear()
+
         for b in batches:
-            for g, w in zip(b.column("g").to_pylist(), b.column("w").to_pylist(), strict=True):
-                if g != group:
-                    if group is not None:
-                        close()
-                    group, in_group, adam = g, 0, Adam({k: x.copy() for k, x in weights.items()})
-                    least = min(least, g)
-                held.append(w)
-                in_group += 1
-                n += 1
-                if len(held) == BATCH:
-                    learn(held)
-                    held.clear()
+            if not b.num_rows:
+                continue
+            g, h, rows = b.column("g").to_numpy(), b.column("h").to_numpy(), _rows(b.column("w"))
+            cuts = [0, *(np.flatnonzero(g[1:] != g[:-1]) + 1).tolist(), len(g)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if g[lo] != group and group is not None:
+                    close()
+                group = int(g[lo])
+                least = min(least, group)
+                hs.append(h[lo:hi].copy())
+                ws.append(rows[lo:hi].copy())
         if group is not None:
             close()
             yield pa.RecordBatch.from_arrays([pa.array([least], pa.int64()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["g", "n", "w"])
@@ -562,19 +677,15 @@ def refine(windows: DataFrame, weights: dict[str, np.ndarray]) -> tuple[dict[str
     spark, schema = windows.sparkSession, "g long, n long, w binary"
     groups = max(1, -(-windows.count() // GROUP_WINDOWS))
     dealt = windows.withColumn("g", F.pmod(F.col("h"), F.lit(groups)))
-    parts = min(groups, max(SUMS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    each = dealt.repartition(parts, "g").sortWithinPartitions("g", "h", "w").select("g", "w").mapInArrow(_train_groups(weights), schema)
+    parts = min(groups, max(SUMS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))  # groups fall on parts by chance: small parts even out
+    each = dealt.repartition(parts, "g").sortWithinPartitions("g").select("g", "h", "w").mapInArrow(_train_groups(weights), schema)
     if parts > SUMS:
         each = stage(each, "lm_weights").repartition(SUMS, F.col("g") % SUMS).sortWithinPartitions("g").mapInArrow(_add_up, schema)
     sums = sorted(each.collect(), key=lambda r: r.g)
     n = sum(r.n for r in sums)
     if not n:
         return weights, 0
-    flat, out, at = sum(np.frombuffer(r.w) for r in sums) / n, {}, 0
-    for k in sorted(weights):
-        out[k] = flat[at : at + weights[k].size].reshape(weights[k].shape).astype(np.float32)
-        at += weights[k].size
-    return out, n
+    return {k: x.astype(np.float32) for k, x in unflat(sum(np.frombuffer(r.w) for r in sums) / n, weights).items()}, n
 
 
 def symbols(path: str, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -634,6 +745,7 @@ CHARS_AT_ONCE = 400_000
 
 def _score(shared, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         model = shared.value
         if name not in _tables:
             _tables.clear()

@@ -1,10 +1,12 @@
 """The language model against plain loops: gradients, scores, counts, and what training depends on."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +200,124 @@ def test_every_window_trains(spark, quick, monkeypatch):
     encode = lm.spaced(model.path)
     assert sum(seen) == sum(sum(len(encode[w]) // 2 for w in lm.words_of(t)) // lm.STRIDE + 1 for _, t in texts)
     assert len(seen) == lm.ROUNDS and min(seen) > 0
+
+
+def plain_gradients(w, ids, targets):
+    """``lm.gradients`` step by step: divided attention weights, one class after the other, nothing packed."""
+    heads = lambda x: x.reshape(len(ids), -1, lm.HEADS, lm.WIDTH).transpose(0, 2, 1, 3)
+    join = lambda x: x.transpose(0, 2, 1, 3).reshape(len(ids), -1, lm.DIM)
+    flat, scale = (lambda x: x.reshape(-1, x.shape[-1])), np.float32(1 / math.sqrt(lm.WIDTH))
+    x = w["E"][ids]
+    xq = x[:, -lm.STRIDE :]
+    q, k, v = heads(xq @ w["Wq"]) * scale, heads(x @ w["Wk"]), heads(x @ w["Wv"])
+    a = np.exp(np.minimum(q @ k.transpose(0, 1, 3, 2) + lm.bias(w), 30.0))
+    a /= a.sum(-1, keepdims=True)
+    z = join(a @ v)
+    h = xq + z @ w["Wo"]
+    r = np.maximum(h @ w["W1"] + w["b1"], 0)
+    f, t = flat(h + r @ w["W2"]), targets.ravel()
+    used = t >= 0
+    n, loss, df, g = np.float32(max(used.sum(), 1)), 0.0, np.zeros_like(f), {k: np.zeros_like(y) for k, y in w.items()}
+    slot = np.where(used, np.where(t > lm.START, lm.RARE, t), 0)
+
+    def output(at, weight, added, own):
+        nonlocal loss
+        said, d = lm._cross_entropy(f[at] @ weight + added, own)
+        loss -= float((said * used[at]).sum())
+        d *= used[at][:, None] / n
+        df[at] += d @ weight.T
+        return f[at].T @ d, d.sum(0)
+
+    g["Wc"], g["bc"] = output(np.arange(len(t)), w["Wc"], w["bc"], slot // lm.MEMBERS)
+    for c in range(lm.CLASSES):
+        at = np.flatnonzero(slot // lm.MEMBERS == c)
+        if len(at):
+            g["Wm"][c], g["bm"][c] = output(at, w["Wm"][c], w["bm"][c], slot[at] % lm.MEMBERS)
+    at = np.flatnonzero(t > lm.START)
+    g["Wt"], g["bt"] = output(at, w["Wt"], w["bt"], t[at] - lm.RANGE)
+    du = (df @ w["W2"].T) * (flat(r) > 0)
+    dh = df + du @ w["W1"].T
+    g["W2"], g["W1"], g["b1"], g["Wo"] = flat(r).T @ df, flat(h).T @ du, du.sum(0), flat(z).T @ dh
+    dz = heads((dh @ w["Wo"].T).reshape(z.shape))
+    da, dv = dz @ v.transpose(0, 1, 3, 2), join(a.transpose(0, 1, 3, 2) @ dz)
+    ds = a * (da - (da * a).sum(-1, keepdims=True))
+    g["R"] = np.stack([np.bincount(lm.BEHIND[lm.BEHIND >= 0], y[lm.BEHIND >= 0], lm.CONTEXT) for y in ds.sum(0)]).astype(w["R"].dtype)
+    dq, dk = join(ds @ k) * scale, join(ds.transpose(0, 1, 3, 2) @ q)
+    g["Wq"], g["Wk"], g["Wv"] = flat(xq).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
+    dx = dk @ w["Wk"].T + dv @ w["Wv"].T
+    dx[:, -lm.STRIDE :] += dh.reshape(z.shape) + dq @ w["Wq"].T
+    np.add.at(g["E"], ids.ravel(), flat(dx))
+    return loss / float(n), g
+
+
+def some_windows(n):
+    rng = np.random.default_rng(12)
+    w = lm.init(rng, *FLAT)
+    w["R"] = rng.standard_normal(w["R"].shape).astype(np.float32)
+    common = rng.geometric(0.01, (n, lm.CONTEXT + lm.STRIDE)).clip(1, lm.SYMBOLS - 1)
+    ids, targets = common[:, : lm.CONTEXT], common[:, lm.CONTEXT :].copy()
+    targets[targets == lm.START] = -1
+    targets[0, 5:] = -1
+    return w, ids, targets
+
+
+@pytest.mark.parametrize("times", [1, 200])
+def test_gradients_against_plain_steps(times):
+    w, ids, targets = some_windows(40)
+    w["Wc"], w["Wm"] = w["Wc"] * times, w["Wm"] * times  # at 200 the outputs' exp would overflow without their maximum taken off
+    w = {k: x.astype(np.float64) for k, x in w.items()} if times > 1 else w
+    loss, g = lm.gradients(w, ids, targets)
+    want, plain = plain_gradients(w, ids, targets)
+    assert np.isfinite(loss) and abs(loss - want) < 1e-5 * want
+    for k in w:
+        assert np.abs(g[k] - plain[k]).max() <= 2e-5 * np.abs(plain[k]).max(), k
+
+
+def test_a_training_step_costs_less_than_plain_steps():
+    w, ids, targets = some_windows(lm.BATCH)
+
+    def cost(f):
+        begin = time.process_time()
+        for _ in range(5):
+            f(w, ids, targets)
+        return time.process_time() - begin
+
+    ours, plain = zip(*((cost(lm.gradients), cost(plain_gradients)) for _ in range(8)), strict=True)
+    assert min(ours) < 0.8 * min(plain)
+
+
+def test_drawn_windows_come_many_at_once():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["red", "green"], rng.integers(0, 200))) for _ in range(300)]
+    table = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([*texts[:-1], None])], names=["key", "text"])
+    path, symbol_of = lm.vocabulary_path(lm.VOCABULARY), np.arange(1 << 16) % (lm.SLOTS - 2) + 2
+    whole = list(lm._draw_windows(path, symbol_of, 1.0, 1)(iter([table.slice(0, 100), table.slice(100)])))
+    each = [b for i in range(300) for b in lm._draw_windows(path, symbol_of, 1.0, 1)(iter([table.slice(i, 1)]))]
+    assert len(whole) == 1 and len(each) == 300
+    assert whole[0].to_pylist() == [r for b in each for r in b.to_pylist()]
+
+
+def test_groups_learn_their_windows_by_hash(monkeypatch):
+    monkeypatch.setattr(lm, "BATCH", 4)
+    w, ids, targets = some_windows(23)
+    rows = np.concatenate([ids, targets], 1).astype("<i2")
+    h = np.random.default_rng(1).integers(-50, 50, 23)
+    h[:4] = 7  # equal hashes go by the windows' bytes
+    g = np.arange(23) % 2
+    order = sorted(range(23), key=lambda i: g[i])
+    mixed_up = sorted(reversed(range(23)), key=lambda i: g[i])
+
+    def learned(order, size):
+        b = pa.RecordBatch.from_arrays([pa.array(g[order]), pa.array(h[order]), pa.array([rows[i].tobytes() for i in order], pa.binary())], names=["g", "h", "w"])
+        (out,) = lm._train_groups(w)(b.slice(lo, size) for lo in range(0, 23, size))
+        return out.column("n")[0].as_py(), np.frombuffer(out.column("w")[0].as_py()) / 23
+
+    n, got = learned(order, 23)
+    assert n == 23 and all((learned(*x)[1] == got).all() for x in ((order, 5), (mixed_up, 23), (mixed_up, 1)))
+    want = 0
+    for group in (0, 1):
+        adam, own = lm.Adam(w), sorted((i for i in range(23) if g[i] == group), key=lambda i: (h[i], rows[i].tobytes()))
+        for lo in range(0, len(own), 4):
+            adam.step(rows[own[lo : lo + 4]], lm.PASS_RATE * min(1.0, (adam.at + 1) / 20))
+        want = want + adam.flat.astype(float) * len(own)
+    assert np.abs(want / 23 - got).max() < 1e-6
